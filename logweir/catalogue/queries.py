@@ -14,7 +14,7 @@ from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
 from logweir.plans.paths import Node
 from logweir.plans.spec import parse_spec
-from logweir.session import fresh_folder
+from logweir.session import fresh_folder, small_frame
 from logweir.sources import days, dump, files, psv
 from logweir.sources.lines import document, is_document, parse_lines, read_lines
 from logweir.streaming import audit, daily, ingest
@@ -304,7 +304,7 @@ def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prefixes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("s3://logs//main/", 0), ("s3://logs/backup", 1)], "prefix string, priority int")
+    return small_frame(spark, [("s3://logs//main/", 0), ("s3://logs/backup", 1)], "prefix string, priority int")
 
 
 def _markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,9 +454,9 @@ def infer_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.order_lines(spark, sf_dir)
     table = infer.infer_table(lines)
     rows = extract_table(parse_lines(lines), table)
-    return rows.select(
-        "order_id", "order_customer", "order_start_time", "order_status", "order_total", "session_agent"
-    )
+    # integer columns are as wide as the data needs; one type for all scales here
+    wide = [F.col(c).cast("bigint").alias(c) for c in ("order_id", "order_customer", "order_start_time")]
+    return rows.select(*wide, "order_status", "order_total", "session_agent")
 
 
 _PART_V1 = [{"log_key": "p_partkey", "sql_attr": "int8"}, {"log_key": "p_name", "sql_attr": "varchar(64)"}]
@@ -631,8 +631,7 @@ def work_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def transition_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = ledger.transitions(fx.status_events(spark, sf_dir), ["at", "event_id"])
-    bad = ledger.illegal_transitions(changes, ledger.transition_table(spark))
-    return bad.select("job_id", "event_id", "from_status", "to_status")
+    return ledger.illegal_transitions(changes).select("job_id", "event_id", "from_status", "to_status")
 
 
 @query

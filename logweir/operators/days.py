@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.extract import DeriveFunction
-from logweir.operators.sinks import DAY, stage_columns, write_table
+from logweir.operators.sinks import DAY, open_writers, stage_columns, write_table
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, error_table
+from logweir.session import small_frame
 from logweir.sources import files
 from logweir.sources.days import DAY_IN_PATH, INPUT_SUFFIX, SUCCESS, days_to_run, first_complete_prefix, list_markers
 from logweir.sources.registry import read_documents
@@ -35,34 +36,36 @@ def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], day
                  fmt: str = "json", suffix: str = INPUT_SUFFIX, metrics: dict[str, DeriveFunction] | None = None,
                  force: bool = False) -> list[tuple]:
     """Stage every complete day that is not staged yet, all in one job; one result row per day."""
-    wanted = spark.createDataFrame([(d,) for d in days], "day date")
-    ranked = spark.createDataFrame(list(zip(prefixes, range(len(prefixes)))), "prefix string, priority int")
+    wanted = small_frame(spark, [(d,) for d in days], "day date")
+    ranked = small_frame(spark, list(zip(prefixes, range(len(prefixes)))), "prefix string, priority int")
     done = list_markers(spark, [stage + "/markers"], SUCCESS)
     open_days = days_to_run(wanted, done)
     # one row per day comes back: it decides which folders are read
     chosen = first_complete_prefix(open_days, ranked, list_markers(spark, prefixes), force).collect()
-    ready = {r["day"]: r["prefix"] for r in chosen if r["prefix"] is not None}
-    missing = {r["day"] for r in chosen if r["prefix"] is None}
-    failure = None
-    if ready:
-        paths = [_day_folder(prefix, day) + suffix for day, prefix in ready.items()]
-        try:
-            docs = read_documents(spark, fmt, paths, DAY_IN_PATH)
+    inputs = {r["day"]: r["prefix"] and _day_folder(r["prefix"], r["day"]) + suffix for r in chosen}
+    failures = {day: "no prefix available" for day, path in inputs.items() if path is None}
+    failures |= {day: "no input files" for day, path in inputs.items() if path and not files.glob(spark, path)}
+    ready = {day: path for day, path in inputs.items() if day not in failures}
+
+    def stage_days(part: dict[date, str]) -> None:
+        docs = read_documents(spark, fmt, list(part.values()), DAY_IN_PATH)
+        with open_writers(spark):
             (stage_columns(docs, spec, metrics).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(stage + "/rows"))
-            for day in ready:
-                files.touch(spark, f"{_day_folder(stage + '/markers', day)}/{SUCCESS}")
-        except Exception as stopped:  # the step's outcome is data for the ledger
-            failure = str(stopped)[:256]
-    results = []
-    for day in days:
-        if day in missing:
-            results.append((day, "et", None, "error", "no prefix available"))
-        elif day in ready and failure:
-            results.append((day, "et", None, "error", failure))
-        else:
-            results.append((day, "et", None, "success", None))
-    return results
+        for day in part:
+            files.touch(spark, f"{_day_folder(stage + '/markers', day)}/{SUCCESS}")
+
+    try:
+        if ready:
+            stage_days(ready)
+    except Exception:
+        # some day has unreadable input: run them one by one to find it and keep the others
+        for day, path in ready.items():
+            try:
+                stage_days({day: path})
+            except Exception as stopped:  # the step's outcome is data for the ledger
+                failures[day] = str(stopped)[:256]
+    return [(day, "et", None, "error" if day in failures else "success", failures.get(day)) for day in days]
 
 
 def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: str, root: str) -> list[tuple]:
@@ -103,7 +106,7 @@ def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start:
             results = results + [(day, "load", None, "error", f"not extracted: {info}"[:256])]
             break
         loadable.append(day)
-    return spark.createDataFrame(results + load_days(spark, spec, loadable, stage, root), RESULT_SCHEMA)
+    return small_frame(spark, results + load_days(spark, spec, loadable, stage, root), RESULT_SCHEMA)
 
 
 def loaded_counts(spark: SparkSession, spec: SchemaSpec, root: str) -> DataFrame:
@@ -115,6 +118,6 @@ def loaded_counts(spark: SparkSession, spec: SchemaSpec, root: str) -> DataFrame
         rows = spark.read.parquet(f"{root}/{name}").groupBy(DAY).agg(F.count("*").alias("n_rows"))
         rows = rows.select(DAY, F.lit(name).alias("table_name"), "n_rows")
         counted = rows if counted is None else counted.unionByName(rows)
-    return counted if counted is not None else spark.createDataFrame(
-        [], f"{DAY} date, table_name string, n_rows bigint"
+    return counted if counted is not None else small_frame(
+        spark, [], f"{DAY} date, table_name string, n_rows bigint"
     )

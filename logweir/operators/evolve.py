@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.plans.spec import ColumnSpec, SchemaSpec, SpecError, TableSpec, create_table_sql, default_sql, qualified_name
+from logweir.session import small_frame
 
 
 def added_columns(name: str, stored: TableSpec, wanted: TableSpec) -> list[ColumnSpec]:
@@ -94,7 +95,7 @@ def column_diff(stored: dict[str, DataFrame], spec: SchemaSpec, spark: SparkSess
     schema = "table_name string, column_name string"
     wanted = [(t, c.out_name.lower()) for t, table in spec.tables.items() for c in table.columns]
     actual = [(t, c.lower()) for t, rows in stored.items() for c in rows.columns]
-    want, have = spark.createDataFrame(wanted, schema), spark.createDataFrame(actual, schema)
+    want, have = small_frame(spark, wanted, schema), small_frame(spark, actual, schema)
     return want.exceptAll(have).withColumn("side", F.lit("spec")).unionByName(
         have.exceptAll(want).withColumn("side", F.lit("store"))
     )

@@ -7,7 +7,9 @@ before the shuffle). Windows run only over rows already reduced to one per job a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -318,10 +320,12 @@ def display_status() -> Column:
 
 # -- audit -------------------------------------------------------------------------------------------
 
-def transition_table(spark: SparkSession, legal: dict[str, list[str]] = LEGAL_TRANSITIONS) -> DataFrame:
-    """(from_status, to_status) of the legal changes."""
-    pairs = [(a, b) for a, nexts in legal.items() for b in nexts]
-    return spark.createDataFrame(pairs, "from_status string, to_status string")
+def is_legal(before: Column, after: Column, legal: dict[str, list[str]] = LEGAL_TRANSITIONS) -> Column:
+    """The change is in the table of legal ones; a fixed expression, so checking it needs no join."""
+    found = F.lit(False)
+    for status, following in legal.items():
+        found = found | ((before == status) & after.isin(*following))
+    return F.coalesce(found, F.lit(False))
 
 
 def transitions(events: DataFrame, order: list[str], initial: str = "null", bucket: str = "10 minutes",
@@ -329,34 +333,32 @@ def transitions(events: DataFrame, order: list[str], initial: str = "null", buck
     """(job_id, order columns, from_status, to_status) for consecutive statuses of each job.
 
     ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp. A job may own
-    a large share of all events, so no task ever sorts a whole job: changes inside a time bucket come from a
-    window over (job, bucket), changes across buckets from the first and last status of each bucket, which
-    are aggregates. ``first_from`` (job_id, status) gives the status a job had before these events.
+    a large share of all events, so no task ever sorts a whole job: neighbours are found by a window over
+    (job, time bucket), and only the first and last event of each bucket go on to a window over the job.
+    ``first_from`` (job_id, status) gives the status a job had before these events.
     """
-    at = F.struct(*order)
-    slotted = events.select("job_id", "status", *order, F.window(F.col(order[0]), bucket).getField("start").alias("_slot"))
+    slotted = events.select("job_id", "status", *order, F.window(order[0], bucket).getField("start").alias("_slot"))
     in_slot = W.partitionBy("job_id", "_slot").orderBy(*order)
-    inside = slotted.withColumn("from_status", F.lag("status").over(in_slot)).where("from_status is not null")
-
-    slots = slotted.groupBy("job_id", "_slot").agg(
-        F.min_by("status", at).alias("_first"), F.max_by("status", at).alias("_last"), F.min(at).alias("_at")
+    rows = slotted.select(
+        "job_id", "status", *order,
+        F.lag("status").over(in_slot).alias("from_status"), F.lead("status").over(in_slot).alias("_next"),
     )
-    by_slot = W.partitionBy("job_id").orderBy("_slot")
-    edges = slots.withColumn("_before", F.lag("_last").over(by_slot))
+    inside = rows.where(F.col("from_status").isNotNull())
+    edges = rows.where(F.col("from_status").isNull() | F.col("_next").isNull())
+    by_job = W.partitionBy("job_id").orderBy(*order)
+    # the event before the first one of a bucket is the last one of an earlier bucket
+    first = edges.withColumn("_before", F.lag("status").over(by_job)).where(F.col("from_status").isNull())
     if first_from is not None:
         known = first_from.select("job_id", F.col("status").alias("_known"))
-        edges = edges.join(known, "job_id", "left").withColumn("_before", F.coalesce("_before", "_known"))
-    columns = ["job_id", *order, "from_status", "to_status"]
-    across = edges.select(
-        "job_id", *[F.col(f"_at.{c}").alias(c) for c in order],
-        F.coalesce("_before", F.lit(initial)).alias("from_status"), F.col("_first").alias("to_status"),
-    )
-    return inside.withColumnRenamed("status", "to_status").select(columns).unionByName(across.select(columns))
+        first = first.join(known, "job_id", "left").withColumn("_before", F.coalesce("_before", "_known"))
+    across = first.withColumn("from_status", F.coalesce("_before", F.lit(initial)))
+    columns = ["job_id", *order, "from_status", F.col("status").alias("to_status")]
+    return inside.select(*columns).unionByName(across.select(*columns))
 
 
-def illegal_transitions(changes: DataFrame, legal: DataFrame) -> DataFrame:
+def illegal_transitions(changes: DataFrame, legal: dict[str, list[str]] = LEGAL_TRANSITIONS) -> DataFrame:
     """The changes that the table of legal ones does not have."""
-    return changes.join(legal, ["from_status", "to_status"], "left_anti").select(changes.columns)
+    return changes.where(~is_legal(F.col("from_status"), F.col("to_status"), legal))
 
 
 # -- listings ----------------------------------------------------------------------------------------
@@ -366,8 +368,6 @@ def versions_by_name(keys: DataFrame, prefix: str, column: str = "key") -> DataF
 
     Duplicates go before the list is built, so a list is as long as its name has distinct versions.
     """
-    import re
-
     pattern = "^" + re.escape(prefix) + r"/(\w+)/schema/(\w+)/schema\.yaml$"
     found = keys.where(F.col(column).rlike(pattern)).select(
         F.regexp_extract(column, pattern, 1).alias("log_name"), F.regexp_extract(column, pattern, 2).alias("version")

@@ -35,11 +35,12 @@ def cutoff(rows: DataFrame, column: str, ttl_days: int) -> DataFrame:
 def keep_recent(rows: DataFrame, column: str, ttl_days: int) -> DataFrame:
     """The rows that retention keeps: from the cutoff midnight on, and those without a date.
 
-    The cutoff is a scalar subquery: a two-value aggregate first, then a filter of the scan.
+    The cutoff is a scalar subquery (a two-value aggregate); where nothing is due it lies before all data, so
+    that the filter stays a plain comparison the scan can use.
     """
-    limit = cutoff(rows, column, ttl_days).select(F.col("cutoff_day").cast("timestamp")).scalar()
-    when = F.col(column).cast("timestamp")
-    return rows.where(F.coalesce(when >= limit, F.lit(True)))
+    due = F.coalesce(F.col("cutoff_day"), F.lit("0001-01-01").cast("date")).cast("timestamp")
+    limit = cutoff(rows, column, ttl_days).select(due).scalar()
+    return rows.where(F.col(column).isNull() | (F.col(column).cast("timestamp") >= limit))
 
 
 def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int | None) -> int:

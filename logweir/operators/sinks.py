@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.extract import (
@@ -72,34 +73,55 @@ def psv_fan_out(docs: DataFrame, spec: SchemaSpec, delimiter: str = "|",
 def write_psv(fanned: DataFrame, folder: str, compression: str = "gzip") -> None:
     """One directory per table (below one per day when the frame has days), overwriting only those days."""
     days = [DAY] if DAY in fanned.columns else []
-    (fanned.write.mode("overwrite").option("compression", compression)
-        .partitionBy(*days, "table").text(folder))
+    with open_writers(fanned.sparkSession):
+        (fanned.write.mode("overwrite").option("compression", compression)
+            .partitionBy(*days, "table").text(folder))
+
+
+@contextmanager
+def open_writers(spark: SparkSession, limit: int = 32):
+    """Let a task keep one file per partition value open instead of sorting all its rows by that value first.
+
+    Past the limit Spark sorts what is left, so this is no bound on the number of values.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def laid_out(rows: DataFrame, table: TableSpec, day: str | None = DAY) -> DataFrame:
-    """Rows gathered by day and dist key and sorted by the sort keys inside each partition.
+    """Rows gathered by day and dist key, and sorted by the sort keys inside each partition.
 
-    ``rebalance`` lets adaptive execution split a hot key over several tasks and merge small ones, which a
-    plain ``repartition`` on the key would not.
+    Without a dist key nothing is shuffled. ``rebalance`` lets adaptive execution split a hot key over several
+    tasks and merge small ones, which a plain ``repartition`` on the key would not.
     """
-    keys = ([day] if day and day in rows.columns else []) + table.distkeys
-    if keys:
-        rows = rows.hint("rebalance", *keys)
-    order = ([day] if day and day in rows.columns else []) + list(table.sortkey_attr)
+    days = [day] if day and day in rows.columns else []
+    if table.distkeys:
+        rows = rows.hint("rebalance", *days, *table.distkeys)
+    order = days + list(table.sortkey_attr)
     return rows.sortWithinPartitions(*order) if order else rows
 
 
 def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None) -> None:
     """Parquet below ``folder``; with a day column, exactly the days present in ``rows`` are replaced.
 
-    A table with dist or sort keys is laid out by them; otherwise the write stays map-only.
+    A table with dist or sort keys is laid out by them; otherwise rows are written as they come.
     """
-    if table is not None and (table.distkeys or table.sortkey_attr):
+    keyed = table is not None and (table.distkeys or table.sortkey_attr)
+    if keyed:
         rows = laid_out(rows, table)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if DAY in rows.columns:
         writer = writer.partitionBy(DAY)
-    writer.parquet(folder)
+    if keyed:
+        writer.parquet(folder)
+    else:
+        with open_writers(rows.sparkSession):
+            writer.parquet(folder)
 
 
 def staged_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None,

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings that change results, applied at run time to any session.
 RESULT_SETTINGS = {
@@ -24,6 +27,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scale_settings(shuffle_bytes: int, cores: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_bytes``: pass them to the session builder.
+
+    Shuffle partitions start at about ``partition_bytes`` each, so that one fits a task's memory; adaptive
+    execution merges the small ones and splits skewed ones from there.
+    """
+    partitions = max(2 * cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        **RESULT_SETTINGS,
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
@@ -58,3 +78,15 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, not yet existing sub-folder of the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows held by the driver (days, prefixes, names) as a frame whose size Spark knows.
+
+    From a plain list Spark would assume an unbounded size and shuffle whatever it is joined with.
+    """
+    struct = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(struct)
+    arrow = to_arrow_schema(struct)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.session import small_frame
 from logweir.sources import files
 
 # --- fixed values -----------------------------------------------------------------------------------
@@ -39,7 +40,7 @@ def list_markers(spark: SparkSession, prefixes: list[str], marker: str = COMPLET
     for prefix in prefixes:
         for path in files.glob(spark, f"{prefix.rstrip('/')}/[0-9]*/[0-9]*/[0-9]*/{marker}"):
             rows.append((prefix, "/".join(path.split("/")[-4:-1])))
-    found = spark.createDataFrame(rows, "prefix string, day_text string")
+    found = small_frame(spark, rows, "prefix string, day_text string")
     return found.select("prefix", F.try_to_timestamp("day_text", F.lit("yyyy/MM/dd")).cast("date").alias("day"))
 
 

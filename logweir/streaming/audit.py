@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logweir.operators.ledger import illegal_transitions, transition_table, transitions
+from logweir.operators.ledger import illegal_transitions, transitions
 from logweir.sources import files
 
 
@@ -22,7 +22,7 @@ def audit_stream(events: DataFrame, order: list[str], root: str, checkpoint: str
         spark = batch.sparkSession
         known = _last_before(batch, root, batch_id)
         changes = transitions(batch, order, first_from=known)
-        illegal_transitions(changes, transition_table(spark)).write.mode("overwrite").parquet(
+        illegal_transitions(changes).write.mode("overwrite").parquet(
             f"{root}/illegal/batch_id={batch_id}"
         )
         seen = batch.groupBy("job_id").agg(F.max_by("status", F.struct(*order)).alias("status"))
