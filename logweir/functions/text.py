@@ -23,7 +23,7 @@ def storage_key(path: Column) -> Column:
 
 def last_segment(path: Column) -> Column:
     """The last non-empty step of a path, e.g. the log name of a log's folder."""
-    return F.element_at(F.filter(F.split(path, "/"), lambda part: part != ""), -1)
+    return F.try_element_at(F.filter(F.split(path, "/"), lambda part: part != ""), F.lit(-1))
 
 
 def log_name_of_path(path: Column) -> Column:

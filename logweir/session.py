@@ -65,14 +65,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary directory of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="logweir-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="logweir-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
