@@ -101,6 +101,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table stored in fewer splits than there are cores, dealt out to all of them.
+
+    Making and parsing documents is work per row; a large table has splits enough and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def epoch(column: str) -> Column:
     return F.unix_timestamp(F.col(column).cast("timestamp"))
 
@@ -124,7 +133,7 @@ def order_text(order: Column, **options) -> Column:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``{"order": {...}, "session": {...}}`` per order."""
-    return table(spark, sf_dir, "orders").select(order_text(order_fields()).alias("value"))
+    return spread(table(spark, sf_dir, "orders")).select(order_text(order_fields()).alias("value"))
 
 
 def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +149,7 @@ def order_docs_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(slot == 1, order_text(nulled, ignoreNullFields="false"))
         .otherwise(order_text(order_fields()))
     )
-    return parse_lines(table(spark, sf_dir, "orders").select(text.alias("value")))
+    return parse_lines(spread(table(spark, sf_dir, "orders")).select(text.alias("value")))
 
 
 def broken_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +180,7 @@ def line_docs(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFra
     )
     flags = F.struct(F.col("l_linestatus").alias("status"))
     text = F.to_json(F.struct(line.alias("line"), flags.alias("flags")))
-    return parse_lines(table(spark, sf_dir, "lineitem").select(text.alias("value")))
+    return parse_lines(spread(table(spark, sf_dir, "lineitem")).select(text.alias("value")))
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +189,7 @@ def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), "lang", "source", "text", F.split("text", "\n", -1).alias("lines")
     )
     return parse_lines(
-        table(spark, sf_dir, "documents").select(F.to_json(F.struct(doc.alias("doc"))).alias("value"))
+        spread(table(spark, sf_dir, "documents")).select(F.to_json(F.struct(doc.alias("doc"))).alias("value"))
     )
 
 

@@ -120,7 +120,7 @@ tables:
         F.col("o_orderkey").alias("id"), seconds.alias("seconds"), (seconds * 1000).alias("millis"),
         (seconds + 0.75).alias("fraction"), F.col("o_orderpriority").alias("bad"),
     )
-    lines = fx.table(spark, sf_dir, "orders").select(F.to_json(F.struct(record.alias("o"))).alias("value"))
+    lines = fx.spread(fx.table(spark, sf_dir, "orders")).select(F.to_json(F.struct(record.alias("o"))).alias("value"))
     rows = extract_table(parse_lines(lines), table)
     return rows.select("id", shown("seconds"), shown("millis"), shown("fraction"), shown("bad"))
 
@@ -140,7 +140,7 @@ tables:
     sortkey_attr: []
 """).tables["t"]
     record = F.struct(F.col("event_id").alias("id"), F.try_parse_json("props").alias("props"))
-    lines = fx.table(spark, sf_dir, "events").select(F.to_json(record).alias("value"))
+    lines = fx.spread(fx.table(spark, sf_dir, "events")).select(F.to_json(record).alias("value"))
     return extract_table(parse_lines(lines), table)
 
 
@@ -159,7 +159,7 @@ tables:
 """).tables["t"]
     body = F.struct(F.repeat("text", F.lit(4)).alias("text"))
     record = F.struct(F.struct(F.col("doc_id").alias("id"), body.alias("body")).alias("doc"))
-    lines = fx.table(spark, sf_dir, "documents").select(F.to_json(record).alias("value"))
+    lines = fx.spread(fx.table(spark, sf_dir, "documents")).select(F.to_json(record).alias("value"))
     rows = extract_table(parse_lines(lines), table)
     return rows.select("id", F.length("body").cast("bigint").alias("body_length"))
 
@@ -250,7 +250,7 @@ def reassemble_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def psv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    documents = fx.spread(fx.table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "text")
     return psv.to_psv(documents, ["doc_id", "text", "lang", "source"])
 
 
@@ -269,11 +269,11 @@ def parse_spec_table(columns: list[dict]):
 @query
 def psv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line feeds, delimiters and backslashes, written as lines and read back."""
-    documents = fx.table(spark, sf_dir, "documents").select(
+    documents = fx.spread(fx.table(spark, sf_dir, "documents")).select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         F.concat(F.lit("a\\|b\\"), F.col("text"), F.lit("\\\\n|")).alias("body"),
     )
-    pages = fx.table(spark, sf_dir, "pages").select(
+    pages = fx.spread(fx.table(spark, sf_dir, "pages")).select(
         F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("body")
     )
     attrs = {"origin": "varchar(16)", "id": "int8", "body": "text"}
@@ -282,7 +282,7 @@ def psv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def psv_roundtrip_record_separator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("body"))
+    turns = fx.spread(fx.table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", F.col("text").alias("body"))
     attrs = {"conv_id": "int8", "turn": "int8", "role": "varchar(32)", "body": "text"}
     return _round_trip(turns, attrs, "\x1e")
 
@@ -417,7 +417,7 @@ def insert_dump_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts with quotes, commas, brackets and escapes inside quoted values."""
     body = F.concat(F.lit("it's (a), \\ 'b'"), F.col("text"))
     columns = [("doc_id", F.col("doc_id").cast("string")), ("body", fx.sql_quoted(body)), ("lang", fx.sql_quoted(F.col("lang")))]
-    lines = fx.table(spark, sf_dir, "documents").select(fx.insert_line("documents", columns).alias("value"))
+    lines = fx.spread(fx.table(spark, sf_dir, "documents")).select(fx.insert_line("documents", columns).alias("value"))
     table = parse_spec_table([
         {"log_key": "doc_id", "sql_attr": "int8"}, {"log_key": "body", "sql_attr": "text"},
         {"log_key": "lang", "sql_attr": "varchar(8)"},

@@ -1,7 +1,7 @@
 """Running a range of days: extract every day that is complete, load in order up to the first failure.
 
-Days are partitions of one Spark job, not one job each. The extract step leaves a typed stage (one column per
-table, partitioned by day) with a marker per finished day; the load step publishes staged days as tables.
+Days are partitions of one Spark job, not one job each. The extract step leaves a typed stage (by day and
+table) with a marker per finished day; the load step publishes staged days as tables.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.extract import DeriveFunction
-from logweir.operators.sinks import DAY, open_writers, stage_columns, write_table
+from logweir.operators.sinks import DAY, staged_rows, write_stage, write_table
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, error_table
 from logweir.session import small_frame
 from logweir.sources import files
@@ -49,9 +49,7 @@ def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], day
 
     def stage_days(part: dict[date, str]) -> None:
         docs = read_documents(spark, fmt, list(part.values()), DAY_IN_PATH)
-        with open_writers(spark):
-            (stage_columns(docs, spec, metrics).write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(stage + "/rows"))
+        write_stage(docs, spec, stage + "/rows", metrics)
         for day in part:
             files.touch(spark, f"{_day_folder(stage + '/markers', day)}/{SUCCESS}")
 
@@ -81,7 +79,7 @@ def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: st
         table = spec.tables.get(name, error_table())
         status, info = "success", None
         try:
-            write_table(staged.select(DAY, F.inline(F.col(f"`{name}`"))), f"{root}/{name}", table)
+            write_table(staged_rows(staged, name), f"{root}/{name}", table)
         except Exception as stopped:
             status, info = "error", str(stopped)[:256]
         results += [(day, "load", name, status, info) for day in days]

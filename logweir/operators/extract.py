@@ -174,21 +174,127 @@ def extract_table(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFu
     return extract_tables(docs, SchemaSpec({"table": table}), metrics, on_error)["table"]
 
 
+def _file_path(docs: DataFrame) -> Column:
+    return F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string")
+
+
+def _foreign(table: TableSpec) -> list[ColumnSpec]:
+    return [c for c in table.columns if c.is_foreign and not (c.is_derived or c.is_noop)]
+
+
 def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None) -> DataFrame:
     metrics = {**BUILT_IN_METRICS, **(metrics or {})}
-    carried = [c for c in CARRIED if c in docs.columns]
+    carried = [F.col(c) for c in CARRIED if c in docs.columns]
     doc = document(F.col("doc"))
-    file_path = F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string")
+    row = RowContext(doc, _file_path(docs))
     if table.src_type == "dict":
-        row = RowContext(doc, file_path)
-    elif table.src_type == "list":
-        docs = docs.select("*", F.posexplode(list_elements(doc, table)).alias("_position", "_element"))
-        row = RowContext(doc, file_path, Node(F.col("_element")), F.col("_position"))
+        return docs.select(*[column_value(c, table, row, metrics).alias(c.out_name) for c in table.columns], *carried)
+    # Foreign values are taken once per document, before it is unnested; unless a derived column looks at the
+    # whole document, the elements then travel without it.
+    docs, hoisted = _hoist_foreign(docs, [table], row, metrics)
+    if table.src_type == "list":
+        unnested = F.posexplode(list_elements(doc, table))
     else:
-        entries = doc.get(split_path(table.src), "map<string,variant>")
-        docs = docs.select("*", F.explode(entries).alias("_position", "_element"))
-        row = RowContext(doc, file_path, Node(F.col("_element")), F.col("_position"))
+        unnested = F.explode(doc.get(split_path(table.src), "map<string,variant>"))
+    docs = docs.select("*", unnested.alias("_position", "_element"))
+    row = RowContext(doc, row.file_path, Node(F.col("_element")), F.col("_position"))
     return docs.select(
-        *[column_value(c, table, row, metrics).alias(c.out_name) for c in table.columns],
-        *[F.col(c) for c in carried],
+        *[
+            (F.col(hoisted[0, c.out_name]) if (0, c.out_name) in hoisted else column_value(c, table, row, metrics))
+            .alias(c.out_name)
+            for c in table.columns
+        ],
+        *carried,
     )
+
+
+def _hoist_foreign(docs: DataFrame, tables: list[TableSpec], row: RowContext, metrics: dict[str, DeriveFunction]):
+    """Take the foreign values of unnested tables once per document; (frame, (n-th table, column) -> name).
+
+    The one-element generator keeps the optimizer from moving the values back to where they are used.
+    """
+    names, values = {}, []
+    for n, table in enumerate(tables):
+        for c in _foreign(table) if table.src_type != "dict" else ():
+            names[n, c.out_name] = f"_foreign_{n}_{len(values)}"
+            values.append(column_value(c, table, row, metrics).alias(names[n, c.out_name]))
+    return (docs.select("*", F.inline(F.array(F.struct(*values)))) if values else docs), names
+
+
+def row_arrays(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None):
+    """Each table's rows of one document as an array of structs: (frame, is accepted, table name -> array)."""
+    metrics = {**BUILT_IN_METRICS, **(metrics or {})}
+    doc, tables = document(F.col("doc")), list(spec.tables.values())
+    whole = RowContext(doc, _file_path(docs))
+    docs, hoisted = _hoist_foreign(docs, tables, whole, metrics)
+
+    def struct(n: int, row: RowContext) -> Column:
+        return F.struct(*[
+            (F.col(hoisted[n, c.out_name]) if (n, c.out_name) in hoisted else column_value(c, tables[n], row, metrics))
+            .alias(c.out_name)
+            for c in tables[n].columns
+        ])
+
+    def array(n: int) -> Column:
+        table = tables[n]
+        if table.src_type == "dict":
+            return F.array(struct(n, whole))
+        if table.src_type == "list":
+            return F.transform(
+                list_elements(doc, table), lambda e, i: struct(n, RowContext(doc, whole.file_path, Node(e), i))
+            )
+        entries = F.map_entries(doc.get(split_path(table.src), "map<string,variant>"))
+        return F.transform(
+            entries, lambda kv: struct(n, RowContext(doc, whole.file_path, Node(kv["value"]), kv["key"]))
+        )
+
+    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
+    return docs, accepted, {name: array(n) for n, name in enumerate(spec.tables)}
+
+
+REJECTED = -1  # the tag of a document that yields no rows
+
+
+def tagged_rows(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None):
+    """All rows of all tables in one pass over the documents.
+
+    Returns a frame with one row per output row and per rejected document, and a function that gives the column
+    expressions of the n-th table on it, valid where ``_tag`` is n. Two generators do it: one row per table, then
+    one row per element of that table's source. Both compile into the scan's stage, which lambda functions over
+    arrays would not.
+    """
+    metrics = {**BUILT_IN_METRICS, **(metrics or {})}
+    doc = document(F.col("doc"))
+    tables = list(spec.tables.values())
+    whole = RowContext(doc, _file_path(docs))
+    docs, hoisted = _hoist_foreign(docs, tables, whole, metrics)
+    sparse = {n: doc.get(split_path(t.src), "map<string,variant>") for n, t in enumerate(tables) if t.src_type == "sparse_list"}
+    keys = [F.map_keys(entries).alias(f"_keys_{n}") for n, entries in sparse.items()]
+
+    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
+    tags = F.when(accepted, F.array(*[F.lit(n) for n in range(len(tables))])).otherwise(F.array(F.lit(REJECTED)))
+    per_table = docs.select("*", *keys, F.explode(tags).alias("_tag"))
+
+    elements = F.array(F.lit(None).cast("variant"))  # one row, for dict tables and rejected documents
+    for n, table in enumerate(tables):
+        if table.src_type == "list":
+            elements = F.when(F.col("_tag") == n, list_elements(doc, table)).otherwise(elements)
+        elif table.src_type == "sparse_list":
+            elements = F.when(F.col("_tag") == n, F.map_values(sparse[n])).otherwise(elements)
+    rows = per_table.select("*", F.posexplode(elements).alias("_position", "_element"))
+
+    def columns_of(n: int) -> list[Column]:
+        table = tables[n]
+        if table.src_type == "dict":
+            row = whole
+        elif table.src_type == "list":
+            row = RowContext(doc, whole.file_path, Node(F.col("_element")), F.col("_position"))
+        else:
+            key = F.get(F.col(f"_keys_{n}"), F.col("_position"))
+            row = RowContext(doc, whole.file_path, Node(F.col("_element")), key)
+        return [
+            F.col(hoisted[n, c.out_name]) if (n, c.out_name) in hoisted else column_value(c, table, row, metrics)
+            for c in table.columns
+        ]
+
+    return rows, columns_of

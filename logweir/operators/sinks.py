@@ -5,28 +5,17 @@ from __future__ import annotations
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.operators.extract import (
-    BUILT_IN_METRICS,
-    DeriveFunction,
-    RowContext,
-    column_value,
-    extract_tables,
-    is_incomplete,
-    list_elements,
-)
+from logweir.operators.extract import DeriveFunction, extract_tables, row_arrays, tagged_rows
 from logweir.operators.quarantine import error_fields, error_rows
-from logweir.plans.paths import Node, split_path
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, TableSpec, error_table
 from logweir.session import fresh_folder
 from logweir.sources import files
-from logweir.sources.lines import document, is_document
 from logweir.sources.psv import check_delimiter, psv_line
 
 DAY = "data_date"
-_PAIRS = "array<struct<table:string,line:string>>"
 
 
 def psv_fan_out(docs: DataFrame, spec: SchemaSpec, delimiter: str = "|",
@@ -36,38 +25,17 @@ def psv_fan_out(docs: DataFrame, spec: SchemaSpec, delimiter: str = "|",
     Bad and incomplete documents become lines of the error table.
     """
     check_delimiter(delimiter)
-    metrics = {**BUILT_IN_METRICS, **(metrics or {})}
-    doc = document(F.col("doc"))
-    file_path = F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string")
-
-    def pair(name: str, line: Column) -> Column:
-        return F.struct(F.lit(name).alias("table"), line.alias("line"))
-
-    def row_line(table: TableSpec, row: RowContext) -> Column:
-        written = [c for c in table.columns if not c.is_noop]
-        return psv_line([(column_value(c, table, row, metrics), c.data_type) for c in written], delimiter)
-
-    def table_lines(name: str, table: TableSpec) -> Column:
-        if table.src_type == "dict":
-            return F.array(pair(name, row_line(table, RowContext(doc, file_path))))
-        if table.src_type == "list":
-            lines = F.transform(
-                list_elements(doc, table),
-                lambda e, i: pair(name, row_line(table, RowContext(doc, file_path, Node(e), i))),
-            )
-        else:
-            lines = F.transform(
-                F.map_entries(doc.get(split_path(table.src), "map<string,variant>")),
-                lambda kv: pair(name, row_line(table, RowContext(doc, file_path, Node(kv["value"]), kv["key"]))),
-            )
-        return F.coalesce(lines, F.array().cast(_PAIRS))
-
-    good = F.concat(*[table_lines(n, t) for n, t in spec.tables.items()])
+    rows, columns_of = tagged_rows(docs, spec, metrics)
+    tag = F.col("_tag")
     error_types = [c.data_type for c in error_table().columns]
-    bad = F.array(pair(ERROR_TABLE, psv_line(list(zip(error_fields(docs, spec), error_types)), delimiter)))
-    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
+    name = F.lit(ERROR_TABLE)
+    line = psv_line(list(zip(error_fields(docs, spec), error_types)), delimiter)
+    for n, (table_name, table) in enumerate(spec.tables.items()):
+        pairs = [(v, c.data_type) for c, v in zip(table.columns, columns_of(n)) if not c.is_noop]
+        name = F.when(tag == n, F.lit(table_name)).otherwise(name)
+        line = F.when(tag == n, psv_line(pairs, delimiter)).otherwise(line)
     carried = [F.col(DAY)] if DAY in docs.columns else []
-    return docs.select(*carried, F.inline(F.when(accepted, good).otherwise(bad)))
+    return rows.select(*carried, name.alias("table"), line.alias("line"))
 
 
 def write_psv(fanned: DataFrame, folder: str, compression: str = "gzip") -> None:
@@ -124,51 +92,43 @@ def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None) ->
             writer.parquet(folder)
 
 
+def stage_columns(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None) -> DataFrame:
+    """One row per document: the rows of each table as an array, those of a rejected one in the error column."""
+    docs, accepted, arrays = row_arrays(docs, spec, metrics)
+    error = F.struct(*[v.alias(c.out_name) for c, v in zip(error_table().columns, error_fields(docs, spec))])
+    return docs.select(
+        *([F.col(DAY)] if DAY in docs.columns else []),
+        *[F.when(accepted, rows).alias(name) for name, rows in arrays.items()],
+        F.when(~accepted, F.array(error)).alias(ERROR_TABLE),
+    )
+
+
 def staged_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None,
                   folder: str | None = None) -> dict[str, DataFrame]:
-    """Parse once, write one compact frame, serve every table (and the error table) from it.
+    """Parse once, write one typed frame, serve every table (and the error table) from it.
 
-    The stage holds one row per document: an array of structs per table and one for a rejected line. It is a
-    written table in the shared folder, so losing an executor does not mean parsing again, and each table
-    reads only its own column of it.
+    The stage is a written table in the shared folder, so losing an executor does not mean parsing again. It holds
+    one row per document with a column per table, and each table reads only its own column.
     """
     spark = docs.sparkSession
     folder = folder or fresh_folder(spark, "stage")
-    stage_columns(docs, spec, metrics).write.mode("overwrite").parquet(folder)
+    write_stage(docs, spec, folder, metrics)
     stage = spark.read.parquet(folder)
-    carried = [F.col(DAY)] if DAY in stage.columns else []
-    return {n: stage.select(*carried, F.inline(F.col(f"`{n}`"))) for n in [*spec.tables, ERROR_TABLE]}
+    return {n: staged_rows(stage, n) for n in [*spec.tables, ERROR_TABLE]}
 
 
-def stage_columns(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None) -> DataFrame:
-    """One column per table, each an array of that document's rows."""
-    metrics = {**BUILT_IN_METRICS, **(metrics or {})}
-    doc = document(F.col("doc"))
-    file_path = F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string")
-
-    def row_struct(table: TableSpec, row: RowContext) -> Column:
-        return F.struct(*[column_value(c, table, row, metrics).alias(c.out_name) for c in table.columns])
-
-    def table_column(table: TableSpec) -> Column:
-        if table.src_type == "dict":
-            return F.array(row_struct(table, RowContext(doc, file_path)))
-        if table.src_type == "list":
-            return F.transform(list_elements(doc, table),
-                               lambda e, i: row_struct(table, RowContext(doc, file_path, Node(e), i)))
-        return F.transform(
-            F.map_entries(doc.get(split_path(table.src), "map<string,variant>")),
-            lambda kv: row_struct(table, RowContext(doc, file_path, Node(kv["value"]), kv["key"])),
-        )
-
-    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
-    names = [c.out_name for c in error_table().columns]
-    error = F.array(F.struct(*[c.alias(n) for c, n in zip(error_fields(docs, spec), names)]))
-    carried = [F.col(DAY)] if DAY in docs.columns else []
-    return docs.select(
-        *carried,
-        *[F.when(accepted, table_column(t)).alias(n) for n, t in spec.tables.items()],
-        F.when(~accepted, error).alias(ERROR_TABLE),
-    )
+def write_stage(docs: DataFrame, spec: SchemaSpec, folder: str, metrics: dict[str, DeriveFunction] | None = None) -> None:
+    """The rows of every document, an array of structs per table, partitioned by day when there are days."""
+    staged = stage_columns(docs, spec, metrics)
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with open_writers(docs.sparkSession):
+        (writer.partitionBy(DAY) if DAY in staged.columns else writer).parquet(folder)
+
+
+def staged_rows(stage: DataFrame, name: str) -> DataFrame:
+    """One table of a stage. ``explode`` and not ``inline``, for which the whole column would be read."""
+    carried = [DAY] if DAY in stage.columns else []
+    return stage.select(*carried, F.explode(F.col(f"`{name}`")).alias("_row")).select(*carried, "_row.*")
 
 
 def load_tables(docs: DataFrame, spec: SchemaSpec, root: str, metrics: dict[str, DeriveFunction] | None = None,
