@@ -44,7 +44,7 @@ def scale_settings(shuffle_bytes: int, cores: int, partition_bytes: int = 128 *
     }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -55,6 +55,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

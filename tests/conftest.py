@@ -11,12 +11,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from logweir.session import local_session
 
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    session = local_session(8)
+    session = local_session(8, settings={
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    })
     yield session
     session.stop()
