@@ -19,6 +19,7 @@ from logweir.sources import files
 from logweir.sources.days import DAY_IN_PATH, INPUT_SUFFIX, SUCCESS, days_to_run, first_complete_prefix, list_markers
 from logweir.sources.registry import read_documents
 
+FEW_DAYS = 8
 RESULT_SCHEMA = "day date, step string, table_name string, status string, error_info string"
 
 
@@ -79,7 +80,7 @@ def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: st
         table = spec.tables.get(name, error_table())
         status, info = "success", None
         try:
-            write_table(staged_rows(staged, name), f"{root}/{name}", table)
+            write_table(staged_rows(staged, name), f"{root}/{name}", table, gather_keys=len(days) <= FEW_DAYS)
         except Exception as stopped:
             status, info = "error", str(stopped)[:256]
         results += [(day, "load", name, status, info) for day in days]

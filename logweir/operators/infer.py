@@ -44,6 +44,7 @@ class InferOptions:
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
 LARGEST_INT = 2**63 - 1
 WIDE_VARCHAR = 65535
+MAX_PATHS = 20_000  # more paths than any table has columns: some dict is keyed by data
 # ----------------------------------------------------------------------------------------------------
 
 
@@ -181,8 +182,14 @@ def sql_attr_of(kind: str, max_len: int | None) -> str | None:
 
 def infer_table(lines: DataFrame, options: InferOptions = InferOptions(), sortkeys=(), flatten: bool = True,
                 add_source_filename: bool = False, value: str = "value", on_error: str = "fail") -> TableSpec:
-    """A table spec for sample lines. Only the folded paths come to the driver."""
-    paths = fold_types(leaf_summary(lines, options, value, on_error)).collect()
+    """A table spec for sample lines. Only the folded paths come to the driver.
+
+    Paths beyond any sensible table width are an error, not cut off: a dict keyed by data has to be pruned, excluded
+    or unnested as a sparse list.
+    """
+    paths = fold_types(leaf_summary(lines, options, value, on_error)).limit(MAX_PATHS + 1).collect()
+    if len(paths) > MAX_PATHS:
+        raise SpecError(f"more than {MAX_PATHS} paths: prune or exclude dicts keyed by data")
     return build_table(paths, options.source, options.source_type, sortkeys, flatten, add_source_filename)
 
 

@@ -167,15 +167,16 @@ def result_fold(results: DataFrame, end_dates: DataFrame | None = None) -> DataF
 
 # -- how far may a job go ----------------------------------------------------------------------------
 
-def load_frontier(status: DataFrame, start: Column, retry_errors: bool = False) -> DataFrame:
+def load_frontier(status: DataFrame, start: Column, retry_errors: bool = False, single_day: bool = False) -> DataFrame:
     """The days each job can load now, walking from ``start`` to the first gap.
 
     ``status`` has job_id, day, load_status for days whose extract step is complete. A NULL status is a
     candidate; an error is one when retrying and ends the walk otherwise; any other status is passed over.
-    A day that occurs twice ends the walk behind its first row.
+    A day that occurs twice ends the walk behind its first row. ``single_day`` looks at the start day only.
     """
+    wanted = F.col("day") == start if single_day else F.col("day") >= start
     # NULL sorts first, so a duplicated day counts as not loaded
-    days = status.where(F.col("day") >= start).groupBy("job_id", "day").agg(
+    days = status.where(wanted).groupBy("job_id", "day").agg(
         F.count("*").alias("n"), F.min(F.struct("load_status")).getField("load_status").alias("load_status")
     )
     by_day = W.partitionBy("job_id").orderBy("day")
@@ -335,7 +336,8 @@ def transitions(events: DataFrame, order: list[str], initial: str = "null", buck
     ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp. A job may own
     a large share of all events, so no task ever sorts a whole job: neighbours are found by a window over
     (job, time bucket), and only the first and last event of each bucket go on to a window over the job.
-    ``first_from`` (job_id, status) gives the status a job had before these events.
+    ``first_from`` (job_id, status) gives the status a job had before these events. Events without a time have no
+    place in the order and are left out.
     """
     slotted = events.select("job_id", "status", *order, F.window(order[0], bucket).getField("start").alias("_slot"))
     in_slot = W.partitionBy("job_id", "_slot").orderBy(*order)

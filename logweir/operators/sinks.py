@@ -61,27 +61,32 @@ def open_writers(spark: SparkSession, limit: int = 32):
         spark.conf.set(key, before)
 
 
-def laid_out(rows: DataFrame, table: TableSpec, day: str | None = DAY) -> DataFrame:
+def laid_out(rows: DataFrame, table: TableSpec, gather_keys: bool = True) -> DataFrame:
     """Rows gathered by day and dist key, and sorted by the sort keys inside each partition.
 
     Without a dist key nothing is shuffled. ``rebalance`` lets adaptive execution split a hot key over several
-    tasks and merge small ones, which a plain ``repartition`` on the key would not.
+    tasks and merge small ones, which a plain ``repartition`` on the key would not. For a load of many days
+    ``gather_keys=False`` gathers by day alone and sorts by dist key inside each file: with the key, every task
+    would write a little of every day.
     """
-    days = [day] if day and day in rows.columns else []
-    if table.distkeys:
-        rows = rows.hint("rebalance", *days, *table.distkeys)
+    days = [DAY] if DAY in rows.columns else []
     order = days + list(table.sortkey_attr)
+    if table.distkeys and (gather_keys or not days):
+        rows = rows.hint("rebalance", *days, *table.distkeys)
+    elif table.distkeys:
+        rows = rows.hint("rebalance", *days)
+        order = days + table.distkeys + [k for k in table.sortkey_attr if k not in table.distkeys]
     return rows.sortWithinPartitions(*order) if order else rows
 
 
-def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None) -> None:
+def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None, gather_keys: bool = True) -> None:
     """Parquet below ``folder``; with a day column, exactly the days present in ``rows`` are replaced.
 
     A table with dist or sort keys is laid out by them; otherwise rows are written as they come.
     """
     keyed = table is not None and (table.distkeys or table.sortkey_attr)
     if keyed:
-        rows = laid_out(rows, table)
+        rows = laid_out(rows, table, gather_keys)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if DAY in rows.columns:
         writer = writer.partitionBy(DAY)

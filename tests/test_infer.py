@@ -92,6 +92,13 @@ def test_errors(spark):
     assert len(infer.infer_table(lines(spark, "{", {"x": 1}), on_error="skip").columns) == 1
 
 
+def test_too_many_paths_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(infer, "MAX_PATHS", 3)
+    with pytest.raises(SpecError, match="keyed by data"):
+        infer.infer_table(lines(spark, {str(i): 1 for i in range(4)}))
+    assert len(infer.infer_table(lines(spark, {str(i): 1 for i in range(3)})).columns) == 3
+
+
 @pytest.mark.parametrize("kind, length, attr", [
     ("int", 4, "int2"), ("int", 5, "int4"), ("int", 9, "int4"), ("int", 10, "int8"), ("int", None, "int8"), ("long", 3, "int8"),
     ("float", 3, "float8"), ("bool", 5, "bool"), ("str", 9, "varchar(9)"), ("dict", 2, "varchar(65535)"), ("null", 4, None),

@@ -30,6 +30,12 @@ def test_frontier(spark, retry, statuses, expected, start):
     assert [r.day for r in got if r.job_id == "other"] == [day(start)]
 
 
+def test_frontier_of_a_single_day(spark):
+    rows = [("j", day(4), None), ("j", day(5), None), ("j", day(6), None)]
+    frame = spark.createDataFrame(rows, "job_id string, day date, load_status string")
+    assert [r.day.day for r in ledger.load_frontier(frame, F.lit(day(5)), single_day=True).collect()] == [5]
+
+
 def test_frontier_stops_behind_a_repeated_day(spark):
     rows = [("j", day(1), None), ("j", day(2), None), ("j", day(2), None), ("j", day(3), None)]
     frame = spark.createDataFrame(rows, "job_id string, day date, load_status string")

@@ -101,6 +101,16 @@ def test_hot_dist_key_is_split_over_files(spark, tmp_path):
     assert stored.count() == 60_000
 
 
+def test_many_days_are_not_scattered_over_all_files(spark, tmp_path):
+    table = TableSpec.from_dict({"src": "", "src_type": "dict", "sortkey_attr": ["v"], "columns": [
+        {"log_key": "k", "sql_attr": "int8 distkey"}, {"log_key": "v", "sql_attr": "int8"}]})
+    rows = spark.range(20_000).select(
+        (F.col("id") % 500).alias("k"), F.col("id").alias("v"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("data_date"))
+    sinks.write_table(rows, str(tmp_path / "t"), table, gather_keys=False)
+    assert len(files.glob(spark, f"{tmp_path}/t/data_date=*/part-*")) == 30
+    assert spark.read.parquet(str(tmp_path / "t")).agg(F.sum("v")).first()[0] == sum(range(20_000))
+
+
 def test_hot_job_gives_the_same_answers(spark):
     """One job owns most events; results are those of a plain walk, and no window runs over a whole job."""
     rows = spark.range(30_000).select(
