@@ -131,9 +131,11 @@ def order_text(order: Column, **options) -> Column:
     return F.to_json(F.struct(order.alias("order"), session.alias("session")), options)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """``{"order": {...}, "session": {...}}`` per order."""
-    return spread(table(spark, sf_dir, "orders")).select(order_text(order_fields()).alias("value"))
+    orders = table(spark, sf_dir, "orders")
+    orders = spread(orders if where is None else orders.where(where))
+    return orders.select(order_text(order_fields()).alias("value"))
 
 
 def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

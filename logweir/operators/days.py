@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.extract import DeriveFunction
+from logweir.operators.retention import compact, delete_old
 from logweir.operators.sinks import DAY, staged_rows, write_stage, write_table
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, error_table
 from logweir.session import small_frame
@@ -20,6 +21,7 @@ from logweir.sources.days import DAY_IN_PATH, INPUT_SUFFIX, SUCCESS, days_to_run
 from logweir.sources.registry import read_documents
 
 FEW_DAYS = 8
+SATURDAY = 6
 RESULT_SCHEMA = "day date, step string, table_name string, status string, error_info string"
 
 
@@ -67,10 +69,13 @@ def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], day
     return [(day, "et", None, "error" if day in failures else "success", failures.get(day)) for day in days]
 
 
-def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: str, root: str) -> list[tuple]:
+def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: str, root: str,
+              ttl_days: int | None = None, today: date | None = None) -> list[tuple]:
     """Publish staged days as tables below ``root``; one result row per day and table.
 
-    A table that fails is reported for all of these days and ends the load.
+    With ``ttl_days`` a table first makes room for one day by dropping what is too old, and on Saturdays it is
+    compacted; after a load of several days what they pushed out is dropped as well. A table that fails is reported
+    for all of these days and ends the load.
     """
     if not days:
         return []
@@ -79,8 +84,15 @@ def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: st
     for name in [*spec.tables, ERROR_TABLE]:
         table = spec.tables.get(name, error_table())
         status, info = "success", None
+        folder = f"{root}/{name}"
         try:
-            write_table(staged_rows(staged, name), f"{root}/{name}", table, gather_keys=len(days) <= FEW_DAYS)
+            if ttl_days is not None and files.glob(spark, f"{folder}/{DAY}=*"):
+                delete_old(spark, folder, table, ttl_days - 1)
+                if (today or date.today()).isoweekday() == SATURDAY:
+                    compact(spark, folder, table)
+            write_table(staged_rows(staged, name), folder, table, gather_keys=len(days) <= FEW_DAYS)
+            if ttl_days is not None and len(days) > 1:
+                delete_old(spark, folder, table, ttl_days)
         except Exception as stopped:
             status, info = "error", str(stopped)[:256]
         results += [(day, "load", name, status, info) for day in days]
@@ -91,7 +103,7 @@ def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: st
 
 def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start: date, end: date, stage: str,
              root: str, fmt: str = "json", suffix: str = INPUT_SUFFIX,
-             metrics: dict[str, DeriveFunction] | None = None, step: int = 1) -> DataFrame:
+             metrics: dict[str, DeriveFunction] | None = None, step: int = 1, ttl_days: int | None = None) -> DataFrame:
     """Extract, then load, a range of days; (day, step, table_name, status, error_info).
 
     A day that cannot be extracted does not keep later days from being extracted, but nothing from that day on
@@ -105,7 +117,7 @@ def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start:
             results = results + [(day, "load", None, "error", f"not extracted: {info}"[:256])]
             break
         loadable.append(day)
-    return small_frame(spark, results + load_days(spark, spec, loadable, stage, root), RESULT_SCHEMA)
+    return small_frame(spark, results + load_days(spark, spec, loadable, stage, root, ttl_days), RESULT_SCHEMA)
 
 
 def loaded_counts(spark: SparkSession, spec: SchemaSpec, root: str) -> DataFrame:

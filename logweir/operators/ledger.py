@@ -167,6 +167,11 @@ def result_fold(results: DataFrame, end_dates: DataFrame | None = None) -> DataF
 
 # -- how far may a job go ----------------------------------------------------------------------------
 
+def extracted_days(status: DataFrame, table_versions: str) -> DataFrame:
+    """The days of one spec version whose extract step is complete: the input of ``load_frontier``."""
+    return status.where((F.col("et_status") == "complete") & (F.col("table_versions") == table_versions))
+
+
 def load_frontier(status: DataFrame, start: Column, retry_errors: bool = False, single_day: bool = False) -> DataFrame:
     """The days each job can load now, walking from ``start`` to the first gap.
 

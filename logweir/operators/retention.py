@@ -50,7 +50,7 @@ def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int
     folder), the rest is not touched. Deleting nothing although it was due is an error.
     """
     column = retention_column(table)
-    if column is None or ttl_days is None:
+    if column is None or ttl_days is None or not files.glob(spark, f"{folder}/{DAY}=*"):
         return 0
     rows = spark.read.parquet(folder)
     limit = cutoff(rows, column, ttl_days).first()["cutoff_day"]

@@ -88,6 +88,25 @@ def test_run_days(spark, tmp_path):
     assert sorted(tuple(r) for r in counts) == [(d1, "ids", 1), (d2, "ids", 2), (d3, "ids", 3)]
 
 
+@pytest.mark.parametrize("batches", [[[1], [2], [3], [4], [5]], [[1, 2], [3, 4, 5]], [[1, 2, 3, 4, 5]]])
+def test_retention_while_loading(spark, tmp_path, batches):
+    """However the days are batched, three days stay besides the one just loaded."""
+    spec = SchemaSpec({"t": TableSpec.from_dict({"src": "", "src_type": "dict", "sortkey_attr": ["ts"], "columns": [
+        {"log_key": "ts", "sql_attr": "TIMESTAMP"}, {"log_key": "id", "sql_attr": "int8"}]})})
+    for n in range(1, 6):
+        folder = tmp_path / f"in/2014/01/0{n}"
+        folder.mkdir(parents=True)
+        stamp = int(dt.datetime(2014, 1, n, 12, tzinfo=dt.timezone.utc).timestamp())
+        (folder / "part-0.gz").write_bytes(gzip.compress(json.dumps({"ts": stamp, "id": n}).encode()))
+        (folder / "COMPLETE").touch()
+    for batch in batches:
+        made = [dt.date(2014, 1, n) for n in batch]
+        day_runs.extract_days(spark, spec, [f"{tmp_path}/in"], made, f"{tmp_path}/stage")
+        got = day_runs.load_days(spark, spec, made, f"{tmp_path}/stage", f"{tmp_path}/out", 3, dt.date(2014, 1, 4))
+        assert {r[3] for r in got} == {"success"}
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out/t").collect()) == [2, 3, 4, 5]
+
+
 def test_one_unreadable_day_does_not_fail_the_others(spark, tmp_path):
     for n in (1, 2, 3):
         write_day(tmp_path / "in", f"2014/01/0{n}", range(5000), broken=n == 2)
