@@ -150,9 +150,9 @@ WHERE n_too_long > 0""",
     "truncate_columns": """
 SELECT doc_id AS id, left(lang, 1) AS lang, left(source, 12) AS source, left(text, 200) AS text FROM documents""",
     "reassemble_parent_child": """
-SELECT o_orderkey AS id, o_custkey AS customer, o_orderpriority AS agent, 4 * count(*) AS n_charges,
-       round(sum(l_extendedprice), 2) AS price
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3""",
+SELECT o_orderkey AS id, o_custkey AS customer, o_orderpriority AS agent, n_charges, price
+FROM orders JOIN (SELECT l_orderkey, 4 * count(*) AS n_charges, round(sum(l_extendedprice), 2) AS price
+                  FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
     "psv_lines": f"""
 SELECT doc_id || '|' || coalesce({ESCAPED.format('text')}, '') || '|' || coalesce({ESCAPED.format('lang')}, '')
        || '|' || coalesce({ESCAPED.format('source')}, '') AS value

@@ -12,11 +12,10 @@ from logweir.functions import dates, text
 from logweir.operators import checks, days as day_runs, evolve, infer, ledger, retention, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
-from logweir.plans.paths import Node
 from logweir.plans.spec import parse_spec
 from logweir.session import fresh_folder, small_frame
 from logweir.sources import days, dump, files, psv
-from logweir.sources.lines import document, is_document, parse_lines, read_lines
+from logweir.sources.lines import document, parse_lines, read_lines
 from logweir.streaming import audit, daily, ingest
 
 QUERIES = {}

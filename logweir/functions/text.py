@@ -41,7 +41,7 @@ def short_message(text: Column) -> Column:
 
 def checked_identity(text: Column) -> Column:
     """A spec identity that fits the ledger; a longer one stops the job."""
-    stop = F.raise_error(F.lit("table versions too long")).cast("string")
+    stop = F.raise_error(F.lit("spec identity does not fit the ledger")).cast("string")
     return F.when(F.length(text) <= IDENTITY_LIMIT, text).otherwise(stop)
 
 
@@ -54,7 +54,7 @@ def job_key(cluster: Column, log_name: Column, version: Column, start: Column, e
 def checked_arguments(text: Column) -> Column:
     """Trimmed JSON text, ``{}`` for blank; anything else that is no JSON stops the job."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
-    stop = F.raise_error(F.lit("bad structure or values in additional arguments")).cast("string")
+    stop = F.raise_error(F.lit("additional arguments are no JSON")).cast("string")
     wrapped = F.try_parse_json(F.concat(F.lit("["), trimmed, F.lit(",0]")))
     whole = F.coalesce(F.try_variant_get(wrapped, "$[1]", "int") == 0, F.lit(False))
     return F.when(trimmed == "", F.lit("{}")).when(whole, trimmed).otherwise(stop)

@@ -46,7 +46,7 @@ def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], day
     # one row per day comes back: it decides which folders are read
     chosen = first_complete_prefix(open_days, ranked, list_markers(spark, prefixes), force).collect()
     inputs = {r["day"]: r["prefix"] and _day_folder(r["prefix"], r["day"]) + suffix for r in chosen}
-    failures = {day: "no prefix available" for day, path in inputs.items() if path is None}
+    failures = {day: "no complete prefix" for day, path in inputs.items() if path is None}
     failures |= {day: "no input files" for day, path in inputs.items() if path and not files.glob(spark, path)}
     ready = {day: path for day, path in inputs.items() if day not in failures}
 

@@ -18,7 +18,7 @@ def added_columns(name: str, stored: TableSpec, wanted: TableSpec) -> list[Colum
     can be neither sort nor dist key.
     """
     if len(wanted.columns) < len(stored.columns):
-        raise SpecError(f"{name}: new schema has less columns")
+        raise SpecError(f"{name}: columns are missing from the new spec")
     for old, new in zip(stored.columns, wanted.columns):
         same = (
             old.out_name == new.out_name and old.data_type == new.data_type and old.char_width == new.char_width
@@ -26,14 +26,14 @@ def added_columns(name: str, stored: TableSpec, wanted: TableSpec) -> list[Colum
             and (old.out_name in stored.sortkey_attr) == (new.out_name in wanted.sortkey_attr)
         )
         if not same:
-            raise SpecError(f"{name}: change to column '{old.out_name}' not allowed")
+            raise SpecError(f"{name}: column {old.out_name} differs from the stored one")
     return _checked_new(name, wanted, wanted.columns[len(stored.columns):])
 
 
 def _checked_new(name: str, wanted: TableSpec, new) -> list[ColumnSpec]:
     for column in new:
         if column.is_distkey or column.out_name in wanted.sortkey_attr:
-            raise SpecError(f"{name}: new column {column.out_name} is a sortkey or distkey")
+            raise SpecError(f"{name}: an added column cannot be a sort or dist key: {column.out_name}")
     return list(new)
 
 
@@ -60,24 +60,25 @@ def read_evolved(spark: SparkSession, folders: list[str], table: TableSpec) -> D
 
 
 def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "public",
-                  partition_column: str | None = "data_date") -> dict[str, list[str]]:
+                  partition_column: str | None = "data_date", root: str | None = None) -> dict[str, list[str]]:
     """Create missing catalog tables, extend existing ones; returns the added columns per table.
 
-    Includes the error table. A new column's default applies to rows that are already stored.
+    Includes the error table. A new column's default applies to rows that are already stored. With ``root`` the
+    tables lie over the folders that ``load_tables`` and ``load_days`` write; call ``publish_days`` after a load.
     """
     done = {}
     for name, table in sorted(spec.with_error_table().tables.items()):
         target = qualified_name(name, namespace)
         if not spark.catalog.tableExists(target):
-            spark.sql(create_table_sql(target, table, partition_column))
+            spark.sql(create_table_sql(target, table, partition_column, f"{root}/{name}" if root else None))
             done[name] = [c.out_name for c in table.columns]
             continue
         stored = [f for f in spark.table(target).schema.fields if f.name != partition_column]
         if len(table.columns) < len(stored):
-            raise SpecError(f"{name}: new schema has less columns")
+            raise SpecError(f"{name}: columns are missing from the new spec")
         for old, new in zip(stored, table.columns):
             if old.name.lower() != new.out_name.lower() or old.dataType != new.data_type:
-                raise SpecError(f"{name}: change to column '{old.name}' not allowed")
+                raise SpecError(f"{name}: column {old.name} differs from the stored one")
         new = _checked_new(name, table, table.columns[len(stored):])
         if new:
             added = ", ".join(
@@ -90,6 +91,13 @@ def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "publi
     return done
 
 
+def publish_days(spark: SparkSession, spec: SchemaSpec, namespace: str = "public") -> None:
+    """Make newly written day partitions known to the catalog tables of a spec."""
+    for name in spec.with_error_table().tables:
+        spark.catalog.recoverPartitions(qualified_name(name, namespace))
+        spark.catalog.refreshTable(qualified_name(name, namespace))
+
+
 def column_diff(stored: dict[str, DataFrame], spec: SchemaSpec, spark: SparkSession) -> DataFrame:
     """(table_name, column_name, side) for every column that only the spec or only the store has."""
     schema = "table_name string, column_name string"

@@ -7,7 +7,6 @@ Only those entries are shuffled, so the volume follows the number of distinct pa
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -176,7 +175,7 @@ def sql_attr_of(kind: str, max_len: int | None) -> str | None:
         return "int2" if max_len <= 4 else "int4"
     fixed = {"int": "int8", "long": "int8", "float": "float8", "bool": "bool"}
     if kind not in fixed:
-        raise TypeUnknown(f"unknown type: {kind}")
+        raise TypeUnknown(f"no column type for {kind}")
     return fixed[kind]
 
 
@@ -239,7 +238,7 @@ def table_of_struct(struct: T.StructType, src: str = "", src_type: str = "dict",
                 continue
             kind = kinds.get(type(f.dataType))
             if kind is None:
-                raise TypeUnknown(f"unknown type: {f.dataType.simpleString()}")
+                raise TypeUnknown(f"no column type for {f.dataType.simpleString()}")
             width = getattr(f.dataType, "length", None) or (f.metadata or {}).get("max_len", WIDE_VARCHAR)
             rows.append({
                 "path": key, "type": kind, "max_len": width, "is_json": kind in ("list", "dict"),
@@ -256,10 +255,3 @@ def merge_table(spec: SchemaSpec, name: str, table: TableSpec) -> SchemaSpec:
         spec = spec.remove_table(name)
     spec = spec.add_table(name, table)
     return SchemaSpec(spec.tables, spec.version + 1)
-
-
-def checked_name(name: str) -> str:
-    """A table name usable in SQL and paths."""
-    if not re.fullmatch(r"\w+", name):
-        raise SpecError(f"bad table name {name!r}")
-    return name

@@ -304,7 +304,7 @@ def work_plan(jobs: DataFrame, clusters: DataFrame, now: Column) -> DataFrame:
     """
     ranged = planned_range(jobs, now)
     placed = ranged.join(clusters.select("cluster_id", "host", "port", "db_schema"), "cluster_id", "left")
-    stop = F.raise_error(F.concat(F.lit("no cluster named: "), F.col("cluster_id").cast("string"))).cast("string")
+    stop = F.raise_error(F.concat(F.lit("unknown cluster "), F.col("cluster_id").cast("string"))).cast("string")
     days = F.when(F.col("work_start") <= F.col("work_end"), F.sequence("work_start", "work_end"))
     return placed.withColumn("host", F.coalesce("host", stop)).select(
         "job_id", "cluster_id", "host", "port", "db_schema", F.explode(days).alias("day")

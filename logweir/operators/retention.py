@@ -21,7 +21,7 @@ def retention_column(table: TableSpec) -> str | None:
     }
     found = by_type[T.TimestampType] or by_type[T.DateType]
     if len(found) > 1:
-        raise ValueError("too many sort columns that could date the rows")
+        raise ValueError("several sort keys could date the rows")
     return found[0] if found else None
 
 
@@ -65,7 +65,7 @@ def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int
     )
     deleted = sum(r["n_old"] for r in per_day)
     if deleted <= 0:
-        raise ValueError(f"nothing to delete for {folder}")
+        raise ValueError(f"rows of {folder} should be old enough to go, but none is")
     mixed = [r[DAY] for r in per_day if r["n_old"] < r["n"]]
     whole = [r[DAY] for r in per_day if r["n_old"] == r["n"]]
     if mixed:
@@ -106,4 +106,4 @@ def analyze(spark: SparkSession, names: list[str]) -> None:
         except Exception:
             failed.append(name)
     if failed:
-        raise RuntimeError(f"failed to analyze {len(failed)} tables: {', '.join(failed)}")
+        raise RuntimeError(f"no statistics for {len(failed)} tables: {', '.join(failed)}")

@@ -140,6 +140,7 @@ def load_tables(docs: DataFrame, spec: SchemaSpec, root: str, metrics: dict[str,
                 stage: bool | None = None) -> list[dict]:
     """Write every table and the error table below ``root``; one result per table, stopping at the first failure.
 
+    Exactly the days of the documents (``data_date``) are replaced; documents without days replace the whole table.
     With two or more tables the lines are parsed once into a stage (``stage=None`` decides by that), else the
     single table and the error table are written from the lines directly.
     """

@@ -64,7 +64,7 @@ def first_complete_prefix(days: DataFrame, prefixes: DataFrame, markers: DataFra
 
 def require_prefix(chosen: DataFrame) -> DataFrame:
     """Stop the job when a day has no complete prefix."""
-    stop = F.raise_error(F.concat(F.lit("no prefix available for "), F.col("day").cast("string")))
+    stop = F.raise_error(F.concat(F.lit("no complete prefix for "), F.col("day").cast("string")))
     return chosen.withColumn("prefix", F.coalesce("prefix", stop.cast("string")))
 
 

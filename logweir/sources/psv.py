@@ -22,7 +22,7 @@ DELIMITERS = ("|", "\x1e")
 
 def check_delimiter(delimiter: str) -> str:
     if delimiter not in DELIMITERS:
-        raise ValueError(f"{delimiter!r}: invalid delimiter")
+        raise ValueError(f"the delimiter is a bar or a record separator, not {delimiter!r}")
     return delimiter
 
 

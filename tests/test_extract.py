@@ -1,6 +1,5 @@
 """Extraction cases: paths, lists, blobs, timestamps, mandatory keys, quarantine."""
 
-import datetime as dt
 import json
 
 import pytest
@@ -10,7 +9,6 @@ from pyspark.sql import functions as F
 from logweir.operators import checks, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
-from logweir.plans.paths import Node
 from logweir.plans.spec import SchemaSpec, SpecError, TableSpec
 from logweir.sources.lines import document, is_document, parse_lines
 from test_spec import TWO_TABLES

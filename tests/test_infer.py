@@ -83,7 +83,7 @@ def test_table_of_a_list(spark):
 def test_errors(spark):
     with pytest.raises(infer.TypeMismatch, match="'x'"):
         infer.infer_table(lines(spark, {"x": 1}, {"x": "a"}))
-    with pytest.raises(SpecError, match="already exists"):
+    with pytest.raises(SpecError, match="column a_b already"):
         infer.infer_table(lines(spark, {"a": {"b": 1}, "a_b": 2}))
     with pytest.raises(ValueError, match="unsupported"):
         infer.leaf_summary(lines(spark), InferOptions(source_type="tree"))

@@ -163,7 +163,7 @@ def test_work_plan(spark, start, end, status, last, delay, expected):
     assert (str(plan[0].day), str(plan[-1].day)) == expected if expected else plan == []
     assert all(p.host == "h" for p in plan)
     if expected:
-        with pytest.raises(PySparkException, match="no cluster named: 7"):
+        with pytest.raises(PySparkException, match="unknown cluster 7"):
             ledger.work_plan(made, clusters.where("port = 0"), F.lit(NOW)).collect()
 
 

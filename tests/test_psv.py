@@ -30,7 +30,7 @@ def test_rows(spark):
     assert psv.to_psv(frame, ["b", "a"], "\x1e").first()[0] == "B\x1e1"
     with pytest.raises(KeyError):
         psv.to_psv(frame, ["zz"])
-    with pytest.raises(ValueError, match="invalid delimiter"):
+    with pytest.raises(ValueError, match="record separator"):
         psv.to_psv(frame, delimiter=",")
 
 

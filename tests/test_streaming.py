@@ -3,8 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
-from pyspark.sql import functions as F
 
 from logweir.operators import ledger
 from logweir.operators.extract import extract_tables
