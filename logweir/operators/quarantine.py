@@ -10,7 +10,9 @@ from logweir.plans.spec import SchemaSpec
 from logweir.sources.lines import document, is_document
 
 BAD_LINE = "line is not one JSON document"
+TOO_LARGE = "line is larger than Spark's VARIANT type holds"
 MISSING_KEY = "required key missing"
+VARIANT_LIMIT = 16 * 1024 * 1024  # bytes, fixed by Spark
 
 
 def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
@@ -22,14 +24,15 @@ def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
         for what, predicate in missing_keys(table, doc)
     ]
     bad_line = ~is_document(F.col("doc"))
-    detail = F.when(bad_line, F.lit(BAD_LINE))
+    too_large = bad_line & (F.octet_length("value") > VARIANT_LIMIT)
+    detail = F.when(too_large, F.lit(TOO_LARGE)).when(bad_line, F.lit(BAD_LINE))
     if missing:
         detail = detail.otherwise(F.concat_ws("; ", *missing))
     return [
         F.current_timestamp(),
         F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string"),
         F.lit(None).cast("bigint"),
-        F.when(bad_line, F.lit(BAD_LINE)).otherwise(F.lit(MISSING_KEY)),
+        F.when(too_large, F.lit(TOO_LARGE)).when(bad_line, F.lit(BAD_LINE)).otherwise(F.lit(MISSING_KEY)),
         detail,
         F.col("value"),
     ]

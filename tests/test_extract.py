@@ -136,6 +136,18 @@ def test_mandatory(spark):
         extract_tables(docs(spark, *lines[:4]), need, on_error="fail")["t"].collect()
 
 
+@pytest.mark.parametrize("mebibytes, reason", [(15, None), (17, "line is larger than Spark's VARIANT type holds")])
+def test_huge_documents(spark, mebibytes, reason):
+    """Up to Spark's limit a text is extracted whole; beyond it the whole line is in the error table."""
+    text = F.concat(F.lit('{"a":"'), F.repeat(F.lit("x" * 1024), F.lit(mebibytes * 1024)), F.lit('"}'))
+    frame = parse_lines(spark.range(1).select(text.alias("value")))
+    one = SchemaSpec({"t": table("", "dict", col("a", "text"))})
+    good = rows(extract_tables(frame, one)["t"].select(F.length("a")))
+    bad = rows(error_rows(frame, one).select("error_reason", F.length("raw_line")))
+    assert good == ([] if reason else [(mebibytes * 2**20,)])
+    assert bad == ([(reason, mebibytes * 2**20 + 8)] if reason else [])
+
+
 def test_mandatory_in_lists_rejects_the_document(spark):
     spec = SchemaSpec({
         "l": table("l", "list", col("index", "int4", is_mandatory=True), col("x", "int8", is_mandatory=True),
