@@ -10,9 +10,9 @@ from logweir.plans.spec import SchemaSpec
 from logweir.sources.lines import document, is_document
 
 BAD_LINE = "line is not one JSON document"
-TOO_LARGE = "line is larger than Spark's VARIANT type holds"
+TOO_LARGE = "line is no JSON document, or larger than Spark's JSON parser takes"
 MISSING_KEY = "required key missing"
-VARIANT_LIMIT = 16 * 1024 * 1024  # bytes, fixed by Spark
+LARGE_LINE = 20_000_000  # Spark's parser takes texts of up to 20 million characters and documents of up to 128 MiB
 
 
 def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
@@ -24,7 +24,7 @@ def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
         for what, predicate in missing_keys(table, doc)
     ]
     bad_line = ~is_document(F.col("doc"))
-    too_large = bad_line & (F.octet_length("value") > VARIANT_LIMIT)
+    too_large = bad_line & (F.octet_length("value") > LARGE_LINE)
     detail = F.when(too_large, F.lit(TOO_LARGE)).when(bad_line, F.lit(BAD_LINE))
     if missing:
         detail = detail.otherwise(F.concat_ws("; ", *missing))
