@@ -7,16 +7,21 @@ Only those entries are shuffled, so the volume follows the number of distinct pa
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.plans.spec import SchemaSpec, SpecError, TableSpec, new_table
 
+# The walk below runs on executors; send it by value, so that they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class TypeMismatch(ValueError):
     """One path holds values that no column type covers."""

@@ -131,3 +131,24 @@ def test_merge():
     table = infer.build_table([{"path": "x", "type": "int", "max_len": 1, "is_json": False, "is_foreign": False}])
     spec = infer.merge_table(infer.merge_table(SchemaSpec(version=3), "t", table), "t", table.add_column("y", "int8", "y"))
     assert spec.version == 5 and len(spec.tables["t"].columns) == 2
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    """Workers started elsewhere cannot import this package; the walk must reach them by value."""
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from logweir.operators.infer import infer_table
+print([c.out_name for c in infer_table(spark.createDataFrame([('{{"a": 1}}',)], "value string")).columns])
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=120)
+    assert "['a']" in done.stdout, done.stderr[-2000:]
