@@ -7,16 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import simhash
+from logweir.llm import lines, mixing, oracle, quality_rules, secrets, simhash
 from logweir.llm.common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut, total, deleted = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", F.col(total).alias("n_lines"), F.col(deleted).alias("n_deleted"), "text")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        number = secrets.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("key").alias("doc_id"), *map(count, ("assign", "access", "hex")),
+                        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        secrets.listed(F.concat("base", "linked")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
+}
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": oracle.OP2,
+    "op6_line_dedup": oracle.OP6,
+    "op7_source_mixing": oracle.OP7,
+    "op10_secret_scan": oracle.OP10,
 }
-ORACLE: dict[str, str] = {}
