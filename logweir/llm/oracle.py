@@ -13,15 +13,17 @@ covered AS (SELECT r, count(DISTINCT i + k) AS n FROM windows JOIN often USING (
 m AS (SELECT r, doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
              coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(t, '[^!]', '', 'g')) AS n_shouts,
-             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals FROM w LEFT JOIN covered USING (r)),
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
+             len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS n_stutters FROM w LEFT JOIN covered USING (r)),
 v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
              CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS word_length,
              CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS symbols,
              CASE WHEN n_words > 0 THEN 1000 * n_shouts // n_words ELSE 0 END AS shouts,
              CASE WHEN word_chars > 0 THEN 1000 * n_capitals // word_chars ELSE 0 END AS capitals,
              CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_lines,
-             CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_words FROM m),
-long AS (SELECT r, lang, source, base_failed, rule, value FROM v UNPIVOT (value FOR rule IN (word_length, symbols, shouts, capitals, dup_lines, repeat_words))),
+             CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_words,
+             CASE WHEN n_words > 0 THEN 1000 * n_stutters // n_words ELSE 0 END AS stutter FROM m),
+long AS (SELECT r, lang, source, base_failed, rule, value FROM v UNPIVOT (value FOR rule IN (word_length, symbols, shouts, capitals, dup_lines, repeat_words, stutter))),
 b AS (SELECT lang, source, rule, CASE WHEN value < 32 THEN value ELSE (length(bin(value)) - 4) * 16 + (value >> (length(bin(value)) - 5)::INT) - 16 END AS bucket
       FROM long WHERE NOT base_failed),
 sk AS (SELECT 0 AS grain, lang, source, rule, bucket, count(*) AS n FROM b GROUP BY ALL
@@ -37,8 +39,8 @@ picked AS (SELECT o.lang, o.source, o.rule,
                   CASE WHEN o.size >= 200 THEN o.q3 WHEN m.size >= 200 THEN m.q3 ELSE a.q3 END AS q3
            FROM q o JOIN q m ON m.grain = 1 AND m.rule = o.rule AND m.lang IS NOT DISTINCT FROM o.lang
            JOIN q a ON a.grain = 2 AND a.rule = o.rule WHERE o.grain = 0),
-bounds AS (SELECT lang, source, rule, q1 - 3 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 80 ELSE 40 END) AS low,
-                  q3 + 3 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 80 ELSE 40 END) AS high FROM picked),
+bounds AS (SELECT lang, source, rule, q1 - 3 * greatest(q3 - q1, CASE WHEN rule = 'dup_lines' THEN 120 WHEN rule IN ('word_length', 'capitals', 'repeat_words') THEN 60 ELSE 40 END) AS low,
+                  q3 + 3 * greatest(q3 - q1, CASE WHEN rule = 'dup_lines' THEN 120 WHEN rule IN ('word_length', 'capitals', 'repeat_words') THEN 60 ELSE 40 END) AS high FROM picked),
 out_of_line AS (SELECT l.r, bool_or(b.rule IS NULL OR l.value > b.high OR (l.rule = 'word_length' AND l.value < b.low)) AS bad
         FROM long l LEFT JOIN bounds b ON b.rule = l.rule AND b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source GROUP BY l.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept

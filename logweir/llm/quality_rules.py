@@ -8,6 +8,7 @@ source) adds up to that per language and that of the corpus, which stand in wher
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 from string import ascii_uppercase
 
 import numpy as np
@@ -44,16 +45,17 @@ def _per(part: str, whole: str, scale: int) -> Column:
 
 def rules() -> dict[str, Rule]:
     return {
-        "word_length": Rule(_per("word_chars", "n_words", 100), 40, True, True),
+        "word_length": Rule(_per("word_chars", "n_words", 100), 60, True, True),
         "symbols": Rule(_per("n_symbols", "n_words", 1000), 40, False, True),
         "shouts": Rule(_per("n_shouts", "n_words", 1000), 40, False, True),
-        "capitals": Rule(_per("n_capitals", "word_chars", 1000), 40, False, True),
-        "dup_lines": Rule(_per("n_dup_lines", "n_lines", 1000), 80, False, True),
-        "repeat_words": Rule(_per("n_repeat_words", "n_words", 1000), 40, False, True),
+        "capitals": Rule(_per("n_capitals", "word_chars", 1000), 60, False, True),
+        "dup_lines": Rule(_per("n_dup_lines", "n_lines", 1000), 120, False, True),
+        "repeat_words": Rule(_per("n_repeat_words", "n_words", 1000), 60, False, True),
+        "stutter": Rule(_per("n_stutters", "n_words", 1000), 40, False, True),
     }
 
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouts", "n_capitals")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouts", "n_capitals", "n_stutters")
 
 
 def repeated_words(words: list[str]) -> int:
@@ -83,12 +85,13 @@ def measure(text: str) -> tuple[int, ...]:
     """The MEASURES of a text.
 
     Words, code points in them, symbols, lines with a word that equal an earlier one, words in 5-word windows found
-    twice or more (the first included), lines with a word, exclamation marks, capital letters A-Z.
+    twice or more (the first included), lines with a word, exclamation marks, capital letters A-Z, words
+    equal to the one before.
     """
     words = WORDS_OF_TEXT(text)
     lines = [x for x in text.split("\n") if x.strip(SPACE)]
     return (len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words),
-            len(lines), text.count("!"), sum(map(text.count, ascii_uppercase)))
+            len(lines), text.count("!"), sum(map(text.count, ascii_uppercase)), sum(map(eq, words, words[1:])))
 
 
 def measured(docs: DataFrame, text: str) -> DataFrame:
