@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import lines, mixing, oracle, quality_rules, secrets, simhash
+from logweir.llm import chunks, lines, mixing, oracle, quality_rules, secrets, simhash
 from logweir.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.edited_and_next(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut, total, deleted = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", F.col(total).alias("n_lines"), F.col(deleted).alias("n_deleted"), "text")
@@ -45,6 +49,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_chunk_fingerprints": op5_chunk_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
