@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import chunks, lines, mixing, oracle, quality_rules, secrets, simhash
+from logweir.llm import chunks, lines, mixing, oracle, quality_rules, secrets, sentencepiece, simhash
 from logweir.llm.common import table
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    return sentencepiece.encoded(table(spark, sf_dir, "documents"), f"{tokenizers}/piece_bpe_32k.model")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).select(
         F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -48,6 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op5_chunk_fingerprints": op5_chunk_fingerprints,
     "op6_line_dedup": op6_line_dedup,
