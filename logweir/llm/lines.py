@@ -87,7 +87,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     gone = repeated_lines(numbered, row, key, text, min_words)
     gone = stored(gone.select(F.col("row").alias("gone_row"), F.col("nos").alias("gone_nos")), "line-deletions")
     total, deleted = free_name(docs, "n_lines"), free_name(docs, "n_deleted")
-    joined = numbered.alias("d").join(gone.alias("g"), F.col(f"d.`{row}`") == F.col("g.gone_row"), "left")
+    # Merged at every size: the texts with deletions grow with the corpus, and a join by size would change its plan.
+    joined = numbered.alias("d").join(gone.hint("merge").alias("g"), F.col(f"d.`{row}`") == F.col("g.gone_row"), "left")
     lines, nos = F.split(F.col(f"d.`{text}`"), "\n", -1), F.col("g.gone_nos")
     count = F.coalesce(F.size(lines), F.lit(0))
     count = F.when(F.col(f"d.`{text}`").isNull(), 0).otherwise(count)
