@@ -46,6 +46,20 @@ out_of_line AS (SELECT l.r, bool_or(b.rule IS NULL OR l.value > b.high OR (l.rul
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
 FROM v JOIN out_of_line USING (r)"""
 
+# WARC audit: the records of both replicas by their digests, side by side.
+_RECORD = (r"""'WARC/1.0' || E'\r\n' || 'WARC-Type: response' || E'\r\n' || 'WARC-Target-URI: ' || coalesce(url, '') || E'\r\n' || 'WARC-Record-ID: <urn:page:' """
+           r"""|| coalesce(page_id::VARCHAR, '') || '>' || E'\r\n' || 'Content-Type: text/html; charset=utf-8' || E'\r\n' || 'Content-Length: ' """
+           r"""|| strlen({body}) || E'\r\n\r\n' || {body} || E'\r\n\r\n'""")
+OP4 = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body, coalesce(substr(md5(page_id::VARCHAR), 1, 2), '') AS damage FROM pages),
+q AS (SELECT *, CASE damage WHEN '00' THEN '~' || substr(body, 2) WHEN '01' THEN left(body, length(body) // 2) ELSE body END AS broken FROM p),
+r AS (SELECT page_id, damage, sha256({_RECORD.format(body="body")}) AS first_digest, strlen({_RECORD.format(body="body")}) AS length,
+             CASE WHEN damage <> '02' THEN sha256({_RECORD.format(body="broken")}) END AS second_digest FROM q),
+o AS (SELECT *, coalesce(page_id // 1000, -1) AS file FROM r),
+s AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, first_digest, length ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM o)
+SELECT page_id, file, "offset", length, CASE WHEN second_digest IS NULL THEN 'missing' ELSE 'changed' END AS status, first_digest, second_digest
+FROM s WHERE first_digest IS DISTINCT FROM second_digest"""
+
 # Line dedup: a line goes if it lies in a run of 50 words or more that occurs earlier.
 OP6 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),

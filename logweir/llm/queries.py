@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import chunks, lines, mixing, oracle, quality_rules, secrets, sentencepiece, simhash
-from logweir.llm.common import table
+from logweir.llm import chunks, importance, lines, mixing, oracle, quality_rules, secrets, sentencepiece, simhash, tokens, warc
+from logweir.llm.common import stored, table
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -23,6 +23,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("key").alias("doc_id"), "log_weight", "sample_key", "kept")
+
+
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, audited against a replica in which about one record in 85 is changed, cut or lost."""
+    pages = table(spark, sf_dir, "pages")
+    body, damage = F.coalesce("html", F.lit("")), F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
+    broken = F.when(damage == "00", F.concat(F.lit("~"), F.substring(body, 2, (1 << 31) - 1))).when(
+        damage == "01", F.left(body, F.floor(F.length(body) / 2).cast("int"))).otherwise(body)
+    whole = warc.record(F.col("url"), F.col("page_id"), body)
+    copy = F.when(F.coalesce(damage, F.lit("")) != "02", warc.record(F.col("url"), F.col("page_id"), broken))
+    records = pages.select("page_id", F.sha2(whole, 256).alias("digest"), F.octet_length(whole).alias("length"), F.sha2(copy, 256).alias("other"))
+    laid = stored(warc.laid_out(records, "page_id", "length"), "warc-records")
+    second = laid.where("other IS NOT NULL").select("file", "offset", "length", F.col("other").alias("digest"))
+    found = warc.audit(laid.select("file", "offset", "length", "digest"), second)
+    status = F.when(F.col("second_digest").isNull(), "missing").when(F.col("first_digest").isNull(), "extra").otherwise("changed")
+    return found.join(laid.select("file", "offset", "page_id"), ["file", "offset"]).select(
+        "page_id", "file", "offset", "length", status.alias("status"), "first_digest", "second_digest")
+
+
 def op5_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.edited_and_next(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
@@ -42,6 +64,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_section_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    return tokens.section_tokens(table(spark, sf_dir, "documents"), f"{tokenizers}/byte_bpe_50k.tiktoken")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -57,14 +83,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
+    "op3_importance_resampling": op3_importance_resampling,
+    "op4_warc_fixity": op4_warc_fixity,
     "op5_chunk_fingerprints": op5_chunk_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_section_tokens": op9_section_tokens,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {
     "op2_quality_rules": oracle.OP2,
+    "op4_warc_fixity": oracle.OP4,
     "op6_line_dedup": oracle.OP6,
     "op7_source_mixing": oracle.OP7,
     "op10_secret_scan": oracle.OP10,
