@@ -12,20 +12,20 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 # Documents of a source are dealt by their random key into ranges of about this many rows, each summed in one task.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 1000
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(source, source_size, target) per source of ``sizes`` (source, size).
+    """(source, source_size, source_rows, target) per source of ``sizes`` (source, size).
 
     The sources, by code point and NULL last, weigh ``weights`` in turn and share ``share`` times the size of all. A
     target stops at ``most`` times its source's size; the excess is shared again by weight among the others until none
     is above. One row per source is ordered in one task; the driver sees three numbers a round.
     """
-    each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     order = W.orderBy(F.col("source").isNull(), "source")
     turn = (F.row_number().over(order) - 1) % len(weights) + 1
-    each = stored(each.select("source", "source_size", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn).alias("weight")), "mix-sources")
+    each = stored(each.select("source", "source_size", "source_rows", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn).alias("weight")), "mix-sources")
     cap = most * F.col("source_size")
     total = each.agg(F.sum("source_size")).first()[0] or 0
     level, full = 0.0, 0
@@ -36,7 +36,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
         if weight == 0 or (level and count == full):
             break
         level, full = (share * total - fixed) / weight, count
-    return each.select("source", "source_size", F.round(F.least(cap.cast("double"), level * F.col("weight")), 6).alias("target"))
+    return each.select("source", "source_size", "source_rows", F.round(F.least(cap.cast("double"), level * F.col("weight")), 6).alias("target"))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -53,18 +53,17 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     slim = stored(numbered.select(
         F.col(key).alias("key"), F.col(row).alias("row"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
         F.conv(F.substring(mark, 1, 15), 16, 10).cast("long").alias("draw")), "mix-sizes")
-    ranges = max(1, -(-slim.count() // RANGE_ROWS))
     plan = stored(targets(slim), "mix-targets")
     budget = F.floor(F.col("target") + 0.5)
     plan = plan.select(F.col("source").alias("of"), "source_size", "target", budget.alias("budget"),
-                       F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).alias("rounds"))
-    part = F.shiftright(F.shiftright("draw", 20) * ranges, 40)  # draws are below 2 ** 60
-    dealt = slim.withColumn("part", part)
+                       F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).alias("rounds"),
+                       F.ceil(F.col("source_rows") / RANGE_ROWS).alias("ranges"))
+    dealt = slim.join(plan, slim["source"].eqNullSafe(plan["of"])).drop("of").withColumn(
+        "part", F.shiftright(F.shiftright("draw", 20) * F.col("ranges"), 40))  # draws are below 2 ** 60
     sums = dealt.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = stored(sums.select(F.col("source").alias("of"), F.col("part").alias("of_part"),
                                 F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before")), "mix-starts")
-    starts = starts.join(plan, starts["of"].eqNullSafe(plan["of"])).drop(plan["of"])
     inside = W.partitionBy("source", "part").orderBy("draw", "key", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     summed = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = summed.join(starts, summed["source"].eqNullSafe(starts["of"]) & (summed["part"] == starts["of_part"]))
@@ -78,7 +77,8 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     numbered, row = with_row(docs)
     times = mix(docs, key, text, source).where("taken > 0").select(
         F.col("row").alias("mix_row"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("mix_times"))
-    times = stored(times, "mix-times").alias("t")
+    # Merged at every size: what is taken grows with the corpus, and a join by size would change its plan.
+    times = stored(times, "mix-times").hint("merge").alias("t")
     joined = numbered.alias("d").join(times, F.col(f"d.`{row}`") == F.col("t.mix_row"))
     again = free_name(docs, "again")
     return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns],

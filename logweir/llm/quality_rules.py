@@ -190,4 +190,5 @@ def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     """The rows of ``docs`` that the rules keep, as they are. ``docs`` must be read from stored files."""
     numbered, row = with_row(docs)
     kept = stored(judged(numbered, row, text, lang, source).where("kept").select(F.col("key").alias("kept_row")), "quality-kept")
-    return numbered.join(kept, numbered[row] == kept["kept_row"], "left_semi").drop(row)
+    # Merged at every size: what is kept grows with the corpus, and a join by size would change its plan.
+    return numbered.join(kept.hint("merge"), numbered[row] == F.col("kept_row"), "left_semi").drop(row)

@@ -20,7 +20,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from logweir.llm.common import map_texts, texts_of
 
@@ -423,19 +422,21 @@ def _gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndar
     return flat[shift + np.arange(total)]
 
 
-def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n_tokens, token_ids, exact (decoding gives the text again).
+def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: key, the columns ``keep``, n_tokens, token_ids, exact (decoding gives the text again).
 
     ``model``: path of a model file, read by the driver; executors get its pieces with the job (bounded by the model).
     A NULL text is encoded as the empty one: no ids. A text with the character U+2581 itself, which the format uses for
     spaces, is encoded but not exact. Repeated rows give repeated rows; other columns are not read.
     """
     vocabulary_ = load_model(model)
-    kind = docs.schema[key].dataType.simpleString()
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (key, *keep))
     holder: dict[str, Encoder] = {}
 
     def work(part: pa.RecordBatch) -> dict:
-        encoder = holder.setdefault("it", None) or holder.update(it=Encoder(vocabulary_)) or holder["it"]
+        if not holder:
+            holder["it"] = Encoder(vocabulary_)
+        encoder = holder["it"]
         texts = texts_of(part.column(text))
         ids, counts = encoder.encode(texts)
         decoded = encoder.decode(ids, counts)
@@ -443,7 +444,7 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
         return {"n_tokens": pa.array(counts.astype(np.int64)), "token_ids": pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))),
                 "exact": [a == b for a, b in zip(texts, decoded)]}
 
-    return map_texts(docs.select(F.col(key), F.col(text)), text, work, f"`{key}` {kind}, n_tokens long, token_ids array<int>, exact boolean")
+    return map_texts(docs.select(key, *keep, text), text, work, f"{kinds}, n_tokens long, token_ids array<int>, exact boolean")
 
 
 def decoded(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "token_ids") -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, stored
+from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, stored, with_row
 from logweir.llm.components import components
 
 SEED = 42
@@ -50,15 +50,15 @@ def simhash(text: bytes, n_gram: int) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, n_gram: int) -> DataFrame:
-    """(key, fp long) for each row; a NULL text has no words."""
-    kind = docs.schema[key].dataType.simpleString()
+def fingerprints(docs: DataFrame, keep: list[str], text: str, n_gram: int) -> DataFrame:
+    """The columns ``keep`` and fp (long) for each row; a NULL text has no words."""
 
     def work(part: pa.RecordBatch) -> dict:
         found = np.array([simhash(x, n_gram) for x in bytes_of(part.column(text))], np.uint64)
         return {"fp": pa.array(found.view(np.int64))}
 
-    return map_texts(docs.select(key, text), text, work, f"`{key}` {kind}, fp long")
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    return map_texts(docs.select(*keep, text), text, work, ", ".join([*kinds, "fp long"]))
 
 
 def _segment(fp: Column, i: Column) -> Column:
@@ -233,5 +233,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n_
     A NULL or wordless text has fingerprint 0 and is linked like any other. Repeated rows give repeated rows. A NULL
     key counts as larger than any other: a component of only such rows has a NULL id. Other columns are not read.
     """
-    signed = stored(fingerprints(docs, key, text, n_gram), "simhash")
-    return signed.join(fingerprint_components(signed, key), "fp").select(key, "fp", "component_id")
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    signed = stored(fingerprints(named, ["key"], "text", n_gram), "simhash")
+    return signed.join(fingerprint_components(signed, "key"), "fp").select("key", "fp", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n_gram: int = 5) -> DataFrame:
+    """The rows of ``docs``, one of each group of near-duplicates: that with the smallest key, NULL last, the first of equal ones.
+
+    ``docs`` must be read from stored files. NULL and wordless texts are near-duplicates of each other.
+    """
+    numbered, row = with_row(docs)
+    named = numbered.select(F.col(key).alias("key"), F.col(row).alias("row"), F.col(text).alias("text"))
+    signed = stored(fingerprints(named, ["key", "row"], "text", n_gram), "simhash")
+    order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
+    groups = fingerprint_components(signed.select(order.alias("order"), "fp"), "order")
+    kept = stored(groups.select(F.col("component_id.row").alias("kept_row")).distinct(), "simhash-kept")
+    # Merged at every size: what is kept grows with the corpus, and a join by size would change its plan.
+    return numbered.join(kept.hint("merge"), numbered[row] == F.col("kept_row"), "left_semi").drop(row)
