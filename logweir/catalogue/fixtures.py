@@ -101,15 +101,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """A table stored in fewer splits than there are cores, dealt out to all of them.
-
-    Making and parsing documents is work per row; a large table has splits enough and is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def epoch(column: str) -> Column:
     return F.unix_timestamp(F.col(column).cast("timestamp"))
 
@@ -134,7 +125,7 @@ def order_text(order: Column, **options) -> Column:
 def order_lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """``{"order": {...}, "session": {...}}`` per order."""
     orders = table(spark, sf_dir, "orders")
-    orders = spread(orders if where is None else orders.where(where))
+    orders = orders if where is None else orders.where(where)
     return orders.select(order_text(order_fields()).alias("value"))
 
 
@@ -151,7 +142,7 @@ def order_docs_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(slot == 1, order_text(nulled, ignoreNullFields="false"))
         .otherwise(order_text(order_fields()))
     )
-    return parse_lines(spread(table(spark, sf_dir, "orders")).select(text.alias("value")))
+    return parse_lines(table(spark, sf_dir, "orders").select(text.alias("value")))
 
 
 def broken_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +173,7 @@ def line_docs(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFra
     )
     flags = F.struct(F.col("l_linestatus").alias("status"))
     text = F.to_json(F.struct(line.alias("line"), flags.alias("flags")))
-    return parse_lines(spread(table(spark, sf_dir, "lineitem")).select(text.alias("value")))
+    return parse_lines(table(spark, sf_dir, "lineitem").select(text.alias("value")))
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +182,7 @@ def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), "lang", "source", "text", F.split("text", "\n", -1).alias("lines")
     )
     return parse_lines(
-        spread(table(spark, sf_dir, "documents")).select(F.to_json(F.struct(doc.alias("doc"))).alias("value"))
+        table(spark, sf_dir, "documents").select(F.to_json(F.struct(doc.alias("doc"))).alias("value"))
     )
 
 
@@ -239,10 +230,11 @@ def step_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(job_id, status, at, event_id): the events of a user read as status changes of a job."""
+    """(job_id, status, at, event_id): the events of a user read as status changes of a job; every ninth has no status."""
     kind = F.col("event_type")
     status = (
-        F.when(kind == "signup", F.lit("scheduled")).when(kind == "click", F.lit("running"))
+        F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("string"))
+        .when(kind == "signup", F.lit("scheduled")).when(kind == "click", F.lit("running"))
         .when(kind == "view", F.lit("success")).when(kind == "purchase", F.lit("null")).otherwise(F.lit("error"))
     )
     return events(spark, sf_dir).select(

@@ -75,10 +75,15 @@ FROM (SELECT c_custkey, c_nationkey, c_mktsegment,
                   THEN DATE '2024-01-01' + CAST(c_custkey % 40 + c_custkey % 7 AS INTEGER) END AS last_ok
       FROM customer)"""
 
+EVOLVED_EVENTS = f"""
+SELECT event_id, strftime(ts, {STAMP}) AS ts, CASE WHEN day(ts + INTERVAL 12 HOUR) % 2 = 1 THEN 'before' ELSE event_type END AS event_type,
+       CASE WHEN day(ts + INTERVAL 12 HOUR) % 2 = 0 THEN value END AS value, strftime(ts + INTERVAL 12 HOUR, {DAY}) AS data_date
+FROM events"""
+
 TRANSITIONS = f"""
 WITH e AS (SELECT user_id AS job_id, event_id, ts,
-       CASE event_type WHEN 'signup' THEN 'scheduled' WHEN 'click' THEN 'running' WHEN 'view' THEN 'success'
-            WHEN 'purchase' THEN 'null' ELSE 'error' END AS to_status FROM events),
+       CASE WHEN event_id % 9 = 0 OR event_type = 'purchase' THEN 'null' WHEN event_type = 'signup' THEN 'scheduled'
+            WHEN event_type = 'click' THEN 'running' WHEN event_type = 'view' THEN 'success' ELSE 'error' END AS to_status FROM events),
 c AS (SELECT job_id, event_id, to_status,
              coalesce(lag(to_status) OVER (PARTITION BY job_id ORDER BY ts, event_id), 'null') AS from_status FROM e)
 SELECT job_id, event_id, from_status, to_status FROM c
@@ -138,7 +143,7 @@ SELECT 'lines' AS table_name, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT
        CAST(sum(l_partkey) AS BIGINT) AS v_sum FROM lineitem
 UNION ALL SELECT 'charges', 4 * count(*), CAST(4 * sum(l_orderkey) AS BIGINT), 6 * count(*) FROM lineitem""",
     "quarantine_bad_lines": """
-SELECT o_orderkey AS id, 'line is not one JSON document' AS error_reason, CAST(NULL AS BIGINT) AS line_number
+SELECT o_orderkey AS id, 'line is not one JSON document that can be parsed' AS error_reason, CAST(NULL AS BIGINT) AS line_number
 FROM orders WHERE o_orderkey % 7 < 2""",
     "good_lines": ORDERS + " WHERE o_orderkey % 7 >= 2",
     "truncation_report": """
@@ -194,6 +199,15 @@ UNION ALL SELECT '2024-03-01', 'load', 'pipeline_errors', 'success', 0
 UNION ALL SELECT '2024-03-02', 'load', 'pipeline_errors', 'success', 0""",
     "insert_dump": """
 SELECT s_suppkey, s_name, s_nationkey, s_acctbal, CAST(NULL AS VARCHAR) AS s_note FROM supplier""",
+    "day_range_after_spec_bump": """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 2 THEN 'new' ELSE 'none' END AS note,
+       CAST(CASE WHEN o_orderkey % 3 < 2 THEN 7 WHEN o_orderkey % 2 = 0 THEN 1 END AS INTEGER) AS priority,
+       '2024-03-0' || (o_orderkey % 3 + 1) AS data_date
+FROM orders""",
+    "day_rerun_replaces": """
+SELECT 'orders' AS table_name, '2024-03-0' || (o_orderkey % 2 + 1) AS data_date, count(*) AS n_rows FROM orders GROUP BY 2""",
+    "insert_dump_quarantine": """
+SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'error' ELSE 'row' END AS outcome FROM supplier""",
     "insert_dump_text": r"""
 SELECT doc_id, 'it''s (a), \ ''b''' || text AS body, lang FROM documents""",
     "infer_columns": """
@@ -220,9 +234,19 @@ SELECT p_partkey, p_name,
        CAST(CASE WHEN p_partkey % 2 = 0 THEN 7 WHEN p_size <> 5 THEN p_size END AS INTEGER) AS p_size,
        CAST(NULL AS VARCHAR) AS p_note
 FROM part""",
+    "evolve_catalog_tables": """
+SELECT p_partkey, p_name,
+       CAST(CASE WHEN p_partkey % 2 = 0 THEN 7 WHEN p_size <> 5 THEN p_size END AS INTEGER) AS p_size,
+       CAST(NULL AS VARCHAR) AS p_note
+FROM part""",
+    "column_diff": """
+WITH first AS (SELECT table_name, column_name FROM information_schema.columns WHERE ordinal_position = 1
+               AND table_name IN ('nation', 'part', 'orders', 'lineitem', 'events'))
+SELECT table_name, column_name, 'store' AS side FROM first UNION ALL SELECT table_name, 'added', 'spec' FROM first""",
     "row_presence": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) > 0 AS has_rows FROM {t}"
-        for t in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "pages")
+        for t in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+                  "benchmark", "labels", "conversations")
     ),
     "ttl_keep": f"SELECT event_id, user_id, strftime(ts, {STAMP}) AS ts FROM events WHERE {TTL}",
     "ttl_delete": f"""
@@ -230,6 +254,8 @@ SELECT event_id, strftime(ts, {STAMP}) AS ts, strftime(ts + INTERVAL 12 HOUR, {D
 FROM events WHERE {TTL}""",
     "compacted": f"""
 SELECT strftime(ts + INTERVAL 12 HOUR, {DAY}) AS data_date, count(*) AS n_rows FROM events GROUP BY 1""",
+    "compacted_after_evolution": EVOLVED_EVENTS,
+    "ttl_delete_after_evolution": f"{EVOLVED_EVENTS} WHERE {TTL}",
     "layout_stats": f"""
 SELECT l_suppkey, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS order_keys,
        round(sum(l_quantity), 2) AS quantity, strftime(max(l_shipdate), {DAY}) AS last_ship
@@ -341,6 +367,13 @@ SELECT page_id, nullif(regexp_extract(path, '^s3://([^/]*)/', 1), '') AS bucket,
 FROM p""",
     "ready_days": f"SELECT c_custkey AS job_id, strftime(ready, {DAY}) AS ready FROM ({PLANNED})",
     "stream_ingest": ORDERS,
+    "stream_retention": f"""
+SELECT event_id, strftime(ts, {STAMP}) AS ts, strftime(ts, {DAY}) AS data_date FROM events
+WHERE date_trunc('second', ts) >= CAST((SELECT CAST(max(ts) AS DATE) - 7 FROM events) AS TIMESTAMP)""",
+    "earlier_later_days": f"""
+WITH d AS (SELECT o_orderkey, strftime(o_orderdate, {DAY}) AS a,
+                  CASE WHEN o_orderkey % 3 = 1 THEN strftime(CAST(o_orderdate AS DATE) + 3, {DAY}) END AS b FROM orders)
+SELECT o_orderkey, least(a, coalesce(b, a)) AS first, greatest(a, coalesce(b, a)) AS last FROM d""",
     "stream_daily_counts": f"""
 SELECT strftime(CAST(ts AS DATE), {DAY}) AS day, count(*) AS n_rows FROM events GROUP BY CAST(ts AS DATE)
 HAVING CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 48 HOUR FROM events)""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from logweir.functions import dates, text
 from logweir.operators import checks, days as day_runs, evolve, infer, ledger, retention, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
-from logweir.plans.spec import parse_spec
+from logweir.plans.spec import SchemaSpec, parse_spec
 from logweir.session import fresh_folder, small_frame
 from logweir.sources import days, dump, files, psv
 from logweir.sources.lines import document, parse_lines, read_lines
@@ -119,7 +120,7 @@ tables:
         F.col("o_orderkey").alias("id"), seconds.alias("seconds"), (seconds * 1000).alias("millis"),
         (seconds + 0.75).alias("fraction"), F.col("o_orderpriority").alias("bad"),
     )
-    lines = fx.spread(fx.table(spark, sf_dir, "orders")).select(F.to_json(F.struct(record.alias("o"))).alias("value"))
+    lines = fx.table(spark, sf_dir, "orders").select(F.to_json(F.struct(record.alias("o"))).alias("value"))
     rows = extract_table(parse_lines(lines), table)
     return rows.select("id", shown("seconds"), shown("millis"), shown("fraction"), shown("bad"))
 
@@ -139,7 +140,7 @@ tables:
     sortkey_attr: []
 """).tables["t"]
     record = F.struct(F.col("event_id").alias("id"), F.try_parse_json("props").alias("props"))
-    lines = fx.spread(fx.table(spark, sf_dir, "events")).select(F.to_json(record).alias("value"))
+    lines = fx.table(spark, sf_dir, "events").select(F.to_json(record).alias("value"))
     return extract_table(parse_lines(lines), table)
 
 
@@ -158,8 +159,8 @@ tables:
 """).tables["t"]
     body = F.struct(F.repeat("text", F.lit(4)).alias("text"))
     record = F.struct(F.struct(F.col("doc_id").alias("id"), body.alias("body")).alias("doc"))
-    lines = fx.spread(fx.table(spark, sf_dir, "documents")).select(F.to_json(record).alias("value"))
-    rows = extract_table(parse_lines(lines), table)
+    lines = fx.table(spark, sf_dir, "documents").select(F.to_json(record).alias("value"))
+    rows = extract_table(parse_lines(lines), table, json_limit=65535)
     return rows.select("id", F.length("body").cast("bigint").alias("body_length"))
 
 
@@ -249,7 +250,7 @@ def reassemble_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def psv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fx.spread(fx.table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "text")
+    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return psv.to_psv(documents, ["doc_id", "text", "lang", "source"])
 
 
@@ -268,11 +269,11 @@ def parse_spec_table(columns: list[dict]):
 @query
 def psv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line feeds, delimiters and backslashes, written as lines and read back."""
-    documents = fx.spread(fx.table(spark, sf_dir, "documents")).select(
+    documents = fx.table(spark, sf_dir, "documents").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         F.concat(F.lit("a\\|b\\"), F.col("text"), F.lit("\\\\n|")).alias("body"),
     )
-    pages = fx.spread(fx.table(spark, sf_dir, "pages")).select(
+    pages = fx.table(spark, sf_dir, "pages").select(
         F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("body")
     )
     attrs = {"origin": "varchar(16)", "id": "int8", "body": "text"}
@@ -281,7 +282,7 @@ def psv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def psv_roundtrip_record_separator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = fx.spread(fx.table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", F.col("text").alias("body"))
+    turns = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("body"))
     attrs = {"conv_id": "int8", "turn": "int8", "role": "varchar(32)", "body": "text"}
     return _round_trip(turns, attrs, "\x1e")
 
@@ -379,9 +380,10 @@ def day_range_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "range")
     _write_day_files(spark, sf_dir, f"{root}/in")
     orders = fx.spec(fx.ORDERS_SPEC)
-    results = day_runs.run_days(
-        spark, orders, [f"{root}/nowhere", f"{root}/in"], date(2024, 3, 1), date(2024, 3, 3), f"{root}/stage", f"{root}/out"
-    )
+    args = (spark, orders, [f"{root}/nowhere", f"{root}/in"], date(2024, 3, 1), date(2024, 3, 3), f"{root}/stage", f"{root}/out")
+    results = day_runs.run_days(*args)
+    again = day_runs.run_days(*args).where("step = 'load' AND status = 'success'")  # nothing is left to load
+    results = results.unionByName(again)
     counts = day_runs.loaded_counts(spark, orders, f"{root}/out")
     joined = results.join(
         counts, (results["day"] == counts["data_date"]) & (results["table_name"] == counts["table_name"]), "left"
@@ -392,6 +394,47 @@ def day_range_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LATER_SPEC = fx.ORDERS_SPEC.replace("version: 3", "version: 4").replace(
+    "    sortkey_attr", "    - {log_key: note, sql_attr: varchar(8) default 'none'}\n    - {log_key: priority, sql_attr: int4 default 7}\n    sortkey_attr")
+
+
+def _noted_lines(spark: SparkSession, sf_dir: str, where: Column) -> DataFrame:
+    """Orders whose documents have the later version's fields."""
+    order = fx.order_fields().withField("note", F.lit("new")).withField("priority", F.when(F.col("o_orderkey") % 2 == 0, 1))
+    return fx.table(spark, sf_dir, "orders").where(where).select(fx.order_text(order).alias("value"))
+
+
+@query
+def day_range_after_spec_bump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days loaded under one version, the third under the next, which has two more columns with defaults."""
+    root, slot = fresh_folder(spark, "bump"), F.col("o_orderkey") % 3
+    for n in (0, 1):
+        fx.order_lines(spark, sf_dir, slot == n).write.option("compression", "gzip").text(f"{root}/in/2024/03/0{n + 1}")
+    _noted_lines(spark, sf_dir, slot == 2).write.option("compression", "gzip").text(f"{root}/in/2024/03/03")
+    for n in (1, 2, 3):
+        files.touch(spark, f"{root}/in/2024/03/0{n}/COMPLETE")
+    old, new = fx.spec(fx.ORDERS_SPEC), fx.spec(_LATER_SPEC)
+    where = (f"{root}/stage", f"{root}/out")
+    day_runs.run_days(spark, old, [f"{root}/in"], date(2024, 3, 1), date(2024, 3, 2), *where)
+    day_runs.run_days(spark, new, [f"{root}/in"], date(2024, 3, 3), date(2024, 3, 3), *where)
+    rows = evolve.read_stored(spark, f"{root}/out/orders", new.tables["orders"])
+    return rows.select("id", "note", "priority", F.date_format("data_date", "yyyy-MM-dd").alias("data_date"))
+
+
+@query
+def day_rerun_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days with broken lines, loaded again after they were mended: no row of the first load is left."""
+    root, orders = fresh_folder(spark, "rerun"), fx.spec(fx.ORDERS_SPEC)
+    day = F.date_add(F.lit("2024-03-01").cast("date"), (F.get_json_object("value", "$.order.id").cast("bigint") % 2).cast("int"))
+    for lines in (fx.broken_order_lines(spark, sf_dir), fx.order_lines(spark, sf_dir)):
+        dated = lines.withColumn("data_date", F.coalesce(day, F.lit("2024-03-01").cast("date")))
+        sinks.load_tables(parse_lines(dated), orders, root, days=[date(2024, 3, 1), date(2024, 3, 2)])
+    errors = evolve.read_stored(spark, f"{root}/pipeline_errors", sinks.stored_error_table()).select(F.lit("errors").alias("table_name"), "data_date")
+    rows = evolve.read_stored(spark, f"{root}/orders", orders.tables["orders"]).select(F.lit("orders").alias("table_name"), "data_date")
+    counted = rows.unionByName(errors).groupBy("table_name", "data_date").agg(F.count("*").alias("n_rows"))
+    return counted.select("table_name", F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), "n_rows")
+
+
 # -- SQL dumps ---------------------------------------------------------------------------------------
 
 @query
@@ -415,7 +458,7 @@ def insert_dump_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts with quotes, commas, brackets and escapes inside quoted values."""
     body = F.concat(F.lit("it's (a), \\ 'b'"), F.col("text"))
     columns = [("doc_id", F.col("doc_id").cast("string")), ("body", fx.sql_quoted(body)), ("lang", fx.sql_quoted(F.col("lang")))]
-    lines = fx.spread(fx.table(spark, sf_dir, "documents")).select(fx.insert_line("documents", columns).alias("value"))
+    lines = fx.table(spark, sf_dir, "documents").select(fx.insert_line("documents", columns).alias("value"))
     table = parse_spec_table([
         {"log_key": "doc_id", "sql_attr": "int8"}, {"log_key": "body", "sql_attr": "text"},
         {"log_key": "lang", "sql_attr": "varchar(8)"},
@@ -423,6 +466,20 @@ def insert_dump_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_table(dump.parse_inserts(lines), table)
 
 
+@query
+def insert_dump_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth row names a column twice: it goes to the error table, the others are read."""
+    twice = F.col("s_suppkey") % 5 == 0
+    columns = [("s_suppkey", F.col("s_suppkey").cast("string")), ("s_name", fx.sql_quoted(F.col("s_name")))]
+    broken = fx.insert_line("supplier", [columns[0], columns[1], columns[0]])
+    lines = fx.table(spark, sf_dir, "supplier").select(F.when(twice, broken).otherwise(fx.insert_line("supplier", columns)).alias("value"))
+    docs = dump.parse_inserts(lines)
+    spec = SchemaSpec({"supplier": parse_spec_table([{"log_key": "s_suppkey", "sql_attr": "int8"}])})
+    rows = extract_tables(docs, spec)["supplier"].select("s_suppkey", F.lit("row").alias("outcome"))
+    errors = error_rows(docs, spec).select(F.regexp_extract("raw_line", r"VALUES \((\d+)", 1).cast("bigint").alias("s_suppkey"), F.lit("error").alias("outcome"))
+    return rows.unionByName(errors)
+
+
 # -- inference and evolution -------------------------------------------------------------------------
 
 @query
@@ -475,9 +532,36 @@ def evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolve.read_evolved(spark, [f"{root}/v1", f"{root}/v2"], new)
 
 
+@query
+def evolve_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table extended by columns: stored rows get their defaults, new ones keep NULL."""
+    name = f"part_{uuid.uuid4().hex[:12]}"
+    old, new = SchemaSpec({name: parse_spec_table(_PART_V1)}), SchemaSpec({name: parse_spec_table(_PART_V2)})
+    part, even = fx.table(spark, sf_dir, "part"), F.col("p_partkey") % 2 == 0
+    root = fresh_folder(spark, "catalog")
+    day = F.date_add(F.lit("2024-03-01").cast("date"), (F.col("p_partkey") % 2).cast("int")).alias("data_date")
+    with_day = part.select("*", day)
+    evolve.evolve_tables(spark, old, root=root, with_errors=False)
+    sinks.write_table(evolve.conform(with_day.where(even), old.tables[name]), f"{root}/{name}")
+    evolve.evolve_tables(spark, new, root=root, with_errors=False)
+    sized = with_day.where(~even).withColumn("p_size", F.when(F.col("p_size") != 5, F.col("p_size")))
+    sinks.write_table(evolve.conform(sized, new.tables[name]), f"{root}/{name}")
+    evolve.publish_days(spark, new, with_errors=False)
+    return spark.table(name).select("p_partkey", "p_name", "p_size", "p_note")
+
+
+@query
+def column_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A spec of every sample table that lacks its first column and has one of its own, against the tables."""
+    stored = {n: fx.table(spark, sf_dir, n) for n in ("nation", "part", "orders", "lineitem", "events")}
+    columns = {n: [{"log_key": c, "sql_attr": "text"} for c in [*t.columns[1:], "added"]] for n, t in stored.items()}
+    return evolve.column_diff(stored, SchemaSpec({n: parse_spec_table(c) for n, c in columns.items()}), spark)
+
+
 @query
 def row_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "pages")
+    names = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+             "benchmark", "labels", "conversations")
     return evolve.row_presence({n: fx.table(spark, sf_dir, n) for n in names})
 
 
@@ -519,6 +603,43 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_EVENTS_V1 = [{"log_key": "event_id", "sql_attr": "int8"}, {"log_key": "user_id", "sql_attr": "int8 distkey"}, {"log_key": "ts", "sql_attr": "TIMESTAMP"}]
+_EVENTS_V2 = [*_EVENTS_V1, {"log_key": "event_type", "sql_attr": "varchar(16) default 'before'"}, {"log_key": "value", "sql_attr": "float8"}]
+
+
+def _events_of_two_versions(spark: SparkSession, sf_dir: str):
+    """Events stored by the day after they happened, those of odd days under a version that lacks two columns."""
+    old, new = (parse_spec_table(c).with_sortkeys(["ts"]) for c in (_EVENTS_V1, _EVENTS_V2))
+    folder = fresh_folder(spark, "events")
+    shifted = F.to_date(F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(12)))
+    rows = fx.events(spark, sf_dir).withColumn("data_date", shifted)
+    odd = F.dayofmonth("data_date") % 2 == 1
+    sinks.write_table(evolve.conform(rows.where(odd), old), folder, old)
+    sinks.write_table(evolve.conform(rows.where(~odd), new), folder, new)
+    return folder, new
+
+
+def _seen_events(spark: SparkSession, folder: str, table) -> DataFrame:
+    rows = evolve.read_stored(spark, folder, table)
+    return rows.select("event_id", shown("ts"), "event_type", "value", F.date_format("data_date", "yyyy-MM-dd").alias("data_date"))
+
+
+@query
+def compacted_after_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compaction keeps the columns that only some days have, and writes the defaults into the others."""
+    folder, table = _events_of_two_versions(spark, sf_dir)
+    retention.compact(spark, folder, table)
+    return _seen_events(spark, folder, table)
+
+
+@query
+def ttl_delete_after_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention rewrites the boundary day with all of its columns."""
+    folder, table = _events_of_two_versions(spark, sf_dir)
+    retention.delete_old(spark, folder, table, 7)
+    return _seen_events(spark, folder, table)
+
+
 @query
 def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rewriting by dist and sort key changes where rows are, not what they are."""
@@ -626,6 +747,14 @@ def work_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("job_id", "cluster_id", "host", "port", "db_schema", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
+@query
+def earlier_later_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of day ranges; an empty or missing day counts for nothing."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    other = F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 1, F.date_format(F.date_add(F.to_date("o_orderdate"), 3), "yyyy-MM-dd"))
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", dates.earlier(day, other).alias("first"), dates.later(day, other).alias("last"))
+
+
 @query
 def transition_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = ledger.transitions(fx.status_events(spark, sf_dir), ["at", "event_id"])
@@ -689,7 +818,23 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.ingest_stream(
         spark, f"{root}/in", fx.spec(fx.ORDERS_SPEC), f"{root}/out", f"{root}/checkpoint"
     ).awaitTermination()
-    return _orders(ingest.ingested(spark, f"{root}/out", "orders"))
+    return _orders(ingest.ingested(spark, f"{root}/out", fx.spec(fx.ORDERS_SPEC), "orders"))
+
+
+@query
+def stream_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed into day tables, then aged out and compacted there."""
+    root = fresh_folder(spark, "aged")
+    event = F.struct("event_id", "user_id", F.unix_timestamp("ts").alias("ts"))
+    rows = fx.events(spark, sf_dir).select(F.to_json(event).alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    rows.write.partitionBy("day").text(f"{root}/in")
+    spec = SchemaSpec({"events": parse_spec_table(_EVENTS_V1).with_sortkeys(["ts"])})
+    ingest.ingest_stream(spark, f"{root}/in/*", spec, f"{root}/out", f"{root}/checkpoint", day_pattern=r"day=(\d{4})-(\d{2})-(\d{2})",
+                         max_files_per_batch=20).awaitTermination()
+    retention.delete_old(spark, f"{root}/out/events", spec.tables["events"], 7)
+    retention.compact(spark, f"{root}/out/events", spec.tables["events"])
+    kept = ingest.ingested(spark, f"{root}/out", spec, "events")
+    return kept.select("event_id", shown("ts"), F.date_format("data_date", "yyyy-MM-dd").alias("data_date"))
 
 
 @query
@@ -707,7 +852,9 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "audit")
-    fx.status_events(spark, sf_dir).write.parquet(f"{root}/in")
-    source = spark.readStream.schema("job_id bigint, status string, at timestamp, event_id bigint").parquet(f"{root}/in")
-    audit.audit_stream(source, ["at", "event_id"], f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return audit.audited(spark, f"{root}/out").select("job_id", "event_id", "from_status", "to_status")
+    events = fx.status_events(spark, sf_dir)
+    for part in (2, 0, 1):  # three batches, each with events of all times: most come late
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema("job_id bigint, status string, at timestamp, event_id bigint").parquet(f"{root}/in")
+        audit.audit_stream(source, ["at", "event_id"], f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return audit.audited(spark, f"{root}/out", ["at", "event_id"]).select("job_id", "event_id", "from_status", "to_status")

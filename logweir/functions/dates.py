@@ -42,13 +42,19 @@ def day_count(start: Column, end: Column, step: int = 1) -> Column:
     return F.size(day_range(start, end, step))
 
 
+def _day_or_none(day: Column) -> Column:
+    """An empty text is no day; dates stay dates."""
+    return F.when(day.cast("string") != "", day)
+
+
 def earlier(a: Column, b: Column) -> Column:
     """The earlier of two days; an empty or missing one is ignored."""
-    return F.least(F.nullif(a, F.lit("")), F.nullif(b, F.lit("")))
+    return F.least(_day_or_none(a), _day_or_none(b))
 
 
 def later(a: Column, b: Column) -> Column:
-    return F.greatest(F.nullif(a, F.lit("")), F.nullif(b, F.lit("")))
+    """The later of two days; an empty or missing one is ignored."""
+    return F.greatest(_day_or_none(a), _day_or_none(b))
 
 
 def ready_after(delay: Column, arguments: Column) -> Column:

@@ -1,31 +1,36 @@
-"""Running a range of days: extract every day that is complete, load in order up to the first failure.
+"""Running a range of days: extract every day that is complete, load what the ledger says is open.
 
-Days are partitions of one Spark job, not one job each. The extract step leaves a typed stage (by day and
-table) with a marker per finished day; the load step publishes staged days as tables.
+Days are partitions of one Spark job, not one job each. The extract step leaves a typed stage, by table and day,
+below a folder of the spec's identity, with a marker per finished day; another version of the spec extracts its days
+anew. The load step publishes the frontier: the staged days from the start on that the ledger doesn't have as loaded, up
+to the first gap. Every outcome is an event of the ledger.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+import hashlib
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.operators.evolve import reconcile
 from logweir.operators.extract import DeriveFunction
-from logweir.operators.retention import compact, delete_old
-from logweir.operators.sinks import DAY, staged_rows, write_stage, write_table
+from logweir.operators.ledger import load_frontier
+from logweir.operators.retention import compact, delete_old, in_days
+from logweir.operators.sinks import DAY, data_error, staged_rows, stored_error_table, write_stage, write_table
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, error_table
 from logweir.session import small_frame
 from logweir.sources import files
 from logweir.sources.days import DAY_IN_PATH, INPUT_SUFFIX, SUCCESS, days_to_run, first_complete_prefix, list_markers
 from logweir.sources.registry import read_documents
 
-FEW_DAYS = 8
 SATURDAY = 6
 RESULT_SCHEMA = "day date, step string, table_name string, status string, error_info string"
+LEDGER_SCHEMA = f"identity string, seq timestamp, n int, {RESULT_SCHEMA}"
 
 
-def _day_folder(prefix: str, day: date) -> str:
+def _day_path(prefix: str, day: date) -> str:
     return f"{prefix.rstrip('/')}/{day:%Y/%m/%d}"
 
 
@@ -35,89 +40,146 @@ def day_list(start: date, end: date, step: int = 1) -> list[date]:
     return [low + timedelta(days=n) for n in range(0, (high - low).days + 1, step)]
 
 
+def stage_of(stage: str, spec: SchemaSpec) -> str:
+    """The folder in which a spec version stages its days: rows and markers."""
+    return f"{stage.rstrip('/')}/{hashlib.sha256(spec.identity.encode()).hexdigest()[:16]}"
+
+
 def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], days: list[date], stage: str,
                  fmt: str = "json", suffix: str = INPUT_SUFFIX, metrics: dict[str, DeriveFunction] | None = None,
                  force: bool = False) -> list[tuple]:
-    """Stage every complete day that is not staged yet, all in one job; one result row per day."""
+    """Stage every complete day that this spec version hasn't staged yet, all in one job; one result row per day."""
+    own = stage_of(stage, spec)
     wanted = small_frame(spark, [(d,) for d in days], "day date")
     ranked = small_frame(spark, list(zip(prefixes, range(len(prefixes)))), "prefix string, priority int")
-    done = list_markers(spark, [stage + "/markers"], SUCCESS)
-    open_days = days_to_run(wanted, done)
+    open_days = days_to_run(wanted, list_markers(spark, [own + "/markers"], SUCCESS, days))
     # one row per day comes back: it decides which folders are read
-    chosen = first_complete_prefix(open_days, ranked, list_markers(spark, prefixes), force).collect()
-    inputs = {r["day"]: r["prefix"] and _day_folder(r["prefix"], r["day"]) + suffix for r in chosen}
+    chosen = first_complete_prefix(open_days, ranked, list_markers(spark, prefixes, days=days), force).collect()
+    inputs = {r["day"]: r["prefix"] and _day_path(r["prefix"], r["day"]) + suffix for r in chosen}
     failures = {day: "no complete prefix" for day, path in inputs.items() if path is None}
     failures |= {day: "no input files" for day, path in inputs.items() if path and not files.glob(spark, path)}
     ready = {day: path for day, path in inputs.items() if day not in failures}
 
     def stage_days(part: dict[date, str]) -> None:
         docs = read_documents(spark, fmt, list(part.values()), DAY_IN_PATH)
-        write_stage(docs, spec, stage + "/rows", metrics)
+        for day in part:  # what a broken run has left
+            for path in files.glob(spark, f"{own}/rows/table=*/{DAY}={day.isoformat()}"):
+                files.remove(spark, path)
+        write_stage(docs, spec, own + "/rows", metrics)
         for day in part:
-            files.touch(spark, f"{_day_folder(stage + '/markers', day)}/{SUCCESS}")
+            files.touch(spark, f"{_day_path(own + '/markers', day)}/{SUCCESS}")
+
+    failures |= _one_job_or_one_each(ready, stage_days)
+    return [(day, "et", None, "error" if day in failures else "success", failures.get(day)) for day in days]
+
 
+def _one_job_or_one_each(parts: dict[date, str], run) -> dict[date, str]:
+    """Run all days together; when their data stops the job, one by one. Returns the failing days with their errors."""
+    failures = {}
+    if not parts:
+        return failures
     try:
-        if ready:
-            stage_days(ready)
-    except Exception:
-        # some day has unreadable input: run them one by one to find it and keep the others
-        for day, path in ready.items():
+        run(parts)
+    except Exception as stopped:
+        data_error(stopped)
+        for day, value in sorted(parts.items()):
             try:
-                stage_days({day: path})
-            except Exception as stopped:  # the step's outcome is data for the ledger
-                failures[day] = str(stopped)[:256]
-    return [(day, "et", None, "error" if day in failures else "success", failures.get(day)) for day in days]
+                run({day: value})
+            except Exception as stopped_day:  # the step's outcome is data for the ledger
+                failures[day] = data_error(stopped_day)
+    return failures
 
 
 def load_days(spark: SparkSession, spec: SchemaSpec, days: list[date], stage: str, root: str,
               ttl_days: int | None = None, today: date | None = None) -> list[tuple]:
-    """Publish staged days as tables below ``root``; one result row per day and table.
+    """Publish staged days as tables below ``root``, exactly; one result row per day and table.
 
-    With ``ttl_days`` a table first makes room for one day by dropping what is too old, and on Saturdays it is
-    compacted; after a load of several days what they pushed out is dropped as well. A table that fails is reported
-    for all of these days and ends the load.
+    Stored tables are reconciled with the spec first. All days go in one job per table; if data stops it, they go one by
+    one in order, and the first day that fails ends the load. With ``ttl_days`` a table first makes room for one day by
+    dropping what is too old, and on Saturdays it is compacted; after a load of several days what they pushed out is
+    dropped as well.
     """
     if not days:
         return []
-    staged = spark.read.parquet(stage + "/rows").where(F.col(DAY).isin(days))
+    tables = {**spec.tables, ERROR_TABLE: stored_error_table()}
+    rows_of = {n: staged_rows(spark, stage_of(stage, spec) + "/rows", n, spec.tables.get(n, error_table()), True) for n in tables}
+
+    def load(name: str, part: list[date]) -> None:
+        table, folder = tables[name], f"{root}/{name}"
+        reconcile(spark, name, folder, table)
+        if ttl_days is not None and files.glob(spark, f"{folder}/{DAY}=*"):
+            delete_old(spark, folder, table, ttl_days - 1)
+            if (today or date.today()).isoweekday() == SATURDAY:
+                compact(spark, folder, table)
+        write_table(rows_of[name].where(in_days(part)), folder, table, part)
+        if ttl_days is not None and len(part) > 1:
+            delete_old(spark, folder, table, ttl_days)
+
     results = []
-    for name in [*spec.tables, ERROR_TABLE]:
-        table = spec.tables.get(name, error_table())
-        status, info = "success", None
-        folder = f"{root}/{name}"
-        try:
-            if ttl_days is not None and files.glob(spark, f"{folder}/{DAY}=*"):
-                delete_old(spark, folder, table, ttl_days - 1)
-                if (today or date.today()).isoweekday() == SATURDAY:
-                    compact(spark, folder, table)
-            write_table(staged_rows(staged, name), folder, table, gather_keys=len(days) <= FEW_DAYS)
-            if ttl_days is not None and len(days) > 1:
-                delete_old(spark, folder, table, ttl_days)
-        except Exception as stopped:
-            status, info = "error", str(stopped)[:256]
-        results += [(day, "load", name, status, info) for day in days]
-        if status == "error":
-            break
+    try:
+        for name in tables:
+            load(name, days)
+        return [(day, "load", name, "success", None) for name in tables for day in days]
+    except Exception as stopped:
+        data_error(stopped)
+    for day in sorted(days):
+        for name in tables:
+            try:
+                load(name, [day])
+                results.append((day, "load", name, "success", None))
+            except Exception as stopped:
+                return [*results, (day, "load", name, "error", data_error(stopped))]
     return results
 
 
+def ledger_events(spark: SparkSession, ledger: str) -> DataFrame:
+    """All events of a ledger folder; none where it does not exist yet."""
+    if not files.glob(spark, f"{ledger}/part-*"):
+        return small_frame(spark, [], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+
+
+def load_status(spark: SparkSession, spec: SchemaSpec, days: list[date], ledger: str) -> DataFrame:
+    """(job_id, day, load_status) of days: complete once every table was loaded after the last failure, error after one, else NULL."""
+    known = ledger_events(spark, ledger).where((F.col("identity") == spec.identity) & (F.col("step") == "load"))
+    newest = known.groupBy("day", F.coalesce("table_name", F.lit("")).alias("table_name")).agg(F.max_by("status", F.struct("seq", "n")).alias("status"))
+    good = F.count_if((F.col("status") == "success") & F.col("table_name").isin(*spec.tables, ERROR_TABLE))
+    state = newest.groupBy("day").agg(F.when(good == len(spec.tables) + 1, "complete").otherwise("error").alias("load_status"))
+    wanted = small_frame(spark, [(d,) for d in days], "day date")
+    return wanted.join(state, "day", "left").select(F.lit(spec.identity).alias("job_id"), "day", "load_status")
+
+
+def record(spark: SparkSession, spec: SchemaSpec, ledger: str, results: list[tuple]) -> None:
+    """Append outcomes to the ledger."""
+    at = datetime.now(timezone.utc)
+    small_frame(spark, [(spec.identity, at, n, *r) for n, r in enumerate(results)], LEDGER_SCHEMA).write.mode("append").parquet(ledger)
+
+
 def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start: date, end: date, stage: str,
              root: str, fmt: str = "json", suffix: str = INPUT_SUFFIX,
-             metrics: dict[str, DeriveFunction] | None = None, step: int = 1, ttl_days: int | None = None) -> DataFrame:
-    """Extract, then load, a range of days; (day, step, table_name, status, error_info).
+             metrics: dict[str, DeriveFunction] | None = None, step: int = 1, ttl_days: int | None = None,
+             ledger: str | None = None, retry_errors: bool = True) -> DataFrame:
+    """Extract, then load, a range of days; (day, step, table_name, status, error_info) of what was done.
 
-    A day that cannot be extracted does not keep later days from being extracted, but nothing from that day on
-    is loaded.
+    The ledger (default: ``<root>/_ledger``) decides what to load: days of this spec version that aren't loaded yet, from
+    the start to the first day that isn't extracted, or that has failed unless ``retry_errors``. A day that cannot be
+    extracted does not keep later days from being extracted, but nothing from that day on is loaded.
     """
+    ledger = ledger or f"{root}/_ledger"
     days = day_list(start, end, step)
     results = extract_days(spark, spec, prefixes, days, stage, fmt, suffix, metrics)
-    loadable = []
-    for day, _, _, status, info in results:
-        if status != "success":
-            results = results + [(day, "load", None, "error", f"not extracted: {info}"[:256])]
-            break
-        loadable.append(day)
-    return small_frame(spark, results + load_days(spark, spec, loadable, stage, root, ttl_days), RESULT_SCHEMA)
+    staged = [day for day, _, _, status, _ in results if status == "success"]
+    # With a step the days walked are numbered on, so that the walk sees no gap between them.
+    number = {day: days[0] + timedelta(days=n) for n, day in enumerate(days)}
+    status = load_status(spark, spec, staged, ledger)
+    walked = status.join(small_frame(spark, list(number.items()), "day date, place date"), "day").select("job_id", F.col("place").alias("day"), "load_status")
+    frontier = {r["day"] for r in load_frontier(walked, F.lit(days[0]), retry_errors).collect()}  # one row per day
+    missing = next(((day, info) for day, _, _, status, info in results if status != "success"), None)
+    if missing:
+        results = [*results, (missing[0], "load", None, "error", f"not extracted: {missing[1]}")]
+    results += load_days(spark, spec, [d for d in days if number[d] in frontier], stage, root, ttl_days)
+    record(spark, spec, ledger, results)
+    return small_frame(spark, results, RESULT_SCHEMA)
 
 
 def loaded_counts(spark: SparkSession, spec: SchemaSpec, root: str) -> DataFrame:

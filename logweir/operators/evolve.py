@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.plans.spec import ColumnSpec, SchemaSpec, SpecError, TableSpec, create_table_sql, default_sql, qualified_name
 from logweir.session import small_frame
+from logweir.sources import files
+
+DAY = "data_date"
+BATCH = "batch_id"  # second partition column of tables that a stream fills
+SPEC_FILE = "_spec/table.json"  # Spark passes over names that start with an underscore
 
 
 def added_columns(name: str, stored: TableSpec, wanted: TableSpec) -> list[ColumnSpec]:
@@ -49,6 +56,57 @@ def conform(rows: DataFrame, table: TableSpec, keep: tuple[str, ...] = ("data_da
     return rows.select(*out, *[F.col(k) for k in keep if k.lower() in have])
 
 
+def stored_schema(table: TableSpec) -> T.StructType:
+    """The spec's columns as a reader's schema: a column that a file does not have reads as its default there.
+
+    A NULL that was stored stays NULL.
+    """
+    def described(c: ColumnSpec) -> dict:
+        return {"EXISTS_DEFAULT": default_sql(c), "CURRENT_DEFAULT": default_sql(c)} if c.default is not None else {}
+
+    return T.StructType([T.StructField(c.out_name, c.data_type, True, described(c)) for c in table.columns])
+
+
+def partition_columns(spark: SparkSession, folder: str) -> list[str]:
+    """How a stored table is partitioned: by day, and by batch where a stream filled it."""
+    for pattern, columns in ((f"{DAY}=*/{BATCH}=*", [DAY, BATCH]), (f"{DAY}=*", [DAY]), (f"{BATCH}=*", [BATCH])):
+        if files.glob(spark, f"{folder}/{pattern}"):
+            return columns
+    return []
+
+
+def read_stored(spark: SparkSession, folder: str, table: TableSpec) -> DataFrame:
+    """A stored table as the spec sees it, whichever versions its files were written under, with its partition columns.
+
+    One scan, never by the schema of one footer. A folder without files is an empty table by day.
+    """
+    schema = stored_schema(table)
+    types = {DAY: T.DateType(), BATCH: T.LongType()}
+    found = partition_columns(spark, folder)
+    if not found and not files.glob(spark, f"{folder}/*.parquet"):
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField(DAY, types[DAY])]))
+    keys = [k for k in found if k not in schema.names]
+    return spark.read.schema(T.StructType([*schema, *[T.StructField(k, types[k]) for k in keys]])).parquet(folder)
+
+
+def remembered_spec(spark: SparkSession, folder: str) -> TableSpec | None:
+    """The spec under which a table was last written."""
+    text = files.read_text(spark, f"{folder}/{SPEC_FILE}")
+    return None if text is None else TableSpec.from_dict(json.loads(text))
+
+
+def reconcile(spark: SparkSession, name: str, folder: str, table: TableSpec) -> list[ColumnSpec]:
+    """Compare a stored table's spec with the wanted one before a load, and remember the wanted one; returns the added columns.
+
+    Anything but added columns is an error, and nothing is written then.
+    """
+    stored = remembered_spec(spark, folder)
+    added = list(table.columns) if stored is None else added_columns(name, stored, table)
+    if stored != table:
+        files.write_text(spark, f"{folder}/{SPEC_FILE}", json.dumps(table.to_dict()))
+    return added
+
+
 def read_evolved(spark: SparkSession, folders: list[str], table: TableSpec) -> DataFrame:
     """Parquet written under older versions of the spec, read as the current version.
 
@@ -60,14 +118,14 @@ def read_evolved(spark: SparkSession, folders: list[str], table: TableSpec) -> D
 
 
 def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "public",
-                  partition_column: str | None = "data_date", root: str | None = None) -> dict[str, list[str]]:
+                  partition_column: str | None = "data_date", root: str | None = None, with_errors: bool = True) -> dict[str, list[str]]:
     """Create missing catalog tables, extend existing ones; returns the added columns per table.
 
-    Includes the error table. A new column's default applies to rows that are already stored. With ``root`` the
+    Includes the error table, unless told not to. A new column's default applies to rows that are already stored. With ``root`` the
     tables lie over the folders that ``load_tables`` and ``load_days`` write; call ``publish_days`` after a load.
     """
     done = {}
-    for name, table in sorted(spec.with_error_table().tables.items()):
+    for name, table in sorted((spec.with_error_table() if with_errors else spec).tables.items()):
         target = qualified_name(name, namespace)
         if not spark.catalog.tableExists(target):
             spark.sql(create_table_sql(target, table, partition_column, f"{root}/{name}" if root else None))
@@ -91,9 +149,9 @@ def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "publi
     return done
 
 
-def publish_days(spark: SparkSession, spec: SchemaSpec, namespace: str = "public") -> None:
+def publish_days(spark: SparkSession, spec: SchemaSpec, namespace: str = "public", with_errors: bool = True) -> None:
     """Make newly written day partitions known to the catalog tables of a spec."""
-    for name in spec.with_error_table().tables:
+    for name in (spec.with_error_table() if with_errors else spec).tables:
         spark.catalog.recoverPartitions(qualified_name(name, namespace))
         spark.catalog.refreshTable(qualified_name(name, namespace))
 

@@ -19,7 +19,6 @@ from logweir.plans.spec import ColumnSpec, SchemaSpec, SpecError, TableSpec
 from logweir.sources.lines import document, is_document
 
 # --- fixed values -----------------------------------------------------------------------------------
-BLOB_LIMIT = 65535
 SOURCE_FILENAME = "__source_filename__"
 # ----------------------------------------------------------------------------------------------------
 MAX_EPOCH_SECONDS = 253402300799  # end of year 9999
@@ -34,6 +33,7 @@ class RowContext:
     file_path: Column
     element: Node | None = None
     position: Column | None = None
+    json_limit: int | None = None  # longer texts of JSON columns become NULL
 
     def get(self, path: str, data_type: str = "string") -> Column:
         """A value of the whole document, for derived columns."""
@@ -84,7 +84,7 @@ def column_value(column: ColumnSpec, table: TableSpec, row: RowContext, metrics:
     node, keys = _place(column, table, row)
     if column.is_json:
         text = F.coalesce(F.to_json(node.get(keys, "variant")), F.lit("null"))
-        return F.when(F.length(text) <= BLOB_LIMIT, text)
+        return text if row.json_limit is None else F.when(F.length(text) <= row.json_limit, text)
     value = _typed(node, keys, column)
     if row.element is not None and keys == ["value"] and not column.is_foreign:
         # an element that is no object is itself the value
@@ -156,22 +156,23 @@ def _accepted(docs: DataFrame, spec: SchemaSpec, on_error: str) -> DataFrame:
 
 
 def extract_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None,
-                   on_error: str = "quarantine") -> dict[str, DataFrame]:
+                   on_error: str = "quarantine", json_limit: int | None = None) -> dict[str, DataFrame]:
     """One lazy DataFrame per table of the spec.
 
     ``docs`` comes from ``parse_lines``. A document that lacks a mandatory key of any table yields no rows and
     shows up in ``error_rows`` (``on_error="quarantine"``), or stops the job (``"fail"``). A list source that
     is absent or null yields no rows; ``"fail"`` stops there too. ``metrics`` maps names of derived columns to
-    functions of a ``RowContext``.
+    functions of a ``RowContext``. With a ``json_limit`` the text of a JSON column that is longer becomes NULL; see
+    ``checks.over_limit`` for how many.
     """
     accepted = _accepted(docs, spec, on_error)
-    return {name: _rows(accepted, table, metrics) for name, table in spec.tables.items()}
+    return {name: _rows(accepted, table, metrics, json_limit) for name, table in spec.tables.items()}
 
 
 def extract_table(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None = None,
-                  on_error: str = "quarantine") -> DataFrame:
+                  on_error: str = "quarantine", json_limit: int | None = None) -> DataFrame:
     """``extract_tables`` for a spec of one table."""
-    return extract_tables(docs, SchemaSpec({"table": table}), metrics, on_error)["table"]
+    return extract_tables(docs, SchemaSpec({"table": table}), metrics, on_error, json_limit)["table"]
 
 
 def _file_path(docs: DataFrame) -> Column:
@@ -182,11 +183,11 @@ def _foreign(table: TableSpec) -> list[ColumnSpec]:
     return [c for c in table.columns if c.is_foreign and not (c.is_derived or c.is_noop)]
 
 
-def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None) -> DataFrame:
+def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None, json_limit: int | None) -> DataFrame:
     metrics = {**BUILT_IN_METRICS, **(metrics or {})}
     carried = [F.col(c) for c in CARRIED if c in docs.columns]
     doc = document(F.col("doc"))
-    row = RowContext(doc, _file_path(docs))
+    row = RowContext(doc, _file_path(docs), json_limit=json_limit)
     if table.src_type == "dict":
         return docs.select(*[column_value(c, table, row, metrics).alias(c.out_name) for c in table.columns], *carried)
     # Foreign values are taken once per document, before it is unnested; unless a derived column looks at the
@@ -197,7 +198,7 @@ def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction]
     else:
         unnested = F.explode(doc.get(split_path(table.src), "map<string,variant>"))
     docs = docs.select("*", unnested.alias("_position", "_element"))
-    row = RowContext(doc, row.file_path, Node(F.col("_element")), F.col("_position"))
+    row = RowContext(doc, row.file_path, Node(F.col("_element")), F.col("_position"), json_limit)
     return docs.select(
         *[
             (F.col(hoisted[0, c.out_name]) if (0, c.out_name) in hoisted else column_value(c, table, row, metrics))
@@ -221,37 +222,6 @@ def _hoist_foreign(docs: DataFrame, tables: list[TableSpec], row: RowContext, me
     return (docs.select("*", F.inline(F.array(F.struct(*values)))) if values else docs), names
 
 
-def row_arrays(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None):
-    """Each table's rows of one document as an array of structs: (frame, is accepted, table name -> array)."""
-    metrics = {**BUILT_IN_METRICS, **(metrics or {})}
-    doc, tables = document(F.col("doc")), list(spec.tables.values())
-    whole = RowContext(doc, _file_path(docs))
-    docs, hoisted = _hoist_foreign(docs, tables, whole, metrics)
-
-    def struct(n: int, row: RowContext) -> Column:
-        return F.struct(*[
-            (F.col(hoisted[n, c.out_name]) if (n, c.out_name) in hoisted else column_value(c, tables[n], row, metrics))
-            .alias(c.out_name)
-            for c in tables[n].columns
-        ])
-
-    def array(n: int) -> Column:
-        table = tables[n]
-        if table.src_type == "dict":
-            return F.array(struct(n, whole))
-        if table.src_type == "list":
-            return F.transform(
-                list_elements(doc, table), lambda e, i: struct(n, RowContext(doc, whole.file_path, Node(e), i))
-            )
-        entries = F.map_entries(doc.get(split_path(table.src), "map<string,variant>"))
-        return F.transform(
-            entries, lambda kv: struct(n, RowContext(doc, whole.file_path, Node(kv["value"]), kv["key"]))
-        )
-
-    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
-    return docs, accepted, {name: array(n) for n, name in enumerate(spec.tables)}
-
-
 REJECTED = -1  # the tag of a document that yields no rows
 
 

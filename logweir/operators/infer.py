@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.plans.spec import SchemaSpec, SpecError, TableSpec, new_table
+from logweir.plans.spec import SchemaSpec, TableSpec, new_table
 
 # The walk below runs on executors; send it by value, so that they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,7 +48,6 @@ class InferOptions:
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
 LARGEST_INT = 2**63 - 1
 WIDE_VARCHAR = 65535
-MAX_PATHS = 20_000  # more paths than any table has columns: some dict is keyed by data
 # ----------------------------------------------------------------------------------------------------
 
 
@@ -186,17 +185,23 @@ def sql_attr_of(kind: str, max_len: int | None) -> str | None:
 
 def infer_table(lines: DataFrame, options: InferOptions = InferOptions(), sortkeys=(), flatten: bool = True,
                 add_source_filename: bool = False, value: str = "value", on_error: str = "fail") -> TableSpec:
-    """A table spec for sample lines. Only the folded paths come to the driver.
+    """A table spec for sample lines. The folded paths, one per column, come to the driver one by one.
 
-    Paths beyond any sensible table width are an error, not cut off: a dict keyed by data has to be pruned, excluded
-    or unnested as a sparse list.
+    A dict keyed by data makes a column per key; ``wide_dicts`` finds such dicts, to prune, exclude or unnest them.
     """
-    paths = fold_types(leaf_summary(lines, options, value, on_error)).limit(MAX_PATHS + 1).collect()
-    if len(paths) > MAX_PATHS:
-        raise SpecError(f"more than {MAX_PATHS} paths: prune or exclude dicts keyed by data")
+    paths = fold_types(leaf_summary(lines, options, value, on_error)).toLocalIterator()
     return build_table(paths, options.source, options.source_type, sortkeys, flatten, add_source_filename)
 
 
+def wide_dicts(summary: DataFrame, more_than: int) -> DataFrame:
+    """(path, n_keys) of dicts with more than so many keys over all documents: keyed by data, most likely."""
+    steps = F.split("path", r"\.")
+    parents = summary.select("path", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps) - 1), lambda n: F.struct(
+        F.array_join(F.slice(steps, 1, n), ".").alias("parent"), F.element_at(steps, n + 1).alias("key")))).alias("at"))
+    keys = parents.select(F.col("at.parent").alias("path"), F.col("at.key").alias("key")).distinct()
+    return keys.groupBy("path").agg(F.count("*").alias("n_keys")).where(F.col("n_keys") > more_than)
+
+
 def build_table(paths, src: str = "", src_type: str = "dict", sortkeys=(), flatten: bool = True,
                 add_source_filename: bool = False) -> TableSpec:
     """Columns in path order, foreign ones first; ``paths`` are rows with path, type, max_len, is_json,

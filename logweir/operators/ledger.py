@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweir.functions.dates import ready_day, retry_delay_seconds
+from logweir.functions.dates import earlier, later, ready_day, retry_delay_seconds
+from logweir.session import stored
 
 # --- fixed values -----------------------------------------------------------------------------------
 LEGAL_TRANSITIONS = {
@@ -36,6 +37,9 @@ KEEPALIVE_SECONDS = 300
 QUEUE_GRACE_SECONDS = 3600
 # ----------------------------------------------------------------------------------------------------
 
+SLOT_ROWS = 100_000
+SLOTS = 256
+
 
 # -- current state -----------------------------------------------------------------------------------
 
@@ -290,8 +294,8 @@ def planned_range(jobs: DataFrame, now: Column) -> DataFrame:
         jobs.where(F.coalesce("et_status", F.lit("null")).isin(*SCHEDULABLE))
         .withColumn("_ready", ready)
         .where(has_data | action_pending())
-        .withColumn("work_start", F.greatest("start_date", following))
-        .withColumn("work_end", F.least("end_date", "_ready"))
+        .withColumn("work_start", later(F.col("start_date"), following))
+        .withColumn("work_end", earlier(F.col("end_date"), F.col("_ready")))
         .drop("_ready")
     )
 
@@ -334,29 +338,49 @@ def is_legal(before: Column, after: Column, legal: dict[str, list[str]] = LEGAL_
     return F.coalesce(found, F.lit(False))
 
 
-def transitions(events: DataFrame, order: list[str], initial: str = "null", bucket: str = "10 minutes",
-                first_from: DataFrame | None = None) -> DataFrame:
+def without_time(events: DataFrame, order: list[str]) -> DataFrame:
+    """Events that have no place in the order; ``transitions`` passes over them, so they belong in an error output."""
+    return events.where(F.col(order[0]).isNull())
+
+
+def _slots(events: DataFrame, at: str) -> DataFrame:
+    """``events`` with a column _slot that grows with time within a job; a job with many events has many slots.
+
+    Jobs with more than SLOT_ROWS events are cut at quantiles of their own times, so a burst is cut where it is dense.
+    The cuts are stored: every reader sees the same slots.
+    """
+    micros = F.unix_micros(at)
+    fractions = F.array(*[F.lit(n / SLOTS) for n in range(1, SLOTS)])
+    hot = stored(
+        events.groupBy(F.col("job_id").alias("_hot_job")).agg(F.count("*").alias("n"), F.percentile_approx(micros, fractions, 10 * SLOTS).alias("_cuts"))
+        .where(F.col("n") > SLOT_ROWS).select("_hot_job", "_cuts"), "slots")
+    slot = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < micros)), F.lit(0))
+    joined = events.join(hot, events["job_id"].eqNullSafe(hot["_hot_job"]), "left")
+    return joined.withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot)).drop("_hot_job", "_cuts")
+
+
+def transitions(events: DataFrame, order: list[str], initial: str = "null", first_from: DataFrame | None = None) -> DataFrame:
     """(job_id, order columns, from_status, to_status) for consecutive statuses of each job.
 
-    ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp. A job may own
-    a large share of all events, so no task ever sorts a whole job: neighbours are found by a window over
-    (job, time bucket), and only the first and last event of each bucket go on to a window over the job.
-    ``first_from`` (job_id, status) gives the status a job had before these events. Events without a time have no
-    place in the order and are left out.
+    ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp; a NULL status reads
+    as ``null``. A job may own a large share of all events, so no task sorts a whole job: neighbours are found by a
+    window over (job, slot of time), and only the first and last event of each slot go on to a window over the job.
+    ``first_from`` (job_id, status) gives the status a job had before these events. Events without a time are
+    ``without_time``'s.
     """
-    slotted = events.select("job_id", "status", *order, F.window(order[0], bucket).getField("start").alias("_slot"))
+    timed = events.where(F.col(order[0]).isNotNull()).select("job_id", F.coalesce("status", F.lit("null")).alias("status"), *order)
+    slotted = _slots(timed, order[0])
     in_slot = W.partitionBy("job_id", "_slot").orderBy(*order)
     rows = slotted.select(
-        "job_id", "status", *order,
-        F.lag("status").over(in_slot).alias("from_status"), F.lead("status").over(in_slot).alias("_next"),
+        "job_id", "status", *order, F.lag("status").over(in_slot).alias("from_status"),
+        (F.row_number().over(in_slot) == 1).alias("_first"), F.lead(F.lit(True)).over(in_slot).isNull().alias("_last"),
     )
-    inside = rows.where(F.col("from_status").isNotNull())
-    edges = rows.where(F.col("from_status").isNull() | F.col("_next").isNull())
+    inside = rows.where(~F.col("_first"))
     by_job = W.partitionBy("job_id").orderBy(*order)
-    # the event before the first one of a bucket is the last one of an earlier bucket
-    first = edges.withColumn("_before", F.lag("status").over(by_job)).where(F.col("from_status").isNull())
+    # the event before the first one of a slot is the last one of an earlier slot
+    first = rows.where("_first OR _last").withColumn("_before", F.lag("status").over(by_job)).where("_first")
     if first_from is not None:
-        known = first_from.select("job_id", F.col("status").alias("_known"))
+        known = first_from.select("job_id", F.coalesce("status", F.lit("null")).alias("_known"))
         first = first.join(known, "job_id", "left").withColumn("_before", F.coalesce("_before", "_known"))
     across = first.withColumn("from_status", F.coalesce("_before", F.lit(initial)))
     columns = ["job_id", *order, "from_status", F.col("status").alias("to_status")]
@@ -370,13 +394,14 @@ def illegal_transitions(changes: DataFrame, legal: dict[str, list[str]] = LEGAL_
 
 # -- listings ----------------------------------------------------------------------------------------
 
-def versions_by_name(keys: DataFrame, prefix: str, column: str = "key") -> DataFrame:
-    """(log_name, versions) from spec keys ``<prefix>/<log>/schema/<version>/schema.yaml``; others are ignored.
-
-    Duplicates go before the list is built, so a list is as long as its name has distinct versions.
-    """
+def log_versions(keys: DataFrame, prefix: str, column: str = "key") -> DataFrame:
+    """(log_name, version) from spec keys ``<prefix>/<log>/schema/<version>/schema.yaml``; others are ignored."""
     pattern = "^" + re.escape(prefix) + r"/(\w+)/schema/(\w+)/schema\.yaml$"
-    found = keys.where(F.col(column).rlike(pattern)).select(
+    return keys.where(F.col(column).rlike(pattern)).select(
         F.regexp_extract(column, pattern, 1).alias("log_name"), F.regexp_extract(column, pattern, 2).alias("version")
-    )
-    return found.distinct().groupBy("log_name").agg(F.sort_array(F.collect_list("version")).alias("versions"))
+    ).distinct()
+
+
+def versions_by_name(keys: DataFrame, prefix: str, column: str = "key") -> DataFrame:
+    """(log_name, versions) for display: ``log_versions`` with one list per log, as long as it has versions."""
+    return log_versions(keys, prefix, column).groupBy("log_name").agg(F.sort_array(F.collect_list("version")).alias("versions"))

@@ -9,10 +9,9 @@ from logweir.operators.extract import is_incomplete, missing_keys
 from logweir.plans.spec import SchemaSpec
 from logweir.sources.lines import document, is_document
 
-BAD_LINE = "line is not one JSON document"
-TOO_LARGE = "line is no JSON document, or larger than Spark's JSON parser takes"
+# Also the reason of a document that is larger than Spark's JSON parser takes, which the parser doesn't tell apart.
+BAD_LINE = "line is not one JSON document that can be parsed"
 MISSING_KEY = "required key missing"
-LARGE_LINE = 20_000_000  # Spark's parser takes texts of up to 20 million characters and documents of up to 128 MiB
 
 
 def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
@@ -24,15 +23,14 @@ def error_fields(docs: DataFrame, spec: SchemaSpec) -> list[Column]:
         for what, predicate in missing_keys(table, doc)
     ]
     bad_line = ~is_document(F.col("doc"))
-    too_large = bad_line & (F.octet_length("value") > LARGE_LINE)
-    detail = F.when(too_large, F.lit(TOO_LARGE)).when(bad_line, F.lit(BAD_LINE))
+    detail = F.when(bad_line, F.lit(BAD_LINE))
     if missing:
         detail = detail.otherwise(F.concat_ws("; ", *missing))
     return [
         F.current_timestamp(),
         F.col("file_path") if "file_path" in docs.columns else F.lit(None).cast("string"),
         F.lit(None).cast("bigint"),
-        F.when(too_large, F.lit(TOO_LARGE)).when(bad_line, F.lit(BAD_LINE)).otherwise(F.lit(MISSING_KEY)),
+        F.when(bad_line, F.lit(BAD_LINE)).otherwise(F.lit(MISSING_KEY)),
         detail,
         F.col("value"),
     ]

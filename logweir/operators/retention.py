@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweir.operators.evolve import BATCH, DAY, partition_columns, read_stored
+from logweir.operators.sinks import day_folder, write_table
 from logweir.plans.spec import TableSpec
-from logweir.session import fresh_folder
 from logweir.sources import files
 
-DAY = "data_date"
-
 
 def retention_column(table: TableSpec) -> str | None:
     """The sort key that dates the rows: the timestamp one, else the date one; None if there is neither."""
@@ -46,55 +45,52 @@ def keep_recent(rows: DataFrame, column: str, ttl_days: int) -> DataFrame:
 def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int | None) -> int:
     """Delete old rows of a table partitioned by day; returns how many.
 
-    Partitions that are old as a whole are dropped by path, only mixed ones are rewritten (through the shared
-    folder), the rest is not touched. Deleting nothing although it was due is an error.
+    Partitions that are old as a whole are dropped by path, only mixed ones are rewritten, the rest is not
+    touched. Rows are read by the spec, so a rewritten day has all of its columns. Deleting nothing although it was due
+    is an error.
     """
     column = retention_column(table)
-    if column is None or ttl_days is None or not files.glob(spark, f"{folder}/{DAY}=*"):
+    if column is None or ttl_days is None or DAY not in partition_columns(spark, folder):
         return 0
-    rows = spark.read.parquet(folder)
-    limit = cutoff(rows, column, ttl_days).first()["cutoff_day"]
+    rows = read_stored(spark, folder, table)
+    limit = cutoff(rows, column, ttl_days).first()["cutoff_day"]  # answered from the footers
     if limit is None:
         return 0
     old = F.col(column).cast("timestamp") < F.lit(limit).cast("timestamp")
-    per_day = (
-        rows.groupBy(DAY)
-        .agg(F.count_if(old).alias("n_old"), F.count("*").alias("n"))
-        .where("n_old > 0")
-        .collect()  # one row per affected day
-    )
-    deleted = sum(r["n_old"] for r in per_day)
-    if deleted <= 0:
+    # Row groups without old rows are skipped; only the days found are counted whole.
+    n_old = {r[DAY]: r["count"] for r in rows.where(old).groupBy(DAY).count().collect()}  # one row per affected day
+    if not n_old:
         raise ValueError(f"rows of {folder} should be old enough to go, but none is")
-    mixed = [r[DAY] for r in per_day if r["n_old"] < r["n"]]
-    whole = [r[DAY] for r in per_day if r["n_old"] == r["n"]]
+    affected = rows.where(in_days(list(n_old)))
+    n_all = {r[DAY]: r["count"] for r in affected.groupBy(DAY).count().collect()}
+    mixed = [day for day, n in n_old.items() if n < n_all[day]]
     if mixed:
-        kept = rows.where(F.col(DAY).isin(mixed) & F.coalesce(~old, F.lit(True)))
-        _replace_days(spark, kept, folder, table)
-    for day in whole:
-        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-        files.remove(spark, f"{folder}/{DAY}={name}")
-    return deleted
-
+        write_table(rows.where(in_days(mixed) & F.coalesce(~old, F.lit(True))), folder, table, mixed)
+    for day in n_old.keys() - set(mixed):
+        files.remove(spark, f"{folder}/{day_folder(day)}")
+    return sum(n_old.values())
 
-def _replace_days(spark: SparkSession, rows: DataFrame, folder: str, table: TableSpec) -> None:
-    """Overwrite the days of ``rows``, which were read from ``folder`` itself."""
-    from logweir.operators.sinks import write_table
 
-    aside = fresh_folder(spark, "rewrite")
-    rows.write.partitionBy(DAY).parquet(aside)
-    write_table(spark.read.parquet(aside), folder, table)
-    files.remove(spark, aside)
+def in_days(days: list) -> Column:
+    """The row's day is one of these; None stands for rows without a day."""
+    known = [d for d in days if d is not None]
+    return F.col(DAY).isin(known) | (F.col(DAY).isNull() if len(known) < len(days) else F.lit(False))
 
 
 def compact(spark: SparkSession, folder: str, table: TableSpec, days: list | None = None) -> None:
-    """Rewrite days (default: all) into files of the session's advisory size, in the table's layout."""
-    rows = spark.read.parquet(folder)
+    """Rewrite days (default: all) into files of the session's advisory size, in the table's layout.
+
+    Rows are read by the spec: files of older versions get the columns added since, with their defaults. The
+    batches that a stream wrote become one; its source must not replay them any more.
+    """
+    rows = read_stored(spark, folder, table)
     if days is not None:
-        rows = rows.where(F.col(DAY).isin(days))
+        rows = rows.where(in_days(days))
+    if BATCH in rows.columns:
+        rows = rows.withColumn(BATCH, F.lit(-1).cast("long"))
     if not table.distkeys:
         rows = rows.hint("rebalance", DAY)
-    _replace_days(spark, rows, folder, table)
+    write_table(rows, folder, table)
 
 
 def analyze(spark: SparkSession, names: list[str]) -> None:

@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 from dataclasses import replace
+from datetime import date
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from logweir.operators.extract import DeriveFunction, extract_tables, row_arrays, tagged_rows
+from logweir.operators.evolve import BATCH, DAY, reconcile
+from logweir.operators.extract import REJECTED, DeriveFunction, extract_tables, tagged_rows
 from logweir.operators.quarantine import error_fields, error_rows
-from logweir.plans.spec import ERROR_TABLE, SchemaSpec, TableSpec, error_table
+from logweir.plans.spec import ERROR_TABLE, SchemaSpec, SpecError, TableSpec, error_table
 from logweir.session import fresh_folder
 from logweir.sources import files
 from logweir.sources.psv import check_delimiter, psv_line
 
-DAY = "data_date"
+TABLE = "table"
+
+
+def data_error(stopped: Exception) -> str:
+    """The text of an error that bad data, an unreadable file or a bad spec has raised.
+
+    Anything else, a lost cluster or a full disk, is raised again and stops the run.
+    """
+    text = str(stopped)
+    if isinstance(stopped, (SpecError, AnalysisException, SparkRuntimeException)) or "[FAILED_READ_FILE" in text:
+        return text
+    raise stopped
 
 
 def psv_fan_out(docs: DataFrame, spec: SchemaSpec, delimiter: str = "|",
@@ -41,127 +56,130 @@ def psv_fan_out(docs: DataFrame, spec: SchemaSpec, delimiter: str = "|",
 def write_psv(fanned: DataFrame, folder: str, compression: str = "gzip") -> None:
     """One directory per table (below one per day when the frame has days), overwriting only those days."""
     days = [DAY] if DAY in fanned.columns else []
-    with open_writers(fanned.sparkSession):
-        (fanned.write.mode("overwrite").option("compression", compression)
-            .partitionBy(*days, "table").text(folder))
-
-
-@contextmanager
-def open_writers(spark: SparkSession, limit: int = 32):
-    """Let a task keep one file per partition value open instead of sorting all its rows by that value first.
-
-    Past the limit Spark sorts what is left, so this is no bound on the number of values.
-    """
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(limit))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    (fanned.write.mode("overwrite").option("compression", compression)
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*days, "table").text(folder))
 
 
-def laid_out(rows: DataFrame, table: TableSpec, gather_keys: bool = True) -> DataFrame:
+def laid_out(rows: DataFrame, table: TableSpec, partitions: list[str]) -> DataFrame:
     """Rows gathered by day and dist key, and sorted by the sort keys inside each partition.
 
     Without a dist key nothing is shuffled. ``rebalance`` lets adaptive execution split a hot key over several
-    tasks and merge small ones, which a plain ``repartition`` on the key would not. For a load of many days
-    ``gather_keys=False`` gathers by day alone and sorts by dist key inside each file: with the key, every task
-    would write a little of every day.
+    tasks and merge small ones, which a plain ``repartition`` on the key would not.
     """
-    days = [DAY] if DAY in rows.columns else []
-    order = days + list(table.sortkey_attr)
-    if table.distkeys and (gather_keys or not days):
-        rows = rows.hint("rebalance", *days, *table.distkeys)
-    elif table.distkeys:
-        rows = rows.hint("rebalance", *days)
-        order = days + table.distkeys + [k for k in table.sortkey_attr if k not in table.distkeys]
+    if table.distkeys:
+        rows = rows.hint("rebalance", *partitions, *table.distkeys)
+    order = [*partitions, *table.sortkey_attr]
     return rows.sortWithinPartitions(*order) if order else rows
 
 
-def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None, gather_keys: bool = True) -> None:
-    """Parquet below ``folder``; with a day column, exactly the days present in ``rows`` are replaced.
+def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None, days: list[date | None] | None = None) -> None:
+    """Parquet below ``folder``; a table with dist or sort keys is laid out by them.
 
-    A table with dist or sort keys is laid out by them; otherwise rows are written as they come.
+    With a day column, exactly the days of ``rows`` and those in ``days`` are replaced: a day in ``days`` for which there
+    are no rows has none afterwards. Rows are written beside the table first, then whole day directories change
+    places, so ``rows`` may come from ``folder`` itself. Without a day column the whole table is replaced.
     """
-    keyed = table is not None and (table.distkeys or table.sortkey_attr)
-    if keyed:
-        rows = laid_out(rows, table, gather_keys)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if DAY in rows.columns:
-        writer = writer.partitionBy(DAY)
-    if keyed:
-        writer.parquet(folder)
-    else:
-        with open_writers(rows.sparkSession):
-            writer.parquet(folder)
+    spark = rows.sparkSession
+    partitions = [c for c in (DAY, BATCH) if c in rows.columns]
+    if table is not None and (table.distkeys or table.sortkey_attr):
+        rows = laid_out(rows, table, partitions)
+    if DAY not in partitions:
+        rows.write.mode("overwrite").parquet(folder)
+        return
+    incoming = f"{folder}/_incoming-{uuid.uuid4().hex}"
+    rows.write.partitionBy(*partitions).parquet(incoming)
+    made = {path.rsplit("/", 1)[1]: path for path in files.glob(spark, f"{incoming}/{DAY}=*")}
+    for name in sorted({*made, *map(day_folder, days or [])}):
+        files.remove(spark, f"{folder}/{name}")
+        if name in made:
+            files.rename(spark, made[name], f"{folder}/{name}")
+    files.remove(spark, incoming)
+
+
+def day_folder(day: date | None) -> str:
+    """A day's partition directory."""
+    return f"{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+
+def typed_fan_out(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None) -> DataFrame:
+    """All rows of all tables in one pass: ``table``, and per table a struct column that is set in its rows.
+
+    Rejected documents become rows of the error table.
+    """
+    rows, columns_of = tagged_rows(docs, spec, metrics)
+    tag, name, structs = F.col("_tag"), F.lit(ERROR_TABLE), []
+    for n, (table_name, table) in enumerate(spec.tables.items()):
+        name = F.when(tag == n, F.lit(table_name)).otherwise(name)
+        values = F.struct(*[v.alias(c.out_name) for c, v in zip(table.columns, columns_of(n))])
+        structs.append(F.when(tag == n, values).alias(table_name))
+    error = F.struct(*[v.alias(c.out_name) for c, v in zip(error_table().columns, error_fields(docs, spec))])
+    carried = [F.col(DAY)] if DAY in docs.columns else []
+    return rows.select(*carried, name.alias(TABLE), *structs, F.when(tag == REJECTED, error).alias(ERROR_TABLE))
 
 
-def stage_columns(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None) -> DataFrame:
-    """One row per document: the rows of each table as an array, those of a rejected one in the error column."""
-    docs, accepted, arrays = row_arrays(docs, spec, metrics)
-    error = F.struct(*[v.alias(c.out_name) for c, v in zip(error_table().columns, error_fields(docs, spec))])
-    return docs.select(
-        *([F.col(DAY)] if DAY in docs.columns else []),
-        *[F.when(accepted, rows).alias(name) for name, rows in arrays.items()],
-        F.when(~accepted, F.array(error)).alias(ERROR_TABLE),
-    )
+def write_stage(docs: DataFrame, spec: SchemaSpec, folder: str, metrics: dict[str, DeriveFunction] | None = None) -> None:
+    """The rows of all tables, parsed once, one directory per table (and day below it when there are days)."""
+    fanned = typed_fan_out(docs, spec, metrics)
+    days = [DAY] if DAY in fanned.columns else []
+    fanned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TABLE, *days).parquet(folder)
+
+
+def staged_rows(spark: SparkSession, folder: str, name: str, table: TableSpec, with_days: bool) -> DataFrame:
+    """One table of a stage, by the spec's schema; empty where it has no rows."""
+    struct = T.StructType([T.StructField(c.out_name, c.data_type) for c in table.columns])
+    schema = T.StructType([T.StructField(name, struct), *([T.StructField(DAY, T.DateType())] if with_days else [])])
+    where = f"{folder}/{TABLE}={name}"
+    rows = spark.read.schema(schema).parquet(where) if files.exists(spark, where) else spark.createDataFrame([], schema)
+    return rows.select(F.col(f"`{name}`.*"), *([DAY] if with_days else []))
 
 
 def staged_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None,
                   folder: str | None = None) -> dict[str, DataFrame]:
-    """Parse once, write one typed frame, serve every table (and the error table) from it.
+    """Parse once, write one typed stage, serve every table (and the error table) from it.
 
-    The stage is a written table in the shared folder, so losing an executor does not mean parsing again. It holds
-    one row per document with a column per table, and each table reads only its own column.
+    The stage is a written table in the shared folder, so losing an executor does not mean parsing again.
     """
     spark = docs.sparkSession
     folder = folder or fresh_folder(spark, "stage")
     write_stage(docs, spec, folder, metrics)
-    stage = spark.read.parquet(folder)
-    return {n: staged_rows(stage, n) for n in [*spec.tables, ERROR_TABLE]}
-
-
-def write_stage(docs: DataFrame, spec: SchemaSpec, folder: str, metrics: dict[str, DeriveFunction] | None = None) -> None:
-    """The rows of every document, an array of structs per table, partitioned by day when there are days."""
-    staged = stage_columns(docs, spec, metrics)
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    with open_writers(docs.sparkSession):
-        (writer.partitionBy(DAY) if DAY in staged.columns else writer).parquet(folder)
+    days = DAY in docs.columns
+    return {n: staged_rows(spark, folder, n, t, days) for n, t in {**spec.tables, ERROR_TABLE: error_table()}.items()}
 
 
-def staged_rows(stage: DataFrame, name: str) -> DataFrame:
-    """One table of a stage. ``explode`` and not ``inline``, for which the whole column would be read."""
-    carried = [DAY] if DAY in stage.columns else []
-    return stage.select(*carried, F.explode(F.col(f"`{name}`")).alias("_row")).select(*carried, "_row.*")
+def stored_error_table() -> TableSpec:
+    """The error table as it is stored: in the order of the documents, not sorted."""
+    return replace(error_table(), sortkey_attr=())
 
 
 def load_tables(docs: DataFrame, spec: SchemaSpec, root: str, metrics: dict[str, DeriveFunction] | None = None,
-                stage: bool | None = None) -> list[dict]:
+                stage: bool = True, days: list[date] | None = None) -> list[dict]:
     """Write every table and the error table below ``root``; one result per table, stopping at the first failure.
 
-    Exactly the days of the documents (``data_date``) are replaced; documents without days replace the whole table.
-    With two or more tables the lines are parsed once into a stage (``stage=None`` decides by that), else the
-    single table and the error table are written from the lines directly.
+    Stored tables are reconciled with the spec first. The days of the rows and those in ``days`` are replaced exactly, in
+    every table; documents without days replace whole tables. With ``stage`` the lines are parsed once into a stage, and
+    a day with rows in any table is replaced in all of them; without it they are parsed once per table.
     """
-    if stage is None:
-        stage = len(spec.tables) > 1
-    folder = fresh_folder(docs.sparkSession, "stage") if stage else None
+    spark = docs.sparkSession
+    folder = fresh_folder(spark, "stage") if stage else None
     if stage:
         frames = staged_tables(docs, spec, metrics, folder)
+        if DAY in docs.columns:
+            seen = {path.rsplit("=", 1)[1] for path in files.glob(spark, f"{folder}/{TABLE}=*/{DAY}=*")}
+            days = [*(days or []), *(None if d.startswith("__") else date.fromisoformat(d) for d in sorted(seen))]
     else:
         frames = {**extract_tables(docs, spec, metrics), ERROR_TABLE: error_rows(docs, spec)}
     results = []
     for name, rows in frames.items():
-        table = spec.tables.get(name) or replace(error_table(), sortkey_attr=())
+        table = spec.tables.get(name) or stored_error_table()
         result = {"table_name": name, "status": "success", "error_info": None}
         try:
-            write_table(rows, f"{root}/{name}", table)
+            reconcile(spark, name, f"{root}/{name}", table)
+            write_table(rows, f"{root}/{name}", table, days)
         except Exception as failure:  # the step's outcome is data for the ledger
-            result.update(status="error", error_info=str(failure)[:256])
+            result.update(status="error", error_info=data_error(failure))
         results.append(result)
         if result["status"] == "error":
             break
     if folder:
-        files.remove(docs.sparkSession, folder)
+        files.remove(spark, folder)
     return results

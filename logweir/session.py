@@ -18,11 +18,13 @@ RESULT_SETTINGS = {
     # A rerun of one day replaces that day only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# A task keeps a file per partition value open instead of sorting its rows by that value; past this many it sorts.
+WRITER_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "32"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that the results depend on."""
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in {**RESULT_SETTINGS, **WRITER_SETTINGS}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -41,6 +43,7 @@ def scale_settings(shuffle_bytes: int, cores: int, partition_bytes: int = 128 *
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         **RESULT_SETTINGS,
+        **WRITER_SETTINGS,
     }
 
 
@@ -81,6 +84,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: computed once, and the same for everything that reads it."""
+    folder = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows held by the driver (days, prefixes, names) as a frame whose size Spark knows.
 

@@ -6,6 +6,8 @@ markers is metadata work; everything after it is joins of small frames of (prefi
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +36,17 @@ def marker_path(prefix: Column, day: Column, marker: str = COMPLETE) -> Column:
     return _joined(prefix, F.date_format(day, "yyyy/MM/dd"), F.lit(marker))
 
 
-def list_markers(spark: SparkSession, prefixes: list[str], marker: str = COMPLETE) -> DataFrame:
-    """(prefix, day) for every marker below the prefixes. Empty markers are fine, they are never read."""
+def list_markers(spark: SparkSession, prefixes: list[str], marker: str = COMPLETE, days: list[date] | None = None) -> DataFrame:
+    """(prefix, day) for markers below the prefixes, of all days or of ``days``. Empty markers are fine, they are never read.
+
+    The months of ``days`` are listed, not the whole history.
+    """
+    months = ["[0-9]*/[0-9]*"] if days is None else sorted({f"{d:%Y/%m}" for d in days})
     rows = []
     for prefix in prefixes:
-        for path in files.glob(spark, f"{prefix.rstrip('/')}/[0-9]*/[0-9]*/[0-9]*/{marker}"):
-            rows.append((prefix, "/".join(path.split("/")[-4:-1])))
+        for month in months:
+            for path in files.glob(spark, f"{prefix.rstrip('/')}/{month}/[0-9]*/{marker}"):
+                rows.append((prefix, "/".join(path.split("/")[-4:-1])))
     found = small_frame(spark, rows, "prefix string, day_text string")
     return found.select("prefix", F.try_to_timestamp("day_text", F.lit("yyyy/MM/dd")).cast("date").alias("day"))
 

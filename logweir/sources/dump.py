@@ -49,7 +49,9 @@ def parse_inserts(lines: DataFrame, value: str = "value") -> DataFrame:
         F.explode(F.array(F.struct(names.alias("names"), tokens.alias("tokens")))).alias("_insert"),
     )
     row = F.map_from_arrays(F.col("_insert.names"), F.transform(F.col("_insert.tokens"), _unquoted))
-    whole = (F.col("table_name") != "") & (F.size("_insert.names") == F.size("_insert.tokens"))
+    # A repeated column name makes the row ambiguous: quarantined like any other line that is no row.
+    whole = (F.col("table_name") != "") & (F.size("_insert.names") == F.size("_insert.tokens")) & (
+        F.size(F.array_distinct("_insert.names")) == F.size("_insert.names"))
     marked = F.array(F.to_variant_object(row), F.lit(END_MARK).cast("bigint").cast("variant"))
     return shaped.select(
         *[c for c in shaped.columns if c != "_insert"],

@@ -33,3 +33,33 @@ def touch(spark: SparkSession, path: str) -> None:
     """An empty marker file."""
     fs, where = _file_system(spark, path)
     fs.create(where, True).close()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a path that does not exist yet."""
+    fs, where = _file_system(spark, source)
+    fs.mkdirs(_file_system(spark, target)[1].getParent())
+    if not fs.rename(where, _file_system(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced as a whole."""
+    fs, where = _file_system(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    fs, where = _file_system(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

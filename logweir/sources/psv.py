@@ -89,8 +89,8 @@ def split_fields(line: Column, delimiter: str = "|") -> Column:
     return F.when(F.instr(line, "\\") == 0, F.split(line, bar, -1)).otherwise(careful)
 
 
-def _cut(text: Column, column: ColumnSpec, unit: str) -> Column:
-    return truncate_text(text, column.char_width, unit) if column.char_width else text
+def _cut(text: Column, column: ColumnSpec, unit: str | None) -> Column:
+    return truncate_text(text, column.char_width, unit) if unit and column.char_width else text
 
 
 def truncate_text(text: Column, width: int, unit: str = "characters") -> Column:
@@ -105,10 +105,11 @@ def truncate_text(text: Column, width: int, unit: str = "characters") -> Column:
 
 
 def from_psv(lines: DataFrame, table: TableSpec, delimiter: str = "|", value: str = "value",
-             truncate: str = "characters", strict: bool = True) -> DataFrame:
+             truncate: str | None = None, strict: bool = True) -> DataFrame:
     """Typed rows from lines in spec order (noop columns are not in the file and come back NULL).
 
-    A field that does not fit its type becomes NULL, text wider than ``char(n)`` is cut. With ``strict`` a
+    A field that does not fit its type becomes NULL. Text is kept whole; with ``truncate`` ("characters" or "bytes") what is
+    wider than ``char(n)`` is cut to n of these. With ``strict`` a
     line with the wrong number of fields stops the job; otherwise missing fields are NULL.
     """
     check_delimiter(delimiter)

@@ -1,4 +1,4 @@
-"""Status audit on a stream: illegal status changes, with the last status per job carried between batches."""
+"""Status audit on a stream: illegal status changes, also when files arrive late or out of order."""
 
 from __future__ import annotations
 
@@ -6,42 +6,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logweir.operators.ledger import illegal_transitions, transitions
-from logweir.sources import files
+from logweir.operators.ledger import illegal_transitions, transitions, without_time
 
 
 def audit_stream(events: DataFrame, order: list[str], root: str, checkpoint: str,
                  interval: str | None = None) -> StreamingQuery:
-    """Write the illegal changes of each batch to ``<root>/illegal`` and the last statuses to ``<root>/last``.
+    """Keep the events below ``<root>/events`` and the status changes they make below ``<root>/changes``, by batch.
 
-    Inside a batch the changes come from ``transitions``, which never sorts a whole job in one task; keyed
-    streaming state would put all events of a hot job through one. What is carried over is one row per job,
-    written under the batch's own id, so a replayed batch starts from the same state.
+    A late event makes two changes out of one, so a batch derives the changes of its jobs anew from the last event
+    before its own first one on; for events in order that is the batch and one event per job. ``audited`` takes the newest
+    word on each event. Nothing is held in memory between batches, and a replayed batch writes the same. Events without
+    a time go to ``<root>/untimed``.
     """
+    fields = ["job_id", "status", *order]
+    schema = events.select(*fields).schema
+
     def audit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _last_before(batch, root, batch_id)
-        changes = transitions(batch, order, first_from=known)
-        illegal_transitions(changes).write.mode("overwrite").parquet(
-            f"{root}/illegal/batch_id={batch_id}"
-        )
-        seen = batch.groupBy("job_id").agg(F.max_by("status", F.struct(*order)).alias("status"))
-        if known is not None:
-            seen = seen.unionByName(known.join(seen, "job_id", "left_anti"))
-        seen.write.mode("overwrite").parquet(f"{root}/last/batch_id={batch_id}")
+        batch = batch.select(*fields)
+        without_time(batch, order).write.mode("overwrite").parquet(f"{root}/untimed/batch_id={batch_id}")
+        batch.where(F.col(order[0]).isNotNull()).write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
+        history = spark.read.schema(schema.simpleString()[7:-1].replace(":", " ") + ", batch_id long").parquet(f"{root}/events")
+        history = history.where(F.col("batch_id") <= batch_id)  # a replay must not see later batches
+        place = F.struct(*order)
+        first = history.where(F.col("batch_id") == batch_id).groupBy("job_id").agg(F.min(place).alias("first"))
+        of_jobs = history.join(first, "job_id")
+        before = of_jobs.where(place < F.col("first")).groupBy("job_id").agg(F.max(place).alias("before"))
+        near = of_jobs.join(before, "job_id", "left").where(place >= F.coalesce("before", "first"))
+        changes = transitions(near.select(*fields), order).join(first, "job_id").where(place >= F.col("first")).drop("first")
+        changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
 
     writer = events.writeStream.foreachBatch(audit).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
-def _last_before(batch: DataFrame, root: str, batch_id: int) -> DataFrame | None:
-    """The newest finished state older than this batch."""
-    written = files.glob(batch.sparkSession, f"{root}/last/batch_id=*/_SUCCESS")
-    ids = [int(path.split("batch_id=")[1].split("/")[0]) for path in written]
-    older = [i for i in ids if i < batch_id]
-    return batch.sparkSession.read.parquet(f"{root}/last/batch_id={max(older)}") if older else None
-
-
-def audited(spark: SparkSession, root: str) -> DataFrame:
-    """The illegal changes found so far."""
-    return spark.read.parquet(f"{root}/illegal").drop("batch_id")
+def audited(spark: SparkSession, root: str, order: list[str]) -> DataFrame:
+    """The illegal changes as far as events are known."""
+    changes = spark.read.parquet(f"{root}/changes")
+    newest = changes.groupBy("job_id", *order).agg(F.max_by(F.struct("from_status", "to_status"), "batch_id").alias("_newest"))
+    return illegal_transitions(newest.select("job_id", *order, "_newest.*"))

@@ -19,6 +19,11 @@ def daily_counts(events: DataFrame, column: str = "ts", delay: str = DELAY) -> D
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows a query has left out because their day was final already."""
+    return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"])
+
+
 def write_final_days(counts: DataFrame, folder: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Append days to a Parquet folder as they become final."""
     writer = counts.writeStream.outputMode("append").format("parquet").option("path", folder)

@@ -1,15 +1,16 @@
-"""File-stream ingest: each new file is parsed once and routed to all tables and to the error table."""
+"""File-stream ingest: each new file is routed to all tables and to the error table, by day where paths hold one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logweir.operators.extract import DeriveFunction
-from logweir.operators.sinks import staged_tables
+from logweir.operators.evolve import BATCH, DAY, read_stored, reconcile
+from logweir.operators.extract import DeriveFunction, extract_tables
+from logweir.operators.quarantine import error_rows
+from logweir.operators.sinks import laid_out, stored_error_table
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec
-from logweir.session import fresh_folder
-from logweir.sources import files
 from logweir.sources.lines import parse_lines, with_file_columns
 
 
@@ -18,29 +19,35 @@ def ingest_stream(spark: SparkSession, source: str, spec: SchemaSpec, root: str,
                   max_files_per_batch: int | None = None, interval: str | None = None) -> StreamingQuery:
     """Start the ingest of text files below ``source``.
 
-    Without an ``interval`` it takes what is there and stops. Batches can be replayed after a failure, so each
-    one owns a ``batch_id`` partition that a replay overwrites.
+    With a ``day_pattern`` the tables are partitioned by day like those of a batch load, and below it by batch, in the spec's
+    layout; retention and compaction work on them. Without an ``interval`` it takes what is there and stops.
+    Batches can be replayed after a failure, so each one owns its ``batch_id`` partitions, which a replay overwrites.
     """
     reader = spark.readStream.format("text").option("lineSep", "\n")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     lines = with_file_columns(reader.load(source), day_pattern)
+    tables = {**spec.tables, ERROR_TABLE: stored_error_table()}
+    for name, table in tables.items():
+        reconcile(spark, name, f"{root}/{name}", table)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stage = fresh_folder(batch.sparkSession, "stage")
-        for name, rows in staged_tables(parse_lines(batch), spec, metrics, stage).items():
-            rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-        files.remove(batch.sparkSession, stage)
+        docs = parse_lines(batch)
+        for name, rows in {**extract_tables(docs, spec, metrics), ERROR_TABLE: error_rows(docs, spec)}.items():
+            partitions = [c for c in (DAY,) if c in rows.columns] + [BATCH]
+            rows = laid_out(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), tables[name], partitions)
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(f"{root}/{name}")
 
     writer = lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def ingested(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table that ``ingest_stream`` filled."""
-    return spark.read.parquet(f"{root}/{name}").drop("batch_id")
+def ingested(spark: SparkSession, root: str, spec: SchemaSpec, name: str) -> DataFrame:
+    """A table that ``ingest_stream`` filled, as the spec sees it."""
+    table = stored_error_table() if name == ERROR_TABLE else spec.tables[name]
+    return read_stored(spark, f"{root}/{name}", table).drop(BATCH)
 
 
-def ingested_errors(spark: SparkSession, root: str) -> DataFrame:
-    return ingested(spark, root, ERROR_TABLE)
+def ingested_errors(spark: SparkSession, root: str, spec: SchemaSpec) -> DataFrame:
+    return ingested(spark, root, spec, ERROR_TABLE)

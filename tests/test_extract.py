@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logweir.operators import checks, sinks
 from logweir.operators.extract import extract_table, extract_tables
-from logweir.operators.quarantine import error_rows
+from logweir.operators.quarantine import BAD_LINE, error_rows
 from logweir.plans.spec import SchemaSpec, SpecError, TableSpec
 from logweir.sources.lines import document, is_document, parse_lines
 from test_spec import TWO_TABLES
@@ -30,7 +30,7 @@ def rows(frame):
     return [tuple(r) for r in frame.collect()]
 
 
-SEARCH = {"search": {"actions": [{"test": 1}], "results": [{"business_id": 1}, {"business_id": 2}]}, "session_info": {"agent": "iOS"}}
+TRIP = {"trip": {"legs": [{"km": 4.5, "by": "foot"}, {"km": 310, "by": "rail"}, {"by": "boat"}], "paid": True}, "who": {"badge": "Q7"}}
 
 
 @pytest.mark.parametrize("text, path, value, absent, null", [
@@ -68,11 +68,11 @@ def test_last_duplicate_key_wins(spark):
 
 
 def test_dict_list_foreign_and_index(spark):
-    listed = table("search.results", "list", col("index", "smallint not null", is_mandatory=True), col("business_id", "int8"),
-                   col("session_info.agent", name="agent", is_foreign=True))
-    assert rows(extract_table(docs(spark, SEARCH), listed)) == [(0, 1, "iOS"), (1, 2, "iOS")]
-    whole = table("search", "dict", col("results", "varchar(65535)", is_json=True), col("hole", "int4", is_noop=True))
-    assert rows(extract_table(docs(spark, SEARCH), whole)) == [('[{"business_id":1},{"business_id":2}]', None)]
+    legs = table("trip.legs", "list", col("index", "smallint not null", is_mandatory=True), col("by"), col("km", "float8"),
+                 col("who.badge", name="badge", is_foreign=True))
+    assert rows(extract_table(docs(spark, TRIP), legs)) == [(0, "foot", 4.5, "Q7"), (1, "rail", 310.0, "Q7"), (2, "boat", None, "Q7")]
+    whole = table("trip", "dict", col("paid", "bool"), col("legs", "varchar(65535)", is_json=True), col("hole", "int4", is_noop=True))
+    assert rows(extract_table(docs(spark, TRIP), whole)) == [(True, '[{"by":"foot","km":4.5},{"by":"rail","km":310},{"by":"boat"}]', None)]
 
 
 def test_list_corner_cases(spark):
@@ -99,7 +99,16 @@ def test_blob(spark):
     blob = table("", "dict", col("x", "varchar(65535)", is_json=True))
     fits, too_long = "a" * 65533, "a" * 65534
     got = rows(extract_table(docs(spark, {"x": {"b": 1, "a": [1.5, "q\"é"]}}, {"x": None}, {}, {"x": fits}, {"x": too_long}), blob))
-    assert got == [('{"a":[1.5,"q\\"é"],"b":1}',), ("null",), ("null",), (f'"{fits}"',), (None,)]
+    assert got == [('{"a":[1.5,"q\\"é"],"b":1}',), ("null",), ("null",), (f'"{fits}"',), (f'"{too_long}"',)]
+    frame = docs(spark, {"x": fits}, {"x": too_long})
+    assert rows(extract_table(frame, blob, json_limit=65535)) == [(f'"{fits}"',), (None,)]
+    assert rows(checks.over_limit(extract_table(frame, blob), blob, "t", 65535)) == [("t", "x", 1)]
+
+
+def test_times_out_of_range_are_counted(spark):
+    spec = SchemaSpec({"d": table("", "dict", col("t", "TIMESTAMP")), "l": table("l", "list", col("ms", "timestamp"), col("v", "int8"))})
+    frame = docs(spark, {"t": 10**12, "l": [{"ms": 5}, {"ms": 10**17}]}, {"t": 5}, {"t": -(10**12), "l": [{"ms": 10**18}]})
+    assert sorted(rows(checks.times_out_of_range(frame, spec))) == [("d", "t", 2), ("l", "ms", 2)]
 
 
 def test_scalars_as_text(spark):
@@ -131,12 +140,12 @@ def test_mandatory(spark):
     errors = error_rows(docs(spark, *lines), need).select("error_reason", "error_detail", "raw_line", "line_number")
     assert rows(errors) == [
         ("required key missing", "t: search: a.b", '{"search": {"b": null}}', None),
-        ("line is not one JSON document", "line is not one JSON document", "bad", None)]
+        (BAD_LINE, BAD_LINE, "bad", None)]
     with pytest.raises(PySparkException, match="required key missing: t: search: a.b"):
         extract_tables(docs(spark, *lines[:4]), need, on_error="fail")["t"].collect()
 
 
-@pytest.mark.parametrize("mebibytes, reason", [(19, None), (20, "line is no JSON document, or larger than Spark's JSON parser takes")])
+@pytest.mark.parametrize("mebibytes, reason", [(19, None), (20, BAD_LINE)])
 def test_huge_documents(spark, mebibytes, reason):
     """Up to Spark's limit a text is extracted whole; beyond it the whole line is in the error table."""
     text = F.concat(F.lit('{"a":"'), F.repeat(F.lit("x" * 1024), F.lit(mebibytes * 1024)), F.lit('"}'))
@@ -193,9 +202,9 @@ def test_all_outputs_agree(spark, tmp_path):
 
     spec = parse_spec(TWO_TABLES)
     lines = [
-        {"foo": {"request_id": f"r|{i}", "start_time": i, "list": [1] * (i % 3)}, "bar": {"client": "c\\\n", "experiments": {"e": i}}}
+        {"voyage": {"number": f"n|{i}", "sailed": i, "ports": [{"harbour": f"h{k}"} for k in range(i % 3)]}, "ship": {"flag": "f\\\n", "crew": {"cooks": i}}}
         for i in range(1, 8)
-    ] + ["broken", {"foo": {"list": [1]}}]
+    ] + ["broken", {"voyage": {"ports": [{}]}}]
     frame = docs(spark, *lines).withColumn("file_path", F.lit("f"))
     direct = {**extract_tables(frame, spec), "pipeline_errors": error_rows(frame, spec)}
     staged = sinks.staged_tables(frame, spec)

@@ -1,6 +1,7 @@
-"""Ledger questions, with the case tables of the survey."""
+"""Ledger questions: against plain walks, and single cases."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -17,17 +18,30 @@ def day(number):
     return dt.date(2014, 7, number)
 
 
-@pytest.mark.parametrize("retry, statuses, expected, start", [
-    (False, {1: None, 2: "error", 3: None}, [1], 1), (True, {1: None, 2: "error", 3: None}, [1, 2, 3], 1), (False, {3: None}, [], 1),
-    (False, {1: None, 3: None}, [1], 1), (False, {1: None, 2: None}, [1, 2], 1), (True, {1: None, 2: "error"}, [1, 2], 1),
-    (False, {5: None}, [5], 5), (False, {1: "complete", 2: "running", 3: None}, [3], 1), (False, {1: None, 2: None}, [2], 2),
-])
-def test_frontier(spark, retry, statuses, expected, start):
-    rows = [("j", day(n), s) for n, s in statuses.items()] + [("other", day(start), None)]
+def frontier_by_walking(days: dict, start: int, retry: bool) -> list[int]:
+    """The rule as a loop: from the start on day by day, until a day is missing or an error stands in the way."""
+    found, at = [], start
+    while at in days:
+        if days[at] == "error" and not retry:
+            break
+        if days[at] in (None, "error"):
+            found.append(at)
+        at += 1
+    return found
+
+
+@pytest.mark.parametrize("retry", [False, True])
+def test_frontier_of_random_ledgers(spark, retry):
+    """300 jobs, each with some of the days 1 to 9 in random states."""
+    rng = random.Random(retry)
+    ledgers = {f"job {n}": {k: rng.choice([None, None, "complete", "running", "error"]) for k in range(1, 10) if rng.random() < 0.85} for n in range(300)}
+    rows = [(job, day(k), status) for job, days in ledgers.items() for k, status in days.items()]
     frame = spark.createDataFrame(rows, "job_id string, day date, load_status string")
-    got = ledger.load_frontier(frame, F.lit(day(start)), retry).collect()
-    assert sorted(r.day.day for r in got if r.job_id == "j") == expected
-    assert [r.day for r in got if r.job_id == "other"] == [day(start)]
+    for start in (1, 4):
+        got = {}
+        for r in ledger.load_frontier(frame, F.lit(day(start)), retry).collect():
+            got.setdefault(r.job_id, []).append(r.day.day)
+        assert {j: sorted(x) for j, x in got.items()} == {j: x for j, days in ledgers.items() if (x := frontier_by_walking(days, start, retry))}
 
 
 def test_frontier_of_a_single_day(spark):
@@ -48,25 +62,34 @@ def test_stand_in_status_feeds_the_frontier(spark):
     assert ledger.load_frontier(status, F.lit(day(1))).count() == 8
 
 
-@pytest.mark.parametrize("rows, end, expected", [
-    ([], None, ("error", None, None)),
-    ([("2014-09-01", "success"), ("2014-09-02", "success")], None, ("success", "2014-09-02", None)),
-    ([("2014-09-01", "success"), ("2014-09-02", "success")], "2014-09-02", ("complete", "2014-09-02", None)),
-    ([("2014-09-30", "success"), ("2014-10-01", "error")], "2014-10-01", ("error", "2014-09-30", "why 1")),
-    ([("2014-09-30", "success"), ("2014-10-01", "error"), ("2014-10-02", "success")], None, ("error", "2014-09-30", "why 1")),
-    ([("2014-09-30", "success"), ("2014-10-01", "success"), ("2014-10-01", "error")], None, ("error", "2014-09-30", "why 2")),
-    ([("2014-09-30", "success"), ("2014-10-01", "unknown")], None, ("error", "2014-09-30", "why 1")),
-    ([("2014-09-30", "success"), ("2014-10-01", "cancelled"), ("2014-10-01", "error")], "2014-09-30", ("success", "2014-09-30", None)),
-    ([("2014-09-30", "error")], None, ("error", None, "why 0")),
-])
-def test_fold(spark, rows, end, expected):
-    results = [("j", d(day_), n, status, f"why {n}") for n, (day_, status) in enumerate(rows)]
-    frame = spark.createDataFrame(results, "job_id string, day date, seq int, status string, error_info string")
-    ends = spark.createDataFrame([("j", d(end))], "job_id string, end_date date")
-    got = ledger.result_fold(frame, ends).first()
-    assert (got.status, str(got.last_ok_day) if got.last_ok_day else None, got.error_info) == expected
-    if rows and end is None:
-        assert ledger.result_fold(frame).first() == got
+def fold_by_walking(results: list, end) -> tuple:
+    """The rule as a loop over the days in order; results are (day, seq, status, info)."""
+    if not results:
+        return "error", None, None
+    good = None
+    for this in sorted({r[0] for r in results}):
+        of_day = sorted(r for r in results if r[0] == this)
+        broken = next((r for r in of_day if r[2] != "success"), None)
+        if broken:
+            return ("error", good, broken[3]) if broken[2] in ("error", "unknown") else ("success", good, None)
+        good = this
+    return ("complete" if good == end else "success"), good, None
+
+
+def test_fold_of_random_results(spark):
+    """400 jobs with up to 8 results over 5 days; some end on a day of theirs, some have no result at all."""
+    rng, rows, ends, want = random.Random(11), [], [], {}
+    for n in range(400):
+        made = [(day(rng.randint(1, 5)), seq, rng.choice(["success"] * 7 + ["error", "unknown", "cancelled"]), f"info {n}/{seq}") for seq in range(rng.randint(0, 8))]
+        end = rng.choice([None, *(day(k) for k in range(1, 6))])
+        rows += [(f"job {n}", *r) for r in made]
+        ends.append((f"job {n}", end))
+        want[f"job {n}"] = fold_by_walking(made, end)
+    frame = spark.createDataFrame(rows, "job_id string, day date, seq int, status string, error_info string")
+    got = ledger.result_fold(frame, spark.createDataFrame(ends, "job_id string, end_date date")).collect()
+    assert {r.job_id: (r.status, r.last_ok_day, r.error_info) for r in got} == want
+    open_end = {r.job_id: (r.status, r.last_ok_day) for r in ledger.result_fold(frame).collect()}
+    assert open_end == {j: ("success" if w[0] == "complete" else w[0], w[1]) for j, w in want.items() if j in open_end}
 
 
 @pytest.mark.parametrize("records, expected", [
@@ -191,13 +214,16 @@ def brute_transitions(rows, initial="null"):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bucket", ["1 second", "10 minutes", "30 days"])
-def test_transitions_against_a_walk(spark, bucket):
-    kinds = list(ledger.LEGAL_TRANSITIONS)
-    rows = [(i % 3 if i % 2 else 0, kinds[(i * 7 + i // 5) % len(kinds)], NOW + dt.timedelta(seconds=(i * 37) % 5000), i) for i in range(600)]
-    frame = spark.createDataFrame(rows, "job_id int, status string, at timestamp, n int")
-    changes = ledger.transitions(frame, ["at", "n"], bucket=bucket)
+@pytest.mark.parametrize("slot_rows", [1, 50, 10**6])
+def test_transitions_against_a_walk(spark, slot_rows, monkeypatch):
+    """However a job's time is cut into slots: a burst at one instant, NULL statuses, events without a time."""
+    monkeypatch.setattr(ledger, "SLOT_ROWS", slot_rows)
+    kinds = [*ledger.LEGAL_TRANSITIONS, None]
+    rows = [(i % 3 if i % 2 else 0, kinds[(i * 7 + i // 5) % len(kinds)], NOW + dt.timedelta(seconds=0 if i % 4 == 0 else (i * 37) % 5000), i) for i in range(600)]
+    frame = spark.createDataFrame([*rows, (0, "running", None, 600), (1, None, None, 601)], "job_id int, status string, at timestamp, n int")
+    changes = ledger.transitions(frame, ["at", "n"])
     got = sorted((r.job_id, r.n, r.from_status, r.to_status) for r in changes.collect())
-    assert got == brute_transitions(rows)
+    assert got == brute_transitions([(j, s or "null", at, n) for j, s, at, n in rows])
     bad = sorted((r.job_id, r.n, r.from_status, r.to_status) for r in ledger.illegal_transitions(changes).collect())
     assert bad == [t for t in got if t[3] not in ledger.LEGAL_TRANSITIONS[t[2]]]
+    assert sorted(r.n for r in ledger.without_time(frame, ["at", "n"]).collect()) == [600, 601]

@@ -24,10 +24,10 @@ def test_escape(spark, plain, escaped):
 
 
 def test_rows(spark):
-    frame = spark.createDataFrame([("B", None, 1)], "b string, c string, a int")
-    assert psv.to_psv(frame).first()[0] == "1|B|"
-    assert psv.to_psv(frame, ["c", "a"]).first()[0] == "|1"
-    assert psv.to_psv(frame, ["b", "a"], "\x1e").first()[0] == "B\x1e1"
+    frame = spark.createDataFrame([(None, "dune", 42, True)], "remark string, place string, depth int, wet boolean")
+    assert psv.to_psv(frame).first()[0] == "42|dune||true"
+    assert psv.to_psv(frame, ["wet", "remark", "place"]).first()[0] == "true||dune"
+    assert psv.to_psv(frame, ["place", "depth"], "\x1e").first()[0] == "dune\x1e42"
     with pytest.raises(KeyError):
         psv.to_psv(frame, ["zz"])
     with pytest.raises(ValueError, match="record separator"):
@@ -56,7 +56,9 @@ def test_long_fields(spark, body):
 def test_typed_load(spark):
     lines = spark.createDataFrame([("5|é\\|éé|1500|true|2.5|x",), ("x||||\x00|",)], "value string")
     t = table(("i", "int2"), ("s", "varchar(3)"), ("t", "TIMESTAMP"), ("b", "bool"), ("f", "float8"), ("z", "varchar(9)"))
-    got = [tuple(r) for r in psv.from_psv(lines, t).withColumn("t", F.unix_millis("t")).collect()]
+    whole = psv.from_psv(lines, t).first()
+    assert whole.s == "é|éé"
+    got = [tuple(r) for r in psv.from_psv(lines, t, truncate="characters").withColumn("t", F.unix_millis("t")).collect()]
     assert got == [(5, "é|é", 1500, True, 2.5, "x"), (None, "", None, None, None, "")]
 
 

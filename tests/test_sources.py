@@ -83,11 +83,33 @@ def test_run_days(spark, tmp_path):
                    (d1, "load", "ids", "success"), (d1, "load", "pipeline_errors", "success")]
     assert [tuple(r) for r in day_runs.loaded_counts(spark, spec, f"{tmp_path}/out").collect()] == [(d1, "ids", 1)]
     files.touch(spark, f"{tmp_path}/in/2014/01/02/COMPLETE")
-    assert {r.status for r in day_runs.run_days(*args).collect()} == {"success"}
+    again = [tuple(r)[:4] for r in day_runs.run_days(*args).collect()]
+    assert {r[3] for r in again} == {"success"} and [r[0] for r in again if r[1:3] == ("load", "ids")] == [d2, d3]
+    assert {r.step for r in day_runs.run_days(*args).collect()} == {"et"}  # nothing is left to load
     counts = day_runs.loaded_counts(spark, spec, f"{tmp_path}/out").collect()
     assert sorted(tuple(r) for r in counts) == [(d1, "ids", 1), (d2, "ids", 2), (d3, "ids", 3)]
 
 
+def test_a_day_whose_data_stops_the_load(spark, tmp_path):
+    """Day 2 fails in the load: day 1 is loaded, 2 is reported, 3 waits; a mended day goes on from there."""
+    for n in (1, 2, 3):
+        write_day(tmp_path / "in", f"2014/01/0{n}", range(n))
+    spec = SchemaSpec({"ids": IDS})
+    days, where = [dt.date(2014, 1, n) for n in (1, 2, 3)], (f"{tmp_path}/stage", f"{tmp_path}/out")
+    day_runs.extract_days(spark, spec, [f"{tmp_path}/in"], days, where[0])
+    broken = files.glob(spark, f"{day_runs.stage_of(where[0], spec)}/rows/table=ids/data_date=2014-01-02/part-*")[0]
+    good = open(broken.removeprefix("file:"), "rb").read()
+    files.remove(spark, broken)
+    open(broken.removeprefix("file:"), "wb").write(b"no parquet at all")
+    args = (spark, spec, [f"{tmp_path}/in"], days[0], days[2], *where)
+    got = [(r.day.day, r.table_name, r.status) for r in day_runs.run_days(*args).where("step = 'load'").collect()]
+    assert got == [(1, "ids", "success"), (1, "pipeline_errors", "success"), (2, "ids", "error")]
+    assert day_runs.run_days(*args, retry_errors=False).where("step = 'load'").count() == 0
+    open(broken.removeprefix("file:"), "wb").write(good)
+    got = [(r.day.day, r.status) for r in day_runs.run_days(*args).where("step = 'load' AND table_name = 'ids'").collect()]
+    assert got == [(2, "success"), (3, "success")]
+
+
 @pytest.mark.parametrize("batches", [[[1], [2], [3], [4], [5]], [[1, 2], [3, 4, 5]], [[1, 2, 3, 4, 5]]])
 def test_retention_while_loading(spark, tmp_path, batches):
     """However the days are batched, three days stay besides the one just loaded."""

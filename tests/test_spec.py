@@ -7,26 +7,27 @@ from logweir.plans import spec as sp
 from logweir.plans.paths import split_path, step_text
 
 TWO_TABLES = """
-version: 25
+version: 8
 tables:
-  table_1:
-    src: foo
+  voyages:
+    src: voyage
     src_type: dict
     columns:
-    - {is_foreign: true, log_key: bar.client, name: client, sql_attr: varchar(13)}
-    - {is_foreign: true, is_json: true, log_key: bar.experiments, name: experiments, sql_attr: varchar(65535)}
-    - {log_key: request_id, sql_attr: varchar(16) distkey}
-    - {log_key: start_time, sql_attr: TIMESTAMP not null}
-    - {is_derived: true, name: __source_filename__, sql_attr: varchar(4096)}
-    sortkey_attr: [start_time]
-  table_2:
-    src: foo.list
+    - {log_key: ship.flag, name: flag, sql_attr: varchar(21), is_foreign: true}
+    - {log_key: ship.crew, name: crew, sql_attr: varchar(65535), is_foreign: true, is_json: true}
+    - {log_key: number, sql_attr: varchar(12) distkey}
+    - {log_key: sailed, sql_attr: TIMESTAMP not null}
+    - {name: __source_filename__, sql_attr: varchar(4096), is_derived: true}
+    sortkey_attr: [sailed]
+  ports:
+    src: voyage.ports
     src_type: list
     columns:
-    - {is_mandatory: true, log_key: index, sql_attr: smallint not null}
-    - {is_foreign: true, log_key: foo.request_id, name: foo_request_id, sql_attr: varchar(16) distkey}
-    - {is_foreign: true, is_mandatory: true, log_key: foo.start_time, name: foo_start_time, sql_attr: TIMESTAMP not null}
-    sortkey_attr: [foo_start_time]
+    - {log_key: index, sql_attr: smallint not null, is_mandatory: true}
+    - {log_key: harbour, sql_attr: varchar(40)}
+    - {log_key: voyage.number, name: voyage_number, sql_attr: varchar(12) distkey, is_foreign: true}
+    - {log_key: voyage.sailed, name: voyage_sailed, sql_attr: TIMESTAMP not null, is_foreign: true, is_mandatory: true}
+    sortkey_attr: [voyage_sailed]
 """
 
 
@@ -37,28 +38,28 @@ def table(*columns, **more):
 
 def test_two_table_spec():
     spec = sp.parse_spec(TWO_TABLES)
-    assert spec.identity == "table_1 table_2 25"
-    first = spec.tables["table_1"]
-    assert [c.out_name for c in first.columns] == ["client", "experiments", "request_id", "start_time", "__source_filename__"]
-    assert first.distkeys == ["request_id"]
-    assert first.struct_type["start_time"] == T.StructField("start_time", T.TimestampType(), False)
-    assert first.columns[0].char_width == 13 and first.columns[3].char_width is None
-    assert spec.tables["table_2"].struct_type["index"].dataType == T.ShortType()
+    assert spec.identity == "ports voyages 8"
+    first = spec.tables["voyages"]
+    assert [c.out_name for c in first.columns] == ["flag", "crew", "number", "sailed", "__source_filename__"]
+    assert first.distkeys == ["number"]
+    assert first.struct_type["sailed"] == T.StructField("sailed", T.TimestampType(), False)
+    assert first.columns[0].char_width == 21 and first.columns[3].char_width is None
+    assert spec.tables["ports"].struct_type["index"].dataType == T.ShortType()
     assert sp.SchemaSpec.from_dict(spec.to_dict()) == spec
     assert sp.parse_spec(sp.spec_text(spec)) == spec
 
 
 def test_old_style_versions():
     column = {"log_key": "id", "sql_attr": "int8 not null"}
-    raw = {n: {"version": v, "src": "", "src_type": "dict", "columns": [column]} for n, v in (("bbbb", 2), ("aaaa", 1), ("cccc", 3))}
+    raw = {n: {"version": v, "src": "", "src_type": "dict", "columns": [column]} for n, v in (("reefs", 4), ("buoys", 9), ("tides", 2))}
     spec = sp.SchemaSpec.from_dict(raw)
-    assert spec.version == 3
-    assert spec.identity == "aaaa: 1 bbbb: 2 cccc: 3"
+    assert spec.version == 9
+    assert spec.identity == "buoys: 9 reefs: 4 tides: 2"
 
 
 def test_new_style_identity():
-    spec = sp.SchemaSpec({n: table() for n in ("cccc", "aaaa", "bbbb")}, 2)
-    assert spec.identity == "aaaa bbbb cccc 2"
+    spec = sp.SchemaSpec({n: table() for n in ("tides", "buoys", "reefs")}, 6)
+    assert spec.identity == "buoys reefs tides 6"
 
 
 def test_inline_sortkeys_are_lifted():
@@ -106,6 +107,17 @@ def test_defaults(attr, default):
     assert sp.ColumnSpec(attr, "x").default == default
 
 
+def test_attributes_are_read_in_any_order():
+    attr = sp.read_attribute("varchar (9) DEFAULT 'not null' distkey NOT NULL")
+    assert (attr.word, attr.sizes, attr.default, attr.distkey, attr.not_null, attr.sortkey) == ("varchar", (9,), "not null", True, True, False)
+
+
+def test_all_problems_of_a_column_are_reported():
+    t = sp.new_table("", "dict").add_column("n", "int8", "n")
+    with pytest.raises(sp.SpecError, match="varchar.*log_key.*taken.*with_sortkeys"):
+        t.add_column("n", "int8 sortkey", is_json=True, is_foreign=True)
+
+
 def test_edits():
     t = sp.new_table("a.b", "list", add_source_filename=True)
     assert [c.out_name for c in t.columns] == ["index", "__source_filename__"]

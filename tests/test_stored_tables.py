@@ -130,11 +130,40 @@ def test_rerun_of_a_day_replaces_only_that_day(spark, tmp_path):
     folder = str(tmp_path / "t")
     day = lambda d, n: spark.range(n).select("id", F.lit(d).cast("date").alias("data_date"))
     sinks.write_table(day("2014-01-01", 3).unionByName(day("2014-01-02", 4)), folder)
-    sinks.write_table(day("2014-01-02", 1), folder)
+    sinks.write_table(day("2014-01-02", 1), folder, days=[dt.date(2014, 1, 2), dt.date(2014, 1, 3)])
     counts = spark.read.parquet(folder).groupBy("data_date").count().collect()
     assert sorted((r.data_date.day, r["count"]) for r in counts) == [(1, 3), (2, 1)]
 
 
+def test_a_day_without_rows_has_none_after_a_rerun(spark, tmp_path):
+    folder, first = str(tmp_path / "t"), dt.date(2014, 1, 1)
+    rows = spark.range(3).select("id", F.lit(first).alias("data_date"))
+    sinks.write_table(rows, folder)
+    sinks.write_table(rows.limit(0), folder, days=[first])
+    assert evolve.read_stored(spark, folder, table(("id", "int8"))).count() == 0
+
+
+def test_columns_survive_rewrites_of_days_of_two_versions(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    old, new = table(("id", "int8")), table(("id", "int8"), ("x", "int4 default 7"), ("y", "varchar(3)"))
+    sinks.write_table(spark.range(2).select("id", F.lit("2014-01-01").cast("date").alias("data_date")), folder, old)
+    sinks.write_table(spark.range(2, 4).selectExpr("id", "int(nullif(id, 3)) AS x", "'b' AS y", "date'2014-01-02' AS data_date"), folder, new)
+    want = [(0, 7, None), (1, 7, None), (2, 2, "b"), (3, None, "b")]
+    for _ in range(2):
+        assert sorted(map(tuple, evolve.read_stored(spark, folder, new).select("id", "x", "y").collect())) == want
+        retention.compact(spark, folder, new)
+    assert sorted(map(tuple, spark.read.parquet(folder).select("id", "x", "y").collect())) == want
+
+
+def test_loads_are_reconciled_with_the_stored_spec(spark, tmp_path):
+    folder, grown = str(tmp_path), table(("id", "int8 not null"), ("name", "varchar(9)"), ("size", "int4 default 7"))
+    assert len(evolve.reconcile(spark, "t", folder, V1)) == 2 and evolve.reconcile(spark, "t", folder, V1) == []
+    assert [c.out_name for c in evolve.reconcile(spark, "t", folder, grown)] == ["size"]
+    with pytest.raises(SpecError, match="missing from"):
+        evolve.reconcile(spark, "t", folder, V1)
+    assert evolve.remembered_spec(spark, folder) == grown
+
+
 def test_compact(spark, tmp_path):
     folder = str(tmp_path / "t")
     sinks.write_table(spark.range(1000).repartition(8).select("id", F.lit("2014-01-01").cast("date").alias("data_date")), folder)

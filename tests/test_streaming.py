@@ -49,12 +49,12 @@ def test_stream_equals_batch(spark, tmp_path):
     run(spark, tmp_path)
     batch = parse_lines(read_lines(spark, f"{tmp_path}/in/*", r"(\d{4})-(\d{2})-(\d{2})"))
     for name, want in extract_tables(batch, SPEC).items():
-        got = ingest.ingested(spark, f"{tmp_path}/out", name).select(want.columns)
+        got = ingest.ingested(spark, f"{tmp_path}/out", SPEC, name).select(want.columns)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and not want.isEmpty()
-    errors = ingest.ingested_errors(spark, f"{tmp_path}/out")
+    errors = ingest.ingested_errors(spark, f"{tmp_path}/out", SPEC)
     assert sorted(r.error_reason[:8] for r in errors.collect()) == ["line is "] * 3 + ["required"]
     assert errors.where("data_date = date'2014-01-04'").count() == 1
-    assert len(files.glob(spark, f"{tmp_path}/out/doc/batch_id=*")) == 4
+    assert len(files.glob(spark, f"{tmp_path}/out/doc/data_date=*/batch_id=*")) == 4
 
 
 def test_a_replayed_batch_does_not_repeat_rows(spark, tmp_path):
@@ -62,7 +62,7 @@ def test_a_replayed_batch_does_not_repeat_rows(spark, tmp_path):
     run(spark, tmp_path)
     files.remove(spark, f"{tmp_path}/checkpoint/commits")  # as if the job died before the batch was marked done
     run(spark, tmp_path)
-    assert ingest.ingested(spark, f"{tmp_path}/out", "doc").count() == 1
+    assert ingest.ingested(spark, f"{tmp_path}/out", SPEC, "doc").count() == 1
 
 
 def test_daily_counts_wait_for_late_data(spark, tmp_path):
@@ -95,4 +95,18 @@ def test_audit_carries_state_between_batches(spark, tmp_path):
         source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
         audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     want = ledger.illegal_transitions(ledger.transitions(spark.createDataFrame(rows, schema), ["at", "n"]))
-    assert sorted(map(tuple, audit.audited(spark, f"{tmp_path}/out").collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, audit.audited(spark, f"{tmp_path}/out", ["at", "n"]).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_audit_of_late_files(spark, tmp_path):
+    """Legal in order, but the files come in another order; and a status that is missing."""
+    schema = "job_id int, status string, at timestamp, n int"
+    steps = ["scheduled", "running", None, "scheduled", "running", "success", "scheduled", "error"]
+    rows = [(1, status, dt.datetime(2014, 1, 1) + dt.timedelta(minutes=n), n) for n, status in enumerate(steps)] + [(1, "running", None, 99)]
+    for part in ([5, 6], [8, 0, 3], [1, 2, 4, 7]):
+        spark.createDataFrame([rows[n] for n in part], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    found = audit.audited(spark, f"{tmp_path}/out", ["at", "n"]).collect()
+    assert [(r.n, r.from_status, r.to_status) for r in found] == [(7, "scheduled", "error")]
+    assert spark.read.parquet(f"{tmp_path}/out/untimed").count() == 1
