@@ -21,6 +21,7 @@ SCOPE = 200
 KINDS = ("assign", "access", "hex", "weak", "identifier", "endpoint")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LENGTH = 12
+WEAK_LENGTH = 4
 # Runs of 18 and 16 characters or more: a run that is too short has no other match inside it.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
@@ -98,7 +99,7 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
     upto = W.partitionBy("row", "kind").orderBy("no").rowsBetween(W.unboundedPreceding, 0)
     each = found.select("row", F.inline("found")).withColumn("end", F.sum("step").over(upto).cast("int"))
     short = (F.col("kind") == KINDS.index("assign")) & (F.col("length") < ASSIGN_LENGTH)
-    spans = stored(each.where("length >= 4").select("row", F.when(short, KINDS.index("weak")).otherwise(F.col("kind")).alias("kind"),
+    spans = stored(each.where((F.col("kind") != KINDS.index("assign")) | (F.col("length") >= WEAK_LENGTH)).select("row", F.when(short, KINDS.index("weak")).otherwise(F.col("kind")).alias("kind"),
                                                     (F.col("end") - F.col("size")).alias("start"), "end"), "secret-spans")
     span, base = F.struct("start", "kind", "end"), F.col("kind") < KINDS.index("weak")
     all_ = spans.where(base).select("row", span.alias("base"), F.lit(None).cast("struct<start:int,kind:int,end:int>").alias("linked")).union(

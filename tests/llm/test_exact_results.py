@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpus_fixtures import awkward, docs_of, empty  # noqa: F401
 from conftest import SMALL
-from logweir.llm import chunks, importance, simhash, tokens, warc
+from logweir.llm import chunks, importance, secrets, simhash, tokens, warc
 from logweir.llm import sentencepiece as sp
 from logweir.llm.components import components
 from logweir.llm.quality_rules import bucket, least_of, repeated_words
@@ -235,6 +236,43 @@ def test_samples_follow_the_weights(spark):
     assert np.allclose(hits / hits.sum(), np.exp(weights) / np.exp(weights).sum(), atol=0.03)
 
 
+def spans_by_walking(text):
+    """Base spans and linked ones with Python's re, all pairs compared."""
+    found = []
+    for kind, pattern, group, least in (
+            ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
+            ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)):
+        for m in re.finditer(pattern, text):
+            if len(m[group]) >= least:
+                found.append((m.start(), secrets.KINDS.index(kind), m.end()))
+    base, parts = list(found), [(s, k, e) for s, k, e in found]
+    for m in re.finditer(secrets.ASSIGN, text):
+        if 4 <= len(m[1]) < 12:
+            parts.append((m.start(), secrets.KINDS.index("weak"), m.end()))
+    for kind, pattern in (("weak", secrets.WEAK), ("identifier", secrets.IDENTIFIER), ("endpoint", secrets.ENDPOINT)):
+        parts += [(m.start(), secrets.KINDS.index(kind), m.end()) for m in re.finditer(pattern, text)]
+    role = {0: "s", 1: "i", 2: "s", 3: "s", 4: "i", 5: "e"}
+    linked = set()
+    for s, k, e in parts:
+        near = {role[q] for t, q, _ in parts if abs(s - t) <= secrets.SCOPE and role[q] != role[k]}
+        if k >= 3 and (near >= {"i", "s"} if role[k] == "e" else ({"s": "i", "i": "s"}[role[k]] in near)):
+            linked.add((s, k, e))
+    return sorted(base), sorted(linked)
+
+
+def test_secret_spans_against_a_walk(docs_of):
+    rng = random.Random(8)
+    bits = ["password = ", "token:", "Api_Key='", "secret", "SECRET=\"", "passwd: ", "AKIA", "QX77ZZ01", "deadbeef", "0123456789abcdef", "abc-d_e.f", "+/=",
+            " user: bob", " login=amy", "pass: hunter2", "auth=zzzz9", "https://x.example.org/a?b=c", "redis://h:1", "\n", " ", "é\U0001F600", "word " * 30, ";"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += ["token=" * 5000 + "x" * 12, "f" * 100_000, "user: a1b " * 3000 + "pass: abcd"]
+    frame = docs_of([(i, t, "en", "a") for i, t in enumerate(texts)])
+    for r in secrets.secret_spans(frame).collect():
+        if len(texts[r["key"]]) < 25_000:  # the walk compares all pairs
+            base, linked = spans_by_walking(texts[r["key"]])
+            assert (sorted(map(tuple, r["base"])), sorted(map(tuple, r["linked"]))) == (base, linked), texts[r["key"]]
+
+
 def test_audit_finds_exactly_the_damage(spark):
     rng = random.Random(4)
     a, offset = [], 0
