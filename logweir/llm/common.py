@@ -79,7 +79,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def map_texts(frame: DataFrame, text: str, work: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def map_texts(frame: DataFrame, text: str, work: Callable[[pa.RecordBatch], dict], schema: str, most: int = SLICE_BYTES) -> DataFrame:
     """``work`` applied to parts of bounded size; it returns the new columns, and other columns pass through.
 
     ``schema``: the result's columns, those of ``frame`` that are kept included.
@@ -91,7 +91,7 @@ def map_texts(frame: DataFrame, text: str, work: Callable[[pa.RecordBatch], dict
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 made = work(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[f.name], f.type) if f.name in made and not isinstance(made[f.name], pa.Array)

@@ -28,8 +28,11 @@ UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 BASE = np.uint64(0x9E3779B97F4A7C15)
 # Words longer than this are encoded one by one; a task remembers about this many words.
 LONG = 64
+# Bytes of text encoded at once: the more, the fewer and larger the groups of words that advance together.
+SLICE = 8 << 20
 REMEMBERED = 400_000
-SHIFT = np.uint64(64 - 21)
+# Leading bits that say whether a hash can be a key, and those that say where to look: tables that fit a core's cache.
+FILTER_BITS, PLACE_BITS = 19, 18
 
 
 @dataclass
@@ -56,19 +59,15 @@ class Vocabulary:
         return self.ranks is not None
 
 
-def hashes_of(codes: np.ndarray) -> np.ndarray:
-    """Prefix hashes of rows of code points: [n, length + 1]."""
-    out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
-    for j in range(codes.shape[1]):
-        out[:, j + 1] = out[:, j] * BASE + codes[:, j] + np.uint64(1)
+def hashes_of(words: list[str]) -> np.ndarray:
+    """Hashes of the prefixes of words of equal length, the empty one first: [length + 1, n]."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).T.astype(np.uint64, order="C")
+    out = np.zeros((len(codes) + 1, len(words)), np.uint64)
+    for j, column in enumerate(codes):
+        out[j + 1] = out[j] * BASE + column + np.uint64(1)
     return out
 
 
-def codes_of(words: list[str]) -> np.ndarray:
-    """Code points of words of equal length: [n, length]."""
-    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.uint64)
-
-
 def vocabulary(pieces: list[str], scores: list[float], kinds: list[str], bpe: bool, dummy_prefix: bool = True) -> Vocabulary:
     """``kinds``: per piece "plain", "byte" or "other" (control, unknown, unused). All 256 byte pieces must be there, in order."""
     plain = np.array([k == "plain" for k in kinds])
@@ -82,7 +81,7 @@ def vocabulary(pieces: list[str], scores: list[float], kinds: list[str], bpe: bo
         by_length.setdefault(len(pieces[i]), []).append(i)
     keys, ids = [], []
     for members in by_length.values():
-        keys.append(hashes_of(codes_of([pieces[i] for i in members]))[:, -1])
+        keys.append(hashes_of([pieces[i] for i in members])[-1])
         ids.append(np.array(members))
     keys, ids = np.concatenate(keys), np.concatenate(ids)
     if len(np.unique(keys)) < len(keys):
@@ -162,7 +161,8 @@ class Encoder:
         self.text = np.frombuffer(b"".join(texts), np.uint8)
         self.sizes = np.array(list(map(len, texts)), np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.piece_at = SortedKeys(v.keys, v.ids)
+        made = v.plain[v.ids]
+        self.piece_at = SortedKeys(v.keys[made], v.ids[made])
         self.pair_at = SortedKeys(v.pair_keys.astype(np.uint64), v.pair_ranks) if v.bpe else None
         self.forget()
 
@@ -181,20 +181,24 @@ class Encoder:
         merged earlier than they were merged with others.
         """
         v, fine = self.v, np.ones(len(a), bool)
-        at = np.flatnonzero(a >= 0)
-        x, y, limit = a[at], b[at], np.full(len(at), np.iinfo(np.int64).max)
+        at = (a >= 0).nonzero()[0]
+        x, y = a.take(at), b.take(at)
+        limit = np.full(len(at), np.iinfo(np.int64).max)
         while len(at):
-            hit, rank = self.pair_at.find((x * self.n + y).astype(np.uint64))
-            clash = np.zeros(len(at), bool)
-            clash[hit] = rank < limit[hit]
-            fine[at[clash]] = False
-            x_whole, y_whole = v.left[x] == x, v.left[y] == y
-            on = ~clash & ~(x_whole & y_whole)
-            at, x, y, x_whole, y_whole = at[on], x[on], y[on], x_whole[on], y_whole[on]
+            hit, rank = self.pair_at.find((x * self.n + y).view(np.uint64))
+            whole_x, whole_y = v.left.take(x) == x, v.left.take(y) == y
+            on = ~(whole_x & whole_y)
+            if len(hit):
+                clash = hit.compress(rank < limit.take(hit))
+                fine[at.take(clash)] = False
+                on[clash] = False
+            on = on.nonzero()[0]
+            at, x, y, whole_x, whole_y = at.take(on), x.take(on), y.take(on), whole_x.take(on), whole_y.take(on)
             # Of equal ranks the left merge came first, so the right one is undone first, and a tie across goes before it.
-            undo_x = ~x_whole & (y_whole | (v.ranks[x] > v.ranks[y]))
-            limit = np.where(undo_x, v.ranks[x], v.ranks[y] + 1)
-            x, y = np.where(undo_x, v.right[x], x), np.where(undo_x, y, v.left[y])
+            rank_x, rank_y = v.ranks.take(x), v.ranks.take(y)
+            undo_x = ~whole_x & (whole_y | (rank_x > rank_y))
+            limit = np.where(undo_x, rank_x, rank_y + 1)
+            x, y = np.where(undo_x, v.right.take(x), x), np.where(undo_x, y, v.left.take(y))
         return fine
 
     # --- words
@@ -202,7 +206,7 @@ class Encoder:
     def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words of equal length: their pieces in a row (an unknown character is -1), the number of each, and which are odd."""
         v, length, n = self.v, len(words[0]), len(words)
-        prefix = hashes_of(codes_of(words))
+        prefix = hashes_of(words)
         powers = np.cumprod(np.full(v.longest, BASE, np.uint64))
         score = np.full((length + 1, n), -np.inf)
         score[0] = 0
@@ -210,25 +214,27 @@ class Encoder:
         step = np.ones((length + 1, n), np.int16)
         odd = np.zeros(n, bool)
         for j in range(1, length + 1):
+            best = score[j]
             for k in range(min(j, v.longest), 0, -1):
                 i = j - k
-                hit, ids = self.piece_at.find(prefix[:, j] - prefix[:, i] * powers[k - 1])
-                if k == 1:  # an unknown character stands alone
+                at, found = self.piece_at.find(prefix[j] - prefix[i] * powers[k - 1])
+                if k == 1 and len(at) < n:  # an unknown character stands alone
                     rest = np.ones(n, bool)
-                    rest[hit] = False
-                    score[j, rest] = score[i, rest] + (0 if v.bpe else self.unknown)
-                at, found = hit, ids
+                    rest[at] = False
+                    best[rest] = score[i, rest] + (0 if v.bpe else self.unknown)
                 if v.bpe:
-                    odd[at] |= v.odd[found]
+                    strange = v.odd.take(found)
+                    if strange.any():
+                        odd[at[strange]] = True
                     # Once a row has its maximum, 0, no other candidate can have it.
-                    on = v.plain[found] & (score[j, at] < 0)
-                    at, found = at[on], found[on]
-                    gain = np.where(self.side_by_side(last[i, at], found), score[i, at], -np.inf)
+                    on = (best.take(at) < 0).nonzero()[0]
+                    at, found = at.take(on), found.take(on)
+                    gain = np.where(self.side_by_side(last[i].take(at), found), score[i].take(at), -np.inf)
                 else:
-                    gain = score[i, at] + v.scores[found]
-                better = gain > score[j, at]
-                at, found = at[better], found[better]
-                score[j, at], last[j, at], step[j, at] = gain[better], found, k
+                    gain = score[i].take(at) + v.scores.take(found)
+                better = (gain > best.take(at)).nonzero()[0]
+                at = at.take(better)
+                best[at], last[j, at], step[j, at] = gain.take(better), found.take(better), k
         back = np.full((n, length), -1, np.int64)
         counts, position, rows = np.zeros(n, np.int64), np.full(n, length), np.arange(n)
         while len(rows):
@@ -244,12 +250,11 @@ class Encoder:
         v, out = self.v, []
         for piece in self.cut(word):
             length = len(piece)
-            prefix = hashes_of(codes_of([piece]))[0]
+            prefix = hashes_of([piece])[:, 0]
             powers, hits = np.cumprod(np.full(v.longest, BASE, np.uint64)), [[] for _ in range(length + 1)]
             for k in range(1, min(length, v.longest) + 1):
                 for i, p in zip(*map(np.ndarray.tolist, self.piece_at.find(prefix[k:] - prefix[:-k] * powers[k - 1]))):
-                    if v.plain[p]:
-                        hits[i + k].append((k, p))
+                    hits[i + k].append((k, p))
             if v.bpe and any(v.odd[p] for h in hits for _, p in h):
                 out += self.merged_long(piece)
                 continue
@@ -392,25 +397,22 @@ class SortedKeys:
         keys = hashes * BASE  # one to one: BASE is odd
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        keys = self.keys
-        lead = (keys >> SHIFT).astype(np.int64)
-        self.first = np.full(1 << 21, -1, np.int32)
-        self.first[lead[::-1]] = np.arange(len(keys) - 1, -1, -1)
-        self.most = int(np.bincount(lead).max(initial=0)) if len(keys) else 0
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+        lead = self.keys >> np.uint64(64 - PLACE_BITS)
+        self.first = np.searchsorted(lead, np.arange(1 << PLACE_BITS, dtype=np.uint64)).astype(np.int32)
+        self.most = int(np.bincount(lead.astype(np.int64)).max(initial=0)) if len(keys) else 0
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where in ``hashes`` the keys stand, and their values."""
         hashes = hashes * BASE
-        at = self.first[hashes >> SHIFT]
-        likely = np.flatnonzero(at >= 0)
-        at, wanted = at[likely], hashes[likely]
-        found = np.full(len(likely), -1)
-        for step in range(self.most):
-            k = np.minimum(at + step, len(self.keys) - 1)
-            same = self.keys[k] == wanted
-            found[same] = k[same]
-        hit = found >= 0
-        return likely[hit], self.values[found[hit]]
+        likely = self.maybe.take((hashes >> np.uint64(64 - FILTER_BITS)).view(np.int64)).nonzero()[0]
+        wanted = hashes.take(likely)
+        at = self.first.take((wanted >> np.uint64(64 - PLACE_BITS)).view(np.int64))
+        for _ in range(self.most - 1):  # on to the first key that is not smaller
+            at = at + (self.keys.take(at, mode="clip") < wanted)
+        hit = (self.keys.take(at, mode="clip") == wanted).nonzero()[0]
+        return likely.take(hit), self.values.take(at.take(hit))
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -444,7 +446,7 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
         return {"n_tokens": pa.array(counts.astype(np.int64)), "token_ids": pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))),
                 "exact": [a == b for a, b in zip(texts, decoded)]}
 
-    return map_texts(docs.select(key, *keep, text), text, work, f"{kinds}, n_tokens long, token_ids array<int>, exact boolean")
+    return map_texts(docs.select(key, *keep, text), text, work, f"{kinds}, n_tokens long, token_ids array<int>, exact boolean", SLICE)
 
 
 def decoded(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "token_ids") -> DataFrame:
