@@ -158,6 +158,10 @@ def broken_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_docs(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
+    return parse_lines(item_lines(spark, sf_dir, sparse))
+
+
+def item_lines(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
     """``{"line": {..., "charges": [...]}, "flags": {...}}`` per line item; sparse: charges keyed by position."""
     charges = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("amount")) for k, c in CHARGES]
     if sparse:
@@ -173,7 +177,7 @@ def line_docs(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFra
     )
     flags = F.struct(F.col("l_linestatus").alias("status"))
     text = F.to_json(F.struct(line.alias("line"), flags.alias("flags")))
-    return parse_lines(table(spark, sf_dir, "lineitem").select(text.alias("value")))
+    return table(spark, sf_dir, "lineitem").select(text.alias("value"))
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,26 +1,22 @@
 """Guess a table spec from sample documents.
 
-Each task walks its documents to leaf paths and keeps one entry per (path, type): the longest rendering seen.
-Only those entries are shuffled, so the volume follows the number of distinct paths, not of documents.
+Documents are taken apart level by level by generators inside one plan, down to leaf values; each task keeps one entry per
+(path, type): the longest rendering seen. Only those entries are shuffled, so the volume follows the number of distinct
+paths, not of documents.
 """
 
 from __future__ import annotations
 
-import json
-import sys
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweir.plans.paths import split_path
 from logweir.plans.spec import SchemaSpec, TableSpec, new_table
-
-# The walk below runs on executors; send it by value, so that they need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from logweir.session import stored
+from logweir.sources.lines import document, is_document, parse_lines
 
 
 class TypeMismatch(ValueError):
@@ -46,97 +42,103 @@ class InferOptions:
 
 # --- fixed values -----------------------------------------------------------------------------------
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
-LARGEST_INT = 2**63 - 1
 WIDE_VARCHAR = 65535
 # ----------------------------------------------------------------------------------------------------
+LEVELS = 3  # taken apart at first; doubled until no dict is left
 
 
-def _kind(value) -> str:
-    if value is None:
-        return "null"
-    if isinstance(value, bool):
-        return "bool"
-    if isinstance(value, int):
-        return "int" if -LARGEST_INT - 1 <= value <= LARGEST_INT else "long"
-    return {float: "float", str: "str", list: "list", dict: "dict"}[type(value)]
-
-
-def _reach(document, path: str):
-    """The value at a dotted path; None when anything on the way is missing or no dict."""
-    for key in path.split(".") if path else []:
-        document = document.get(key) if isinstance(document, dict) else None
-    return document
-
-
-def _leaves(value, options: InferOptions) -> Iterator[tuple[str, object]]:
-    """(path, value) of everything that would be a column of one source object."""
-    if value is None:
-        return
-    if not isinstance(value, dict) or options.depth == 0:
-        yield "value", value
-        return
-    pending = [("", value, options.depth)]
-    while pending:
-        path, here, depth = pending.pop()
-        if path in options.exclude:
-            continue
-        if isinstance(here, dict) and depth != 0 and path not in options.prune:
-            pending.extend((f"{path}.{key}".lstrip("."), below, depth - 1) for key, below in here.items())
-        else:
-            yield path, here
-
-
-def _document_leaves(document, options: InferOptions) -> Iterator[tuple[str, object, bool]]:
-    for path in options.foreign:
-        value = _reach(document, path)
-        if value is not None:
-            yield path, value, True
-    source = _reach(document, options.source)
-    if source is None:
-        return
-    if options.source_type == "dict":
-        objects: Iterable = (source,)
-    elif options.source_type == "list":
-        objects = source if isinstance(source, list) else ()
+def _map(value: Column) -> Column:
+    """The entries of a dict; NULL for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _kind(value: Column) -> Column:
+    """int, long (beyond 64 bits), float, str, bool, list, dict or null."""
+    schema = F.schema_of_variant(value)
+    fixed = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "VOID": "null", "DOUBLE": "float", "FLOAT": "float"}
+    kind = F
+    for name, short in fixed.items():
+        kind = kind.when(schema == name, short)
+    return kind.when(schema.startswith("ARRAY"), "list").when(schema.startswith("OBJECT"), "dict").when(
+        schema.rlike(r"^DECIMAL\(\d+,0\)$"), "long").when(schema.startswith("DECIMAL"), "float").otherwise(F.lower(schema))
+
+
+def _rendered_length(value: Column, kind: Column) -> Column:
+    """Length of the value as JSON text in ASCII: escapes for other characters, a space behind each comma and colon.
+
+    A number with an exponent is written like 1e+22.
+    """
+    text = F.to_json(value)
+    mantissa, exponent = (F.get(F.split(text, "E"), F.lit(n)) for n in (0, 1))
+    with_exponent = F.length(F.regexp_replace(mantissa, r"\.0$", "")) + 2 + F.greatest(F.lit(2), F.length(F.replace(exponent, F.lit("-"))))
+    plain = (F.length(text) == F.octet_length(text)) & ~text.contains("\x7f")
+    escaped = F.when(plain, F.length(text)).otherwise(F.length(text) + 5 * F.regexp_count(text, F.lit(r"[^\x00-\x7E]")) + 6 * F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]")))
+    bare = F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    nested = escaped + F.regexp_count(bare, F.lit("[,:]"))
+    return F.when((kind == "float") & text.contains("E"), with_exponent).when(kind.isin("list", "dict"), nested).otherwise(escaped).cast("bigint")
+
+
+def _sources(docs: DataFrame, options: InferOptions) -> DataFrame:
+    """The objects that would be rows, one variant each, without those that are null."""
+    doc, keys = document(F.col("doc")), split_path(options.source)
+    if options.source_type == "list":
+        objects = docs.select(F.explode(doc.get(keys, "array<variant>")).alias("value"))
+    elif options.source_type == "sparse_list":
+        objects = docs.select(F.explode(F.map_values(doc.get(keys, "map<string,variant>"))).alias("value"))
     else:
-        objects = source.values() if isinstance(source, dict) else ()
-    for each in objects:
-        for path, value in _leaves(each, options):
-            yield path, value, False
+        objects = docs.select(doc.get(keys, "variant").alias("value"))
+    return objects.where(F.schema_of_variant("value") != "VOID")
+
+
+def _apart(objects: DataFrame, options: InferOptions, levels: int) -> DataFrame:
+    """(path, value) of everything that would be a column, dicts taken apart so many levels deep."""
+    whole = F.lit(True) if levels == 0 else _map(F.col("value")).isNull()
+    rows = objects.select(F.when(whole, "value").otherwise("").alias("path"), "value", whole.alias("done"))
+    for _ in range(levels):
+        kept = F.col("done") | F.col("path").isin(*options.prune) if options.prune else F.col("done")
+        itself = F.array(F.struct("path", "value", F.lit(True).alias("done")))
+        below = F.transform(F.map_entries(_map(F.col("value"))), lambda e: F.struct(
+            F.regexp_replace(F.concat(F.col("path"), F.lit("."), e["key"]), r"^\.+", "").alias("path"), e["value"].alias("value"), F.lit(False).alias("done")))
+        rows = rows.select(F.explode(F.when(kept, itself).otherwise(F.coalesce(below, itself))).alias("at")).select("at.*")
+        if options.exclude:
+            rows = rows.where(~F.col("path").isin(*options.exclude))
+    return rows.select("path", "value")
+
+
+def _summary(rows: DataFrame, foreign: bool) -> DataFrame:
+    kinds = rows.select("path", "value", _kind(F.col("value")).alias("kind"))
+    return kinds.select("path", "kind", _rendered_length(F.col("value"), F.col("kind")).alias("max_len"), F.lit(foreign).alias("is_foreign"))
 
 
 def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value: str = "value",
                  on_error: str = "fail") -> DataFrame:
-    """(path, kind, max_len, is_foreign), one row per path and kind seen, over JSON lines.
+    """(path, kind, max_len, is_foreign), one row per path and kind seen, over JSON lines; computed at once and stored.
 
     A line that is no JSON stops the job, or is left out with ``on_error="skip"``.
     """
     if options.source_type not in ("dict", "list", "sparse_list"):
         raise ValueError(f"unsupported source type {options.source_type!r}")
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            longest: dict[tuple[str, str, bool], int] = {}
-            for text in batch["line"]:
-                try:
-                    document = json.loads(text)
-                except ValueError:
-                    if on_error == "skip":
-                        continue
-                    raise
-                for path, leaf, foreign in _document_leaves(document, options):
-                    key = (path, _kind(leaf), foreign)
-                    longest[key] = max(longest.get(key, 0), len(json.dumps(leaf)))
-            yield pd.DataFrame(
-                [(p, k, n, f) for (p, k, f), n in longest.items()], columns=["path", "kind", "max_len", "is_foreign"]
-            )
-
-    found = lines.select(F.col(value).alias("line")).mapInPandas(
-        walk, "path string, kind string, max_len bigint, is_foreign boolean"
-    )
-    return found.groupBy("path", "kind").agg(
-        F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")
-    )
+    docs = parse_lines(lines.select(F.col(value).alias("value")))
+    if on_error == "skip":
+        docs = docs.where(is_document(F.col("doc")))
+    else:
+        stop = F.raise_error(F.concat(F.lit("no JSON document: "), F.left("value", F.lit(200)))).cast("variant")
+        docs = docs.select(F.when(is_document(F.col("doc")), F.col("doc")).otherwise(stop).alias("doc"))
+    levels = LEVELS if options.depth < 0 else options.depth
+    while True:
+        found = _summary(_apart(_sources(docs, options), options, levels), False)
+        if options.foreign:
+            doc = document(F.col("doc"))
+            values = F.explode(F.array(*[F.struct(F.lit(p).alias("path"), doc.get(split_path(p), "variant").alias("value")) for p in options.foreign]))
+            rows = docs.select(values.alias("at")).select("at.*").where(F.schema_of_variant("value") != "VOID")
+            found = found.unionByName(_summary(rows, True))
+        summary = stored(found.groupBy("path", "kind").agg(
+            F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")), "leaves")
+        # A dict that is still whole, though nothing asked for that, lies deeper than the levels taken apart.
+        deeper = summary.where((F.col("kind") == "dict") & ~F.col("path").isin(*options.prune, *options.foreign))
+        if options.depth >= 0 or deeper.isEmpty():
+            return summary
+        levels *= 2
 
 
 def fold_types(summary: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def test_errors(spark):
         infer.infer_table(lines(spark, {"a": {"b": 1}, "a_b": 2}))
     with pytest.raises(ValueError, match="unsupported"):
         infer.leaf_summary(lines(spark), InferOptions(source_type="tree"))
-    with pytest.raises(Exception, match="JSONDecodeError|Expecting"):
+    with pytest.raises(Exception, match="no JSON document"):
         infer.infer_table(lines(spark, "{"))
     assert len(infer.infer_table(lines(spark, "{", {"x": 1}), on_error="skip").columns) == 1
 
