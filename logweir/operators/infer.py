@@ -52,27 +52,24 @@ def _map(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def _kind(value: Column) -> Column:
-    """int, long (beyond 64 bits), float, str, bool, list, dict or null."""
-    schema = F.schema_of_variant(value)
-    fixed = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "VOID": "null", "DOUBLE": "float", "FLOAT": "float"}
-    kind = F
-    for name, short in fixed.items():
-        kind = kind.when(schema == name, short)
-    return kind.when(schema.startswith("ARRAY"), "list").when(schema.startswith("OBJECT"), "dict").when(
-        schema.rlike(r"^DECIMAL\(\d+,0\)$"), "long").when(schema.startswith("DECIMAL"), "float").otherwise(F.lower(schema))
+def _kind(text: Column) -> Column:
+    """int, long (beyond 64 bits), float, str, bool, list, dict or null, by a value's JSON text."""
+    first, kind = F.left(text, F.lit(1)), F
+    for mark, name in {'"': "str", "{": "dict", "[": "list", "t": "bool", "f": "bool", "n": "null"}.items():
+        kind = kind.when(first == mark, name)
+    return kind.when(text.contains(".") | text.contains("E"), "float").when(text.try_cast("bigint").isNull(), "long").otherwise("int")
 
 
-def _rendered_length(value: Column, kind: Column) -> Column:
-    """Length of the value as JSON text in ASCII: escapes for other characters, a space behind each comma and colon.
+def _rendered_length(text: Column, kind: Column) -> Column:
+    """Length of JSON text in ASCII: escapes for other characters, a space behind each comma and colon outside of texts.
 
     A number with an exponent is written like 1e+22.
     """
-    text = F.to_json(value)
     mantissa, exponent = (F.get(F.split(text, "E"), F.lit(n)) for n in (0, 1))
     with_exponent = F.length(F.regexp_replace(mantissa, r"\.0$", "")) + 2 + F.greatest(F.lit(2), F.length(F.replace(exponent, F.lit("-"))))
     plain = (F.length(text) == F.octet_length(text)) & ~text.contains("\x7f")
-    escaped = F.when(plain, F.length(text)).otherwise(F.length(text) + 5 * F.regexp_count(text, F.lit(r"[^\x00-\x7E]")) + 6 * F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]")))
+    escaped = F.when(plain, F.length(text)).otherwise(
+        F.length(text) + 5 * F.regexp_count(text, F.lit(r"[^\x00-\x7E]")) + 6 * F.regexp_count(text, F.lit(r"[\x{10000}-\x{10FFFF}]")))
     bare = F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
     nested = escaped + F.regexp_count(bare, F.lit("[,:]"))
     return F.when((kind == "float") & text.contains("E"), with_exponent).when(kind.isin("list", "dict"), nested).otherwise(escaped).cast("bigint")
@@ -87,13 +84,12 @@ def _sources(docs: DataFrame, options: InferOptions) -> DataFrame:
         objects = docs.select(F.explode(F.map_values(doc.get(keys, "map<string,variant>"))).alias("value"))
     else:
         objects = docs.select(doc.get(keys, "variant").alias("value"))
-    return objects.where(F.schema_of_variant("value") != "VOID")
+    return objects.where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
 
 
 def _apart(objects: DataFrame, options: InferOptions, levels: int) -> DataFrame:
     """(path, value) of everything that would be a column, dicts taken apart so many levels deep."""
-    whole = F.lit(True) if levels == 0 else _map(F.col("value")).isNull()
-    rows = objects.select(F.when(whole, "value").otherwise("").alias("path"), "value", whole.alias("done"))
+    rows = objects.select(F.lit("").alias("path"), "value", F.lit(False).alias("done"))
     for _ in range(levels):
         kept = F.col("done") | F.col("path").isin(*options.prune) if options.prune else F.col("done")
         itself = F.array(F.struct("path", "value", F.lit(True).alias("done")))
@@ -102,12 +98,14 @@ def _apart(objects: DataFrame, options: InferOptions, levels: int) -> DataFrame:
         rows = rows.select(F.explode(F.when(kept, itself).otherwise(F.coalesce(below, itself))).alias("at")).select("at.*")
         if options.exclude:
             rows = rows.where(~F.col("path").isin(*options.exclude))
-    return rows.select("path", "value")
+    # What is no dict, or is not to be taken apart, is itself the value.
+    return rows.select(F.when(F.col("path") == "", "value").otherwise(F.col("path")).alias("path"), "value")
 
 
 def _summary(rows: DataFrame, foreign: bool) -> DataFrame:
-    kinds = rows.select("path", "value", _kind(F.col("value")).alias("kind"))
-    return kinds.select("path", "kind", _rendered_length(F.col("value"), F.col("kind")).alias("max_len"), F.lit(foreign).alias("is_foreign"))
+    texts = rows.select("path", F.to_json("value").alias("text"))
+    kinds = texts.select("path", "text", _kind(F.col("text")).alias("kind"))
+    return kinds.select("path", "kind", _rendered_length(F.col("text"), F.col("kind")).alias("max_len"), F.lit(foreign).alias("is_foreign"))
 
 
 def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value: str = "value",
@@ -130,7 +128,7 @@ def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value
         if options.foreign:
             doc = document(F.col("doc"))
             values = F.explode(F.array(*[F.struct(F.lit(p).alias("path"), doc.get(split_path(p), "variant").alias("value")) for p in options.foreign]))
-            rows = docs.select(values.alias("at")).select("at.*").where(F.schema_of_variant("value") != "VOID")
+            rows = docs.select(values.alias("at")).select("at.*").where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
             found = found.unionByName(_summary(rows, True))
         summary = stored(found.groupBy("path", "kind").agg(
             F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")), "leaves")
