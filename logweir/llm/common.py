@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.session import fresh_folder
+from logweir.session import stored  # noqa: F401 - for the operators
 
 # A word: a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,14 +43,6 @@ def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, safe when executors are lost."""
-    spark = frame.sparkSession
-    folder = fresh_folder(spark, label)
-    frame.write.parquet(folder)
-    return spark.read.schema(frame.schema).parquet(folder)
-
-
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for NULL; long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -129,7 +129,8 @@ def resampled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     marked = named.join(chosen, F.col("key") == F.col("target_key"), "left").select("text", F.col("target_key").isNotNull().alias("target"))
     ratios = log_ratios(counts(marked, "text", "target"))
-    even = (F.xxhash64("key", F.lit(salt)).bitwiseAND((1 << 53) - 1) + 0.5) / float(1 << 53)
+    # 52 bits and a half: strictly between 0 and 1 as a double.
+    even = (F.xxhash64("key", F.lit(salt)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
     scored = stored(weighted(named, ratios, "key", "text").withColumn("sample_key", F.col("log_weight") - F.log(-F.log(even))), "importance")
     if share is None:
         share = labels.agg(F.avg(quality)).first()[0]
