@@ -102,8 +102,11 @@ def _required(table: TableSpec) -> list[ColumnSpec]:
     return [c for c in table.columns if c.is_mandatory and not (c.is_derived or c.is_noop)]
 
 
-def missing_keys(table: TableSpec, doc: Node) -> list[tuple[str, Column]]:
-    """(what, predicate) per mandatory column: the document lacks the key for some row of the table."""
+def missing_keys(table: TableSpec, doc: Node, taken: Column | None = None) -> list[tuple[str, Column]]:
+    """(what, predicate) per mandatory column: the document lacks the key for some row of the table.
+
+    ``taken``: the elements of a list table, where they have been taken out already.
+    """
     row = RowContext(doc, F.lit(None))
     checks = []
     for column in _required(table):
@@ -115,7 +118,7 @@ def missing_keys(table: TableSpec, doc: Node) -> list[tuple[str, Column]]:
         if column.log_key == "index" and not column.is_foreign:
             continue
         if table.src_type == "list":
-            elements = list_elements(doc, table)
+            elements = list_elements(doc, table) if taken is None else taken
         else:
             elements = F.map_values(doc.get(split_path(table.src), "map<string,variant>"))
         if column.is_foreign:
@@ -136,13 +139,29 @@ def is_incomplete(spec: SchemaSpec, doc: Node) -> Column:
     return _any(p for t in spec.tables.values() for _, p in missing_keys(t, doc))
 
 
-def _accepted(docs: DataFrame, spec: SchemaSpec, on_error: str) -> DataFrame:
-    """The documents that yield rows."""
+def _checked_lists(docs: DataFrame, spec: SchemaSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """The lists whose elements are both checked for mandatory keys and unnested, taken out of the document once.
+
+    The one-element generator keeps the optimizer from taking them out again in each place.
+    """
+    looked_at = {
+        name: t for name, t in spec.tables.items()
+        if t.src_type == "list" and any(c.is_foreign or c.log_key != "index" for c in _required(t))
+    }
+    if not looked_at:
+        return docs, {}
+    columns = {name: f"_elements_{n}" for n, name in enumerate(looked_at)}
+    lists = F.struct(*[list_elements(document(F.col("doc")), t).alias(columns[name]) for name, t in looked_at.items()])
+    return docs.select("*", F.inline(F.array(lists))), {name: F.col(c) for name, c in columns.items()}
+
+
+def _accepted(docs: DataFrame, spec: SchemaSpec, on_error: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The documents that yield rows, and the lists that were taken out of them on the way."""
     doc = F.col("doc")
-    docs = docs.where(is_document(doc))
-    checks = [(f"{n}: {what}", p) for n, t in spec.tables.items() for what, p in missing_keys(t, document(doc))]
+    docs, lists = _checked_lists(docs.where(is_document(doc)), spec)
+    checks = [(f"{n}: {what}", p) for n, t in spec.tables.items() for what, p in missing_keys(t, document(doc), lists.get(n))]
     if on_error == "quarantine":
-        return docs.where(~_any(p for _, p in checks)) if checks else docs
+        return (docs.where(~_any(p for _, p in checks)) if checks else docs), lists
     if on_error != "fail":
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
     for what, predicate in checks:
@@ -151,8 +170,9 @@ def _accepted(docs: DataFrame, spec: SchemaSpec, on_error: str) -> DataFrame:
     for name, table in spec.tables.items():
         if table.src_type == "list":
             stop = F.raise_error(F.lit(f"table {name}: {table.src} is not a list")).cast("boolean")
-            docs = docs.where(F.when(list_elements(document(doc), table).isNull(), stop).otherwise(F.lit(True)))
-    return docs
+            elements = lists.get(name, list_elements(document(doc), table))
+            docs = docs.where(F.when(elements.isNull(), stop).otherwise(F.lit(True)))
+    return docs, lists
 
 
 def extract_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None,
@@ -165,8 +185,8 @@ def extract_tables(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveF
     functions of a ``RowContext``. With a ``json_limit`` the text of a JSON column that is longer becomes NULL; see
     ``checks.over_limit`` for how many.
     """
-    accepted = _accepted(docs, spec, on_error)
-    return {name: _rows(accepted, table, metrics, json_limit) for name, table in spec.tables.items()}
+    accepted, lists = _accepted(docs, spec, on_error)
+    return {name: _rows(accepted, table, metrics, json_limit, lists.get(name)) for name, table in spec.tables.items()}
 
 
 def extract_table(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None = None,
@@ -183,7 +203,8 @@ def _foreign(table: TableSpec) -> list[ColumnSpec]:
     return [c for c in table.columns if c.is_foreign and not (c.is_derived or c.is_noop)]
 
 
-def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None, json_limit: int | None) -> DataFrame:
+def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None, json_limit: int | None,
+          elements: Column | None) -> DataFrame:
     metrics = {**BUILT_IN_METRICS, **(metrics or {})}
     carried = [F.col(c) for c in CARRIED if c in docs.columns]
     doc = document(F.col("doc"))
@@ -194,7 +215,7 @@ def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction]
     # whole document, the elements then travel without it.
     docs, hoisted = _hoist_foreign(docs, [table], row, metrics)
     if table.src_type == "list":
-        unnested = F.posexplode(list_elements(doc, table))
+        unnested = F.posexplode(list_elements(doc, table) if elements is None else elements)
     else:
         unnested = F.explode(doc.get(split_path(table.src), "map<string,variant>"))
     docs = docs.select("*", unnested.alias("_position", "_element"))

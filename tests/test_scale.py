@@ -9,7 +9,7 @@ from logweir.catalogue import fixtures as fx
 from logweir.catalogue.queries import QUERIES
 from logweir.operators import ledger, sinks
 from logweir.operators.extract import extract_tables
-from logweir.plans.spec import TableSpec
+from logweir.plans.spec import SchemaSpec, TableSpec
 from logweir.sources import files
 from logweir.sources.lines import parse_lines, read_lines
 from conftest import SMALL
@@ -32,6 +32,13 @@ def test_no_shuffle_and_no_python(spark, name):
     assert "Exchange" not in text and "Python" not in text and "Pandas" not in text
 
 
+def test_a_checked_list_is_taken_out_once(spark):
+    table = TableSpec.from_dict({"src": "line.charges", "src_type": "list", "sortkey_attr": [], "columns": [
+        {"log_key": "kind", "sql_attr": "varchar(16)", "is_mandatory": True}, {"log_key": "amount", "sql_attr": "float8"}]})
+    rows = extract_tables(fx.line_docs(spark, SMALL), SchemaSpec({"charges": table}))["charges"]
+    assert plan(rows).count("ArrayType(VariantType") == 1 and rows.count() == 4 * fx.table(spark, SMALL, "lineitem").count()
+
+
 @pytest.mark.parametrize("name", ["extract_dict", "extract_list", "extract_mandatory", "extract_mandatory_quarantine", "good_lines"])
 def test_each_line_is_parsed_once(spark, name):
     assert plan(QUERIES[name](spark, SMALL)).count("parseJson") == 1
