@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, stored, with_row
 from logweir.llm.components import components
+from logweir.llm.jaccard import first_rows
 
 SEED = 42
 BITS = 4
@@ -241,13 +242,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n_
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n_gram: int = 5) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates: that with the smallest key, NULL last, the first of equal ones.
 
-    ``docs`` must be read from stored files. NULL and wordless texts are near-duplicates of each other.
+    Near-duplicates share 80 % of their ``n_gram``-word shingles (Jaccard), or are linked through such. ``docs`` must be
+    read from stored files. NULL and wordless texts are near-duplicates of each other.
     """
     numbered, row = with_row(docs)
-    named = numbered.select(F.col(key).alias("key"), F.col(row).alias("row"), F.col(text).alias("text"))
-    signed = stored(fingerprints(named, ["key", "row"], "text", n_gram), "simhash")
-    order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
-    groups = fingerprint_components(signed.select(order.alias("order"), "fp"), "order")
-    kept = stored(groups.select(F.col("component_id.row").alias("kept_row")).distinct(), "simhash-kept")
+    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col(row).alias("row"))
+    kept = stored(first_rows(numbered.select(order.alias("order"), F.col(text).alias("text")), "order", "row", "text", n_gram), "near-kept")
     # Merged at every size: what is kept grows with the corpus, and a join by size would change its plan.
     return numbered.join(kept.hint("merge"), numbered[row] == F.col("kept_row"), "left_semi").drop(row)

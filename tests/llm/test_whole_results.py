@@ -1,0 +1,42 @@
+"""Cases that earlier versions left out."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logweir.llm import jaccard, simhash
+
+
+def _near_texts() -> list[str]:
+    """Texts with edited copies of every likeness around 0.8, and a chain of copies of copies."""
+    rng = random.Random(5)
+    made = []
+    for _ in range(60):
+        words = [str(rng.randrange(9999)) for _ in range(rng.choice([12, 80, 300, 600]))]
+        made.append(" ".join(words))
+        for _ in range(3):
+            for _ in range(rng.randrange(1, 2 + len(words) // 40)):
+                words[rng.randrange(len(words))] = str(rng.randrange(9999))
+            made.append(" ".join(words))
+    return made + made[:5]
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 2])
+def test_near_duplicates_reach_the_stated_likeness(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    texts = _near_texts()
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    group, missed = list(range(len(texts))), 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                apart = simhash.simhash(texts[i].encode(), 5) ^ simhash.simhash(texts[j].encode(), 5)
+                missed += apart.bit_count() > 4
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert missed > 20
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(folder := f"{tmp_path}/docs")
+    kept = simhash.without_near_duplicates(spark.read.parquet(folder)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(group))
