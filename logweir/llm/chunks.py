@@ -120,12 +120,12 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rank = F.coalesce(F.bitwise_not(F.col(key)), F.lit((1 << 63) - 1)).alias("rank")
     count = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = numbered.select(rank, F.col(row).alias("row")).repartitionByRange(count, "rank", "row")
-    found = slim.groupBy(F.spark_partition_id()).agg(F.min(F.struct("rank", "row")).alias("low")).select("low.rank", "low.row").collect()
-    bounds = sorted((r["rank"], r["row"]) for r in found)
+    found = slim.groupBy(F.spark_partition_id()).agg(F.min(F.struct("rank", "row")).alias("low")).select("low.rank", "low.row.file", "low.row.index").collect()
+    bounds = sorted((r["rank"], r["file"], r["index"]) for r in found)
     rows = numbered.select(rank, F.col(row).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     if not bounds:
         return rows.withColumns({"stretch": F.lit(0), "guest": F.lit(False)}).select("stretch", "guest", "key", "text").mapInArrow(_compared, _COMPARED)
-    limits = F.array(*[F.struct(F.lit(a).cast("long").alias("rank"), F.lit(b).cast("long").alias("row")) for a, b in bounds])
+    limits = F.array(*[F.struct(F.lit(a).cast("long").alias("rank"), F.struct(F.lit(b).cast("long").alias("file"), F.lit(c).cast("long").alias("index")).alias("row")) for a, b, c in bounds])
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
     me = F.struct("rank", "row")
     # Binary search: the number of limits that are not above this row, less one.

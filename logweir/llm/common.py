@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +34,32 @@ def free_name(frame: DataFrame, wish: str) -> str:
     return wish
 
 
+def _rows_of_files(docs: DataFrame) -> bool:
+    """Whether each row is a row of a Parquet file under one path, and another row for each."""
+    if "_metadata" in map(str.lower, docs.columns):
+        return False
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    try:
+        docs.select("_metadata.row_index")
+        return node.nodeName() == "LogicalRelation" and node.relation().location().rootPaths().size() == 1
+    except AnalysisException:
+        return False
+
+
 def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows numbered, and the number's column name.
+    """The rows numbered, and the number's column name: a struct (file, index) that belongs to the row.
 
-    The number is the same in each scan as long as ``docs`` is read from stored files without a shuffle before it,
-    also when a lost task is run again.
+    A row of a Parquet file has that file's hash and its own place there, in every scan, however the files are split.
+    Any other frame is numbered once and stored; its rows are read from that table.
     """
     name = free_name(docs, "row_number")
-    return docs.withColumn(name, F.monotonically_increasing_id()), name
+    if _rows_of_files(docs):
+        number = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index"))
+        return docs.select("*", number.alias(name)), name
+    number = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("index"))
+    return stored(docs.withColumn(name, number), "numbered-rows"), name
 
 
 def n_words(text: Column) -> Column:

@@ -48,7 +48,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     words) and sources (a source of their own) are fine; repeated rows are documents of their own. ``row`` numbers the
     rows of ``docs``, which must be read from stored files.
     """
-    numbered, row = with_row(docs)
+    return _mix(*with_row(docs), key, text, source)
+
+
+def _mix(numbered: DataFrame, row: str, key: str, text: str, source: str) -> DataFrame:
     mark = F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary"))
     slim = stored(numbered.select(
         F.col(key).alias("key"), F.col(row).alias("row"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
@@ -75,7 +78,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents of the mix: each as often as the mix takes it, that at a source's cut whole; columns as in ``docs``."""
     numbered, row = with_row(docs)
-    times = mix(docs, key, text, source).where("taken > 0").select(
+    times = _mix(numbered, row, key, text, source).where("taken > 0").select(
         F.col("row").alias("mix_row"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("mix_times"))
     # Merged at every size: what is taken grows with the corpus, and a join by size would change its plan.
     times = stored(times, "mix-times").hint("merge").alias("t")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.llm import jaccard, simhash
+from logweir.llm import common, jaccard, mixing, simhash
 
 
 def _near_texts() -> list[str]:
@@ -40,3 +40,35 @@ def test_near_duplicates_reach_the_stated_likeness(spark, tmp_path, monkeypatch,
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(folder := f"{tmp_path}/docs")
     kept = simhash.without_near_duplicates(spark.read.parquet(folder)).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(group))
+
+
+def test_row_numbers_do_not_depend_on_splits(spark, tmp_path):
+    spark.range(3000).withColumn("text", F.col("id").cast("string")).repartition(6).write.parquet(folder := f"{tmp_path}/rows")
+    numbered, row = common.with_row(spark.read.parquet(folder).where("id % 3 > 0"))
+
+    def numbers() -> dict:
+        return {r["id"]: tuple(r[row]) for r in numbered.select("id", row).collect()}
+
+    before, size = numbers(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        assert numbers() == before and len(set(before.values())) == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_rows_that_are_not_those_of_a_file_are_numbered_once(spark, tmp_path):
+    spark.range(40).write.parquet(folder := f"{tmp_path}/rows")
+    docs = spark.read.parquet(folder)
+    for frame in (docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))), docs.union(docs), spark.read.parquet(folder, folder), spark.range(80)):
+        numbered, row = common.with_row(frame)
+        assert numbered.select(row).distinct().count() == 80
+        assert numbered.repartition(3).exceptAll(numbered).isEmpty()
+
+
+def test_stages_take_frames_that_are_not_stored(spark):
+    text = "One two three four five six seven eight nine ten eleven twelve"
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit(text), F.col("id")).alias("text"), F.lit("a").alias("source")).repartition(4)
+    once = {r["key"]: -(-r["taken"] // r["size"]) for r in mixing.mix(docs).collect()}
+    found = [r["doc_id"] for r in mixing.mixed_documents(docs).collect()]
+    assert {k: found.count(k) for k in once} == once
