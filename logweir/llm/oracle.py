@@ -126,3 +126,46 @@ a AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (r)"""
+
+# Ranked search: every document against every item over the words they share.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(column: str) -> str:
+    return f"regexp_extract_all(translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS ts FROM documents),
+c AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS length FROM d WHERE len(ts) > 0),
+b AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_terms("text")}) AS ts FROM benchmark),
+q AS (SELECT item, item_id, unnest(ts) AS term FROM b),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+m AS (SELECT r, doc_id, 100 - 50 + ((50::BIGINT * len(ts) * n_docs) // length) AS m FROM d, c WHERE len(ts) > 0),
+s AS (SELECT item, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT item_id, doc_id, score, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank
+      FROM s WHERE score > 0) WHERE rank <= 50"""
+
+
+# Clusters: each round as a table of centroids made from the one before.
+def _clusters(k: int, rounds: int) -> str:
+    steps = ["""v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: greatest(least(floor(256 * x::DOUBLE), 134217727), -134217728)::BIGINT) AS x FROM embeddings
+         WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64)""",
+             f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY draw, x) - 1)::INTEGER AS cluster, x AS c FROM
+         (SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS draw, x FROM v) ORDER BY draw, x LIMIT {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, vec_id, x, best[2]::INTEGER AS cluster, best[1] AS distance FROM
+         (SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min([list_sum(list_transform(range(1, 65), lambda j: (x[j] - c[j]) * (x[j] - c[j])))::BIGINT, cluster::BIGINT]) AS best
+          FROM v, c{i} GROUP BY r))""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT cluster, j, sum(y) AS total, count(*) AS n FROM (SELECT cluster, unnest(x) AS y, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY ALL),
+m{i} AS (SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY j) AS c FROM s{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+OP12 = _clusters(40, 5)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import chunks, importance, lines, mixing, oracle, quality_rules, secrets, sentencepiece, simhash, tokens, warc
+from logweir.llm import bags, bitplanes, chunks, importance, licenses, lines, mixing, oracle, quality_rules, secrets, sentencepiece, simhash, tokens, warc
 from logweir.llm.common import stored, table
 
 
@@ -80,6 +80,31 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listed(F.concat("base", "linked")).alias("spans"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bags.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("own").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.clusters(table(spark, sf_dir, "embeddings"))[0].withColumnRenamed("key", "vec_id")
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score is the largest share of a template's words that a span covers; a base phrase is covered whole."""
+    found = licenses.licences(table(spark, sf_dir, "documents"))
+    base, spans = F.col("base.label"), F.col("spans.label")
+    share = F.array_max(F.transform("spans", lambda s: s["covered"] / s["size"]))
+
+    def listed(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        F.col("key").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"), F.array_max("base.start").alias("last_word"),
+        listed(base).alias("base_labels"), listed(F.concat(base, spans)).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(share, F.lit(0.0))).alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -91,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_section_tokens": op9_section_tokens,
     "op10_secret_scan": op10_secret_scan,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_license_scan": op13_license_scan,
 }
 ORACLE: dict[str, str] = {
     "op2_quality_rules": oracle.OP2,
@@ -98,4 +126,6 @@ ORACLE: dict[str, str] = {
     "op6_line_dedup": oracle.OP6,
     "op7_source_mixing": oracle.OP7,
     "op10_secret_scan": oracle.OP10,
+    "op11_ranked_search": oracle.OP11,
+    "op12_centroid_clusters": oracle.OP12,
 }
