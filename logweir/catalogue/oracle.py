@@ -377,4 +377,30 @@ SELECT o_orderkey, least(a, coalesce(b, a)) AS first, greatest(a, coalesce(b, a)
     "stream_daily_counts": f"""
 SELECT strftime(CAST(ts AS DATE), {DAY}) AS day, count(*) AS n_rows FROM events GROUP BY CAST(ts AS DATE)
 HAVING CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 48 HOUR FROM events)""",
+    "day_load_interrupted": """
+WITH o AS (SELECT '2024-03-0' || (o_orderkey % 3 + 1) AS data_date, o_totalprice AS total FROM orders)
+SELECT 'stopped' AS seen, data_date, count(*) AS n_rows, round(sum(total), 2) AS total FROM o GROUP BY data_date
+UNION ALL SELECT 'loaded', data_date, count(*), 0.0 FROM o WHERE data_date < '2024-03-03' GROUP BY data_date""",
+    "day_claimed_once": """
+SELECT '2024-03-0' || (o_orderkey % 3 + 1) AS data_date, 1 AS n_started, count(*) AS n_rows FROM orders WHERE o_orderkey % 3 < 2 GROUP BY 1""",
+    "ledger_runs": """
+SELECT '2024-03-01' AS data_date, 'load_success' AS etl_status, true AS load_started, true AS timed, CAST(NULL AS VARCHAR) AS etl_error, 0 AS n_loaded_again
+FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1
+UNION ALL SELECT '2024-03-02', 'load_success', true, true, NULL, 2 FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1
+UNION ALL SELECT '2024-03-03', 'load_error', false, true, 'not extracted: no complete prefix', 0 FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1""",
+    "ttl_delete_catalog": f"""
+SELECT event_id, strftime(ts, {STAMP}) AS ts, strftime(ts + INTERVAL 12 HOUR, {DAY}) AS data_date,
+       ts >= (SELECT CAST(max(ts) AS DATE) - 3 FROM events) AS recent
+FROM events WHERE {TTL}""",
+    "stream_late_rows": f"""
+WITH b AS (SELECT CAST(max(ts) FILTER (event_id % 10 <> 0) - INTERVAL 48 HOUR AS DATE) AS before, CAST(max(ts) - INTERVAL 48 HOUR AS DATE) AS after FROM events),
+e AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN event_id % 10 = 0 AND CAST(ts AS DATE) < before THEN 'late' WHEN CAST(ts AS DATE) < after THEN 'final' ELSE 'open' END AS state
+      FROM events, b)
+SELECT state, strftime(day, {DAY}) AS day, count(*) AS n_rows FROM e GROUP BY ALL""",
+    "stream_ready_days": """
+WITH n AS (SELECT o_orderkey % 6 + 1 AS d, count(*) AS n FROM orders GROUP BY 1),
+m(d, since) AS (VALUES (2, 1), (3, 1), (5, 2), (1, 2), (6, 3)),
+b(batch) AS (VALUES (1), (2), (3))
+SELECT batch, '2024-03-0' || n.d AS day, coalesce(since <= batch, false) AS extracted, CASE WHEN n.d <= 3 AND batch >= 2 THEN n ELSE 0 END AS n_rows
+FROM n CROSS JOIN b LEFT JOIN m USING (d)""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 
 from logweir.catalogue import fixtures as fx
 from logweir.functions import dates, text
-from logweir.operators import checks, days as day_runs, evolve, infer, ledger, retention, sinks
+from logweir.operators import checks, claims, day_tables, days as day_runs, evolve, infer, ledger, retention, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
 from logweir.plans.spec import SchemaSpec, parse_spec
-from logweir.session import fresh_folder, small_frame
+from logweir.session import fresh_folder, small_frame, stored
 from logweir.sources import days, dump, files, psv
 from logweir.sources.lines import document, parse_lines, read_lines
-from logweir.streaming import audit, daily, ingest
+from logweir.streaming import audit, daily, ingest, ready
 
 QUERIES = {}
 
@@ -435,6 +436,65 @@ def day_rerun_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("table_name", F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), "n_rows")
 
 
+@query
+def day_load_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of new rows stops between write and publish: readers of the catalog table find all old rows, then a whole load the new ones."""
+    name, root = f"orders_{uuid.uuid4().hex[:12]}", fresh_folder(spark, "published")
+    table = day_tables.table_of(spark, name, fx.table_spec(fx.ORDERS_SPEC, "orders"), root, "public")
+    day = F.date_add(F.lit("2024-03-01").cast("date"), (F.col("id") % 3).cast("int"))
+    rows = extract_table(fx.order_docs(spark, sf_dir), table.table).withColumn("data_date", day)
+    table.check()
+    table.replace(rows)
+    changed = rows.withColumn("total", F.lit(0.0)).where(day != F.lit("2024-03-03").cast("date"))
+    table.write(changed)  # and then the load is stopped
+    before = spark.table(name).groupBy("data_date").agg(F.count("*").alias("n_rows"), F.round(F.sum("total"), 2).alias("total"))
+    before = stored(before.withColumn("seen", F.lit("stopped")), "seen")
+    table.replace(changed, [date(2024, 3, 1), date(2024, 3, 2), date(2024, 3, 3)])
+    table.sweep(grace_seconds=-60)
+    after = spark.table(name).groupBy("data_date").agg(F.count("*").alias("n_rows"), F.round(F.sum("total"), 2).alias("total"))
+    found = before.unionByName(after.withColumn("seen", F.lit("loaded")))
+    return found.select("seen", F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), "n_rows", "total")
+
+
+@query
+def day_claimed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same days at the same time, one on top of a claim left by a third: who staged and loaded what, by the ledger."""
+    root = fresh_folder(spark, "claims")
+    _write_day_files(spark, sf_dir, f"{root}/in")
+    orders, stage = fx.spec(fx.ORDERS_SPEC), f"{root}/stage"
+    other = claims.take(spark, f"{day_runs.stage_of(stage, orders)}/claims/2024-03-02")
+    args = (spark, orders, [f"{root}/in"], date(2024, 3, 1), date(2024, 3, 2), stage, f"{root}/out")
+    with ThreadPoolExecutor(2) as both:
+        list(both.map(lambda _: day_runs.run_days(*args), range(2)))
+    other.release()
+    day_runs.run_days(*args)
+    events = day_runs.ledger_events(spark, f"{root}/out/_ledger").where("status IN ('started', 'success') AND step = 'et'")
+    staged = events.groupBy("day", "status").agg(F.count_distinct("seq").alias("n_events"))
+    counts = day_runs.loaded_counts(spark, orders, f"{root}/out").where("table_name = 'orders'")
+    started = staged.where("status = 'started'").select(F.col("day").alias("data_date"), F.col("n_events").alias("n_started"))
+    return counts.join(started, "data_date").select(F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), "n_started", "n_rows")
+
+
+@query
+def ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range that is stopped after its first day, then run again: runs by the library's own ledger, and what was loaded when."""
+    root = fresh_folder(spark, "resumed")
+    _write_day_files(spark, sf_dir, f"{root}/in")
+    orders, ledger_folder = fx.spec(fx.ORDERS_SPEC), f"{root}/out/_ledger"
+    where = (f"{root}/stage", f"{root}/out")
+    one, two = date(2024, 3, 1), date(2024, 3, 2)
+    note = lambda made: day_runs.record(spark, orders, ledger_folder, made)
+    day_runs.extract_days(spark, orders, [f"{root}/in"], [one, two], where[0], note=note)
+    day_runs.load_days(spark, orders, [one], *where, note=note)  # here the first run stops
+    again = day_runs.run_days(spark, orders, [f"{root}/in"], one, date(2024, 3, 3), *where, days_at_once=1)
+    loaded = again.where("step = 'load' AND status = 'success'").groupBy("day").agg(F.count("*").alias("n_loaded_again"))
+    runs = ledger.run_rows(day_runs.ledger_steps(spark, ledger_folder))
+    known = runs.withColumn("timed", (F.col("et_runtime") >= 0) & (F.coalesce("load_runtime", F.lit(0)) >= 0) & F.coalesce(F.col("updated_at") >= F.col("et_starttime"), F.lit(True)))
+    return known.join(loaded, known["data_date"] == loaded["day"], "left").select(
+        F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), "etl_status", F.col("load_starttime").isNotNull().alias("load_started"),
+        "timed", "etl_error", F.coalesce("n_loaded_again", F.lit(0)).alias("n_loaded_again"))
+
+
 # -- SQL dumps ---------------------------------------------------------------------------------------
 
 @query
@@ -594,6 +654,20 @@ def ttl_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("event_id", shown("ts"), F.date_format("data_date", "yyyy-MM-dd").alias("data_date"))
 
 
+@query
+def ttl_delete_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention of a published table by its zone maps; then the kept rows of the last three days, also by these."""
+    name, root = f"events_{uuid.uuid4().hex[:12]}", fresh_folder(spark, "zones")
+    table = day_tables.table_of(spark, name, parse_spec_table(_EVENTS_V1).with_sortkeys(["ts"]), root, "public")
+    table.check()
+    shifted = F.to_date(F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(12)))
+    table.replace(fx.events(spark, sf_dir).select("event_id", "user_id", "ts", shifted.alias("data_date")))
+    retention.delete_old_rows(table, 7)
+    recent = retention.recent_rows(table, 3).select("event_id", F.lit(True).alias("recent"))
+    return spark.table(name).join(recent, "event_id", "left").select(
+        "event_id", shown("ts"), F.date_format("data_date", "yyyy-MM-dd").alias("data_date"), F.coalesce("recent", F.lit(False)).alias("recent"))
+
+
 @query
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, table = _stored_events(spark, sf_dir)
@@ -849,12 +923,51 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches, the last with rows of all times: each is in a final day, in an open one or among the late rows."""
+    root, events = fresh_folder(spark, "late"), fx.events(spark, sf_dir).select("event_id", "ts")
+    held_back = F.col("event_id") % 10 == 0
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    for part in (~held_back & early, ~held_back & ~early, held_back):
+        events.where(part).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        daily.count_days(source, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return daily.counted_days(spark, f"{root}/out").select("state", F.date_format("day", "yyyy-MM-dd").alias("day"), "n_rows")
+
+
+@query
+def stream_ready_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six days whose markers appear in three batches, out of order, one never: what is extracted and loaded after each."""
+    root, slot = fresh_folder(spark, "ready"), F.col("o_orderkey") % 6
+    for n in range(6):
+        fx.order_lines(spark, sf_dir, slot == n).write.option("compression", "gzip").text(f"{root}/in/2024/03/0{n + 1}")
+    orders, seen = fx.spec(fx.ORDERS_SPEC), None
+    for batch, marked in enumerate(([2, 3], [5, 1], [6]), 1):
+        for n in marked:
+            files.touch(spark, f"{root}/in/2024/03/0{n}/COMPLETE")
+        ready.follow_days(spark, orders, [f"{root}/in"], date(2024, 3, 1), f"{root}/stage", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        days = small_frame(spark, [(date(2024, 3, n),) for n in range(1, 7)], "day date")
+        events = day_runs.ledger_events(spark, f"{root}/out/_ledger").where("status = 'success'")
+        extracted = events.where("step = 'et'").select("day", F.lit(True).alias("extracted")).distinct()
+        counts = day_runs.loaded_counts(spark, orders, f"{root}/out").where("table_name = 'orders'").select(F.col("data_date").alias("day"), "n_rows")
+        rows = days.join(extracted, "day", "left").join(counts, "day", "left").select(
+            F.lit(batch).alias("batch"), F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("extracted", F.lit(False)).alias("extracted"),
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+        rows = stored(rows, "ready-seen")
+        seen = rows if seen is None else seen.unionByName(rows)
+    return seen
+
+
 @query
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = fresh_folder(spark, "audit")
+    """Three batches, each with events of all times, and one later event that ends the wait for more."""
+    root, order = fresh_folder(spark, "audit"), ["at", "event_id"]
     events = fx.status_events(spark, sf_dir)
-    for part in (2, 0, 1):  # three batches, each with events of all times: most come late
-        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
-        source = spark.readStream.schema("job_id bigint, status string, at timestamp, event_id bigint").parquet(f"{root}/in")
-        audit.audit_stream(source, ["at", "event_id"], f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return audit.audited(spark, f"{root}/out", ["at", "event_id"]).select("job_id", "event_id", "from_status", "to_status")
+    end = events.agg(F.lit(None).cast("bigint").alias("job_id"), F.lit(None).cast("string").alias("status"),
+                     F.max(F.col("at") + F.make_dt_interval(F.lit(60))).alias("at"), F.lit(-1).cast("bigint").alias("event_id"))
+    for part in (*[events.where(F.col("event_id") % 3 == n) for n in (2, 0, 1)], end):
+        part.write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
+    audit.audit_stream(source, order, f"{root}/out", f"{root}/checkpoint", delay="40 days", slot="5 days").awaitTermination()
+    return audit.audited(spark, f"{root}/out", events.schema, order).select("job_id", "event_id", "from_status", "to_status")

@@ -95,18 +95,25 @@ def remembered_spec(spark: SparkSession, folder: str) -> TableSpec | None:
     return None if text is None else TableSpec.from_dict(json.loads(text))
 
 
-def reconcile(spark: SparkSession, name: str, folder: str, table: TableSpec) -> list[ColumnSpec]:
-    """Compare a stored table's spec with the wanted one before a load, and remember the wanted one; returns the added columns.
+def reconcile(spark: SparkSession, name: str, folder: str, table: TableSpec, remembering: bool = True) -> list[ColumnSpec]:
+    """Compare a stored table's spec with the wanted one before a load; returns the added columns.
 
-    Anything but added columns is an error, and nothing is written then.
+    Anything but added columns is an error, and nothing is written then. The wanted spec is remembered, unless that is
+    left to ``remember`` after the load: a load that fails must not leave a table that claims a version it has no rows of.
     """
     stored = remembered_spec(spark, folder)
     added = list(table.columns) if stored is None else added_columns(name, stored, table)
-    if stored != table:
-        files.write_text(spark, f"{folder}/{SPEC_FILE}", json.dumps(table.to_dict()))
+    if remembering:
+        remember(spark, folder, table)
     return added
 
 
+def remember(spark: SparkSession, folder: str, table: TableSpec) -> None:
+    """Note the spec under which a table's newest rows were written."""
+    if remembered_spec(spark, folder) != table:
+        files.write_text(spark, f"{folder}/{SPEC_FILE}", json.dumps(table.to_dict()))
+
+
 def read_evolved(spark: SparkSession, folders: list[str], table: TableSpec) -> DataFrame:
     """Parquet written under older versions of the spec, read as the current version.
 

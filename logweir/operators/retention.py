@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from logweir.operators.evolve import BATCH, DAY, partition_columns, read_stored
-from logweir.operators.sinks import day_folder, write_table
+from logweir.operators.day_tables import DayTable, FolderTable
+from logweir.operators.evolve import BATCH, DAY
+from logweir.operators.zones import Zone, in_days, measure, retention_column
 from logweir.plans.spec import TableSpec
-from logweir.sources import files
-
-
-def retention_column(table: TableSpec) -> str | None:
-    """The sort key that dates the rows: the timestamp one, else the date one; None if there is neither."""
-    by_type = {
-        kind: [c.out_name for c in table.columns if c.out_name in table.sortkey_attr and isinstance(c.data_type, kind)]
-        for kind in (T.TimestampType, T.DateType)
-    }
-    found = by_type[T.TimestampType] or by_type[T.DateType]
-    if len(found) > 1:
-        raise ValueError("several sort keys could date the rows")
-    return found[0] if found else None
 
 
 def cutoff(rows: DataFrame, column: str, ttl_days: int) -> DataFrame:
@@ -42,55 +31,86 @@ def keep_recent(rows: DataFrame, column: str, ttl_days: int) -> DataFrame:
     return rows.where(F.col(column).isNull() | (F.col(column).cast("timestamp") >= limit))
 
 
-def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int | None) -> int:
-    """Delete old rows of a table partitioned by day; returns how many.
+def day_zones(stored: DayTable) -> dict[date | None, Zone]:
+    """The zone of every stored day; only days without one are scanned, in one column."""
+    column = retention_column(stored.table)
+    found = stored.zones()
+    unknown = [day for day, zone in found.items() if zone is None]
+    measured = measure(stored.rows().where(in_days(unknown)), column) if unknown else {}
+    return {**{day: zone for day, zone in found.items() if zone is not None}, **measured}
+
+
+def cutoff_of(days: dict[date | None, Zone], ttl_days: int) -> date | None:
+    """The first day to keep, or None when nothing is old enough to go."""
+    first = min((z.first for z in days.values() if z.first), default=None)
+    last = max((z.last for z in days.values() if z.last), default=None)
+    return last - timedelta(days=ttl_days) if first and (last - first).days > ttl_days else None
+
+
+def recent_rows(stored: DayTable, ttl_days: int) -> DataFrame:
+    """``keep_recent`` of a stored table: days that hold nothing to keep are not read."""
+    column = retention_column(stored.table)
+    limit = None
+    if column is not None and stored.by_day():
+        days = day_zones(stored)
+        limit = cutoff_of(days, ttl_days)
+    if limit is None:
+        return stored.rows()
+    keep = [day for day, z in days.items() if z.undated or z.last is None or z.last >= limit]
+    return stored.rows().where(in_days(keep) & (F.col(column).isNull() | (F.col(column).cast("timestamp") >= F.lit(limit).cast("timestamp"))))
+
 
-    Partitions that are old as a whole are dropped by path, only mixed ones are rewritten, the rest is not
-    touched. Rows are read by the spec, so a rewritten day has all of its columns. Deleting nothing although it was due
-    is an error.
+def delete_old_rows(stored: DayTable, ttl_days: int | None) -> int:
+    """Delete old rows of a table stored by day; returns how many.
+
+    The zones tell which days hold old rows and which hold nothing else: those are dropped unread, only days that hold
+    both are read and rewritten, and the rest is not touched. Rows are read by the spec, so a rewritten day has all of
+    its columns.
     """
-    column = retention_column(table)
-    if column is None or ttl_days is None or DAY not in partition_columns(spark, folder):
+    column = retention_column(stored.table)
+    if column is None or ttl_days is None or not stored.by_day():
         return 0
-    rows = read_stored(spark, folder, table)
-    limit = cutoff(rows, column, ttl_days).first()["cutoff_day"]  # answered from the footers
+    days = day_zones(stored)
+    limit = cutoff_of(days, ttl_days)
     if limit is None:
         return 0
-    old = F.col(column).cast("timestamp") < F.lit(limit).cast("timestamp")
-    # Row groups without old rows are skipped; only the days found are counted whole.
-    n_old = {r[DAY]: r["count"] for r in rows.where(old).groupBy(DAY).count().collect()}  # one row per affected day
-    if not n_old:
-        raise ValueError(f"rows of {folder} should be old enough to go, but none is")
-    affected = rows.where(in_days(list(n_old)))
-    n_all = {r[DAY]: r["count"] for r in affected.groupBy(DAY).count().collect()}
-    mixed = [day for day, n in n_old.items() if n < n_all[day]]
+    old = [day for day, z in days.items() if z.first and z.first < limit]
+    whole = [day for day in old if not days[day].undated and days[day].last < limit]
+    mixed = [day for day in old if day not in whole]
+    n_old = sum(days[day].rows for day in whole)
     if mixed:
-        write_table(rows.where(in_days(mixed) & F.coalesce(~old, F.lit(True))), folder, table, mixed)
-    for day in n_old.keys() - set(mixed):
-        files.remove(spark, f"{folder}/{day_folder(day)}")
-    return sum(n_old.values())
+        is_old = F.col(column).cast("timestamp") < F.lit(limit).cast("timestamp")
+        rows = stored.rows().where(in_days(mixed))
+        n_old += rows.where(is_old).count()
+        stored.replace(rows.where(F.coalesce(~is_old, F.lit(True))), mixed)
+    stored.drop(whole)
+    return n_old
 
 
-def in_days(days: list) -> Column:
-    """The row's day is one of these; None stands for rows without a day."""
-    known = [d for d in days if d is not None]
-    return F.col(DAY).isin(known) | (F.col(DAY).isNull() if len(known) < len(days) else F.lit(False))
+def delete_old(spark: SparkSession, folder: str, table: TableSpec, ttl_days: int | None) -> int:
+    """``delete_old_rows`` of a table in a folder."""
+    return delete_old_rows(FolderTable(spark, folder.rsplit("/", 1)[-1], folder, table), ttl_days)
 
 
-def compact(spark: SparkSession, folder: str, table: TableSpec, days: list | None = None) -> None:
+def compact_days(stored: DayTable, days: list | None = None) -> None:
     """Rewrite days (default: all) into files of the session's advisory size, in the table's layout.
 
     Rows are read by the spec: files of older versions get the columns added since, with their defaults. The
     batches that a stream wrote become one; its source must not replay them any more.
     """
-    rows = read_stored(spark, folder, table)
+    rows = stored.rows()
     if days is not None:
         rows = rows.where(in_days(days))
     if BATCH in rows.columns:
         rows = rows.withColumn(BATCH, F.lit(-1).cast("long"))
-    if not table.distkeys:
+    if not stored.table.distkeys:
         rows = rows.hint("rebalance", DAY)
-    write_table(rows, folder, table)
+    stored.replace(rows)
+
+
+def compact(spark: SparkSession, folder: str, table: TableSpec, days: list | None = None) -> None:
+    """``compact_days`` of a table in a folder."""
+    compact_days(FolderTable(spark, folder.rsplit("/", 1)[-1], folder, table), days)
 
 
 def analyze(spark: SparkSession, names: list[str]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import replace
 from datetime import date
@@ -11,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.operators.evolve import BATCH, DAY, reconcile
+from logweir.operators.evolve import BATCH, DAY, reconcile, remember
 from logweir.operators.extract import REJECTED, DeriveFunction, extract_tables, tagged_rows
 from logweir.operators.quarantine import error_fields, error_rows
+from logweir.operators.zones import day_folder, write_zones
 from logweir.plans.spec import ERROR_TABLE, SchemaSpec, SpecError, TableSpec, error_table
 from logweir.session import fresh_folder
 from logweir.sources import files
 from logweir.sources.psv import check_delimiter, psv_line
 
 TABLE = "table"
+INCOMING, READY, MOVED = "_incoming-", "_ready", "_moved"  # Spark passes over names that start with an underscore
+GRACE_SECONDS = 2 * 24 * 3600
 
 
 def data_error(stopped: Exception) -> str:
@@ -77,7 +81,8 @@ def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None, da
 
     With a day column, exactly the days of ``rows`` and those in ``days`` are replaced: a day in ``days`` for which there
     are no rows has none afterwards. Rows are written beside the table first, then whole day directories change
-    places, so ``rows`` may come from ``folder`` itself. Without a day column the whole table is replaced.
+    places, so ``rows`` may come from ``folder`` itself. If that is stopped before all rows are written, the table is as
+    it was; if later, ``finish_swaps`` completes it. Without a day column the whole table is replaced.
     """
     spark = rows.sparkSession
     partitions = [c for c in (DAY, BATCH) if c in rows.columns]
@@ -86,19 +91,38 @@ def write_table(rows: DataFrame, folder: str, table: TableSpec | None = None, da
     if DAY not in partitions:
         rows.write.mode("overwrite").parquet(folder)
         return
-    incoming = f"{folder}/_incoming-{uuid.uuid4().hex}"
+    incoming = f"{folder}/{INCOMING}{uuid.uuid4().hex}"
     rows.write.partitionBy(*partitions).parquet(incoming)
-    made = {path.rsplit("/", 1)[1]: path for path in files.glob(spark, f"{incoming}/{DAY}=*")}
-    for name in sorted({*made, *map(day_folder, days or [])}):
-        files.remove(spark, f"{folder}/{name}")
+    if partitions == [DAY]:
+        write_zones(spark, incoming, table)
+    made = [path.rsplit("/", 1)[1] for path in files.glob(spark, f"{incoming}/{DAY}=*")]
+    files.write_whole(spark, f"{incoming}/{READY}", "\n".join(sorted({*made, *map(day_folder, days or [])})))
+    _swap(spark, folder, incoming)
+
+
+def _swap(spark: SparkSession, folder: str, incoming: str) -> None:
+    """Put the listed days of ``incoming`` in place of those of ``folder``; may be repeated after a stop at any point."""
+    listed = files.read_text(spark, f"{incoming}/{READY}").split()
+    made = {path.rsplit("/", 1)[1] for path in files.glob(spark, f"{incoming}/{DAY}=*")}
+    done = {path.rsplit("/", 1)[1] for path in files.glob(spark, f"{incoming}/{MOVED}/{DAY}=*")}
+    for name in listed:
         if name in made:
-            files.rename(spark, made[name], f"{folder}/{name}")
+            files.remove(spark, f"{folder}/{name}")
+            files.touch(spark, f"{incoming}/{MOVED}/{name}")
+            files.rename(spark, f"{incoming}/{name}", f"{folder}/{name}")
+        elif name not in done:
+            files.remove(spark, f"{folder}/{name}")
+    files.remove(spark, f"{incoming}/{READY}")  # first: without the list nothing is swapped again
     files.remove(spark, incoming)
 
 
-def day_folder(day: date | None) -> str:
-    """A day's partition directory."""
-    return f"{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+def finish_swaps(spark: SparkSession, folder: str, grace_seconds: float = GRACE_SECONDS) -> None:
+    """Complete the day swaps that a stopped load has left; what was not all written goes after a time of grace."""
+    for incoming in files.glob(spark, f"{folder}/{INCOMING}*"):
+        if files.exists(spark, f"{incoming}/{READY}"):
+            _swap(spark, folder, incoming)
+        elif files.modified(spark, incoming) < time.time() - grace_seconds:
+            files.remove(spark, incoming)
 
 
 def typed_fan_out(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunction] | None = None) -> DataFrame:
@@ -173,8 +197,10 @@ def load_tables(docs: DataFrame, spec: SchemaSpec, root: str, metrics: dict[str,
         table = spec.tables.get(name) or stored_error_table()
         result = {"table_name": name, "status": "success", "error_info": None}
         try:
-            reconcile(spark, name, f"{root}/{name}", table)
+            reconcile(spark, name, f"{root}/{name}", table, remembering=False)
+            finish_swaps(spark, f"{root}/{name}")
             write_table(rows, f"{root}/{name}", table, days)
+            remember(spark, f"{root}/{name}", table)
         except Exception as failure:  # the step's outcome is data for the ledger
             result.update(status="error", error_info=data_error(failure))
         results.append(result)

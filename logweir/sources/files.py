@@ -43,6 +43,18 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in seconds since 1970."""
+    fs, where = _file_system(spark, path)
+    return fs.getFileStatus(where).getModificationTime() / 1000
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is there with all of its text or not at all; ``path`` must not exist."""
+    write_text(spark, path + ".part", text)
+    rename(spark, path + ".part", path)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file, replaced as a whole."""
     fs, where = _file_system(spark, path)

@@ -1,47 +1,144 @@
-"""Status audit on a stream: illegal status changes, also when files arrive late or out of order."""
+"""Status audit on a stream: illegal status changes, also when files arrive late or out of order.
+
+State is bounded by the delay, not by the history. Events wait in the state of their (job, slot of time) until the
+watermark has passed the slot's end: then all of them are there, are put in order once, and leave the state. A job's
+slots end one after the other, so what goes on from slot to slot is the last status of each job, its only lasting state.
+A job that owns a large share of all events is thus spread over its slots.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+from datetime import datetime, timezone
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+
+from logweir.operators.ledger import LEGAL_TRANSITIONS, without_time
+
+# The processes that run the state's code may not have this library on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+DELAY = "2 days"
+SLOT = "1 hour"
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _millis(at: datetime) -> int:
+    """Milliseconds since 1970 of a timestamp as Spark hands it to Python (local time of the process)."""
+    return int(at.astimezone(timezone.utc).timestamp() * 1000)
+
+
+def _legal(before: str, after: str) -> bool:
+    return after in LEGAL_TRANSITIONS.get(before, ())
+
+
+class _SlotEvents(StatefulProcessor):
+    """The events of one job and slot, kept until the slot is over; then its illegal changes, and its first and last status."""
+
+    def __init__(self, order: list[str], fields: str):
+        self.fields, self.row = fields, Row("job_id", *order, "from_status", "to_status", "last_status", "slot_end")
+        self.order = order
 
-from logweir.operators.ledger import illegal_transitions, transitions, without_time
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", self.fields)
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = not self.events.exists()
+        ends = None
+        for row in rows:
+            self.events.appendValue((row["status"], *[row[c] for c in self.order]))
+            ends = row["slot_end"]
+        if first and ends is not None:
+            self.handle.registerTimer(_millis(ends))
+        return iter([])
 
-def audit_stream(events: DataFrame, order: list[str], root: str, checkpoint: str,
-                 interval: str | None = None) -> StreamingQuery:
-    """Keep the events below ``<root>/events`` and the status changes they make below ``<root>/changes``, by batch.
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        job, slot_end = key
+        # NULL comes first, as in Spark's order.
+        events = sorted(self.events.get(), key=lambda e: [(x is not None, x) for x in e[1:]])
+        self.events.clear()
+        for before, event in zip(events, events[1:]):
+            if not _legal(before[0], event[0]):
+                yield self.row(job, *event[1:], before[0], event[0], None, slot_end)
+        yield self.row(job, *events[0][1:], None, events[0][0], events[-1][0], slot_end)
 
-    A late event makes two changes out of one, so a batch derives the changes of its jobs anew from the last event
-    before its own first one on; for events in order that is the batch and one event per job. ``audited`` takes the newest
-    word on each event. Nothing is held in memory between batches, and a replayed batch writes the same. Events without
-    a time go to ``<root>/untimed``.
+
+class _LastStatus(StatefulProcessor):
+    """The last status of a job; compares it with the first one of each slot that is over."""
+
+    def __init__(self, order: list[str], initial: str):
+        self.order, self.initial, self.row = order, initial, Row("job_id", *order, "from_status", "to_status")
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "status string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        slots = []
+        for row in rows:
+            if row["last_status"] is None:
+                yield self.row(key[0], *[row[c] for c in self.order], row["from_status"], row["to_status"])
+            else:
+                slots.append(row)
+        known = self.last.get()
+        before = self.initial if known is None else known[0]
+        for row in sorted(slots, key=lambda r: r["slot_end"]):
+            if not _legal(before, row["to_status"]):
+                yield self.row(key[0], *[row[c] for c in self.order], before, row["to_status"])
+            before = row["last_status"]
+        self.last.update((before,))
+
+
+def illegal_changes(events: DataFrame, order: list[str], delay: str = DELAY, slot: str = SLOT, initial: str = "null") -> DataFrame:
+    """(job_id, order columns, from_status, to_status) of a stream's illegal changes, each once, as soon as it is certain.
+
+    ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp; a NULL status reads as
+    ``null``. Events may come in any order within ``delay``; later ones are left out, and the stream's progress counts
+    them. Events without a time are passed over.
     """
-    fields = ["job_id", "status", *order]
-    schema = events.select(*fields).schema
-
-    def audit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.select(*fields)
-        without_time(batch, order).write.mode("overwrite").parquet(f"{root}/untimed/batch_id={batch_id}")
-        batch.where(F.col(order[0]).isNotNull()).write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
-        history = spark.read.schema(schema.simpleString()[7:-1].replace(":", " ") + ", batch_id long").parquet(f"{root}/events")
-        history = history.where(F.col("batch_id") <= batch_id)  # a replay must not see later batches
-        place = F.struct(*order)
-        first = history.where(F.col("batch_id") == batch_id).groupBy("job_id").agg(F.min(place).alias("first"))
-        of_jobs = history.join(first, "job_id")
-        before = of_jobs.where(place < F.col("first")).groupBy("job_id").agg(F.max(place).alias("before"))
-        near = of_jobs.join(before, "job_id", "left").where(place >= F.coalesce("before", "first"))
-        changes = transitions(near.select(*fields), order).join(first, "job_id").where(place >= F.col("first")).drop("first")
-        changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
-
-    writer = events.writeStream.foreachBatch(audit).option("checkpointLocation", checkpoint)
+    at = order[0]
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    ordered = ", ".join(f"`{c}` {kinds[c]}" for c in order)
+    slots = events.where(F.col(at).isNotNull()).select(
+        "job_id", F.coalesce("status", F.lit("null")).alias("status"), *order).withWatermark(at, delay)
+    slots = slots.withColumn("slot_end", F.window(at, slot)["end"])
+    ended = slots.groupBy("job_id", "slot_end").transformWithState(
+        _SlotEvents(order, f"status string, {ordered}"),
+        f"job_id {kinds['job_id']}, {ordered}, from_status string, to_status string, last_status string, slot_end timestamp",
+        "Append", "EventTime", eventTimeColumnName="slot_end")
+    return ended.groupBy("job_id").transformWithState(
+        _LastStatus(order, initial), f"job_id {kinds['job_id']}, {ordered}, from_status string, to_status string", "Append", "EventTime")
+
+
+def audit_stream(events: DataFrame, order: list[str], root: str, checkpoint: str, interval: str | None = None,
+                 delay: str = DELAY, slot: str = SLOT) -> StreamingQuery:
+    """Append the illegal changes of a stream to ``<root>/changes``; see ``illegal_changes``."""
+    spark = events.sparkSession
+    before = spark.conf.get(STORE)
+    spark.conf.set(STORE, ROCKS)  # state that outgrows memory; a query keeps the store it was started with
+    try:
+        found = illegal_changes(events, order, delay, slot)
+        writer = found.writeStream.outputMode("append").format("parquet").option("path", f"{root}/changes")
+        writer = writer.option("checkpointLocation", checkpoint)
+        return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+    finally:
+        spark.conf.set(STORE, before)
+
+
+def untimed_stream(events: DataFrame, order: list[str], root: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Append the events without a time, which the audit passes over, to ``<root>/untimed``."""
+    writer = without_time(events, order).writeStream.format("parquet").option("path", f"{root}/untimed").option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
-def audited(spark: SparkSession, root: str, order: list[str]) -> DataFrame:
-    """The illegal changes as far as events are known."""
-    changes = spark.read.parquet(f"{root}/changes")
-    newest = changes.groupBy("job_id", *order).agg(F.max_by(F.struct("from_status", "to_status"), "batch_id").alias("_newest"))
-    return illegal_transitions(newest.select("job_id", *order, "_newest.*"))
+def audited(spark: SparkSession, root: str, schema: T.StructType, order: list[str]) -> DataFrame:
+    """The illegal changes found so far; ``schema`` is that of the events."""
+    kinds = {f.name: f.dataType for f in schema}
+    columns = [("job_id", kinds["job_id"]), *[(c, kinds[c]) for c in order], ("from_status", T.StringType()), ("to_status", T.StringType())]
+    return spark.read.schema(T.StructType([T.StructField(n, k) for n, k in columns])).parquet(f"{root}/changes")

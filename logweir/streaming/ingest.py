@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators.evolve import BATCH, DAY, read_stored, reconcile
-from logweir.operators.extract import DeriveFunction, extract_tables
-from logweir.operators.quarantine import error_rows
-from logweir.operators.sinks import laid_out, stored_error_table
-from logweir.plans.spec import ERROR_TABLE, SchemaSpec
+from logweir.operators.extract import DeriveFunction
+from logweir.operators.sinks import laid_out, staged_rows, stored_error_table, write_stage
+from logweir.plans.spec import ERROR_TABLE, SchemaSpec, error_table
+from logweir.session import fresh_folder
+from logweir.sources import files
 from logweir.sources.lines import parse_lines, with_file_columns
 
 
@@ -21,7 +22,8 @@ def ingest_stream(spark: SparkSession, source: str, spec: SchemaSpec, root: str,
 
     With a ``day_pattern`` the tables are partitioned by day like those of a batch load, and below it by batch, in the spec's
     layout; retention and compaction work on them. Without an ``interval`` it takes what is there and stops.
-    Batches can be replayed after a failure, so each one owns its ``batch_id`` partitions, which a replay overwrites.
+    Batches can be replayed after a failure, so each one owns its ``batch_id`` partitions, which a replay overwrites. A
+    batch is parsed once, into a stage in the shared folder from which all tables and the error table are written.
     """
     reader = spark.readStream.format("text").option("lineSep", "\n")
     if max_files_per_batch:
@@ -33,10 +35,15 @@ def ingest_stream(spark: SparkSession, source: str, spec: SchemaSpec, root: str,
 
     def store(batch: DataFrame, batch_id: int) -> None:
         docs = parse_lines(batch)
-        for name, rows in {**extract_tables(docs, spec, metrics), ERROR_TABLE: error_rows(docs, spec)}.items():
-            partitions = [c for c in (DAY,) if c in rows.columns] + [BATCH]
-            rows = laid_out(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), tables[name], partitions)
+        with_days = DAY in docs.columns
+        stage = fresh_folder(spark, "ingest")
+        write_stage(docs, spec, stage, metrics)  # the one parse of the batch
+        for name, table in tables.items():
+            partitions = [DAY] * with_days + [BATCH]
+            rows = staged_rows(spark, stage, name, spec.tables.get(name) or error_table(), with_days)
+            rows = laid_out(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), table, partitions)
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(f"{root}/{name}")
+        files.remove(spark, stage)
 
     writer = lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -4,12 +4,12 @@ import datetime as dt
 import json
 
 
-from logweir.operators import ledger
+from logweir.operators import days, ledger, sinks
 from logweir.operators.extract import extract_tables
 from logweir.plans.spec import parse_spec
 from logweir.sources import files
 from logweir.sources.lines import parse_lines, read_lines
-from logweir.streaming import audit, daily, ingest
+from logweir.streaming import audit, daily, ingest, ready
 
 SPEC = parse_spec("""
 version: 1
@@ -85,28 +85,91 @@ def test_daily_counts_wait_for_late_data(spark, tmp_path):
     assert final() == [(1, 2), (2, 1)]
 
 
+def audit_files(spark, tmp_path, parts, schema, delay, slot="10 minutes"):
+    """Run the audit once per file; the events end with one of another job, long after the others."""
+    queries, partitions = [], spark.conf.get("spark.sql.shuffle.partitions")
+    end = (None, None, dt.datetime(2014, 6, 1), -1)
+    spark.conf.set("spark.sql.shuffle.partitions", 2)  # two Python workers each
+    try:
+        for part in (*parts, [end]):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+            queries.append(audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint", delay=delay, slot=slot))
+            queries[-1].awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return audit.audited(spark, f"{tmp_path}/out", source.schema, ["at", "n"]), queries
+
+
+STATUSES = "job_id int, status string, at timestamp, n int"
+
+
 def test_audit_carries_state_between_batches(spark, tmp_path):
-    schema = "job_id int, status string, at timestamp, n int"
     kinds = list(ledger.LEGAL_TRANSITIONS)
     start = dt.datetime(2014, 1, 1)
-    rows = [(i % 4, kinds[(i * 5 + i // 3) % len(kinds)], start + dt.timedelta(minutes=i), i) for i in range(120)]
-    for part in range(3):
-        spark.createDataFrame(rows[part * 40:(part + 1) * 40], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-    want = ledger.illegal_transitions(ledger.transitions(spark.createDataFrame(rows, schema), ["at", "n"]))
-    assert sorted(map(tuple, audit.audited(spark, f"{tmp_path}/out", ["at", "n"]).collect())) == sorted(map(tuple, want.collect()))
+    # Job 0 has half of all events, all in a few slots.
+    rows = [(i % 4 if i % 2 else 0, kinds[(i * 5 + i // 3) % len(kinds)], start + dt.timedelta(minutes=i), i) for i in range(120)]
+    found, queries = audit_files(spark, tmp_path, [rows[:40], rows[40:80], rows[80:]], STATUSES, "30 minutes")
+    want = ledger.illegal_transitions(ledger.transitions(spark.createDataFrame(rows, STATUSES), ["at", "n"]))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    # What is over has left the state; in the end it holds one status per job.
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for q in queries for p in q.recentProgress]
+    assert held[-1] <= 5 and not files.exists(spark, f"{tmp_path}/out/events")
 
 
 def test_audit_of_late_files(spark, tmp_path):
     """Legal in order, but the files come in another order; and a status that is missing."""
-    schema = "job_id int, status string, at timestamp, n int"
     steps = ["scheduled", "running", None, "scheduled", "running", "success", "scheduled", "error"]
     rows = [(1, status, dt.datetime(2014, 1, 1) + dt.timedelta(minutes=n), n) for n, status in enumerate(steps)] + [(1, "running", None, 99)]
-    for part in ([5, 6], [8, 0, 3], [1, 2, 4, 7]):
-        spark.createDataFrame([rows[n] for n in part], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-    found = audit.audited(spark, f"{tmp_path}/out", ["at", "n"]).collect()
-    assert [(r.n, r.from_status, r.to_status) for r in found] == [(7, "scheduled", "error")]
-    assert spark.read.parquet(f"{tmp_path}/out/untimed").count() == 1
+    found, _ = audit_files(spark, tmp_path, [[rows[n] for n in part] for part in ([5, 6], [8, 0, 3], [1, 2, 4, 7])], STATUSES, "2 days", "5 minutes")
+    assert [(r.n, r.from_status, r.to_status) for r in found.collect()] == [(7, "scheduled", "error")]
+    source = spark.readStream.schema(STATUSES).parquet(f"{tmp_path}/in")
+    audit.untimed_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/untimed-checkpoint").awaitTermination()
+    assert [r.n for r in spark.read.parquet(f"{tmp_path}/out/untimed").collect()] == [99]
+
+
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    def add(*stamps):
+        rows = [(n, s and dt.datetime.fromisoformat(s)) for n, s in enumerate(stamps)]
+        spark.createDataFrame(rows, "n int, ts timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema("n int, ts timestamp").parquet(f"{tmp_path}/in")
+        daily.count_days(source, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+        found = [(r.state, r.day and r.day.day, r.n_rows) for r in daily.counted_days(spark, f"{tmp_path}/out").collect()]
+        return sorted(found, key=lambda r: (r[0], r[1] or 0))
+
+    assert daily.counted_days(spark, f"{tmp_path}/none").count() == 0
+    assert add("2014-01-01T10:00:00", "2014-01-02T10:00:00") == [("open", 1, 1), ("open", 2, 1)]
+    assert add("2014-01-01T23:59:00", "2014-01-03T23:59:00") == [("open", 1, 2), ("open", 2, 1), ("open", 3, 1)]
+    first = [("final", 1, 2), ("open", 2, 1), ("open", 3, 1), ("open", 4, 1)]
+    assert add("2014-01-04T00:00:00") == first
+    files.remove(spark, f"{tmp_path}/checkpoint/commits/2")  # the batch is run again, as if the job had died before it was marked done
+    last = add("2014-01-01T00:00:00", "2014-01-01T05:00:00", None, "2014-01-09T00:00:00")
+    assert last == [("final", 1, 2), ("final", 2, 1), ("final", 3, 1), ("final", 4, 1), ("late", None, 1), ("late", 1, 2), ("open", 9, 1)]
+    assert len(files.glob(spark, f"{tmp_path}/out/open/batch_id=*")) == 2
+
+
+def test_days_are_picked_up_by_their_markers(spark, tmp_path):
+    for n in range(1, 4):
+        write_file(tmp_path / "in" / "2014" / "01" / f"0{n}", "part-0.json", [{"id": n}] * n)
+    args = (spark, SPEC, [str(tmp_path / "in")], dt.date(2014, 1, 1), f"{tmp_path}/stage", f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+
+    def arrive(*marked):
+        for n in marked:
+            files.touch(spark, f"{tmp_path}/in/2014/01/0{n}/COMPLETE")
+        ready.follow_days(*args, suffix="/part-*.json").awaitTermination()
+        rows = days.loaded_counts(spark, SPEC, f"{tmp_path}/out").where("table_name = 'doc'").collect()
+        return sorted((r.data_date.day, r.n_rows) for r in rows)
+
+    assert arrive() == [] and arrive(2) == [] and arrive(3) == []
+    assert arrive(1) == [(1, 1), (2, 2), (3, 3)]
+    steps = days.ledger_events(spark, f"{tmp_path}/out/_ledger").where("status = 'started'").groupBy("step", "day").count()
+    assert sorted((r.step, r.day.day, r["count"]) for r in steps.collect()) == [(s, n, 1) for s in ("et", "load") for n in (1, 2, 3)]
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    write_file(tmp_path / "in" / "2014-01-01", "f.json", [{"id": 1, "items": [1, 2]}, "bad"])
+    parsed = []
+    monkeypatch.setattr(ingest, "write_stage", lambda docs, *args: (parsed.append(docs), sinks.write_stage(docs, *args)))
+    run(spark, tmp_path)
+    assert len(parsed) == 1
+    assert [ingest.ingested(spark, f"{tmp_path}/out", SPEC, n).count() for n in ("doc", "item", "pipeline_errors")] == [1, 2, 1]
