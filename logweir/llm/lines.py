@@ -42,22 +42,30 @@ def _window(start: Column, count: Column) -> Column:
     return F.struct(
         start.alias("start"), count.alias("count"),
         F.xxhash64(F.transform(part, lambda x: x["h"])).alias("w1"), F.xxhash64(F.lit(7), F.transform(part, lambda x: x["g"])).alias("w2"),
-        low["h"].alias("mark"), (-low["back"]).alias("mark_at"))
+        low["h"].alias("mark"), (-low["back"]).alias("mark_at"), F.transform(part, lambda x: x["no"]).alias("nos"))
 
 
 def _windows(rows: DataFrame, min_words: int) -> DataFrame:
-    """(row, key, first line number of each line...) one row per window of rows (row, key, lines)."""
-    at, lines = F.col("at"), F.col("lines")
-    each = rows.select("row", "key", "lines", F.posexplode(F.transform(lines, lambda x: x["n"])).alias("at", "n"))
-    ahead = F.slice(lines, at + 1, min_words)
-    behind = F.reverse(F.slice(lines, F.greatest(at + 2 - min_words, F.lit(1)), F.least(at + 1, F.lit(min_words))))
-    each = each.select("row", "key", "lines", "at", "n", _reach(ahead, min_words).alias("on"), _reach(behind, min_words).alias("back"))
-    forward = F.when(F.col("on.words") >= min_words, _window(at, F.col("on.lines")))
-    # Back from this line: the window that starts there leads here too, unless it is shorter.
-    again = (F.col("back.words") >= min_words) & (F.col("back.words") - F.col("n") >= min_words)
-    backward = F.when(again, _window(at + 1 - F.col("back.lines"), F.col("back.lines")))
-    found = each.select("row", "key", "lines", F.explode(F.array_compact(F.array(forward, backward))).alias("w"))
-    return found.select("row", "key", "w.*", F.transform(F.slice("lines", F.col("w.start") + 1, F.col("w.count")), lambda x: x["no"]).alias("nos"))
+    """One row per window of rows (row, key, lines): row, key, the window, and the numbers of its lines.
+
+    Windows are made from slices inside the document's row, so what is exploded holds a window and not the document.
+    """
+    lines = F.col("lines")
+
+    def around(x: Column, at: Column) -> Column:
+        ahead = F.slice(lines, at + 1, min_words)
+        behind = F.reverse(F.slice(lines, F.greatest(at + 2 - min_words, F.lit(1)), F.least(at + 1, F.lit(min_words))))
+        return F.struct(at.alias("at"), x["n"].alias("n"), _reach(ahead, min_words).alias("on"), _reach(behind, min_words).alias("back"))
+
+    def windows(r: Column) -> Column:
+        forward = F.when(r["on"]["words"] >= min_words, _window(r["at"], r["on"]["lines"]))
+        # Back from this line: the window that starts there leads here too, unless it is shorter.
+        again = (r["back"]["words"] >= min_words) & (r["back"]["words"] - r["n"] >= min_words)
+        return F.array_compact(F.array(forward, F.when(again, _window(r["at"] + 1 - r["back"]["lines"], r["back"]["lines"]))))
+
+    reached = rows.select("row", "key", "lines", F.transform(lines, around).alias("reach"))
+    found = reached.select("row", "key", F.explode(F.flatten(F.transform("reach", windows))).alias("w"))
+    return found.select("row", "key", "w.*")
 
 
 def repeated_lines(docs: DataFrame, row: str, key: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
@@ -89,11 +97,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     total, deleted = free_name(docs, "n_lines"), free_name(docs, "n_deleted")
     # Merged at every size: the texts with deletions grow with the corpus, and a join by size would change its plan.
     joined = numbered.alias("d").join(gone.hint("merge").alias("g"), F.col(f"d.`{row}`") == F.col("g.gone_row"), "left")
-    lines, nos = F.split(F.col(f"d.`{text}`"), "\n", -1), F.col("g.gone_nos")
-    count = F.coalesce(F.size(lines), F.lit(0))
-    count = F.when(F.col(f"d.`{text}`").isNull(), 0).otherwise(count)
-    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), nos)
-    cut = F.array_join(F.transform(keep, lambda i: lines[i]), "\n")
-    new = F.when(nos.isNull(), F.col(f"d.`{text}`")).otherwise(cut)
-    columns = [new.alias(text) if c == text else F.col(f"d.`{c}`") for c in docs.columns]
-    return joined.select(*columns, count.alias(total), F.coalesce(F.size(nos), F.lit(0)).alias(deleted)), total, deleted
+    own, every, nos = F.col(f"d.`{text}`"), free_name(docs, "every_line"), free_name(docs, "gone_lines")
+    # Split before lines are picked: inside the picking the text would be split once per line.
+    split = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.split(own, "\n", -1).alias(every), F.col("g.gone_nos").alias(nos))
+    every, nos, own = F.col(every), F.col(nos), F.col(f"`{text}`")
+    count = F.when(own.isNull(), 0).otherwise(F.size(every))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), nos)
+    cut = F.array_join(F.transform(keep, lambda i: F.get(every, i)), "\n")
+    new = F.when(nos.isNull(), own).otherwise(cut)
+    columns = [new.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return split.select(*columns, count.alias(total), F.coalesce(F.size(nos), F.lit(0)).alias(deleted)), total, deleted

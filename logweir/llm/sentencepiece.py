@@ -221,7 +221,9 @@ class Encoder:
                 if k == 1 and len(at) < n:  # an unknown character stands alone
                     rest = np.ones(n, bool)
                     rest[at] = False
-                    best[rest] = score[i, rest] + (0 if v.bpe else self.unknown)
+                    alone = score[i] + (0 if v.bpe else self.unknown)
+                    rest &= alone > best
+                    best[rest], last[j, rest], step[j, rest] = alone[rest], -1, 1
                 if v.bpe:
                     strange = v.odd.take(found)
                     if strange.any():

@@ -8,6 +8,8 @@ a section's end goes to one section by an explicit rule: "first" gives it to the
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,25 @@ RULES = ("first", "most")
 # How the vocabulary's texts are cut before their bytes are merged (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# White space of the pattern; from so many characters on it is cut out before the pattern sees the text: it looks ahead
+# from each of them and overflows the stack on very long runs.
+SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+LONG_RUN = 1000
+
+
+def encoded(text: str, encode: Callable[[str], list[int]], merge: Callable[[str], list[int]], long_run: int = LONG_RUN) -> list[int]:
+    """The tokens of a text. ``encode`` cuts by the pattern and merges, ``merge`` merges without cutting.
+
+    By the pattern a run of white space is one piece, but its last character goes on with what follows; so a long run is
+    merged by itself, and what ``encode`` gets begins with that character. The tokens are the same for every ``long_run``.
+    """
+    tokens, done = [], 0
+    for run in re.finditer(f"{SPACES}{{{long_run},}}", text):
+        stop = run.end() - (run.end() < len(text))
+        tokens += encode(text[done:run.start()]) + merge(text[run.start():stop])
+        done = stop
+    return tokens + encode(text[done:])
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """A vocabulary file: a token in base 64 and its rank per line."""
@@ -68,14 +89,14 @@ def section_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text:
     def run(batches):
         import tiktoken
 
-        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        encode, merge = (tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (PATTERN, r"(?s).+"))
         width = np.zeros(max(ranks.values()) + 1, np.int64)
         width[list(ranks.values())] = list(map(len, ranks))
         for batch in batches:
             for part in slices(batch, text):
                 rows, columns = [], ([], [], [], [], [])
                 for k, data in enumerate(bytes_of(part.column(text))):
-                    sizes = width[np.array(encoding.encode_ordinary(data.decode()), np.int64)]
+                    sizes = width[np.array(encoded(data.decode(), encode, merge), np.int64)]
                     starts, tokens, crossing = attributed(data, sizes, line_starts(data), rule)
                     total = int(((np.frombuffer(data, np.uint8) & 0xC0) != 0x80).sum())
                     rows += [k] * len(starts)

@@ -138,6 +138,30 @@ def test_unigram_scores_against_all_segmentations():
     assert abs(sum(score[v.pieces[i]] for i in groups[0]) - sum(score[v.pieces[i]] for i in groups[1])) < 1e-9
 
 
+def test_unigram_with_characters_that_are_no_pieces():
+    """A longer piece may end in a character that is no piece itself; short and long words agree with trying everything."""
+    pieces, scores = ["▁", "a", "▁ab", "bc", "c", "xyz", "yx"], [-3.0, -2.0, -1.0, -4.0, -1.0, -2.5, -1.5]
+    byte = [f"<0x{b:02X}>" for b in range(256)]
+    v = sp.vocabulary(byte + pieces, [0.0] * 256 + scores, ["byte"] * 256 + ["plain"] * len(pieces), bpe=False)
+    ours, score = sp.Encoder(v), dict(zip(pieces, scores))
+
+    def best(word):
+        if not word:
+            return 0.0
+        return max((score[word[:k]] if word[:k] in score else ours.unknown if k == 1 else -np.inf) + best(word[k:]) for k in range(1, len(word) + 1))
+
+    def worth(parts):
+        return sum(score[v.pieces[p]] if isinstance(p, int) and p >= 0 else ours.unknown for p in parts)
+
+    assert [v.pieces[i] for i in ours.encode(["abc"])[0]] == ["▁ab", "c"]
+    for n in range(1, 6):
+        words = ["▁" + "".join(x) for x in itertools.product("abcxyz", repeat=n)]
+        flat, counts, _ = ours.viterbi(words)
+        ends = np.r_[0, np.cumsum(counts)]
+        for word, i, j in zip(words, ends, ends[1:]):
+            assert abs(worth(flat[i:j].tolist()) - best(word)) < 1e-9 and abs(worth(ours.viterbi_long(word)) - best(word)) < 1e-9
+
+
 def rolled(data):
     h, out = 0, []
     for b in data:
@@ -185,6 +209,50 @@ def test_sketch_buckets(spark):
     assert rows.selectExpr("b >= lag(b) OVER (ORDER BY id) AS up").where("NOT up").count() == 0
 
 
+def _encoders():
+    import tiktoken
+
+    ranks = tokens.load_ranks("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    return [tiktoken.Encoding("t", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (tokens.PATTERN, r"(?s).+")]
+
+
+_ENCODERS = _encoders()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", "\n", "\t", "\u2003", "\x85", "\x1c", "\u200b", "a", "Zé", "12", "!?", "'s", "日本"]), max_size=40))
+def test_runs_of_white_space_do_not_change_tokens(parts):
+    encode, merge = _ENCODERS
+    text = "".join(parts)
+    assert all(tokens.encoded(text, encode, merge, least) == encode(text) for least in (2, 3, 1000))
+
+
+def merged(data, ranks):
+    """Byte pairs merged by rank, one by one."""
+    parts = [bytes([b]) for b in data]
+    while True:
+        found = min(((ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks), default=None)
+        if found is None:
+            return [ranks[p] for p in parts]
+        parts[found[1]:found[1] + 2] = [parts[found[1]] + parts[found[1] + 1]]
+
+
+def test_very_long_runs_of_white_space(spark, docs_of):
+    ranks = tokens.load_ranks("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    encode, merge = _ENCODERS
+    mixed = "".join(random.Random(4).choice(" \n\t") for _ in range(700))
+    assert tokens.encoded(mixed + " x", encode, merge, 100) == merged(mixed.encode(), ranks) + merged(b" x", ranks)
+    million = 1_000_000
+    texts = [" " * million, "\n" * million, " \n" * (million // 2), "a" + " " * million + "b", "a" + "\n" * million + "b"]
+    got = {}
+    for r in tokens.section_tokens(docs_of([(n, t, "en", "a") for n, t in enumerate(texts)]), "/opt/tokenizers/byte_bpe_50k.tiktoken").collect():
+        n_tokens, n_chars = got.get(r["doc_id"], (0, 0))
+        got[r["doc_id"]] = (n_tokens + r["n_tokens"], n_chars + r["n_chars"])
+    assert [got[n][1] for n in range(5)] == list(map(len, texts))
+    assert [got[n][0] for n in (0, 1, 2)] == [len(merge(t)) for t in texts[:3]]
+    assert got[3][0] == 2 + len(merge(" " * (million - 1))) and got[4][0] == 3 + len(merge("\n" * (million - 1)))
+
+
 def test_tokens_of_sections_against_offsets(spark):
     from tokenizers import Tokenizer
 
@@ -290,3 +358,25 @@ def test_audit_finds_exactly_the_damage(spark):
     got = warc.audit(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()
     assert {(r["file"], r["offset"]) for r in got} == {x[:2] for x in (a[7], a[1500], lost, lost_first, (9, 0))}
     assert len(got) == 5
+
+
+def test_simhash_query_against_all_pairs(spark):
+    """The whole of op8 on the small documents: fingerprints word by word, links by comparing all pairs."""
+    import xxhash
+
+    from logweir.llm import queries
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    prints = []
+    for _, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+        grams = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+        hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    label = groups_of(len(docs), pairs)
+    lowest = {}
+    for (key, _), root in zip(docs, label):
+        lowest[root] = min(lowest.get(root, key), key)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in queries.op8_simhash_near_dedup(spark, SMALL).collect()}
+    assert got == {key: (f"{fp:016x}", lowest[root]) for (key, _), fp, root in zip(docs, prints, label)} and len(set(lowest.values())) < len(docs)

@@ -1,12 +1,14 @@
 """Cases that earlier versions left out."""
 
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.llm import common, jaccard, mixing, simhash
+from corpus_fixtures import docs_of  # noqa: F401
+from logweir.llm import common, jaccard, lines, mixing, simhash
 
 
 def _near_texts() -> list[str]:
@@ -72,3 +74,62 @@ def test_stages_take_frames_that_are_not_stored(spark):
     once = {r["key"]: -(-r["taken"] // r["size"]) for r in mixing.mix(docs).collect()}
     found = [r["doc_id"] for r in mixing.mixed_documents(docs).collect()]
     assert {k: found.count(k) for k in once} == once
+
+
+def test_documents_of_many_lines_take_time_in_proportion(docs_of):
+    """Two equal documents of many lines: all lines of the second one go."""
+    def seconds(n: int) -> float:
+        text = "\n".join(f"line {i} of this text has words" for i in range(n))
+        docs, began = docs_of([(1, text, "en", "a"), (2, text, "en", "a")]), time.time()
+        cut, total, deleted = lines.dedup_lines(docs)
+        assert [(r["doc_id"], r[total], r[deleted], len(r["text"])) for r in cut.orderBy("doc_id").collect()] == [(1, n, 0, len(text)), (2, n, n, 0)]
+        return time.time() - began
+
+    seconds(500)
+    assert seconds(60_000) < 4 * seconds(20_000) + 4
+
+
+def test_fingerprints_keep_alike_texts_and_tell_others_apart():
+    rng, near, far = random.Random(8), [], []
+    for _ in range(3000):
+        words = [str(rng.randrange(9999)) for _ in range(rng.choice([9, 20, 80, 300]))]
+        other = list(words)
+        for _ in range(rng.randrange(1, 2 + len(words) // 40)):
+            other[rng.randrange(len(words))] = str(rng.randrange(9999))
+        a, b, c = (jaccard.shingles([w.encode() for w in x], 5) for x in (words, other, [str(rng.randrange(9999)) for _ in words]))
+        fps = [jaccard._fingerprints([jaccard.fingerprint(x)]) for x in (a, b, c)]
+        if jaccard.alike(a, b):
+            shared = len(np.intersect1d(a, b))
+            near.append((shared / (len(a) + len(b) - shared), bool(jaccard.near(fps[0], fps[1])[0]) and bool(set(jaccard.bands(a)) & set(jaccard.bands(b)))))
+        far.append(bool(jaccard.near(fps[0], fps[2])[0]))
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        kept = [fine for likeness, fine in near if low <= likeness < high]
+        assert len(kept) > 100 and sum(kept) >= 0.99 * len(kept)
+    assert sum(far) < 0.01 * len(far)
+
+
+def test_the_filter_is_that_of_every_chain():
+    """What passes is what is within the budget: some chain of a ring that sums to it stays within its share at every length."""
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 64, (4000, jaccard.WORDS), np.uint64)
+    flips = np.packbits(rng.random((4000, 256)) < rng.uniform(0.1, 0.4, (4000, 1)), axis=1).view(np.uint64)
+    apart = np.bitwise_count(flips).sum(axis=1)
+    assert (jaccard.near(a, a ^ flips) == (apart <= jaccard.BITS)).all() and 500 < (apart <= jaccard.BITS).sum() < 3500
+
+
+def test_a_large_group_of_variants_is_one_group(spark, docs_of, monkeypatch):
+    """A third of all rows are variants of one text, each with a word of its own; none is close to all bands' smallest."""
+    rng = random.Random(2)
+    base = [str(rng.randrange(9999)) for _ in range(120)]
+    variants = [" ".join(base[:i] + [f"own{k}"] + base[i + 1:]) for k, i in ((k, rng.randrange(120)) for k in range(150))]
+    others = [" ".join(str(rng.randrange(9999)) for _ in range(120)) for _ in range(300)]
+    # A family in which neighbours are alike and others are not, and long texts in one cell.
+    chain, words = [], list(base[::-1])
+    for k in range(20):
+        words = words[:k * 4] + [f"new{k}"] + words[k * 4 + 1:]
+        chain.append(" ".join(words))
+    long = [" ".join(f"l{i}" for i in range(40_000)) + f" end{k}" for k in range(6)]
+    texts = variants + others + chain + long
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    kept = simhash.without_near_duplicates(docs_of([(k, t, "en", "a") for k, t in enumerate(texts)])).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, *range(150, 451), 470]
