@@ -1,8 +1,8 @@
 """Guess a table spec from sample documents.
 
-Documents are taken apart level by level by generators inside one plan, down to leaf values; each task keeps one entry per
-(path, type): the longest rendering seen. Only those entries are shuffled, so the volume follows the number of distinct
-paths, not of documents.
+One pass over the lines, whatever their depth: each document is taken apart inside its row, level by level until no dict
+is left, and its leaves go through one generator. Each task keeps one entry per (path, type): the longest rendering seen.
+Only those entries are shuffled, so the volume follows the number of distinct paths, not of documents.
 """
 
 from __future__ import annotations
@@ -44,7 +44,6 @@ class InferOptions:
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
 WIDE_VARCHAR = 65535
 # ----------------------------------------------------------------------------------------------------
-LEVELS = 3  # taken apart at first; doubled until no dict is left
 
 
 def _map(value: Column) -> Column:
@@ -76,28 +75,39 @@ def _rendered_length(text: Column, kind: Column) -> Column:
 
 
 def _sources(docs: DataFrame, options: InferOptions) -> DataFrame:
-    """The objects that would be rows, one variant each, without those that are null."""
+    """The objects that would be rows, one variant each, without those that are null; with the documents' ``most`` levels."""
     doc, keys = document(F.col("doc")), split_path(options.source)
     if options.source_type == "list":
-        objects = docs.select(F.explode(doc.get(keys, "array<variant>")).alias("value"))
+        objects = docs.select(F.explode(doc.get(keys, "array<variant>")).alias("value"), "most")
     elif options.source_type == "sparse_list":
-        objects = docs.select(F.explode(F.map_values(doc.get(keys, "map<string,variant>"))).alias("value"))
+        objects = docs.select(F.explode(F.map_values(doc.get(keys, "map<string,variant>"))).alias("value"), "most")
     else:
-        objects = docs.select(doc.get(keys, "variant").alias("value"))
+        objects = docs.select(doc.get(keys, "variant").alias("value"), "most")
     return objects.where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
 
 
-def _apart(objects: DataFrame, options: InferOptions, levels: int) -> DataFrame:
-    """(path, value) of everything that would be a column, dicts taken apart so many levels deep."""
-    rows = objects.select(F.lit("").alias("path"), "value", F.lit(False).alias("done"))
-    for _ in range(levels):
-        kept = F.col("done") | F.col("path").isin(*options.prune) if options.prune else F.col("done")
-        itself = F.array(F.struct("path", "value", F.lit(True).alias("done")))
-        below = F.transform(F.map_entries(_map(F.col("value"))), lambda e: F.struct(
-            F.regexp_replace(F.concat(F.col("path"), F.lit("."), e["key"]), r"^\.+", "").alias("path"), e["value"].alias("value"), F.lit(False).alias("done")))
-        rows = rows.select(F.explode(F.when(kept, itself).otherwise(F.coalesce(below, itself))).alias("at")).select("at.*")
+def _apart(objects: DataFrame, options: InferOptions) -> DataFrame:
+    """(path, value) of everything that would be a column: dicts taken apart to the depth wanted, or until none is left.
+
+    ``most`` bounds an object's levels; once it has no dict left, the remaining rounds return what there is.
+    """
+    def one(e: Column) -> Column:
+        done = e["done"] | e["path"].isin(*options.prune) if options.prune else e["done"]
+        itself = F.array(F.struct(e["path"].alias("path"), e["value"].alias("value"), F.lit(True).alias("done")))
+        below = F.transform(F.map_entries(_map(e["value"])), lambda m: F.struct(
+            F.call_function("ltrim", F.lit("."), F.concat(e["path"], F.lit("."), m["key"])).alias("path"), m["value"].alias("value"), F.lit(False).alias("done")))
+        return F.when(done, itself).otherwise(F.coalesce(below, itself))
+
+    def level(held: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(held["at"], one))
         if options.exclude:
-            rows = rows.where(~F.col("path").isin(*options.exclude))
+            below = F.filter(below, lambda e: ~e["path"].isin(*options.exclude))
+        return F.when(held["open"], F.struct(below.alias("at"), F.exists(held["at"], lambda e: ~e["done"]).alias("open"))).otherwise(held)
+
+    start = F.struct(F.array(F.struct(F.lit("").alias("path"), F.col("value"), F.lit(False).alias("done"))).alias("at"), F.lit(True).alias("open"))
+    levels = F.col("most") if options.depth < 0 else F.least("most", F.lit(options.depth))
+    rounds = F.when(levels > 0, F.sequence(F.lit(1), levels)).otherwise(F.array().cast("array<int>"))
+    rows = objects.select(F.explode(F.aggregate(rounds, start, level)["at"]).alias("e")).select("e.path", "e.value")
     # What is no dict, or is not to be taken apart, is itself the value.
     return rows.select(F.when(F.col("path") == "", "value").otherwise(F.col("path")).alias("path"), "value")
 
@@ -117,26 +127,20 @@ def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value
     if options.source_type not in ("dict", "list", "sparse_list"):
         raise ValueError(f"unsupported source type {options.source_type!r}")
     docs = parse_lines(lines.select(F.col(value).alias("value")))
+    # A document has no more levels than brackets that open a dict, and one more round finds that none is left.
+    most = (F.length("value") - F.length(F.replace("value", F.lit("{"))) + 1).alias("most")
     if on_error == "skip":
-        docs = docs.where(is_document(F.col("doc")))
+        docs = docs.where(is_document(F.col("doc"))).select("doc", most)
     else:
         stop = F.raise_error(F.concat(F.lit("no JSON document: "), F.left("value", F.lit(200)))).cast("variant")
-        docs = docs.select(F.when(is_document(F.col("doc")), F.col("doc")).otherwise(stop).alias("doc"))
-    levels = LEVELS if options.depth < 0 else options.depth
-    while True:
-        found = _summary(_apart(_sources(docs, options), options, levels), False)
-        if options.foreign:
-            doc = document(F.col("doc"))
-            values = F.explode(F.array(*[F.struct(F.lit(p).alias("path"), doc.get(split_path(p), "variant").alias("value")) for p in options.foreign]))
-            rows = docs.select(values.alias("at")).select("at.*").where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
-            found = found.unionByName(_summary(rows, True))
-        summary = stored(found.groupBy("path", "kind").agg(
-            F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")), "leaves")
-        # A dict that is still whole, though nothing asked for that, lies deeper than the levels taken apart.
-        deeper = summary.where((F.col("kind") == "dict") & ~F.col("path").isin(*options.prune, *options.foreign))
-        if options.depth >= 0 or deeper.isEmpty():
-            return summary
-        levels *= 2
+        docs = docs.select(F.when(is_document(F.col("doc")), F.col("doc")).otherwise(stop).alias("doc"), most)
+    found = _summary(_apart(_sources(docs, options), options), False)
+    if options.foreign:
+        doc = document(F.col("doc"))
+        values = F.explode(F.array(*[F.struct(F.lit(p).alias("path"), doc.get(split_path(p), "variant").alias("value")) for p in options.foreign]))
+        rows = docs.select(values.alias("at")).select("at.*").where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
+        found = found.unionByName(_summary(rows, True))
+    return stored(found.groupBy("path", "kind").agg(F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")), "leaves")
 
 
 def fold_types(summary: DataFrame) -> DataFrame:

@@ -80,6 +80,22 @@ def test_options(spark, options, paths):
     assert set(folded(spark, [NESTED], **options)) == paths
 
 
+def test_deep_documents_are_read_once(spark, tmp_path, monkeypatch):
+    """Twenty levels, dicts inside lists left whole, an empty dict at the bottom; the plan holds one scan of the lines."""
+    deep = {"x": 1, "empty": {}, "list": [{"y": {"z": 1}}]}
+    for n in range(20):
+        deep = {f"d{n}": deep, "n": n}
+    frame = lines(spark, deep, {"n": 2.5}, {"d19": None, "n": None})
+    frame.write.text(folder := str(tmp_path / "lines"))
+    plans = []
+    monkeypatch.setattr(infer, "stored", lambda rows, label: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), rows)[1])
+    got = {r.path: r.type for r in infer.fold_types(infer.leaf_summary(spark.read.text(folder))).collect()}
+    path = ".".join(f"d{n}" for n in range(19, -1, -1))
+    assert got[f"{path}.x"] == "int" and got[f"{path}.list"] == "list" and f"{path}.empty" not in got and got["n"] == "float"
+    assert got["d19"] == "null" and len(got) == 23
+    assert plans[0].count("Relation") == 1
+
+
 def test_order_does_not_matter(spark):
     values = [{"x": v} for v in (1, None, 2.5, 2**70, 12345)]
     forward, backward = folded(spark, values), folded(spark, values[::-1])
