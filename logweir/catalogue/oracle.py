@@ -403,4 +403,11 @@ m(d, since) AS (VALUES (2, 1), (3, 1), (5, 2), (1, 2), (6, 3)),
 b(batch) AS (VALUES (1), (2), (3))
 SELECT batch, '2024-03-0' || n.d AS day, coalesce(since <= batch, false) AS extracted, CASE WHEN n.d <= 3 AND batch >= 2 THEN n ELSE 0 END AS n_rows
 FROM n CROSS JOIN b LEFT JOIN m USING (d)""",
+    "reassemble_stored": """
+SELECT l_orderkey AS order_id, count(*) AS n_lines, CAST(sum(l_partkey) AS BIGINT) AS parts, 4 * count(*) AS n_charges, round(sum(l_extendedprice), 2) AS price
+FROM lineitem GROUP BY 1""",
+    "gzip_spread": ORDERS,
+    "job_lookup": """
+WITH e AS (SELECT event_id, user_id AS job_id, 'log-' || (user_id % 7) || event_type AS log_name FROM events)
+SELECT *, 'id' AS by FROM e WHERE job_id IN (3, 14, 15) UNION ALL SELECT *, 'name' FROM e WHERE log_name = 'log-5error'""",
 }

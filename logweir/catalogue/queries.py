@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from logweir.catalogue import fixtures as fx
 from logweir.functions import dates, text
-from logweir.operators import checks, claims, day_tables, days as day_runs, evolve, infer, ledger, retention, sinks
+from logweir.operators import checks, claims, day_tables, days as day_runs, evolve, infer, ledger, lookup, retention, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import error_rows
 from logweir.plans.spec import SchemaSpec, parse_spec
 from logweir.session import fresh_folder, small_frame, stored
 from logweir.sources import days, dump, files, psv
 from logweir.sources.lines import document, parse_lines, read_lines
+from logweir.sources.registry import read_documents
 from logweir.streaming import audit, daily, ingest, ready
 
 QUERIES = {}
@@ -247,6 +248,31 @@ def reassemble_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reassemble_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parents and children stored in buckets by their common key: grouped and joined where they lie."""
+    root, name = fresh_folder(spark, "buckets"), uuid.uuid4().hex[:12]
+    lines_spec = fx.spec(fx.LINES_SPEC)
+    day = F.date_add(F.lit("2024-03-01").cast("date"), (F.col("order_id") % 2).cast("int"))
+    for part, rows in extract_tables(fx.line_docs(spark, sf_dir), lines_spec).items():
+        table = day_tables.table_of(spark, f"{part}_{name}", lines_spec.tables[part], root, "public", buckets=8)
+        table.check()
+        table.replace(rows.withColumn("data_date", day))
+    parents = spark.table(f"lines_{name}").groupBy("order_id").agg(F.count("*").alias("n_lines"), F.sum("part").alias("parts"))
+    children = spark.table(f"charges_{name}").groupBy("order_id").agg(
+        F.count("*").alias("n_charges"), F.round(F.sum(F.when(F.col("kind") == "price", F.col("amount"))), 2).alias("price"))
+    return parents.hint("merge").join(children, "order_id")
+
+
+@query
+def gzip_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in one compressed file, which one task reads; its lines are parsed by eight."""
+    root = fresh_folder(spark, "one-file")
+    fx.order_lines(spark, sf_dir).coalesce(1).write.option("compression", "gzip").text(root)
+    docs = read_documents(spark, "json", f"{root}/part-*.gz", spread=8)
+    return _orders(extract_table(docs, fx.table_spec(fx.ORDERS_SPEC, "orders")))
+
+
 # -- delimited text ----------------------------------------------------------------------------------
 
 @query
@@ -835,6 +861,17 @@ def transition_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.illegal_transitions(changes).select("job_id", "event_id", "from_status", "to_status")
 
 
+@query
+def job_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some jobs by id, and of one log by name, from a ledger with Bloom filters on both."""
+    root, events = fresh_folder(spark, "ledger"), fx.events(spark, sf_dir)
+    rows = events.select("event_id", F.col("user_id").alias("job_id"), F.concat(F.lit("log-"), (F.col("user_id") % 7).cast("string"), F.col("event_type")).alias("log_name"))
+    lookup.write_indexed(rows, root, ["job_id", "log_name"])
+    by_id = lookup.find(spark, root, rows.schema, job_id=[3, 14, 15]).withColumn("by", F.lit("id"))
+    by_name = lookup.find(spark, root, rows.schema, log_name="log-5error").withColumn("by", F.lit("name"))
+    return by_id.unionByName(by_name)
+
+
 @query
 def versions_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = fx.table(spark, sf_dir, "part")

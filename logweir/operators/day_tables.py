@@ -8,6 +8,10 @@ A ``CatalogTable`` has no such moment. Each load writes into a folder of its own
 day is published by pointing its partition of the catalog table there: one change of the catalog per day, so a reader
 sees all old rows of a day or all new ones. What the catalog no longer points to stays for readers that began before,
 and is removed after a time of grace; so is what a load left that stopped before publishing.
+
+With ``buckets`` a catalog table lies in files by hash of its dist key, in its order. Tables in equally many buckets are joined
+and grouped by that key where they lie, without a shuffle. All rows of a key are in one bucket, so this is for keys none of
+which holds a large share of a day; without buckets a hot key is split over files.
 """
 
 from __future__ import annotations
@@ -75,11 +79,13 @@ class CatalogTable:
     name: str  # as in the catalog
     folder: str
     table: TableSpec
+    buckets: int | None = None
 
     def check(self) -> None:
         """The catalog table made, or extended by the spec's new columns."""
         namespace, _, name = self.name.rpartition(".")
-        evolve.evolve_tables(self.spark, SchemaSpec({name: self.table}), namespace or "public", DAY, self.folder.rsplit("/", 1)[0], with_errors=False)
+        evolve.evolve_tables(self.spark, SchemaSpec({name: self.table}), namespace or "public", DAY, self.folder.rsplit("/", 1)[0],
+                             with_errors=False, buckets=self.buckets)
 
     def by_day(self) -> bool:
         return True
@@ -105,9 +111,17 @@ class CatalogTable:
         """The rows in a new folder, with their zones; no reader sees them yet."""
         folder = f"{self.folder}/{LOADS}/{uuid.uuid4().hex}"
         rows = rows.select(*[F.col(f"`{c.out_name}`") for c in self.table.columns], DAY)
-        if self.table.distkeys or self.table.sortkey_attr:
-            rows = laid_out(rows, self.table, [DAY])
-        rows.write.partitionBy(DAY).parquet(folder)
+        keys = self.table.distkeys
+        if self.buckets and keys:
+            # Only a catalog table is written in buckets; this one is gone again once its files are there.
+            made = f"{self.name}_{uuid.uuid4().hex}"
+            writer = rows.repartition(self.buckets, *keys).write.partitionBy(DAY).bucketBy(self.buckets, *keys).sortBy(*keys)
+            writer.format("parquet").option("path", folder).saveAsTable(made)
+            self.spark.sql(f"DROP TABLE {made}")
+        else:
+            if keys or self.table.sortkey_attr:
+                rows = laid_out(rows, self.table, [DAY])
+            rows.write.partitionBy(DAY).parquet(folder)
         write_zones(self.spark, folder, self.table)
         return folder
 
@@ -164,8 +178,8 @@ def _plain(path: str) -> str:
 DayTable = FolderTable | CatalogTable
 
 
-def table_of(spark: SparkSession, name: str, table: TableSpec, root: str, namespace: str | None = None) -> DayTable:
-    """A spec's table below ``root``: in the catalog's ``namespace``, or a folder without one."""
+def table_of(spark: SparkSession, name: str, table: TableSpec, root: str, namespace: str | None = None, buckets: int | None = None) -> DayTable:
+    """A spec's table below ``root``: in the catalog's ``namespace``, or a folder without one; there in ``buckets`` by its dist key."""
     if namespace is None:
         return FolderTable(spark, name, f"{root}/{name}", table)
-    return CatalogTable(spark, qualified_name(name, namespace), f"{root}/{name}", table)
+    return CatalogTable(spark, qualified_name(name, namespace), f"{root}/{name}", table, buckets)

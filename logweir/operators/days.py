@@ -58,12 +58,13 @@ def stage_of(stage: str, spec: SchemaSpec) -> str:
 
 def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], days: list[date], stage: str,
                  fmt: str = "json", suffix: str = INPUT_SUFFIX, metrics: dict[str, DeriveFunction] | None = None,
-                 force: bool = False, note: Note | None = None, hold_seconds: float = claims.HOLD_SECONDS) -> list[tuple]:
+                 force: bool = False, note: Note | None = None, hold_seconds: float = claims.HOLD_SECONDS,
+                 spread: int | None = None) -> list[tuple]:
     """Stage every complete day that this spec version hasn't staged yet, all in one job; one result row per day.
 
     A day is claimed before it is staged, so of several runs over the same days one stages each. A day that another run
     has claimed comes back as ``running``. A claim ends with its run, or ``hold_seconds`` after it was taken if the run
-    has stopped. ``note`` is told of the starts and of the outcomes.
+    has stopped. ``note`` is told of the starts and of the outcomes. ``spread``: see ``read_lines``.
     """
     own = stage_of(stage, spec)
     wanted = small_frame(spark, [(d,) for d in days], "day date")
@@ -80,7 +81,7 @@ def extract_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], day
         return f"{_day_path(own + '/markers', day)}/{SUCCESS}"
 
     def stage_days(part: dict[date, str]) -> None:
-        docs = read_documents(spark, fmt, list(part.values()), DAY_IN_PATH)
+        docs = read_documents(spark, fmt, list(part.values()), DAY_IN_PATH, spread)
         for day in part:  # what a broken run has left
             for path in files.glob(spark, f"{own}/rows/table=*/{DAY}={day.isoformat()}"):
                 files.remove(spark, path)
@@ -275,7 +276,7 @@ def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start:
              root: str, fmt: str = "json", suffix: str = INPUT_SUFFIX,
              metrics: dict[str, DeriveFunction] | None = None, step: int = 1, ttl_days: int | None = None,
              ledger: str | None = None, retry_errors: bool = True, namespace: str | None = None,
-             days_at_once: int | None = None) -> DataFrame:
+             days_at_once: int | None = None, spread: int | None = None) -> DataFrame:
     """Extract, then load, a range of days; (day, step, table_name, status, error_info) of what was done.
 
     The ledger (default: ``<root>/_ledger``) decides what to load: days of this spec version that aren't loaded yet, from
@@ -286,7 +287,7 @@ def run_days(spark: SparkSession, spec: SchemaSpec, prefixes: list[str], start:
     """
     ledger = ledger or f"{root}/_ledger"
     days = day_list(start, end, step)
-    results = extract_days(spark, spec, prefixes, days, stage, fmt, suffix, metrics, note=lambda made: record(spark, spec, ledger, made))
+    results = extract_days(spark, spec, prefixes, days, stage, fmt, suffix, metrics, note=lambda made: record(spark, spec, ledger, made), spread=spread)
     staged = [day for day, _, _, status, _ in results if status == "success"]
     missing = next(((day, info) for day, _, _, status, info in results if status != "success"), None)
     if missing:

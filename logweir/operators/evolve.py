@@ -125,7 +125,8 @@ def read_evolved(spark: SparkSession, folders: list[str], table: TableSpec) -> D
 
 
 def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "public",
-                  partition_column: str | None = "data_date", root: str | None = None, with_errors: bool = True) -> dict[str, list[str]]:
+                  partition_column: str | None = "data_date", root: str | None = None, with_errors: bool = True,
+                  buckets: int | None = None) -> dict[str, list[str]]:
     """Create missing catalog tables, extend existing ones; returns the added columns per table.
 
     Includes the error table, unless told not to. A new column's default applies to rows that are already stored. With ``root`` the
@@ -135,7 +136,7 @@ def evolve_tables(spark: SparkSession, spec: SchemaSpec, namespace: str = "publi
     for name, table in sorted((spec.with_error_table() if with_errors else spec).tables.items()):
         target = qualified_name(name, namespace)
         if not spark.catalog.tableExists(target):
-            spark.sql(create_table_sql(target, table, partition_column, f"{root}/{name}" if root else None))
+            spark.sql(create_table_sql(target, table, partition_column, f"{root}/{name}" if root else None, buckets))
             done[name] = [c.out_name for c in table.columns]
             continue
         stored = [f for f in spark.table(target).schema.fields if f.name != partition_column]

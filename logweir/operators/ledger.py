@@ -37,8 +37,8 @@ KEEPALIVE_SECONDS = 300
 QUEUE_GRACE_SECONDS = 3600
 # ----------------------------------------------------------------------------------------------------
 
-SLOT_ROWS = 100_000
-SLOTS = 256
+SLOT_ROWS = 100_000  # events of a job that one task puts in order
+CUTS = 64  # parts into which a larger slot is cut at once
 
 
 # -- current state -----------------------------------------------------------------------------------
@@ -346,17 +346,27 @@ def without_time(events: DataFrame, order: list[str]) -> DataFrame:
 def _slots(events: DataFrame, at: str) -> DataFrame:
     """``events`` with a column _slot that grows with time within a job; a job with many events has many slots.
 
-    Jobs with more than SLOT_ROWS events are cut at quantiles of their own times, so a burst is cut where it is dense.
-    The cuts are stored: every reader sees the same slots.
+    Events are counted per job first. Only what has more than SLOT_ROWS is cut, at quantiles of its own times, so a burst
+    is cut where it is dense; and again, until nothing is too large, or all of it is of one instant. The cuts are stored:
+    every reader sees the same slots.
     """
     micros = F.unix_micros(at)
-    fractions = F.array(*[F.lit(n / SLOTS) for n in range(1, SLOTS)])
-    hot = stored(
-        events.groupBy(F.col("job_id").alias("_hot_job")).agg(F.count("*").alias("n"), F.percentile_approx(micros, fractions, 10 * SLOTS).alias("_cuts"))
-        .where(F.col("n") > SLOT_ROWS).select("_hot_job", "_cuts"), "slots")
-    slot = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < micros)), F.lit(0))
-    joined = events.join(hot, events["job_id"].eqNullSafe(hot["_hot_job"]), "left")
-    return joined.withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot)).drop("_hot_job", "_cuts")
+    slotted = events.withColumn("_slot", F.lit(0).cast("long"))
+    fractions = F.array(*[F.lit(n / CUTS) for n in range(1, CUTS)])
+    while True:
+        counts = slotted.groupBy(F.col("job_id").alias("_job"), F.col("_slot").alias("_of")).agg(
+            F.count("*").alias("n"), F.min(micros).alias("low"), F.max(micros).alias("high"))
+        hot = stored(counts.where((F.col("n") > SLOT_ROWS) & (F.col("low") < F.col("high"))).select("_job", "_of", "low"), "hot-jobs")
+        if hot.isEmpty():
+            return slotted
+        same = slotted["job_id"].eqNullSafe(hot["_job"]) & (slotted["_slot"] == hot["_of"])
+        cuts = slotted.join(hot, same).groupBy("_job", "_of").agg(
+            F.array_append(F.percentile_approx(micros, fractions, 10 * CUTS), F.min("low")).alias("_cuts"))
+        cuts = stored(cuts, "slots")
+        joined = slotted.join(cuts, slotted["job_id"].eqNullSafe(cuts["_job"]) & (slotted["_slot"] == cuts["_of"]), "left")
+        within = F.coalesce(F.size(F.filter(F.array_distinct("_cuts"), lambda cut: cut < micros)), F.lit(0))
+        slot = F.col("_slot") * (CUTS + 1) + F.when(F.col("_cuts").isNull(), 0).otherwise(within)
+        slotted = joined.withColumn("_slot", slot).drop("_job", "_of", "_cuts")
 
 
 def transitions(events: DataFrame, order: list[str], initial: str = "null", first_from: DataFrame | None = None) -> DataFrame:

@@ -13,13 +13,15 @@ from logweir.plans.paths import Node
 END_MARK = 7741930562
 
 
-def read_lines(spark: SparkSession, paths, day_pattern: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, paths, day_pattern: str | None = None, spread: int | None = None) -> DataFrame:
     """Text lines with the file they came from, and the day when the path holds one.
 
-    ``day_pattern`` is a regular expression with three groups, e.g. ``(\\d{4})/(\\d{2})/(\\d{2})``.
+    ``day_pattern`` is a regular expression with three groups, e.g. ``(\\d{4})/(\\d{2})/(\\d{2})``. A compressed file can't be
+    split: its lines are read by one task, and parsed and written by that task too. With ``spread`` the raw lines are
+    dealt over so many tasks first; it pays for few large files and costs a shuffle of the lines.
     """
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    return with_file_columns(lines, day_pattern)
+    lines = with_file_columns(spark.read.option("lineSep", "\n").text(paths), day_pattern)
+    return lines if spread is None else lines.repartition(spread)
 
 
 def with_file_columns(lines: DataFrame, day_pattern: str | None = None) -> DataFrame:

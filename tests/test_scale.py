@@ -1,17 +1,20 @@
 """Plan shape and skew: what must hold when the data is large."""
 
+import hashlib
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from logweir.catalogue import fixtures as fx
 from logweir.catalogue.queries import QUERIES
-from logweir.operators import ledger, sinks
+from logweir.operators import day_tables, ledger, lookup, sinks
 from logweir.operators.extract import extract_tables
 from logweir.plans.spec import SchemaSpec, TableSpec
 from logweir.sources import files
 from logweir.sources.lines import parse_lines, read_lines
+from logweir.sources.registry import read_documents
 from conftest import SMALL
 
 
@@ -44,7 +47,7 @@ def test_each_line_is_parsed_once(spark, name):
     assert plan(QUERIES[name](spark, SMALL)).count("parseJson") == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_ingest", "stream_daily_counts", "stream_audit", "stream_retention"}))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_cross_join_and_no_gathering_of_rows(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -123,6 +126,83 @@ def test_hot_job_gives_the_same_answers(spark):
     assert newest.where("job_id = 1").first().n == 29_997
 
 
+def test_slots_are_cut_until_none_is_too_large(spark, monkeypatch):
+    """A burst, a job without an id, and many events of one instant, which can't be cut by time."""
+    monkeypatch.setattr(ledger, "SLOT_ROWS", 40)
+    monkeypatch.setattr(ledger, "CUTS", 3)
+    kinds = F.element_at(F.array(*[F.lit(k) for k in ledger.LEGAL_TRANSITIONS]), (F.col("id") * 7 % 8 + 1).cast("int"))
+    burst = F.when(F.col("id") % 3 == 0, F.lit(5000)).when(F.col("id") < 900, 5000 + F.col("id") % 7).otherwise(F.col("id") * 100)
+    job = F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 11 < 9, 1).otherwise(F.col("id") % 5)
+    rows = spark.range(1500).select(job.cast("int").alias("job_id"), kinds.alias("status"), F.timestamp_seconds(burst).alias("at"), F.col("id").alias("n"))
+    slots = ledger._slots(rows, "at").groupBy("job_id", "_slot").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).collect()
+    assert all(r["n"] <= 40 or r["low"] == r["high"] for r in slots) and sum(r["n"] for r in slots) == 1500
+    for a in slots:  # slots are in the order of time
+        assert all(a["high"] < b["low"] for b in slots if a["job_id"] == b["job_id"] and a["_slot"] < b["_slot"])
+    got = sorted((str(r["job_id"]), r["n"], r["from_status"], r["to_status"]) for r in ledger.transitions(rows, ["at", "n"]).collect())
+    want, last = [], {}
+    for r in sorted(rows.collect(), key=lambda r: (r["at"], r["n"])):
+        want.append((str(r["job_id"]), r["n"], last.get(r["job_id"], "null"), r["status"]))
+        last[r["job_id"]] = r["status"]
+    assert got == sorted(want)
+
+
+def scanned_rows(frame):
+    """Rows that the scans of a frame have put out."""
+    frame.collect()
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """Ids lie in all files and between the same bounds, so only the Bloom filters can tell."""
+    rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("job_id"), (F.col("id") % 9).alias("kind"), "id")
+    plain, indexed = str(tmp_path / "plain"), str(tmp_path / "indexed")
+    rows.repartition(16, "id").write.parquet(plain)
+    lookup.write_indexed(rows.repartition(16, "id"), indexed, ["job_id", "id"], {"id": 4000})
+    wanted = hashlib.sha256(b"77").hexdigest()
+    assert [r["id"] for r in lookup.find(spark, indexed, rows.schema, job_id=wanted).collect()] == [77]
+    assert scanned_rows(lookup.find(spark, indexed, rows.schema, job_id=wanted)) < 8_000 < scanned_rows(lookup.find(spark, plain, rows.schema, job_id=wanted))
+    assert scanned_rows(lookup.find(spark, indexed, rows.schema, id=[5, 6])) < 12_000
+    assert lookup.find(spark, indexed, rows.schema, job_id=None).count() == 0 and lookup.find(spark, indexed, rows.schema, kind=3, id=3).count() == 1
+    with pytest.raises(ValueError, match="no such columns: x"):
+        lookup.write_indexed(rows, indexed, ["x"])
+
+
+def test_tables_in_buckets_are_joined_where_they_lie(spark, tmp_path):
+    name = f"b_{uuid.uuid4().hex[:8]}"
+    found = QUERIES["reassemble_stored"](spark, SMALL)
+    assert "Exchange" not in plan(found) and "SortMergeJoin" in plan(found)
+    table = TableSpec.from_dict({"src": "", "src_type": "dict", "sortkey_attr": [], "columns": [{"log_key": "k", "sql_attr": "int8 distkey"}, {"log_key": "v", "sql_attr": "int8"}]})
+    stored = day_tables.table_of(spark, name, table, str(tmp_path), "public", buckets=4)
+    stored.check()
+    rows = spark.range(1000).selectExpr("id % 50 AS k", "id AS v", "date_add(date'2024-01-01', CAST(id % 3 AS INT)) AS data_date")
+    stored.replace(rows)
+    stored.replace(rows.where("data_date = date'2024-01-02'").withColumn("v", F.lit(0).cast("long")))  # a day published again
+    counted = spark.table(name).groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+    assert "Exchange" not in plan(counted)
+    assert (counted.count(), spark.table(name).count()) == (50, 1000) and counted.agg(F.sum("v")).first()[0] == sum(n for n in range(1000) if n % 3 != 1)
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_lines_of_one_file_are_spread_before_they_are_parsed(spark, tmp_path):
+    (tmp_path / "one.json").write_text("".join(f'{{"order": {{"id": {n}}}}}\n' for n in range(500)))
+    docs = read_documents(spark, "json", f"{tmp_path}/one.json", spread=6)
+    rows = extract_tables(docs, fx.spec(fx.ORDERS_SPEC))["orders"]
+    text = plan(rows)
+    assert text.index("parse_json" if "parse_json" in text else "parseJson") < text.index("RoundRobinPartitioning(6)")
+    assert rows.select(F.spark_partition_id()).distinct().count() == 6 and rows.count() == 500
+    assert "Exchange" not in plan(read_documents(spark, "json", f"{tmp_path}/one.json"))
+
+
 def test_file_scan_reads_day_folders_once(spark, tmp_path):
     (tmp_path / "2014/01/01").mkdir(parents=True)
     (tmp_path / "2014/01/01/part-0").write_text('{"order": {"id": 1}}\n')
