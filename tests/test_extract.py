@@ -11,7 +11,7 @@ from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import BAD_LINE, error_rows
 from logweir.plans.spec import SchemaSpec, SpecError, TableSpec
 from logweir.sources.lines import document, is_document, parse_lines
-from test_spec import TWO_TABLES
+from test_spec import KILN_SPEC
 
 
 def docs(spark, *lines):
@@ -200,11 +200,12 @@ def test_all_outputs_agree(spark, tmp_path):
     from logweir.plans.spec import parse_spec
     from logweir.sources.psv import from_psv
 
-    spec = parse_spec(TWO_TABLES)
+    spec = parse_spec(KILN_SPEC)
     lines = [
-        {"voyage": {"number": f"n|{i}", "sailed": i, "ports": [{"harbour": f"h{k}"} for k in range(i % 3)]}, "ship": {"flag": "f\\\n", "crew": {"cooks": i}}}
+        {"kiln": {"id": i, "pots": [{"maker": f"m|{k}\\\n", "grams": k} for k in range(i % 3)],
+                  "firing": {"peak": 900 + i / 2, "glaze": f"g|{i}", "opened": i, "notes": {"wood": i}, "readings": {str(9 * i): {"celsius": i + 0.25}}}}}
         for i in range(1, 8)
-    ] + ["broken", {"voyage": {"ports": [{}]}}]
+    ] + ["broken", {"kiln": {"pots": [{}], "firing": {}}}]
     frame = docs(spark, *lines).withColumn("file_path", F.lit("f"))
     direct = {**extract_tables(frame, spec), "pipeline_errors": error_rows(frame, spec)}
     staged = sinks.staged_tables(frame, spec)

@@ -6,28 +6,34 @@ from pyspark.sql import types as T
 from logweir.plans import spec as sp
 from logweir.plans.paths import split_path, step_text
 
-TWO_TABLES = """
+KILN_SPEC = """
 version: 8
 tables:
-  voyages:
-    src: voyage
+  firings:
+    src: kiln.firing
     src_type: dict
     columns:
-    - {log_key: ship.flag, name: flag, sql_attr: varchar(21), is_foreign: true}
-    - {log_key: ship.crew, name: crew, sql_attr: varchar(65535), is_foreign: true, is_json: true}
-    - {log_key: number, sql_attr: varchar(12) distkey}
-    - {log_key: sailed, sql_attr: TIMESTAMP not null}
-    - {name: __source_filename__, sql_attr: varchar(4096), is_derived: true}
-    sortkey_attr: [sailed]
-  ports:
-    src: voyage.ports
+    - {log_key: peak, sql_attr: "decimal(6, 1)"}
+    - {log_key: glaze, sql_attr: varchar(30) default 'none'}
+    - {log_key: opened, sql_attr: timestamp}
+    - {log_key: kiln.id, name: kiln, sql_attr: int4 not null distkey, is_foreign: true, is_mandatory: true}
+    - {log_key: notes, sql_attr: varchar(65535), is_json: true}
+    sortkey_attr: [kiln, opened]
+  readings:
+    src: kiln.firing.readings
+    src_type: sparse_list
+    columns:
+    - {log_key: celsius, sql_attr: float8}
+    - {log_key: index, name: minute, sql_attr: int4}
+    sortkey_attr: []
+  pots:
+    src: kiln.pots
     src_type: list
     columns:
-    - {log_key: index, sql_attr: smallint not null, is_mandatory: true}
-    - {log_key: harbour, sql_attr: varchar(40)}
-    - {log_key: voyage.number, name: voyage_number, sql_attr: varchar(12) distkey, is_foreign: true}
-    - {log_key: voyage.sailed, name: voyage_sailed, sql_attr: TIMESTAMP not null, is_foreign: true, is_mandatory: true}
-    sortkey_attr: [voyage_sailed]
+    - {name: __source_filename__, sql_attr: varchar(4096), is_derived: true}
+    - {log_key: maker, sql_attr: varchar(20)}
+    - {log_key: grams, sql_attr: int8}
+    sortkey_attr: [grams]
 """
 
 
@@ -36,17 +42,15 @@ def table(*columns, **more):
     return sp.TableSpec.from_dict({**raw, **more})
 
 
-def test_two_table_spec():
-    spec = sp.parse_spec(TWO_TABLES)
-    assert spec.identity == "ports voyages 8"
-    first = spec.tables["voyages"]
-    assert [c.out_name for c in first.columns] == ["flag", "crew", "number", "sailed", "__source_filename__"]
-    assert first.distkeys == ["number"]
-    assert first.struct_type["sailed"] == T.StructField("sailed", T.TimestampType(), False)
-    assert first.columns[0].char_width == 21 and first.columns[3].char_width is None
-    assert spec.tables["ports"].struct_type["index"].dataType == T.ShortType()
-    assert sp.SchemaSpec.from_dict(spec.to_dict()) == spec
-    assert sp.parse_spec(sp.spec_text(spec)) == spec
+def test_spec_of_three_tables():
+    spec = sp.parse_spec(KILN_SPEC)
+    assert spec.identity == "firings pots readings 8"
+    firings, readings, pots = (spec.tables[n] for n in ("firings", "readings", "pots"))
+    assert firings.distkeys == ["kiln"] and firings.sortkey_attr == ("kiln", "opened") and not readings.distkeys
+    assert firings.struct_type["kiln"] == T.StructField("kiln", T.IntegerType(), False)
+    assert (firings.column("peak").data_type, firings.column("glaze").default, firings.column("glaze").char_width) == (T.DecimalType(6, 1), "none", 30)
+    assert [c.out_name for c in readings.columns] == ["celsius", "minute"] and pots.columns[0].is_derived
+    assert sp.SchemaSpec.from_dict(spec.to_dict()) == spec == sp.parse_spec(sp.spec_text(spec))
 
 
 def test_old_style_versions():
@@ -154,8 +158,8 @@ def test_ddl(spark):
 
 
 def test_load_spec_from_file(spark, tmp_path):
-    (tmp_path / "spec.yaml").write_text(TWO_TABLES)
-    assert sp.load_spec(spark, str(tmp_path / "spec.yaml")) == sp.parse_spec(TWO_TABLES)
+    (tmp_path / "spec.yaml").write_text(KILN_SPEC)
+    assert sp.load_spec(spark, str(tmp_path / "spec.yaml")) == sp.parse_spec(KILN_SPEC)
 
 
 def test_paths():
