@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir.session import stored  # noqa: F401 - for the operators
@@ -62,6 +63,25 @@ def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
     return stored(docs.withColumn(name, number), "numbered-rows"), name
 
 
+def copies_numbered(rows: DataFrame, same: list[str], row: str, name: str = "nth", salts: int = 64) -> DataFrame:
+    """The rows with a number ``name`` among those of equal ``same`` columns, from 0 and by salt, then ``row``.
+
+    Rows are dealt by salts, so that a group that holds a large share of all rows is numbered by many tasks; NULLs are
+    equal to each other.
+    """
+    salt, before = free_name(rows, "salt"), free_name(rows, "before")
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(row), F.lit(salts)).cast("int"))
+    held = salted.groupBy(*same, salt).agg(F.count("*").alias("held"))
+    earlier = W.partitionBy(*same).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
+    held = held.select(*[F.col(c).alias(f"of_{i}") for i, c in enumerate(same)], F.col(salt).alias("of_salt"),
+                       F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias(before), F.col("held").alias("of_held"))
+    first = salted.withColumn(name, F.row_number().over(W.partitionBy(*same, salt).orderBy(row)) - 1)
+    on = [salted[salt] == held["of_salt"], *[salted[c].eqNullSafe(held[f"of_{i}"]) for i, c in enumerate(same)]]
+    # Most rows have no copy and need no number from elsewhere.
+    joined = first.join(held.where(F.col(before) > 0).drop("of_held"), on, "left")
+    return joined.select(*rows.columns, (F.col(name) + F.coalesce(before, F.lit(0))).cast("long").alias(name))
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for NULL; long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

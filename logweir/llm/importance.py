@@ -1,9 +1,10 @@
 """Quality classifier by importance resampling: hashed n-gram models of target and raw text, sampled by Gumbel top-k.
 
-Words and word pairs (A-Z lower-cased) are hashed into buckets. The raw model counts them over all documents, the
-target model over labelled good ones. A document's weight is the mean log ratio of the two over its n-grams, times
-SHARPNESS, so that length does not decide; adding Gumbel noise and taking the k largest samples without replacement in
-proportion to the exponential weights.
+Words and word pairs (A-Z lower-cased) are hashed into buckets, of which there are more the larger the corpus is. The raw
+model counts them over all documents, the target model over labelled good ones. A document's log weight is the log of
+the ratio of the two models' probabilities of it: the sum of its n-grams' log ratios. With ``per_gram`` it is their mean
+times that number instead, so that length does not decide. Adding Gumbel noise and taking the k largest samples without
+replacement in proportion to the weights.
 """
 
 from __future__ import annotations
@@ -15,21 +16,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, slices, stored
+from logweir.llm.common import WORDS_OF_BYTES, bytes_of, copies_numbered, map_texts, slices, stored, with_row
 
-BUCKETS = 1 << 16
+# Buckets of the models: about GROWTH times the square root of the corpus's bytes, as vocabularies grow, a power of two
+# between these bounds. The driver and each task hold one number per bucket.
+LEAST_BUCKETS, MOST_BUCKETS, GROWTH = 1 << 16, 1 << 22, 12
 SMOOTHING = 1.0
-SHARPNESS = 50.0
 # The target model is fitted on this many labelled documents at most, chosen by hash of the key.
 TARGET_DOCS = 20_000
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
+def buckets_for(size: int) -> int:
+    """How many buckets the models of a corpus of so many bytes have."""
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << round(np.log2(max(1.0, GROWTH * size ** 0.5)))))
+
+
 class Features:
     """Buckets of the n-grams of texts; remembers words' hashes, up to a bound."""
 
-    def __init__(self):
+    def __init__(self, buckets: int):
         self.known: dict[bytes, int] = {}
+        self.shift = np.uint64(64 - buckets.bit_length() + 1)
 
     def of(self, text: bytes) -> np.ndarray:
         if len(self.known) > 500_000:
@@ -40,21 +48,21 @@ class Features:
             known[w] = digest(w)
         one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         two = (one[:-1] * PAIR) ^ one[1:]
-        return (np.r_[one, two * PAIR] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+        return (np.r_[one, two * PAIR] >> self.shift).astype(np.int64)
 
 
-def counts(docs: DataFrame, text: str, target: str) -> DataFrame:
+def counts(docs: DataFrame, text: str, target: str, buckets: int) -> DataFrame:
     """(bucket, raw, target): n-grams of all documents, and of those with a true ``target`` column."""
 
     def run(batches):
-        features, raw, good = Features(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        features, raw, good = Features(buckets), np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             for part in slices(batch, text):
                 for data, is_target in zip(bytes_of(part.column(text)), part.column(target).to_pylist()):
-                    found = np.bincount(features.of(data), minlength=BUCKETS)
-                    raw += found
+                    at, n = np.unique(features.of(data), return_counts=True)
+                    raw[at] += n
                     if is_target:
-                        good += found
+                        good[at] += n
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(good[at])], names=["bucket", "raw", "target"])
 
@@ -62,25 +70,28 @@ def counts(docs: DataFrame, text: str, target: str) -> DataFrame:
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def log_ratios(counted: DataFrame) -> np.ndarray:
-    """Per bucket the log of the target's smoothed share over the raw one; the driver holds BUCKETS numbers."""
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counted.collect():
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    share = [(x + SMOOTHING) / (x.sum() + SMOOTHING * BUCKETS) for x in (target, raw)]
+def log_ratios(counted: DataFrame, buckets: int) -> np.ndarray:
+    """Per bucket the log of the target's smoothed share over the raw one; the driver holds a number per bucket."""
+    raw, target = np.zeros(buckets), np.zeros(buckets)
+    found = counted.toArrow()
+    at = found.column("bucket").to_numpy()
+    raw[at], target[at] = found.column("raw").to_numpy(), found.column("target").to_numpy()
+    share = [(x + SMOOTHING) / (x.sum() + SMOOTHING * buckets) for x in (target, raw)]
     return np.log(share[0] / share[1])
 
 
-def weighted(docs: DataFrame, ratios: np.ndarray, key: str, text: str) -> DataFrame:
-    """(key, log_weight); 0 for a text without words."""
+def weighted(docs: DataFrame, ratios: np.ndarray, keep: list[str], text: str, per_gram: float | None) -> DataFrame:
+    """The columns ``keep`` and log_weight; 0 for a text without words."""
     holder: dict[str, Features] = {}
 
     def work(part: pa.RecordBatch) -> dict:
-        features = holder.setdefault("it", Features())
+        features = holder.setdefault("it", Features(len(ratios)))
         found = [features.of(x) for x in bytes_of(part.column(text))]
-        return {"log_weight": [float(ratios[x].mean() * SHARPNESS) if len(x) else 0.0 for x in found]}
+        total = [float(ratios[x].sum()) for x in found]
+        return {"log_weight": total if per_gram is None else [w * per_gram / len(x) if len(x) else 0.0 for w, x in zip(total, found)]}
 
-    return map_texts(docs.select(key, text), text, work, f"`{key}` {docs.schema[key].dataType.simpleString()}, log_weight double")
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    return map_texts(docs.select(*keep, text), text, work, ", ".join([*kinds, "log_weight double"]))
 
 
 def top_k(scored: DataFrame, score: str, key: str, k: int) -> DataFrame:
@@ -115,23 +126,27 @@ def top_k(scored: DataFrame, score: str, key: str, k: int) -> DataFrame:
 
 
 def resampled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality",
-              share: float | None = None, salt: int = 0) -> DataFrame:
+              share: float | None = None, salt: int = 0, per_gram: float | None = None) -> DataFrame:
     """One row per document: key, log_weight, sample_key (with the noise), kept.
 
     ``labels`` (key, quality 0 or 1) gives the target documents; ``share`` of all documents is kept, by default the
-    share of good ones among the labels (all if there are none). The noise is drawn from a hash of key and ``salt``, so
-    a rerun gives the same sample. A NULL text has no words and weight 0; NULL keys are never targets; repeated rows
-    are scored alike and taken one by one.
+    share of good ones among the labels (all if there are none). The noise is drawn from a hash of key, text, ``salt``
+    and the row's number among equal ones, so a rerun gives the same sample and equal rows have noise of their own. A
+    NULL text has no words and weight 0; NULL keys are never targets; repeated rows are scored alike and taken one by one.
     """
     good = labels.where(F.col(quality) == 1).select(F.col(key).alias("target_key")).where("target_key IS NOT NULL").distinct()
     # At most TARGET_DOCS keys: the bound that makes the broadcast safe.
     chosen = F.broadcast(good.orderBy(F.xxhash64("target_key"), "target_key").limit(TARGET_DOCS))
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    marked = named.join(chosen, F.col("key") == F.col("target_key"), "left").select("text", F.col("target_key").isNotNull().alias("target"))
-    ratios = log_ratios(counts(marked, "text", "target"))
+    numbered, row = with_row(docs.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    marked = numbered.join(chosen, F.col("key") == F.col("target_key"), "left").select("text", F.col("target_key").isNotNull().alias("target"))
+    buckets = buckets_for(numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    ratios = log_ratios(counts(marked, "text", "target", buckets), buckets)
+    signed = numbered.select("key", F.col(row).alias("row"), F.xxhash64("text").alias("sign"), "text")
+    weighed = stored(weighted(signed, ratios, ["key", "row", "sign"], "text", per_gram), "importance-weights")
+    each = copies_numbered(weighed, ["key", "sign"], "row")
     # 52 bits and a half: strictly between 0 and 1 as a double.
-    even = (F.xxhash64("key", F.lit(salt)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
-    scored = stored(weighted(named, ratios, "key", "text").withColumn("sample_key", F.col("log_weight") - F.log(-F.log(even))), "importance")
+    even = (F.xxhash64("key", "sign", "nth", F.lit(salt)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
+    scored = stored(each.select("key", "log_weight", (F.col("log_weight") - F.log(-F.log(even))).alias("sample_key")), "importance")
     if share is None:
         share = labels.agg(F.avg(quality)).first()[0]
     n = scored.count()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logweir.llm.common import free_name, n_words, stored, with_row
+from logweir.llm.common import copies_numbered, free_name, n_words, stored, with_row
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -62,15 +62,24 @@ def _mix(numbered: DataFrame, row: str, key: str, text: str, source: str) -> Dat
                        F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).alias("rounds"),
                        F.ceil(F.col("source_rows") / RANGE_ROWS).alias("ranges"))
     dealt = slim.join(plan, slim["source"].eqNullSafe(plan["of"])).drop("of").withColumn(
-        "part", F.shiftright(F.shiftright("draw", 20) * F.col("ranges"), 40))  # draws are below 2 ** 60
-    sums = dealt.groupBy("source", "part").agg(F.sum("size").alias("words"))
-    before = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    starts = stored(sums.select(F.col("source").alias("of"), F.col("part").alias("of_part"),
-                                F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before")), "mix-starts")
-    inside = W.partitionBy("source", "part").orderBy("draw", "key", "size", "row").rowsBetween(W.unboundedPreceding, -1)
-    summed = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = summed.join(starts, summed["source"].eqNullSafe(starts["of"]) & (summed["part"] == starts["of_part"]))
-    rest = F.col("budget") - F.col("rounds") * F.col("source_size") - F.col("before") - F.col("inside")
+        "part", F.shiftright(F.shiftright("draw", 28) * F.col("ranges"), 32))  # draws are below 2 ** 60
+    # Equal documents have equal draws: they are summed as one, and each takes its place among them by its number.
+    same = ["source", "draw", "key", "size"]
+    rows = stored(copies_numbered(dealt, same, "row"), "mix-rows")
+    groups = rows.groupBy("source", "part", "draw", "key", "size").agg((F.count("*") * F.col("size")).alias("words"))
+    # Prefix sums in three steps, so that a source's ranges are not all summed by one task either.
+    groups = stored(groups.withColumn("section", F.shiftright("part", 10)), "mix-groups")
+    total, steps = groups, (["section"], ["part"], ["draw", "key", "size"])
+    for depth, step in enumerate(steps):
+        above = ["source", *[c for s in steps[:depth] for c in s]]
+        sums = groups.groupBy(*above, *step).agg(F.sum("words").alias("words"))
+        earlier = W.partitionBy(*above).orderBy(*step).rowsBetween(W.unboundedPreceding, -1)
+        sums = sums.select(*[F.col(c).alias(f"at_{c}") for c in (*above, *step)], F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias(f"before_{depth}"))
+        total = total.join(sums, [total[c].eqNullSafe(sums[f"at_{c}"]) for c in (*above, *step)]).drop(*[f"at_{c}" for c in (*above, *step)])
+    before = sum((F.col(f"before_{depth}") for depth in range(len(steps))), F.lit(0))
+    starts = stored(total.select(*[F.col(c).alias(f"of_{c}") for c in same], before.alias("before")), "mix-starts")
+    joined = rows.join(starts, [rows[c].eqNullSafe(starts[f"of_{c}"]) for c in same])
+    rest = F.col("budget") - F.col("rounds") * F.col("source_size") - F.col("before") - F.col("nth") * F.col("size")
     taken = F.col("rounds") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return joined.select("key", "row", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
 

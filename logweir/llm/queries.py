@@ -12,6 +12,7 @@ from logweir.llm.common import stored, table
 
 
 TOKENIZERS = "/opt/tokenizers"
+PER_GRAM = 50.0  # the classifier's weights by mean log ratio, so that long documents are not all kept or all dropped
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
@@ -24,7 +25,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), per_gram=PER_GRAM)
     return found.select(F.col("key").alias("doc_id"), "log_weight", "sample_key", "kept")
 
 

@@ -13,9 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from logweir.llm.common import copies_numbered, free_name, stored, with_row
+
 RANGE = 1 << 16
 FANOUT = 16
 RECORDS_PER_FILE = 1000
+# First letters of a digest by which records of one number are dealt: 65,536 parts.
+PREFIX = 4
 
 
 def record(url: Column, number: Column, body: Column) -> Column:
@@ -31,11 +35,30 @@ def record(url: Column, number: Column, body: Column) -> Column:
 def laid_out(records: DataFrame, number: str, size: str, per_file: int = RECORDS_PER_FILE) -> DataFrame:
     """``records`` with columns file and offset: ``per_file`` numbers to a file, in order of number, then content.
 
-    NULL numbers form a file of their own.
+    NULL numbers form a file of their own. Any file, number or content may hold a large share of all records: sizes are
+    added up per number, per first letters of the digest, per content and per copy, each within the one before, and no
+    task sees more than the parts of one step.
     """
-    file = F.coalesce(F.floor(F.col(number) / per_file), F.lit(-1)).cast("long")
-    before = W.partitionBy("file").orderBy(number, "digest", size).rowsBetween(W.unboundedPreceding, -1)
-    return records.withColumn("file", file).withColumn("offset", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long"))
+    numbered, row = with_row(records)
+    file, prefix = F.coalesce(F.floor(F.col(number) / per_file), F.lit(-1)).cast("long"), F.substring("digest", 1, PREFIX)
+    names = {"file": "file", **{n: free_name(numbered, n) for n in ("prefix", "nth")}}
+    rows = stored(copies_numbered(numbered.withColumns({"file": file, names["prefix"]: prefix}), ["file", number, "digest", size], row, names["nth"]), "warc-numbered")
+    content = [number, names["prefix"], "digest", size]
+    groups = stored(rows.groupBy("file", *content).agg((F.count("*") * F.coalesce(F.col(size), F.lit(0))).alias("all_bytes")), "warc-contents")
+    places = groups
+    # From the coarsest step to the finest: bytes of what comes earlier within the step above.
+    for depth, steps in enumerate(([number], [names["prefix"]], ["digest", size])):
+        above = ["file", *content[:depth]]
+        sums = groups.groupBy(*above, *steps).agg(F.sum("all_bytes").alias("all_bytes"))
+        earlier = W.partitionBy(*above).orderBy(*steps).rowsBetween(W.unboundedPreceding, -1)
+        sums = sums.select(*[F.col(c).alias(f"at_{c}") for c in (*above, *steps)], F.coalesce(F.sum("all_bytes").over(earlier), F.lit(0)).alias(f"before_{depth}"))
+        on = [places[c].eqNullSafe(sums[f"at_{c}"]) for c in (*above, *steps)]
+        places = places.join(sums, on, "left").drop(*[f"at_{c}" for c in (*above, *steps)])
+    start = sum((F.col(f"before_{depth}") for depth in range(3)), F.lit(0))
+    places = stored(places.select(*[F.col(c).alias(f"at_{c}") for c in ("file", *content)], start.alias("start")), "warc-places")
+    joined = rows.join(places, [rows[c].eqNullSafe(places[f"at_{c}"]) for c in ("file", *content)])
+    offset = (F.col("start") + F.col(names["nth"]) * F.coalesce(F.col(size), F.lit(0))).cast("long")
+    return joined.select(*records.columns, "file", offset.alias("offset"))
 
 
 def _parents(level: DataFrame) -> DataFrame:
@@ -48,15 +71,15 @@ def _parents(level: DataFrame) -> DataFrame:
 def tree(records: DataFrame) -> list[DataFrame]:
     """Levels of (file, node, digest) from the records' ranges up to one node per file; records: file, offset, length, digest.
 
-    A record that a replica lacks has a NULL digest, or no row.
+    A record that a replica lacks has a NULL digest, or no row. Each level is stored: the one above and the audit read it.
     """
     leaf = F.struct("offset", "length", F.coalesce("digest", F.lit("")).alias("digest"))
     text = lambda x: F.concat_ws(":", x["offset"].cast("string"), x["length"].cast("string"), x["digest"])
-    levels = [records.groupBy("file", F.floor(F.col("offset") / RANGE).alias("node")).agg(F.array_sort(F.collect_list(leaf)).alias("all")).select(
-        "file", "node", F.sha2(F.array_join(F.transform("all", text), "\n"), 256).alias("digest"))]
+    levels = [stored(records.groupBy("file", F.floor(F.col("offset") / RANGE).alias("node")).agg(F.array_sort(F.collect_list(leaf)).alias("all")).select(
+        "file", "node", F.sha2(F.array_join(F.transform("all", text), "\n"), 256).alias("digest")), "warc-level")]
     top = records.agg(F.max(F.floor(F.col("offset") / RANGE))).first()[0] or 0
     while top:
-        levels.append(_parents(levels[-1]))
+        levels.append(stored(_parents(levels[-1]), "warc-level"))
         top //= FANOUT
     return levels
 
@@ -77,12 +100,12 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     # A replica that ends earlier has a lower tree; its top is carried up to the same height.
     while len(a) != len(b):
         low = a if len(a) < len(b) else b
-        low.append(_parents(low[-1]))
-    bad = _differing(a[-1], b[-1], ["file", "node"])
+        low.append(stored(_parents(low[-1]), "warc-level"))
+    bad = stored(_differing(a[-1], b[-1], ["file", "node"]), "warc-differing")
     for x, y in zip(a[-2::-1], b[-2::-1]):
         parents = bad.select("file", F.col("node").alias("parent"))
         under = [t.join(parents, (t["file"] == parents["file"]) & (F.floor(t["node"] / FANOUT) == parents["parent"]), "left_semi") for t in (x, y)]
-        bad = _differing(*under, ["file", "node"])
+        bad = stored(_differing(*under, ["file", "node"]), "warc-differing")
     ranges = bad.select("file", F.col("node").alias("range"))
     under = [t.join(ranges, (t["file"] == ranges["file"]) & (F.floor(t["offset"] / RANGE) == ranges["range"]), "left_semi") for t in (first, second)]
     left = under[0].select("file", "offset", "length", F.col("digest").alias("first_digest"))

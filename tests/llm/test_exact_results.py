@@ -289,7 +289,7 @@ def test_classifier_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    scores = importance.resampled(docs, labels.where(~held)).withColumnRenamed("key", "doc_id").join(labels.where(held), "doc_id").collect()
+    scores = importance.resampled(docs, labels.where(~held), per_gram=50.0).withColumnRenamed("key", "doc_id").join(labels.where(held), "doc_id").collect()
     right = sum(r["kept"] == (r["quality"] == 1) for r in scores) / len(scores)
     assert len(scores) > 500 and right > 0.95
 
