@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DELAY = "2 days"
 SLOT = "1 hour"
+AT_ONCE = 1000
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,13 +51,16 @@ class _SlotEvents(StatefulProcessor):
         self.events = handle.getListState("events", self.fields)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = not self.events.exists()
-        ends = None
+        first, some = not self.events.exists(), []
         for row in rows:
-            self.events.appendValue((row["status"], *[row[c] for c in self.order]))
-            ends = row["slot_end"]
-        if first and ends is not None:
-            self.handle.registerTimer(_millis(ends))
+            some.append((row["status"], *[row[c] for c in self.order]))
+            if len(some) == AT_ONCE:  # each call goes to the state's process
+                self.events.appendList(some)
+                some = []
+        if some:
+            self.events.appendList(some)
+        if first:
+            self.handle.registerTimer(_millis(key[1]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:

@@ -86,14 +86,15 @@ def test_daily_counts_wait_for_late_data(spark, tmp_path):
 
 
 def audit_files(spark, tmp_path, parts, schema, delay, slot="10 minutes"):
-    """Run the audit once per file; the events end with one of another job, long after the others."""
+    """Run the audit, a batch per file, stopped and started again after the first; the events end with one of another job, long after the others."""
     queries, partitions = [], spark.conf.get("spark.sql.shuffle.partitions")
     end = (None, None, dt.datetime(2014, 6, 1), -1)
     spark.conf.set("spark.sql.shuffle.partitions", 2)  # two Python workers each
     try:
-        for part in (*parts, [end]):
-            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-            source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        for some in (parts[:1], [*parts[1:], [end]]):
+            for part in some:
+                spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
             queries.append(audit.audit_stream(source, ["at", "n"], f"{tmp_path}/out", f"{tmp_path}/checkpoint", delay=delay, slot=slot))
             queries[-1].awaitTermination()
     finally:
