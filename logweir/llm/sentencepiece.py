@@ -29,8 +29,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 # Words longer than this are encoded one by one; a task remembers about this many words.
 LONG = 64
 # Bytes of text encoded at once: the more, the fewer and larger the groups of words that advance together.
-SLICE = 8 << 20
-REMEMBERED = 400_000
+SLICE = 4 << 20
+REMEMBERED = 250_000
 # Leading bits that say whether a hash can be a key, and those that say where to look: tables that fit a core's cache.
 FILTER_BITS, PLACE_BITS = 19, 18
 
