@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, slices, stored
+from logweir.llm.common import WORDS_OF_BYTES, bytes_of, map_texts, stored
 from logweir.llm.components import components
 
 PERCENT = 80
@@ -27,7 +27,7 @@ BANDS, ROWS = 24, 5
 SEED = 42
 # A cell (the texts of a band's key) has about this many rows and bytes of shingles; larger keys are cut into blocks.
 BLOCK = 512
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # The fingerprint: 4 words of 64 bits; 16 segments; differing bits that two alike texts may have, and the longest chain tried.
 WORDS, SEGMENTS, BITS, CHAIN = 4, 16, 72, 6
 # From so many candidates on, shared shingles are counted for all rows of a cell at once.
@@ -184,10 +184,13 @@ def _across(batches):
         return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], schema=schema)
 
     at, cell, rows = None, None, []
-    for part in (part for batch in batches for part in slices(batch, "found")):
+    for batch in batches:
         links = []
-        for key, block, probe, node, label, fp, found in zip(*[c.to_pylist() for c in part.columns]):
-            found = np.frombuffer(found, np.uint64)
+        values = batch.column("found").values.to_numpy().view(np.uint64)
+        offsets = batch.column("found").offsets.to_pylist()
+        columns = [batch.column(c).to_pylist() for c in ("key", "block", "probe", "node", "label", "fp")]
+        for key, block, probe, node, label, fp, i, j in zip(*columns, offsets, offsets[1:]):
+            found = values[i:j].copy()
             if at != (key, block):
                 if len(rows) > 1:  # a cell without probes
                     links += _Cell(rows).links
@@ -213,17 +216,12 @@ def _with_representatives(cells: DataFrame, sets: DataFrame) -> DataFrame:
             fine = near(*(_fingerprints(batch.column(c).to_pylist()) for c in ("fp", "rep_fp")))
             yield batch.select(["node", "rep"]).filter(pa.array(fine))
 
-    def confirm(batches):
-        for batch in batches:
-            for part in slices(batch, "found"):
-                sets = ([np.frombuffer(x, np.uint64) for x in part.column(c).to_pylist()] for c in ("found", "other"))
-                fine = [alike(a, b) for a, b in zip(*sets)]
-                yield part.select(["node", "rep"]).filter(pa.array(fine, pa.bool_())).rename_columns(["a", "b"])
-
     pairs = cells.where("node != rep").select("node", "rep", "fp", "rep_fp").mapInArrow(close, "node binary, rep binary").distinct()
     first = pairs.join(sets.hint("merge"), "node")
     both = first.join(sets.select(F.col("node").alias("rep"), F.col("found").alias("other")).hint("merge"), "rep")
-    return both.select("node", "rep", "found", "other").mapInArrow(confirm, "a binary, b binary")
+    shared = F.size(F.array_intersect("found", "other"))
+    enough = 100 * shared >= PERCENT * (F.size("found") + F.size("other") - shared)
+    return both.where(enough).select(F.col("node").alias("a"), F.col("rep").alias("b"))
 
 
 def links(texts: DataFrame, sets_of, block: int | None = None) -> DataFrame:
@@ -274,7 +272,12 @@ def first_rows(docs: DataFrame, order: str, row: str, text: str, n_gram: int) ->
         wanted = nodes.join(texts.select("node", F.col(f"low.{row}").alias("set_row")), "node")
         named = docs.select(F.col(f"{order}.{row}").alias("own_row"), text)
         joined = named.join(wanted.hint("merge"), F.col("own_row") == F.col("set_row")).select("node", text)
-        return map_texts(joined, text, lambda part: {"found": [shingles(words_of(x), n_gram).tobytes() for x in bytes_of(part.column(text))]}, "node binary, found binary")
+        return map_texts(joined, text, shingle_sets, "node binary, found array<bigint>")
+
+    def shingle_sets(part: pa.RecordBatch) -> dict:
+        found = [shingles(words_of(x), n_gram) for x in bytes_of(part.column(text))]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        return {"found": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)))}
 
     roots = components(links(texts.select("node", "bands", "fp", "n"), sets_of))
     joined = texts.select("node", "low").join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
