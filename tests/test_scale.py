@@ -58,6 +58,10 @@ def test_no_cross_join_and_no_gathering_of_rows(spark, name):
         assert "collect_list" not in text
 
 
+def test_parents_are_not_broadcast(spark):
+    assert "BroadcastHashJoin" not in plan(QUERIES["reassemble_parent_child"](spark, SMALL))
+
+
 def test_only_needed_columns_are_read(spark):
     text = plan(QUERIES["extract_dict"](spark, SMALL))
     assert "o_orderpriority" in text
