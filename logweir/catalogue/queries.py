@@ -255,10 +255,10 @@ def reassemble_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reassemble_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parents and children stored in buckets by their common key: grouped and joined where they lie."""
     root, name = fresh_folder(spark, "buckets"), uuid.uuid4().hex[:12]
-    lines_spec = fx.spec(fx.LINES_SPEC)
+    lines_spec, buckets = fx.spec(fx.LINES_SPEC), day_tables.buckets_for(spark, f"{sf_dir}/lineitem.parquet")
     day = F.date_add(F.lit("2024-03-01").cast("date"), (F.col("order_id") % 2).cast("int"))
     for part, rows in extract_tables(fx.line_docs(spark, sf_dir), lines_spec).items():
-        table = day_tables.table_of(spark, f"{part}_{name}", lines_spec.tables[part], root, "public", buckets=8)
+        table = day_tables.table_of(spark, f"{part}_{name}", lines_spec.tables[part], root, "public", buckets=buckets)
         table.check()
         table.replace(rows.withColumn("data_date", day))
     parents = spark.table(f"lines_{name}").groupBy("order_id").agg(F.count("*").alias("n_lines"), F.sum("part").alias("parts"))

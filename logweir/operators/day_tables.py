@@ -33,6 +33,12 @@ from logweir.sources import files
 
 LOADS = "_loads"  # Spark passes over names that start with an underscore
 GRACE_SECONDS = 2 * 24 * 3600
+BUCKET_BYTES = 4 * 1024 * 1024  # of compressed input for each bucket, which one task sorts
+
+
+def buckets_for(spark: SparkSession, path: str, least: int = 8) -> int:
+    """As many buckets as keep what is in one of them the same, however large the input at ``path`` is."""
+    return max(least, -(-files.size(spark, path) // BUCKET_BYTES))
 
 
 @dataclass(frozen=True)

@@ -49,6 +49,12 @@ def modified(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(where).getModificationTime() / 1000
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, where = _file_system(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
 def write_whole(spark: SparkSession, path: str, text: str) -> None:
     """A small text file that is there with all of its text or not at all; ``path`` must not exist."""
     write_text(spark, path + ".part", text)

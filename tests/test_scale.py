@@ -197,6 +197,11 @@ def test_tables_in_buckets_are_joined_where_they_lie(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_buckets_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(day_tables, "BUCKET_BYTES", files.size(spark, f"{SMALL}/lineitem.parquet") // 20 + 1)
+    assert "SelectedBucketsCount: 20 out of 20" in plan(QUERIES["reassemble_stored"](spark, SMALL))
+
+
 def test_lines_of_one_file_are_spread_before_they_are_parsed(spark, tmp_path):
     (tmp_path / "one.json").write_text("".join(f'{{"order": {{"id": {n}}}}}\n' for n in range(500)))
     docs = read_documents(spark, "json", f"{tmp_path}/one.json", spread=6)
