@@ -1007,7 +1007,8 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = events.agg(F.lit(None).cast("bigint").alias("job_id"), F.lit(None).cast("string").alias("status"),
                      F.max(F.col("at") + F.make_dt_interval(F.lit(60))).alias("at"), F.lit(-1).cast("bigint").alias("event_id"))
     for part in (*[events.where(F.col("event_id") % 3 == n) for n in (2, 0, 1)], end):
-        part.write.mode("append").parquet(f"{root}/in")
+        # a batch takes eight files: as many batches, however many tasks read the events
+        part.repartition(8).write.mode("append").parquet(f"{root}/in")
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
     audit.audit_stream(source, order, f"{root}/out", f"{root}/checkpoint", delay="40 days", slot="5 days").awaitTermination()
     return audit.audited(spark, f"{root}/out", events.schema, order).select("job_id", "event_id", "from_status", "to_status")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -18,106 +17,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from logweir.operators.ledger import LEGAL_TRANSITIONS, without_time
+from logweir.operators.ledger import is_legal, without_time
 
 # The processes that run the state's code may not have this library on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DELAY = "2 days"
 SLOT = "1 hour"
-AT_ONCE = 1000
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _millis(at: datetime) -> int:
-    """Milliseconds since 1970 of a timestamp as Spark hands it to Python (local time of the process)."""
-    return int(at.astimezone(timezone.utc).timestamp() * 1000)
-
-
-def _legal(before: str, after: str) -> bool:
-    return after in LEGAL_TRANSITIONS.get(before, ())
-
-
-class _SlotEvents(StatefulProcessor):
-    """The events of one job and slot, kept until the slot is over; then its illegal changes, and its first and last status."""
-
-    def __init__(self, order: list[str], fields: str):
-        self.fields, self.row = fields, Row("job_id", *order, "from_status", "to_status", "last_status", "slot_end")
-        self.order = order
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", self.fields)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first, some = not self.events.exists(), []
-        for row in rows:
-            some.append((row["status"], *[row[c] for c in self.order]))
-            if len(some) == AT_ONCE:  # each call goes to the state's process
-                self.events.appendList(some)
-                some = []
-        if some:
-            self.events.appendList(some)
-        if first:
-            self.handle.registerTimer(_millis(key[1]))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        job, slot_end = key
-        # NULL comes first, as in Spark's order.
-        events = sorted(self.events.get(), key=lambda e: [(x is not None, x) for x in e[1:]])
-        self.events.clear()
-        for before, event in zip(events, events[1:]):
-            if not _legal(before[0], event[0]):
-                yield self.row(job, *event[1:], before[0], event[0], None, slot_end)
-        yield self.row(job, *events[0][1:], None, events[0][0], events[-1][0], slot_end)
-
-
 class _LastStatus(StatefulProcessor):
-    """The last status of a job; compares it with the first one of each slot that is over."""
+    """The last status of a job: what was before the first event of each slot that is over. One row per slot, in and out."""
 
-    def __init__(self, order: list[str], initial: str):
-        self.order, self.initial, self.row = order, initial, Row("job_id", *order, "from_status", "to_status")
+    def __init__(self, initial: str):
+        self.initial, self.row = initial, Row("job_id", "before", "first", "changes")
 
     def init(self, handle) -> None:
         self.last = handle.getValueState("last", "status string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        slots = []
-        for row in rows:
-            if row["last_status"] is None:
-                yield self.row(key[0], *[row[c] for c in self.order], row["from_status"], row["to_status"])
-            else:
-                slots.append(row)
         known = self.last.get()
         before = self.initial if known is None else known[0]
-        for row in sorted(slots, key=lambda r: r["slot_end"]):
-            if not _legal(before, row["to_status"]):
-                yield self.row(key[0], *[row[c] for c in self.order], before, row["to_status"])
+        for row in sorted(rows, key=lambda r: r["slot_end"]):
+            yield self.row(key[0], before, row["first"], row["changes"])
             before = row["last_status"]
         self.last.update((before,))
 
 
+def _ended_slots(events: DataFrame, order: list[str], delay: str, slot: str) -> DataFrame:
+    """One row per job and slot that is over: its first event, its illegal changes and its last status.
+
+    The events wait in the state of a grouping, put in order once they are all there, both in the JVM. NULL comes first, as in Spark's order.
+    """
+    at = order[0]
+    timed = events.where(F.col(at).isNotNull()).select("job_id", F.coalesce("status", F.lit("null")).alias("status"), *order)
+    held = F.sort_array(F.collect_list(F.struct(*order, "status"))).alias("held")
+    ended = timed.withWatermark(at, delay).groupBy("job_id", F.window(at, slot)).agg(held)
+    pairs = F.zip_with(F.slice("held", 1, F.size("held") - 1), F.slice("held", 2, F.size("held") - 1), lambda a, b: F.struct(
+        *[b[c].alias(c) for c in order], a["status"].alias("from_status"), b["status"].alias("to_status")))
+    return ended.select(
+        "job_id", F.col("window.end").alias("slot_end"), F.get("held", F.lit(0)).alias("first"),
+        F.element_at("held", -1)["status"].alias("last_status"),
+        F.filter(pairs, lambda p: ~is_legal(p["from_status"], p["to_status"])).alias("changes"))
+
+
 def illegal_changes(events: DataFrame, order: list[str], delay: str = DELAY, slot: str = SLOT, initial: str = "null") -> DataFrame:
     """(job_id, order columns, from_status, to_status) of a stream's illegal changes, each once, as soon as it is certain.
 
     ``events`` has job_id, status and the ``order`` columns, the first of which is a timestamp; a NULL status reads as
-    ``null``. Events may come in any order within ``delay``; later ones are left out, and the stream's progress counts
-    them. Events without a time are passed over.
+    ``null``. Events may come in any order within ``delay``; those of slots that ended before that are left out, and the
+    stream's progress counts them. Events without a time are passed over.
     """
-    at = order[0]
-    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
-    ordered = ", ".join(f"`{c}` {kinds[c]}" for c in order)
-    slots = events.where(F.col(at).isNotNull()).select(
-        "job_id", F.coalesce("status", F.lit("null")).alias("status"), *order).withWatermark(at, delay)
-    slots = slots.withColumn("slot_end", F.window(at, slot)["end"])
-    ended = slots.groupBy("job_id", "slot_end").transformWithState(
-        _SlotEvents(order, f"status string, {ordered}"),
-        f"job_id {kinds['job_id']}, {ordered}, from_status string, to_status string, last_status string, slot_end timestamp",
-        "Append", "EventTime", eventTimeColumnName="slot_end")
-    return ended.groupBy("job_id").transformWithState(
-        _LastStatus(order, initial), f"job_id {kinds['job_id']}, {ordered}, from_status string, to_status string", "Append", "EventTime")
+    ended = _ended_slots(events, order, delay, slot)
+    kinds = {f.name: f.dataType for f in ended.schema}
+    out = T.StructType([T.StructField("job_id", kinds["job_id"]), T.StructField("before", T.StringType()),
+                        T.StructField("first", kinds["first"]), T.StructField("changes", kinds["changes"])])
+    linked = ended.groupBy("job_id").transformWithState(_LastStatus(initial), out, "Append", "None")
+    first = F.struct(*[F.col("first")[c].alias(c) for c in order], F.col("before").alias("from_status"), F.col("first.status").alias("to_status"))
+    across = F.when(~is_legal(F.col("before"), F.col("first.status")), F.array(first))
+    found = F.concat(F.coalesce(across, F.slice("changes", 1, 0)), "changes")
+    return linked.select("job_id", F.inline(found))
 
 
 def audit_stream(events: DataFrame, order: list[str], root: str, checkpoint: str, interval: str | None = None,

@@ -129,6 +129,15 @@ def test_audit_of_late_files(spark, tmp_path):
     assert [r.n for r in spark.read.parquet(f"{tmp_path}/out/untimed").collect()] == [99]
 
 
+def test_audit_events_wait_in_the_jvm(spark, tmp_path):
+    """Only one row per job and slot goes to Python, not the events."""
+    rows = [(1, "running", dt.datetime(2014, 1, 1) + dt.timedelta(seconds=n), n) for n in range(50)]
+    found, queries = audit_files(spark, tmp_path, [rows[:25], rows[25:]], STATUSES, "30 minutes")
+    assert [(r.n, r.from_status) for r in found.collect()] == [(0, "null")]
+    last = queries[-1].recentProgress[0]["stateOperators"]
+    assert sorted(o["operatorName"] == "stateStoreSave" for o in last) == [False, True]
+
+
 def test_late_rows_are_kept_and_counted(spark, tmp_path):
     def add(*stamps):
         rows = [(n, s and dt.datetime.fromisoformat(s)) for n, s in enumerate(stamps)]
