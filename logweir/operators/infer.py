@@ -1,7 +1,7 @@
 """Guess a table spec from sample documents.
 
-One pass over the lines, whatever their depth: each document is taken apart inside its row, level by level until no dict
-is left, and its leaves go through one generator. Each task keeps one entry per (path, type): the longest rendering seen.
+One pass over the lines, whatever their depth: each document is taken apart by a generator per level, and what lies
+deeper than these inside its row, level by level until no dict is left. Each task keeps one entry per (path, type): the longest rendering seen.
 Only those entries are shuffled, so the volume follows the number of distinct paths, not of documents.
 """
 
@@ -43,6 +43,7 @@ class InferOptions:
 # --- fixed values -----------------------------------------------------------------------------------
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
 WIDE_VARCHAR = 65535
+LEVELS = 3  # taken apart by generators; what lies deeper, inside its row
 # ----------------------------------------------------------------------------------------------------
 
 
@@ -86,8 +87,21 @@ def _sources(docs: DataFrame, options: InferOptions) -> DataFrame:
     return objects.where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
 
 
-def _apart(objects: DataFrame, options: InferOptions) -> DataFrame:
-    """(path, value) of everything that would be a column: dicts taken apart to the depth wanted, or until none is left.
+def _level(rows: DataFrame, options: InferOptions) -> DataFrame:
+    """One level of the dicts that are not ``done`` taken apart by a generator, which compiles into the scan's stage."""
+    done = F.col("done") | F.col("path").isin(*options.prune) if options.prune else F.col("done")
+    rows = rows.select("path", "value", done.alias("done"), "most")
+    rows = rows.select("*", F.explode_outer(F.when(~F.col("done"), _map(F.col("value")))).alias("_key", "_below"))
+    itself = F.col("_key").isNull()
+    rows = rows.where(~itself | F.col("done") | _map(F.col("value")).isNull())  # an empty dict has no entries
+    below = F.call_function("ltrim", F.lit("."), F.concat("path", F.lit("."), "_key"))
+    rows = rows.select(F.when(itself, F.col("path")).otherwise(below).alias("path"),
+                       F.when(itself, F.col("value")).otherwise(F.col("_below")).alias("value"), itself.alias("done"), "most")
+    return rows.where(~F.col("path").isin(*options.exclude)) if options.exclude else rows
+
+
+def _deeper(rows: DataFrame, options: InferOptions) -> DataFrame:
+    """The dicts that are left below LEVELS, taken apart inside their row to the depth wanted, or until none is left.
 
     ``most`` bounds an object's levels; once it has no dict left, the remaining rounds return what there is.
     """
@@ -104,10 +118,21 @@ def _apart(objects: DataFrame, options: InferOptions) -> DataFrame:
             below = F.filter(below, lambda e: ~e["path"].isin(*options.exclude))
         return F.when(held["open"], F.struct(below.alias("at"), F.exists(held["at"], lambda e: ~e["done"]).alias("open"))).otherwise(held)
 
-    start = F.struct(F.array(F.struct(F.lit("").alias("path"), F.col("value"), F.lit(False).alias("done"))).alias("at"), F.lit(True).alias("open"))
-    levels = F.col("most") if options.depth < 0 else F.least("most", F.lit(options.depth))
+    itself = F.array(F.struct("path", "value", "done"))
+    levels = (F.col("most") if options.depth < 0 else F.least("most", F.lit(options.depth))) - LEVELS
     rounds = F.when(levels > 0, F.sequence(F.lit(1), levels)).otherwise(F.array().cast("array<int>"))
-    rows = objects.select(F.explode(F.aggregate(rounds, start, level)["at"]).alias("e")).select("e.path", "e.value")
+    apart = F.aggregate(rounds, F.struct(itself.alias("at"), F.lit(True).alias("open")), level)["at"]
+    left = ~F.col("done") & (levels > 0) & _map(F.col("value")).isNotNull()
+    return rows.select(F.explode(F.when(left, apart).otherwise(itself)).alias("e")).select("e.path", "e.value")
+
+
+def _apart(objects: DataFrame, options: InferOptions) -> DataFrame:
+    """(path, value) of everything that would be a column: dicts taken apart to the depth wanted, or until none is left."""
+    rows = objects.select(F.lit("").alias("path"), "value", F.lit(False).alias("done"), "most")
+    for _ in range(LEVELS if options.depth < 0 else min(options.depth, LEVELS)):
+        rows = _level(rows, options)
+    if not 0 <= options.depth <= LEVELS:
+        rows = _deeper(rows, options)
     # What is no dict, or is not to be taken apart, is itself the value.
     return rows.select(F.when(F.col("path") == "", "value").otherwise(F.col("path")).alias("path"), "value")
 
