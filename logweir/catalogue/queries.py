@@ -581,10 +581,10 @@ def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def infer_depth_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limited depth, an excluded path, a foreign path and a list source."""
     shallow = infer.leaf_summary(
-        fx.item_lines(spark, sf_dir), infer.InferOptions(depth=2, exclude=("line.part",), prune=("flags",))
+        fx.item_lines(spark, sf_dir), infer.InferOptions(depth=2, exclude=("line.part",), prune=("flags",)), lengths=False
     )
     listed = infer.leaf_summary(
-        fx.item_lines(spark, sf_dir), infer.InferOptions("line.charges", "list", foreign=("line.order_id",))
+        fx.item_lines(spark, sf_dir), infer.InferOptions("line.charges", "list", foreign=("line.order_id",)), lengths=False
     )
     first, second = infer.fold_types(shallow), infer.fold_types(listed)
     return first.withColumn("source", F.lit("depth")).unionByName(second.withColumn("source", F.lit("list"))).select(

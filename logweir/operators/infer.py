@@ -43,6 +43,7 @@ class InferOptions:
 # --- fixed values -----------------------------------------------------------------------------------
 NUMBER_RANK = {"int": 1, "long": 2, "float": 3}
 WIDE_VARCHAR = 65535
+PLAIN = r"\A[ !#-\[\]-~]*+\z"  # texts that JSON in ASCII holds as they are
 LEVELS = 3  # taken apart by generators; what lies deeper, inside its row
 # ----------------------------------------------------------------------------------------------------
 
@@ -137,16 +138,32 @@ def _apart(objects: DataFrame, options: InferOptions) -> DataFrame:
     return rows.select(F.when(F.col("path") == "", "value").otherwise(F.col("path")).alias("path"), "value")
 
 
-def _summary(rows: DataFrame, foreign: bool) -> DataFrame:
-    texts = rows.select("path", F.to_json("value").alias("text"))
-    kinds = texts.select("path", "text", _kind(F.col("text")).alias("kind"))
-    return kinds.select("path", "kind", _rendered_length(F.col("text"), F.col("kind")).alias("max_len"), F.lit(foreign).alias("is_foreign"))
+def _summary(rows: DataFrame, foreign: bool, lengths: bool) -> DataFrame:
+    """(path, kind, max_len, is_foreign) of each value.
+
+    Writing JSON text costs a generator of its own per text and key in it, so it is left to numbers and what must be measured.
+    """
+    value, listed, keyed = F.col("value"), "array<boolean>", "struct<a:boolean>"  # any list, any dict: NULL for what is neither
+    known = (F.when(F.try_variant_get(value, "$", listed).isNotNull(), "list").when(F.try_variant_get(value, "$", keyed).isNotNull(), "dict")
+             .when(F.schema_of_variant(value) == "STRING", "str"))
+    rows = rows.select("path", "value", known.alias("known"))
+    if not lengths:
+        kind = F.coalesce("known", _kind(F.col("text")))
+        texts = rows.select("path", "known", F.when(F.col("known").isNull(), F.to_json("value")).alias("text"))
+        return texts.select("path", kind.alias("kind"), F.lit(None).cast("bigint").alias("max_len"), F.lit(foreign).alias("is_foreign"))
+    plain = F.try_variant_get(value, "$", "string")
+    rows = rows.select("path", "value", "known", F.when((F.col("known") == "str") & plain.rlike(PLAIN), F.length(plain) + 2).alias("size"))
+    texts = rows.select("path", "known", "size", F.when(F.col("size").isNull(), F.to_json("value")).alias("text"))
+    kinds = texts.select("path", "text", "size", F.coalesce("known", _kind(F.col("text"))).alias("kind"))
+    size = F.coalesce(F.col("size").cast("bigint"), _rendered_length(F.col("text"), F.col("kind")))
+    return kinds.select("path", "kind", size.alias("max_len"), F.lit(foreign).alias("is_foreign"))
 
 
 def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value: str = "value",
-                 on_error: str = "fail") -> DataFrame:
+                 on_error: str = "fail", lengths: bool = True) -> DataFrame:
     """(path, kind, max_len, is_foreign), one row per path and kind seen, over JSON lines; computed at once and stored.
 
+    ``lengths=False`` measures nothing: ``max_len`` is NULL, and no text is written of lists, dicts and strings.
     A line that is no JSON stops the job, or is left out with ``on_error="skip"``.
     """
     if options.source_type not in ("dict", "list", "sparse_list"):
@@ -159,12 +176,12 @@ def leaf_summary(lines: DataFrame, options: InferOptions = InferOptions(), value
     else:
         stop = F.raise_error(F.concat(F.lit("no JSON document: "), F.left("value", F.lit(200)))).cast("variant")
         docs = docs.select(F.when(is_document(F.col("doc")), F.col("doc")).otherwise(stop).alias("doc"), most)
-    found = _summary(_apart(_sources(docs, options), options), False)
+    found = _summary(_apart(_sources(docs, options), options), False, lengths)
     if options.foreign:
         doc = document(F.col("doc"))
         values = F.explode(F.array(*[F.struct(F.lit(p).alias("path"), doc.get(split_path(p), "variant").alias("value")) for p in options.foreign]))
         rows = docs.select(values.alias("at")).select("at.*").where(F.col("value").isNotNull() & ~F.is_variant_null("value"))
-        found = found.unionByName(_summary(rows, True))
+        found = found.unionByName(_summary(rows, True, lengths))
     return stored(found.groupBy("path", "kind").agg(F.max("max_len").alias("max_len"), F.bool_or("is_foreign").alias("is_foreign")), "leaves")
 
 

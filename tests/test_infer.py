@@ -96,6 +96,17 @@ def test_deep_documents_are_read_once(spark, tmp_path, monkeypatch):
     assert plans[0].count("Relation") == 1
 
 
+def test_kinds_without_lengths(spark):
+    lines = spark.createDataFrame([(json.dumps({"a": v, "b": {"c": {"d": {"e": {"f": v}}}}}),) for v in (
+        1, 2**70, 1.5, 1e300, "x", 'q"\\', "5", "true", "\u00e9", True, None, [], [1, "a", {}], [None])], "value string")
+    whole, kinds = infer.leaf_summary(lines), infer.leaf_summary(lines, lengths=False)
+    assert not whole.where("max_len IS NULL").count() and not kinds.where("max_len IS NOT NULL").count()
+    columns = ["path", "kind", "is_foreign"]
+    assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, kinds.select(columns).collect()))
+    assert {(r.path, r.kind) for r in kinds.collect()} == {(p, k) for p in ("a", "b.c.d.e.f") for k in (
+        "int", "long", "float", "str", "bool", "null", "list")}
+
+
 def test_order_does_not_matter(spark):
     values = [{"x": v} for v in (1, None, 2.5, 2**70, 12345)]
     forward, backward = folded(spark, values), folded(spark, values[::-1])
