@@ -84,6 +84,16 @@ def test_list_corner_cases(spark):
         extract_table(docs(spark, {}), listed, on_error="fail").collect()
 
 
+def test_elements_are_read_in_one_go(spark):
+    columns = [col("by"), col("km", "float8"), col("n", "int4"), col("at", "TIMESTAMP"), col("a`b c")]
+    elements = [{"by": "x", "km": "1.5", "n": 5.7, "at": 60, "a`b c": [1, {"z": None}]}, {"By": "y", "n": "7", "km": None, "by": {"k": 1}}, 5, None, [], {"n": 2**40}]
+    want = [("x", 1.5, None, 60, '[1,{"z":null}]'), ('{"k":1}', None, 7, None, None), *[(None,) * 5] * 4]
+    for src_type, held in (("list", elements), ("sparse_list", {str(n): e for n, e in enumerate(elements)})):
+        found = extract_table(docs(spark, {"l": held}, {"l": 5}, {}), table("l", src_type, *columns))
+        assert rows(found.withColumn("at", F.unix_seconds("at"))) == want
+        assert "VariantType,true)" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_root_list(spark):
     assert rows(extract_table(docs(spark, [{"a": 1}, {"a": 2}]), table("$", "list", col("index", "int4"), col("a", "int8")))) == [(0, 1), (1, 2)]
 
