@@ -7,7 +7,7 @@ between the scan and the write.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +58,15 @@ def _is_position(column: ColumnSpec, row: RowContext) -> bool:
     return row.element is not None and column.log_key == "index" and not column.is_foreign
 
 
+def _read_type(column: ColumnSpec) -> str:
+    """The type in which a column's value is read from a document, together with others."""
+    if column.is_json or isinstance(column.data_type, T.IntegralType):
+        return "variant"
+    if isinstance(column.data_type, T.TimestampType):
+        return "bigint"
+    return "double" if isinstance(column.data_type, T.DoubleType) else "string"
+
+
 def _typed(node: Node, keys: list[str], column: ColumnSpec) -> Column:
     data_type = column.data_type
     if isinstance(data_type, T.TimestampType):
@@ -68,7 +77,12 @@ def _typed(node: Node, keys: list[str], column: ColumnSpec) -> Column:
     if isinstance(data_type, (T.StringType, T.DoubleType)):
         return node.get(keys, data_type.simpleString())
     # Through text, as a delimited load would: '5.7' is not an integer and becomes NULL, not 5.
-    return node.get(keys, "string").try_cast(data_type)
+    text = node.get(keys, "string").try_cast(data_type)
+    if isinstance(data_type, T.IntegralType) and isinstance(node, ReadDocument):
+        # A variant's cast to another type is set up anew for each value; whole numbers need none.
+        value = node.get(keys, "variant")
+        return F.when(F.schema_of_variant(value) == "BIGINT", node.get(keys, "bigint").try_cast(data_type)).otherwise(text)
+    return text
 
 
 def column_value(column: ColumnSpec, table: TableSpec, row: RowContext, metrics: dict[str, DeriveFunction]) -> Column:
@@ -235,6 +249,96 @@ class TypedElement:
         return self.fields[keys[0]]
 
 
+@dataclass(frozen=True)
+class ReadDocument(Node):
+    """A document of which some values were read in one go; other places are read by path, as in any document.
+
+    ``read``: steps -> (type, column). A value read as a variant can be had in any type.
+    """
+
+    read: dict[tuple[str, ...], tuple[str, Column]] = field(default_factory=dict)
+
+    def get(self, path, data_type: str = "string") -> Column:
+        keys = split_path(path) if path is None or isinstance(path, str) else list(path)
+        kind, value = self.read.get(tuple(keys), (None, None))
+        if kind == data_type:
+            return value
+        return F.try_variant_get(value, "$", data_type) if kind == "variant" else super().get(keys, data_type)
+
+    def is_absent(self, keys) -> Column:
+        """What was read is there; only where nothing was read, null and absent are told apart."""
+        absent = super().is_absent(keys)
+        kind, value = self.read.get(tuple(keys), (None, None))
+        return absent if kind is None else F.when(value.isNull(), absent).otherwise(F.lit(False))
+
+
+def _element_kind(table: TableSpec) -> str:
+    """The type in which the elements of an unnested table are read."""
+    checked = any(not c.is_foreign and c.log_key != "index" for c in _required(table))
+    types = None if checked else _element_types(table)
+    return f"struct<{','.join(f'{_quoted(k)}:{t}' for k, t in types.items())}>" if types else "variant"
+
+
+def _source_kind(table: TableSpec) -> str:
+    return f"{'array<' if table.src_type == 'list' else 'map<string,'}{_element_kind(table)}>"
+
+
+def _wanted(tables: list[TableSpec]) -> dict[tuple[str, ...], str]:
+    """Steps -> type of all values and lists that the tables take from a document."""
+    row, wanted = RowContext(Node(F.lit(None)), F.lit(None)), {}
+    for table in tables:
+        places = [] if table.src_type == "dict" else [(split_path(table.src), _source_kind(table))]
+        for c in table.columns if table.src_type == "dict" else _foreign(table):
+            if not (c.is_derived or c.is_noop):
+                places.append((_place(c, table, row)[1], _read_type(c)))
+        for keys, kind in places:
+            row.doc.path(keys)  # a key that can't be addressed is an error of the spec
+            wanted[tuple(keys)] = kind if wanted.get(tuple(keys), kind) == kind else "variant"
+    return wanted
+
+
+def _together(wanted: dict[tuple[str, ...], str]) -> dict[tuple[str, ...], str]:
+    """What one struct can hold: no place that others lie within, no keys that differ in case only."""
+    within = {keys[:n] for keys in wanted for n in range(len(keys))}
+    spelled = {}
+    for keys in wanted:
+        for n in range(1, len(keys) + 1):
+            spelled.setdefault(tuple(k.lower() for k in keys[:n]), set()).add(keys[:n])
+    return {
+        keys: kind for keys, kind in wanted.items()
+        if keys not in within and all(len(spelled[tuple(k.lower() for k in keys[:n])]) == 1 for n in range(1, len(keys) + 1))
+    }
+
+
+def _struct_of(wanted: dict[tuple[str, ...], str]) -> str:
+    """The struct type that holds the places, nested as they are."""
+    inner = {}
+    for keys, kind in wanted.items():
+        inner.setdefault(keys[0], {})[keys[1:]] = kind
+    return f"struct<{','.join(f'{_quoted(k)}:{v[()] if () in v else _struct_of(v)}' for k, v in inner.items())}>"
+
+
+def _read_together(docs: DataFrame, tables: list[TableSpec]) -> tuple[DataFrame, ReadDocument]:
+    """All values and lists of the tables, taken from a document by one walk; lists that have no place in it, by their path.
+
+    Walks by path cost more than the parse: each compares keys anew and makes a variant or a cast of its own. The
+    one-element generator keeps the optimizer from reading again in each place.
+    """
+    doc = document(F.col("doc"))
+    wanted = _wanted(tables)
+    together = _together(wanted)
+    sources = {tuple(split_path(t.src)) for t in tables if t.src_type != "dict"}
+    apart = {keys: f"_list_{n}" for n, keys in enumerate(k for k in wanted if k in sources and k not in together)}
+    columns = [doc.get([], _struct_of(together)).alias("_read")] if together else []
+    columns += [doc.get(list(keys), wanted[keys]).alias(name) for keys, name in apart.items()]
+    if not columns:
+        return docs, ReadDocument(doc.variant, doc.base)
+    read = {keys: (wanted[keys], F.col(name)) for keys, name in apart.items()}
+    for keys, kind in together.items():
+        read[keys] = kind, reduce(lambda place, key: place.getField(key), keys, F.col("_read"))
+    return docs.select("*", F.inline(F.array(F.struct(*columns)))), ReadDocument(doc.variant, doc.base, read)
+
+
 def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction] | None, json_limit: int | None,
           elements: Column | None) -> DataFrame:
     metrics = {**BUILT_IN_METRICS, **(metrics or {})}
@@ -285,39 +389,37 @@ def tagged_rows(docs: DataFrame, spec: SchemaSpec, metrics: dict[str, DeriveFunc
     """All rows of all tables in one pass over the documents.
 
     Returns a frame with one row per output row and per rejected document, and a function that gives the column
-    expressions of the n-th table on it, valid where ``_tag`` is n. Two generators do it: one row per table, then
-    one row per element of that table's source. Both compile into the scan's stage, which lambda functions over
-    arrays would not.
+    expressions of the n-th table on it, valid where ``_tag`` is n. What the tables need is read from a document once.
+    Two generators make the rows: one row per table, then one row per position in that table's source. Both compile
+    into the scan's stage, which lambda functions over arrays would not.
     """
     metrics = {**BUILT_IN_METRICS, **(metrics or {})}
-    doc = document(F.col("doc"))
     tables = list(spec.tables.values())
+    docs, doc = _read_together(docs, tables)
     whole = RowContext(doc, _file_path(docs))
     docs, hoisted = _hoist_foreign(docs, tables, whole, metrics)
-    sparse = {n: doc.get(split_path(t.src), "map<string,variant>") for n, t in enumerate(tables) if t.src_type == "sparse_list"}
-    keys = [F.map_keys(entries).alias(f"_keys_{n}") for n, entries in sparse.items()]
+    sources = {n: doc.get(split_path(t.src), _source_kind(t)) for n, t in enumerate(tables) if t.src_type != "dict"}
 
-    accepted = is_document(F.col("doc")) & ~is_incomplete(spec, doc)
+    lists = {n: source for n, source in sources.items() if tables[n].src_type == "list"}
+    incomplete = _any(p for n, t in enumerate(tables) for _, p in missing_keys(t, doc, lists.get(n)))
+    accepted = is_document(F.col("doc")) & ~incomplete
     tags = F.when(accepted, F.array(*[F.lit(n) for n in range(len(tables))])).otherwise(F.array(F.lit(REJECTED)))
-    per_table = docs.select("*", *keys, F.explode(tags).alias("_tag"))
+    per_table = docs.select("*", F.explode(tags).alias("_tag"))
 
-    elements = F.array(F.lit(None).cast("variant"))  # one row, for dict tables and rejected documents
-    for n, table in enumerate(tables):
-        if table.src_type == "list":
-            elements = F.when(F.col("_tag") == n, list_elements(doc, table)).otherwise(elements)
-        elif table.src_type == "sparse_list":
-            elements = F.when(F.col("_tag") == n, F.map_values(sparse[n])).otherwise(elements)
-    rows = per_table.select("*", F.posexplode(elements).alias("_position", "_element"))
+    count = F.lit(1)  # one row, for dict tables and rejected documents
+    for n, source in sources.items():
+        count = F.when(F.col("_tag") == n, F.size(source)).otherwise(count)
+    positions = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    rows = per_table.select("*", F.explode(positions).alias("_position"))
 
     def columns_of(n: int) -> list[Column]:
-        table = tables[n]
-        if table.src_type == "dict":
-            row = whole
-        elif table.src_type == "list":
-            row = RowContext(doc, whole.file_path, Node(F.col("_element")), F.col("_position"))
-        else:
-            key = F.get(F.col(f"_keys_{n}"), F.col("_position"))
-            row = RowContext(doc, whole.file_path, Node(F.col("_element")), key)
+        table, row, position = tables[n], whole, F.col("_position")
+        if table.src_type != "dict":
+            values, key = sources[n], position
+            if table.src_type == "sparse_list":
+                values, key = F.map_values(values), F.get(F.map_keys(values), position)
+            element = F.get(values, position)
+            row = RowContext(doc, whole.file_path, Node(element) if _element_kind(table) == "variant" else TypedElement(element), key)
         return [
             F.col(hoisted[n, c.out_name]) if (n, c.out_name) in hoisted else column_value(c, table, row, metrics)
             for c in table.columns

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from logweir.operators import checks, sinks
 from logweir.operators.extract import extract_table, extract_tables
 from logweir.operators.quarantine import BAD_LINE, error_rows
-from logweir.plans.spec import SchemaSpec, SpecError, TableSpec
+from logweir.plans.spec import SchemaSpec, SpecError, TableSpec, parse_spec
 from logweir.sources.lines import document, is_document, parse_lines
 from test_spec import KILN_SPEC
 
@@ -239,3 +239,60 @@ def test_failed_table_ends_the_load(spark, tmp_path):
     results = sinks.load_tables(docs(spark, {"y": 1}), bad, str(tmp_path), stop, stage=False)
     assert [(r["table_name"], r["status"]) for r in results] == [("a", "error")]
     assert "boom" in results[0]["error_info"]
+
+
+ODD_TABLES = """
+version: 1
+tables:
+  trips:
+    src: trip
+    src_type: dict
+    columns:
+    - {log_key: nr, sql_attr: int8, is_mandatory: true}
+    - {log_key: seats, sql_attr: int4}
+    - {log_key: fare, sql_attr: float8}
+    - {log_key: at, sql_attr: timestamp}
+    - {log_key: Seats, name: other_seats, sql_attr: text}
+    - {log_key: crew, name: crew_text, sql_attr: text, is_json: true}
+    - {log_key: crew.lead, name: lead, sql_attr: text}
+    - {log_key: nr, name: nr_text, sql_attr: text}
+    sortkey_attr: []
+  stops:
+    src: trip.stops
+    src_type: list
+    columns:
+    - {log_key: index, sql_attr: int4}
+    - {log_key: place, sql_attr: text}
+    - {log_key: km, sql_attr: float8}
+    - {log_key: count, sql_attr: int2}
+    - {log_key: trip.nr, name: nr, sql_attr: int8, is_foreign: true}
+    sortkey_attr: []
+  crew:
+    src: trip.crew
+    src_type: sparse_list
+    columns:
+    - {log_key: index, sql_attr: text}
+    - {log_key: km, sql_attr: float8}
+    - {log_key: trip.fare, name: fare, sql_attr: float8, is_foreign: true}
+    sortkey_attr: []
+"""
+ODD_VALUES = ["7", "-0", "5.7", "1e3", "1.10", "0.1", "123456789012345678901234567890", "9223372036854775807", "3000000000", "-2.5e-7", "true", "null",
+              '"12"', '" 12 "', '"5.7"', '"1d"', '"NaN"', '"x"', '""', "{}", '{"a":1}', "[]", "[1]"]
+
+
+def test_fanned_values_are_those_of_each_table(spark):
+    """Values read together from a document against values read one by one."""
+    lines = [
+        f'{{"trip":{{"nr":{v},"seats":{v},"Seats":{v},"fare":{v},"at":{v},'
+        f'"stops":[{{"place":{v},"km":{v},"count":{v}}},{v}],"crew":{{"lead":{{"km":{v}}},"1":{v}}}}}}}' for v in ODD_VALUES
+    ]
+    lines += ['{"trip":{"nr":1,"nr":2,"stops":null}}', '{"trip":{"nr":3,"stops":{"place":"a"},"crew":[1]}}', '{"trip":null}', '{"trip":5}', "{}", "5", "null",
+              '{"trip":{"seats":1}}', '{"trip":{"nr":4,"stops":[]}}', '{"trip":{"nr":5}}{"trip":{"nr":6}}', "{"]
+    docs = parse_lines(spark.createDataFrame([(text,) for text in lines], "value string"))
+    spec = parse_spec(ODD_TABLES)
+    fanned = sinks.typed_fan_out(docs, spec)
+    for name, rows in extract_tables(docs, spec).items():
+        together = sorted(map(repr, fanned.where(F.col("table") == name).select(f"{name}.*").collect()))
+        assert together == sorted(map(repr, rows.collect())) and together
+    rejected = fanned.where("table = 'pipeline_errors'").select("pipeline_errors.raw_line")
+    assert sorted(rejected.collect()) == sorted(error_rows(docs, spec).select("raw_line").collect())

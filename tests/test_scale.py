@@ -87,6 +87,22 @@ def test_writing_fanned_lines_does_not_sort(spark):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "32"
 
 
+def test_fanned_documents_are_walked_once(spark):
+    both = fx.spec(fx.LINES_SPEC)
+    for fan_out in (sinks.psv_fan_out, sinks.typed_fan_out):
+        text = plan(fan_out(fx.line_docs(spark, SMALL), both))
+        assert "ArrayType(VariantType" not in text and "['ship_time']" not in text and "['part']" not in text
+
+
+def test_fanned_lines_are_packed_fast(spark, tmp_path):
+    fanned = sinks.psv_fan_out(fx.line_docs(spark, SMALL), fx.spec(fx.LINES_SPEC))
+    sinks.write_psv(fanned, f"{tmp_path}/fast")
+    sinks.write_psv(fanned, f"{tmp_path}/small", level="DEFAULT_COMPRESSION")
+    assert files.size(spark, f"{tmp_path}/fast") > files.size(spark, f"{tmp_path}/small")
+    fast, small = (spark.read.text(f"{tmp_path}/{name}") for name in ("fast", "small"))
+    assert fast.exceptAll(small).isEmpty() and fast.count() == small.count() > 0
+
+
 def test_hot_dist_key_is_split_over_files(spark, tmp_path):
     """A third of the rows on one key: the layout must not put them all into one task."""
     table = TableSpec.from_dict({"src": "", "src_type": "dict", "sortkey_attr": ["v"], "columns": [
