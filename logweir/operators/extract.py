@@ -79,9 +79,9 @@ def _typed(node: Node, keys: list[str], column: ColumnSpec) -> Column:
     # Through text, as a delimited load would: '5.7' is not an integer and becomes NULL, not 5.
     text = node.get(keys, "string").try_cast(data_type)
     if isinstance(data_type, T.IntegralType) and isinstance(node, ReadDocument):
-        # A variant's cast to another type is set up anew for each value; whole numbers need none.
-        value = node.get(keys, "variant")
-        return F.when(F.schema_of_variant(value) == "BIGINT", node.get(keys, "bigint").try_cast(data_type)).otherwise(text)
+        # A variant's cast is set up anew for each value. The JSON text of a number is what the cast gives; what else has
+        # no number in its JSON text (quoted text, say) is cast.
+        return F.coalesce(F.to_json(node.get(keys, "variant")).try_cast(data_type), text)
     return text
 
 
@@ -369,16 +369,29 @@ def _rows(docs: DataFrame, table: TableSpec, metrics: dict[str, DeriveFunction]
     )
 
 
+def _value_key(column: ColumnSpec, table: TableSpec, row: RowContext) -> tuple:
+    """Columns of a document with equal keys have equal values."""
+    return tuple(_place(column, table, row)[1]), column.data_type, column.is_json, column.scales_epoch_seconds
+
+
 def _hoist_foreign(docs: DataFrame, tables: list[TableSpec], row: RowContext, metrics: dict[str, DeriveFunction]):
     """Take the foreign values of unnested tables once per document; (frame, (n-th table, column) -> name).
 
-    The one-element generator keeps the optimizer from moving the values back to where they are used.
+    A value that several tables take in one type is taken for all of them, tables of whole documents included. The
+    one-element generator keeps the optimizer from moving the values back to where they are used.
     """
-    names, values = {}, []
+    names, values, taken = {}, [], {}
     for n, table in enumerate(tables):
         for c in _foreign(table) if table.src_type != "dict" else ():
-            names[n, c.out_name] = f"_foreign_{n}_{len(values)}"
-            values.append(column_value(c, table, row, metrics).alias(names[n, c.out_name]))
+            place = _value_key(c, table, row)
+            if place not in taken:
+                taken[place] = f"_foreign_{n}_{len(values)}"
+                values.append(column_value(c, table, row, metrics).alias(taken[place]))
+            names[n, c.out_name] = taken[place]
+    for n, table in enumerate(tables):
+        for c in table.columns if table.src_type == "dict" else ():
+            if not (c.is_derived or c.is_noop) and _value_key(c, table, row) in taken:
+                names[n, c.out_name] = taken[_value_key(c, table, row)]
     return (docs.select("*", F.inline(F.array(F.struct(*values)))) if values else docs), names
 
 

@@ -296,3 +296,22 @@ def test_fanned_values_are_those_of_each_table(spark):
         assert together == sorted(map(repr, rows.collect())) and together
     rejected = fanned.where("table = 'pipeline_errors'").select("pipeline_errors.raw_line")
     assert sorted(rejected.collect()) == sorted(error_rows(docs, spec).select("raw_line").collect())
+
+
+def test_fanned_whole_numbers_are_those_of_each_table(spark):
+    """What one table takes as a foreign key and another as its own, in equal and in different types."""
+    values = ["12", "1.0", "2.00", "100.0", "1e2", "-0", "-0.0", "300", "40000", "3000000000", "9223372036854775808",
+              '"12"', '" 12 "', '"1.0"', '"0x1"', "true", "null", "[12]", '{"a":12}']
+    columns = ["{log_key: nr, name: nr8, sql_attr: int8}", "{log_key: nr, name: nr4, sql_attr: int4}",
+               "{log_key: nr, name: seconds, sql_attr: TIMESTAMP}", "{log_key: nr, name: millis, sql_attr: timestamp}"]
+    foreign = [c.replace("log_key: nr", "log_key: trip.nr").replace("}", ", is_foreign: true}") for c in columns]
+    spec = parse_spec("\n".join([
+        "version: 1", "tables:", "  trips:", "    src: trip", "    src_type: dict", "    columns:", *(f"    - {c}" for c in columns),
+        "    sortkey_attr: []", "  stops:", "    src: trip.stops", "    src_type: list", "    columns:",
+        "    - {log_key: index, sql_attr: int4}", *(f"    - {c}" for c in foreign), "    sortkey_attr: []",
+    ]))
+    docs = parse_lines(spark.createDataFrame([(f'{{"trip":{{"nr":{v},"stops":[{{}},{{}}]}}}}',) for v in values], "value string"))
+    fanned = sinks.typed_fan_out(docs, spec)
+    for name, rows in extract_tables(docs, spec).items():
+        together = sorted(map(repr, fanned.where(F.col("table") == name).select(f"{name}.*").collect()))
+        assert together == sorted(map(repr, rows.collect())) and len(together) >= len(values)

@@ -4,6 +4,7 @@ import hashlib
 import re
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,24 @@ def test_fanned_documents_are_walked_once(spark):
         assert "ArrayType(VariantType" not in text and "['ship_time']" not in text and "['part']" not in text
 
 
+def test_whole_numbers_of_a_document_are_read_once(spark):
+    both = fx.spec(fx.LINES_SPEC)
+    for fan_out in (sinks.psv_fan_out, sinks.typed_fan_out):
+        text = plan(fan_out(fx.line_docs(spark, SMALL), both))
+        casts = [len(re.findall(rf"{key}(?:#\d+)?, \$, StringType", text)) for key in ("order_id", "part", "number")]
+        assert casts == [1, 1, 1] and "SchemaOfVariant" not in text
+
+
+def test_staged_times_are_whole_numbers(spark, tmp_path):
+    folder = f"{tmp_path}/stage"
+    sinks.write_stage(fx.line_docs(spark, SMALL), fx.spec(fx.LINES_SPEC), folder)
+    for name in ("lines", "charges"):
+        file = next((tmp_path / "stage" / f"table={name}").glob("*.parquet"))
+        columns = pq.ParquetFile(file).schema
+        kinds = {columns.column(i).path: columns.column(i).physical_type for i in range(len(columns))}
+        assert kinds[f"{name}.ship_time"] == "INT64"
+
+
 def test_fanned_lines_are_packed_fast(spark, tmp_path):
     fanned = sinks.psv_fan_out(fx.line_docs(spark, SMALL), fx.spec(fx.LINES_SPEC))
     sinks.write_psv(fanned, f"{tmp_path}/fast")
